@@ -56,7 +56,7 @@ def body_words(df: DataFrame, *keep: str | Column, lines_kept: bool = False) ->
 
 
 def word_frequency(df: DataFrame, lines_kept: bool = False) -> DataFrame:
-    return body_words(df, lines_kept=lines_kept).groupBy("word").agg(F.count("*").alias("n"))
+    return body_words(df, lines_kept=lines_kept).groupBy("word").agg(F.count("*").alias("count"))
 
 
 def windowed_words(
@@ -73,7 +73,7 @@ def windowed_words(
     return (
         body_words(df, event_time, lines_kept=lines_kept)
         .groupBy(F.window(event_time, window, slide).alias("window"), "word")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("count"))
     )
 
 
@@ -83,7 +83,7 @@ def top_words_by_window(counts: DataFrame, n: int = 5) -> DataFrame:
     The rank limit is applied per task before the shuffle by window as well,
     so at most n rows per window and task are shipped.
     """
-    best = Window.partitionBy("window").orderBy(F.desc("n"), F.asc("word"))
+    best = Window.partitionBy("window").orderBy(F.desc("count"), F.asc("word"))
     return counts.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
 
 

@@ -24,12 +24,20 @@ ERROR_COLUMN = "_error"
 FATAL = ("no_id", "bad_date", "no_from")
 
 
-def unfold_header(df: DataFrame, raw: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    """``header``: noise lines dropped, address headers unfolded; ``rest``: as it is.
+def _computed_once(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The same frame, with a barrier for filters on the given columns.
 
-    ``header`` ends before the empty line behind the address headers, ``rest``
-    starts with that empty line and is null in a mail that has none.
+    The optimizer moves a filter below the projections that compute its
+    columns by copying their expressions into it, step by step through the
+    whole chain; for a parsed date that is the parser many times over.  Rows
+    that come out of a generator are final, and filters stay above it.
     """
+    others = [c for c in df.columns if c not in columns]
+    once = F.explode(F.array(F.struct(*[f"`{c}`" for c in columns]))).alias("_row")
+    return df.select(*others, once).select("_row.*", *others)
+
+
+def _unfolded(df: DataFrame, raw: str, keep: Sequence[str]) -> DataFrame:
     text, end, head = F.col("_text"), F.col("_end"), F.col("_head")
     at, tail, last = F.col("_at"), F.col("_tail"), F.col("_last")
     return (
@@ -55,8 +63,7 @@ def unfold_header(df: DataFrame, raw: str = "value", keep: Sequence[str] = ()) -
     )
 
 
-def mail_lines(df: DataFrame, raw: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    """``lines``: header and rest, with the blanks of address lines cleaned."""
+def _lines(df: DataFrame, raw: str, keep: Sequence[str]) -> DataFrame:
     header, rest = F.split("header", "\n"), F.split("rest", "\n")
     lines = F.concat(
         H.clean_address_lines(header),
@@ -64,23 +71,12 @@ def mail_lines(df: DataFrame, raw: str = "value", keep: Sequence[str] = ()) -> D
         .when(H.may_need_cleaning(F.col("rest")), H.clean_address_lines(rest))
         .otherwise(rest),
     )
-    return unfold_header(df, raw, keep).select(*keep, lines.alias("lines"))
+    return _unfolded(df, raw, keep).select(*keep, lines.alias("lines"))
 
 
-def mail_fields(
-    df: DataFrame,
-    raw: str = "value",
-    keep: Sequence[str] = (),
-    body: str = "joined",
-    header_only: bool = False,
+def _fields(
+    df: DataFrame, raw: str, keep: Sequence[str], body: str, header_only: bool
 ) -> DataFrame:
-    """One string column per header field (null when absent), and ``Body``.
-
-    The first line that starts with a field's name gives its value, wherever
-    in the mail it stands; ``header_only=True`` looks no further than the
-    first empty line.  All other lines are the body, concatenated as they are
-    (``body="joined"``) or with their line breaks (``body="lines"``).
-    """
     if body not in ("joined", "lines"):
         raise ValueError(f"body must be 'joined' or 'lines', not {body!r}")
 
@@ -102,7 +98,7 @@ def mail_fields(
         return H.field_value(F.get("lines", at - 1)).alias(field)
 
     return (
-        mail_lines(df, raw, keep)
+        _lines(df, raw, keep)
         .select(*keep, "lines", kinds.alias("_kinds"))
         .select(*keep, "lines", "_kinds", used.alias("_used"))
         .select(
@@ -126,6 +122,37 @@ def with_recipients(fields: DataFrame) -> DataFrame:
     return split.withColumn("Recipients", F.concat(*matched)).drop(*[f"_{h}" for h in headers])
 
 
+def unfold_header(df: DataFrame, raw: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """``header``: noise lines dropped, address headers unfolded; ``rest``: as it is.
+
+    ``header`` ends before the empty line behind the address headers, ``rest``
+    starts with that empty line and is null in a mail that has none.
+    """
+    return _computed_once(_unfolded(df, raw, keep), ["header", "rest"])
+
+
+def mail_lines(df: DataFrame, raw: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """``lines``: header and rest, with the blanks of address lines cleaned."""
+    return _computed_once(_lines(df, raw, keep), ["lines"])
+
+
+def mail_fields(
+    df: DataFrame,
+    raw: str = "value",
+    keep: Sequence[str] = (),
+    body: str = "joined",
+    header_only: bool = False,
+) -> DataFrame:
+    """One string column per header field (null when absent), and ``Body``.
+
+    The first line that starts with a field's name gives its value, wherever
+    in the mail it stands; ``header_only=True`` looks no further than the
+    first empty line.  All other lines but noise are the body, concatenated as
+    they are (``body="joined"``) or with their line breaks (``body="lines"``).
+    """
+    return _computed_once(_fields(df, raw, keep, body, header_only), [*H.FIELDS, "Body"])
+
+
 def parse_mail(
     df: DataFrame,
     raw: str = "value",
@@ -140,7 +167,7 @@ def parse_mail(
     is well); nothing a mail contains can fail the job.  ``keep`` names input
     columns to carry along.
     """
-    fields = mail_fields(df, raw, keep, body, header_only)
+    fields = _fields(df, raw, keep, body, header_only)
     dated = fields.withColumn("Date", date_parts(F.col("Date"), zone_required))
     mail = with_recipients(dated).select(
         *keep,
@@ -157,7 +184,8 @@ def parse_mail(
         F.when(F.col("From").isNull() | (F.col("From") == ""), "no_from"),
         F.when(F.size("Recipients") == 0, "no_recipients"),
     ]
-    return mail.select(*MAIL_COLUMNS, *keep, F.array_compact(F.array(*checks)).alias(ERROR_COLUMN))
+    mail = mail.select(*MAIL_COLUMNS, *keep, F.array_compact(F.array(*checks)).alias(ERROR_COLUMN))
+    return _computed_once(mail, [*MAIL_COLUMNS, ERROR_COLUMN])
 
 
 def split_valid(parsed: DataFrame, fatal: Sequence[str] = FATAL) -> tuple[DataFrame, DataFrame]:

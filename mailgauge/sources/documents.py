@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailgauge.sources.scratch import land
@@ -42,38 +42,38 @@ def store_json_document(
     target = output_dir(path, "json", now)
     columns = df.columns
     # Landed once: counted, searched for its first row, then written.
-    rows = land(df).select("*", "_metadata.file_path", "_metadata.row_index")
-    keys = [*order_by, "file_path", "row_index"]
-    first = rows.orderBy(*keys).select("file_path", "row_index").head()
+    rows = land(df).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    keys = [*order_by, "_file", "_row"]
+    first = rows.orderBy(*keys).select("_file", "_row").head()
     files = -(-rows.count() // rows_per_file)
 
-    to_line = F.to_json(F.struct(*columns))
-    end = rows.sparkSession.range(1).select(F.lit(1).alias("part"))
+    end = rows.sparkSession.range(1).select(F.lit(1).alias("_part"))
     if first is None:
-        lines = end.select(F.lit("[]").alias("value"))
+        lines = end.select(F.lit("[]").alias("_line"))
     else:
-        is_first = (F.col("file_path") == first.file_path) & (F.col("row_index") == first.row_index)
+        is_first = (F.col("_file") == first._file) & (F.col("_row") == first._row)
         records = rows.select(
-            F.lit(0).alias("part"),
+            F.lit(0).alias("_part"),
             *keys,
-            F.concat(F.when(is_first, "[").otherwise(","), to_line).alias("value"),
+            F.concat(F.when(is_first, "[").otherwise(","), F.to_json(F.struct(*columns))).alias("_line"),
         )
         lines = (
-            records.unionByName(end.withColumn("value", F.lit("]")), allowMissingColumns=True)
-            .repartitionByRange(files, "part", *keys)
-            .sortWithinPartitions("part", *keys)
-            .select("value")
+            records.unionByName(end.withColumn("_line", F.lit("]")), allowMissingColumns=True)
+            .repartitionByRange(files, "_part", *keys)
+            .sortWithinPartitions("_part", *keys)
+            .select("_line")
         )
     lines.write.mode("errorifexists").text(target)
     return target
 
 
-def read_json_document(spark, path: str, schema: str) -> DataFrame:
+def read_json_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of a stored JSON array, read line by line on all tasks."""
-    record = F.regexp_replace("value", r"\A[\[,]|\A\]\z", "")
     return (
         spark.read.text(path)
-        .select(F.from_json(record, schema, {"mode": "FAILFAST"}).alias("row"))
-        .filter("row IS NOT NULL")
+        .filter(F.col("value").rlike(r"\A[\[,]\{"))
+        .select(F.from_json(F.substr("value", F.lit(2)), schema, {"mode": "FAILFAST"}).alias("row"))
         .select("row.*")
     )
