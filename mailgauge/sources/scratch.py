@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Temporary folders of local sessions, by application.
+_local: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A new path below the shared folder named by ``spark.checkpoint.dir``.
 
@@ -15,11 +19,13 @@ def scratch_dir(spark: SparkSession) -> str:
     cluster a folder of one machine is no use to the others.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+    if not base:
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="mailgauge-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if context.applicationId not in _local:
+            _local[context.applicationId] = tempfile.mkdtemp(prefix="mailgauge-")
+        base = _local[context.applicationId]
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
