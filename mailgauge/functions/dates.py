@@ -21,39 +21,35 @@ _MAIL_DATE = (
 _ZONE = r" +\([^()\n]+\)"
 
 
-def date_parts(value: Column, zone_required: bool = True) -> Column:
+def date_parts(value: str, zone_required: bool = True) -> str:
     """Day, month name, year, hour, minute, second, sign, offset hours and minutes.
 
     Null when the text has another form.  The zone name in brackets has to be
     there unless ``zone_required=False``.
     """
     pattern = _MAIL_DATE + (_ZONE if zone_required else "")
-    found = F.when(F.rlike(value, F.lit(pattern)), value)
-    return F.split(F.regexp_replace(found, _MAIL_DATE + "(?s:.*)", "$1,$2,$3,$4,$5,$6,$7,$8,$9"), ",")
+    found = f"CASE WHEN {value} RLIKE r'{pattern}' THEN {value} END"
+    return f"split(regexp_replace({found}, r'{_MAIL_DATE}(?s:.*)', '$1,$2,$3,$4,$5,$6,$7,$8,$9'), ',')"
 
 
-def date_from_parts(parts: Column) -> Column:
-    """Instant for ``date_parts``.  Give it a column, not a nested expression.
+def date_from_parts(parts: str) -> str:
+    """Instant for ``date_parts``, which should be a column as it is used nine times.
 
     Out-of-range numbers roll over: 31 Feb is 3 Mar, 25:00:00 is one o'clock
     on the next day.  The numeric offset is what counts, not the zone's name.
     """
 
-    def number(i: int) -> Column:
-        return F.get(parts, F.lit(i)).cast("int")
+    def number(i: int) -> str:
+        return f"CAST({parts}[{i}] AS INT)"
 
-    name = F.lower(F.left(F.get(parts, F.lit(1)), F.lit(3)))
-    month = (F.instr(F.lit(_MONTHS), name) + 2) / 3
-    zero = F.lit(0).cast("decimal(16,6)")
-    first_of_month = F.try_make_timestamp(
-        number(2), month.cast("int"), F.lit(1), F.lit(0), F.lit(0), zero, F.lit("UTC")
-    )
-    offset = (number(7) * 60 + number(8)) * F.when(F.get(parts, F.lit(6)) == "-", -1).otherwise(1)
-    return first_of_month + F.make_dt_interval(
-        number(0) - 1, number(3), number(4) - offset, number(5).cast("decimal(18,6)")
+    month = f"CAST((instr('{_MONTHS}', lower(left({parts}[1], 3))) + 2) / 3 AS INT)"
+    offset = f"({number(7)} * 60 + {number(8)}) * if({parts}[6] = '-', -1, 1)"
+    return (
+        f"try_make_timestamp({number(2)}, {month}, 1, 0, 0, 0, 'UTC') "
+        f"+ make_dt_interval({number(0)} - 1, {number(3)}, {number(4)} - {offset}, {number(5)})"
     )
 
 
-def mail_date(value: Column, zone_required: bool = True) -> Column:
-    """Instant of a mail date, null when the text has another form."""
-    return date_from_parts(date_parts(value, zone_required))
+def mail_date(value: str, zone_required: bool = True) -> Column:
+    """Instant of a mail date given as column name or SQL text, null when it has another form."""
+    return F.expr(date_from_parts(f"({date_parts(value, zone_required)})"))

@@ -6,9 +6,6 @@ most of the text, is split into lines once and looked at line by line.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # The header fields that are read, in the order they are named.
 FIELDS = ["Message-ID", "Date", "From", "Subject", "To", "Cc", "Bcc", "X-To", "X-cc", "X-bcc"]
 
@@ -55,82 +52,67 @@ _FOLDED_BREAK = (
 _LAST_HEADER = rf"\A[^\n]*(?:\n{_NO_FOLD_END}[^\n]+)*+"
 
 
-def unix_lines(raw: Column) -> Column:
-    return F.replace(raw, F.lit("\r\n"), F.lit("\n"))
+def unix_lines(raw: str) -> str:
+    return rf"replace({raw}, '\r\n', '\n')"
 
 
-def header_end(text: Column) -> Column:
+def header_end(text: str) -> str:
     """1-based position of the line break that ends the header, null without one.
 
     The header is everything up to the empty line behind the last address
     header.  A mail without that header is header to its end.
     """
     mark = LAST_ADDRESS_HEADER + ":"
-    at = F.when(F.startswith(text, F.lit(mark)), 1).otherwise(F.nullif(F.instr(text, "\n" + mark), F.lit(0)))
-    return F.nullif(F.position(F.lit("\n\n"), text, at), F.lit(0))
+    at = rf"if(startswith({text}, '{mark}'), 1, nullif(instr({text}, '\n{mark}'), 0))"
+    return rf"nullif(position('\n\n', {text}, {at}), 0)"
 
 
-def drop_noise(text: Column) -> Column:
+def drop_noise(text: str) -> str:
     """Without the lines that start like a noise header."""
-    return F.rtrim(F.regexp_replace(text, _NOISE_LINES, ""), F.lit("\n"))
+    return rf"trim(TRAILING '\n' FROM regexp_replace({text}, r'{_NOISE_LINES}', ''))"
 
 
-def is_noise(kind: Column) -> Column:
-    return kind.isin([name + ":" for name in NOISE])
+def is_noise(kind: str) -> str:
+    names = ", ".join(f"'{name}:'" for name in NOISE)
+    return f"{kind} IN ({names})"
 
 
-def last_header_at(text: Column) -> Column:
+def last_header_at(text: str) -> str:
     """1-based start of the first line with the last address header, or 0."""
-    return F.instr(F.concat(F.lit("\n"), text), "\n" + LAST_ADDRESS_HEADER + ":")
-
-
-def before(text: Column, at: Column) -> Column:
-    return F.when(at == 0, text).otherwise(F.left(text, at - 1))
-
-
-def after(text: Column, at: Column) -> Column:
-    return F.when(at == 0, F.lit("")).otherwise(F.substr(text, at))
+    return rf"instr(concat('\n', {text}), '\n{LAST_ADDRESS_HEADER}:')"
 
 
-def unfold_headers(head: Column) -> Column:
+def unfold_headers(head: str) -> str:
     """Address headers that run over several lines, each on one line.
 
     A continuation line is joined with one blank.  Subject, From, Date and
     Message-ID are not unfolded.
     """
-    return F.regexp_replace(head, _FOLDED_BREAK, "$1 ")
+    return f"regexp_replace({head}, r'{_FOLDED_BREAK}', '$1 ')"
 
 
-def last_header(tail: Column) -> Column:
+def last_header(tail: str) -> str:
     """The last address header with its continuation lines, still folded."""
-    return F.regexp_extract(tail, _LAST_HEADER, 0)
+    return f"regexp_extract({tail}, r'{_LAST_HEADER}', 0)"
 
 
-def clean_address_lines(lines: Column) -> Column:
-    """Tabs deleted and double blanks halved, in lines that name an address header."""
-
-    def cleaned(line: Column) -> Column:
-        named = F.lit(False)
-        for token in CLEANED:
-            named = named | F.contains(line, F.lit(token))
-        return F.when(
-            may_need_cleaning(line) & named,
-            F.replace(F.replace(line, F.lit("\t"), F.lit("")), F.lit("  "), F.lit(" ")),
-        ).otherwise(line)
+def may_need_cleaning(text: str) -> str:
+    return rf"(contains({text}, '\t') OR contains({text}, '  '))"
 
-    return F.transform(lines, cleaned)
 
-
-def may_need_cleaning(text: Column) -> Column:
-    return F.contains(text, F.lit("\t")) | F.contains(text, F.lit("  "))
+def clean_address_lines(lines: str) -> str:
+    """Tabs deleted and double blanks halved, in lines that name an address header."""
+    named = " OR ".join(f"contains(line, '{token}')" for token in CLEANED)
+    cleaned = r"replace(replace(line, '\t', ''), '  ', ' ')"
+    return f"transform({lines}, line -> if({may_need_cleaning('line')} AND ({named}), {cleaned}, line))"
 
 
-def line_kind(line: Column) -> Column:
+def line_kind(line: str) -> str:
     """A line up to its first colon, such as ``To:``, or '' without an early colon."""
-    start = F.left(line, F.lit(_LONGEST_KIND))
-    return F.left(start, F.instr(start, ":"))
+    start = f"left({line}, {_LONGEST_KIND})"
+    return f"left({start}, instr({start}, ':'))"
 
 
-def field_value(line: Column) -> Column:
+def field_value(line: str) -> str:
     """What follows the first blank of a header line; all of it if there is none."""
-    return F.substr(line, F.instr(line, " ") + 1)
+    return f"substr({line}, instr({line}, ' ') + 1)"

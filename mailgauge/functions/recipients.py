@@ -11,68 +11,65 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_CUT = "\n"
+_NONE = "CAST(array() AS ARRAY<STRING>)"
 
 
-def _cut(marked: Column) -> Column:
-    """Parts between the marks, empty parts at the end dropped."""
-    trimmed = F.rtrim(marked, F.lit(_CUT))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _CUT))
+def _cut(marked: str) -> str:
+    """Parts between the line breaks, empty parts at the end dropped."""
+    trimmed = rf"trim(TRAILING '\n' FROM {marked})"
+    return rf"if({trimmed} = '', {_NONE}, split({trimmed}, '\n'))"
 
 
-def split_list(value: Column) -> Column:
+def split_list(value: str) -> str:
     """Parts of a header list cut at comma-blank, empty parts at its end dropped."""
-    return _cut(F.replace(value, F.lit(", "), F.lit(_CUT)))
+    return _cut(rf"replace({value}, ', ', '\n')")
 
 
-def split_unquoted(value: Column) -> Column:
+def split_unquoted(value: str) -> str:
     """Parts of a header list cut at every comma that is outside double quotes.
 
     A comma is outside when an even number of quotes follows it.
     """
-    pieces = F.split(value, '"')
-    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    quotes = f"""(length({value}) - length(replace({value}, '"', '')))"""
     # There are quotes + 1 pieces, and quotes - i quotes follow piece i.
-    marked = F.zip_with(
-        pieces,
-        F.sequence(quotes, F.lit(0)),
-        lambda piece, following: F.when(
-            following % 2 == 0, F.replace(piece, F.lit(","), F.lit(_CUT))
-        ).otherwise(piece),
+    marked = (
+        f"""zip_with(split({value}, '"'), sequence({quotes}, 0), (piece, following) -> """
+        rf"""if(following % 2 = 0, replace(piece, ',', '\n'), piece))"""
     )
-    return _cut(F.array_join(marked, '"'))
+    return _cut(f"""array_join({marked}, '"')""")
 
 
-def _labelled(addresses: Column, names: Column) -> Column:
-    return F.zip_with(addresses, names, lambda a, n: F.concat(a, F.lit("; "), n))
+def _labelled(addresses: str, names: str) -> str:
+    return f"zip_with({addresses}, {names}, (address, name) -> concat(address, '; ', name))"
 
 
-def _paired(names: Column) -> Column:
+def _paired(names: str) -> str:
     """Adjacent names joined: [Last, First, Last, First] to [Last First, ...]."""
-    even = F.filter(names, lambda _, i: i % 2 == 0)
-    odd = F.filter(names, lambda _, i: i % 2 == 1)
-    return F.zip_with(even, odd, lambda last, first: F.concat(last, F.lit(" "), first))
+    even = f"filter({names}, (name, i) -> i % 2 = 0)"
+    odd = f"filter({names}, (name, i) -> i % 2 = 1)"
+    return f"zip_with({even}, {odd}, (last, first) -> concat(last, ' ', first))"
 
 
-def match_names(addresses: Column, names: Column, a: Column, n: Column) -> Column:
+def match_names(addresses: str, names: str, a: str, n: str) -> str:
     """``map_recipients`` where ``a`` and ``n`` are the two headers after ``split_list``.
 
     Both are used several times, so in a plan they should be columns.
     """
     unquoted = split_unquoted(names)
-    return (
-        F.when(addresses.isNull() | (addresses == ""), F.array().cast("array<string>"))
-        .when(names.isNull() | (names == ""), a)
-        .when(F.size(a) == 1, F.array(F.concat(addresses, F.lit("; "), names)))
-        .when(F.size(a) == F.size(n), _labelled(a, n))
-        .when(F.size(a) * 2 == F.size(n), _labelled(a, _paired(n)))
-        .when(F.size(a) == F.size(unquoted), _labelled(a, unquoted))
-        .otherwise(a)
-    )
+    return f"""
+      CASE
+        WHEN {addresses} IS NULL OR {addresses} = '' THEN {_NONE}
+        WHEN {names} IS NULL OR {names} = '' THEN {a}
+        WHEN size({a}) = 1 THEN array(concat({addresses}, '; ', {names}))
+        WHEN size({a}) = size({n}) THEN {_labelled(a, n)}
+        WHEN size({a}) * 2 = size({n}) THEN {_labelled(a, _paired(n))}
+        WHEN size({a}) = size({unquoted}) THEN {_labelled(a, unquoted)}
+        ELSE {a}
+      END"""
 
 
-def map_recipients(addresses: Column, names: Column) -> Column:
-    """``address; name`` for every address, in order.
+def map_recipients(addresses: str, names: str) -> Column:
+    """``address; name`` for every address, in order.  Takes column names or SQL text.
 
     * no addresses: empty, whatever the names;
     * no names: the addresses alone;
@@ -82,4 +79,4 @@ def map_recipients(addresses: Column, names: Column) -> Column:
     * as many names when commas inside quotes do not count: one each;
     * anything else: the addresses alone.
     """
-    return match_names(addresses, names, split_list(addresses), split_list(names))
+    return F.expr(match_names(addresses, names, split_list(addresses), split_list(names)))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailgauge.functions import headers as H
@@ -33,45 +33,44 @@ def _computed_once(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     that come out of a generator are final, and filters stay above it.
     """
     others = [c for c in df.columns if c not in columns]
-    once = F.explode(F.array(F.struct(*[f"`{c}`" for c in columns]))).alias("_row")
-    return df.select(*others, once).select("_row.*", *others)
+    once = f"explode(array(struct({', '.join(_q(columns))}))) AS _row"
+    return df.selectExpr(*_q(others), once).selectExpr("_row.*", *_q(others))
 
 
 def _unfolded(df: DataFrame, raw: str, keep: Sequence[str]) -> DataFrame:
-    text, end, head = F.col("_text"), F.col("_end"), F.col("_head")
-    at, tail, last = F.col("_at"), F.col("_tail"), F.col("_last")
     return (
-        df.select(*keep, H.unix_lines(F.col(raw)).alias("_text"))
-        .select(*keep, "_text", H.header_end(text).alias("_end"))
-        .select(
-            *keep,
-            H.drop_noise(F.when(end.isNull(), text).otherwise(F.left(text, end - 1))).alias("_head"),
-            F.substr(text, end + 1).alias("rest"),
+        df.select(*keep, F.expr(H.unix_lines(f"`{raw}`")).alias("_text"))
+        .selectExpr(*_q(keep), "_text", f"{H.header_end('_text')} AS _end")
+        .selectExpr(
+            *_q(keep),
+            f"{H.drop_noise('if(_end IS NULL, _text, left(_text, _end - 1))')} AS _head",
+            "substr(_text, _end + 1) AS rest",
         )
-        .select(*keep, "_head", "rest", H.last_header_at(head).alias("_at"))
-        .select(*keep, H.before(head, at).alias("_head"), H.after(head, at).alias("_tail"), "rest")
-        .select(*keep, "_head", "_tail", H.last_header(tail).alias("_last"), "rest")
-        .select(
-            *keep,
-            F.concat(
-                H.unfold_headers(head),
-                F.replace(last, F.lit("\n"), F.lit(" ")),
-                F.substr(tail, F.length(last) + 1),
-            ).alias("header"),
+        .selectExpr(*_q(keep), "_head", "rest", f"{H.last_header_at('_head')} AS _at")
+        .selectExpr(
+            *_q(keep),
+            "if(_at = 0, _head, left(_head, _at - 1)) AS _head",
+            "if(_at = 0, '', substr(_head, _at)) AS _tail",
+            "rest",
+        )
+        .selectExpr(*_q(keep), "_head", "_tail", f"{H.last_header('_tail')} AS _last", "rest")
+        .selectExpr(
+            *_q(keep),
+            rf"concat({H.unfold_headers('_head')}, replace(_last, '\n', ' '), "
+            "substr(_tail, length(_last) + 1)) AS header",
             "rest",
         )
     )
 
 
 def _lines(df: DataFrame, raw: str, keep: Sequence[str]) -> DataFrame:
-    header, rest = F.split("header", "\n"), F.split("rest", "\n")
-    lines = F.concat(
-        H.clean_address_lines(header),
-        F.when(F.col("rest").isNull(), F.array().cast("array<string>"))
-        .when(H.may_need_cleaning(F.col("rest")), H.clean_address_lines(rest))
-        .otherwise(rest),
-    )
-    return _unfolded(df, raw, keep).select(*keep, lines.alias("lines"))
+    header, rest = r"split(header, '\n')", r"split(rest, '\n')"
+    lines = f"""concat(
+        {H.clean_address_lines(header)},
+        CASE WHEN rest IS NULL THEN CAST(array() AS ARRAY<STRING>)
+             WHEN {H.may_need_cleaning("rest")} THEN {H.clean_address_lines(rest)}
+             ELSE {rest} END)"""
+    return _unfolded(df, raw, keep).selectExpr(*_q(keep), f"{lines} AS lines")
 
 
 def _fields(
@@ -80,46 +79,40 @@ def _fields(
     if body not in ("joined", "lines"):
         raise ValueError(f"body must be 'joined' or 'lines', not {body!r}")
 
-    kinds = F.transform("lines", H.line_kind)
     # Line numbers of the fields in FIELDS order, 0 for a field without a line.
-    found = [F.array_position("_kinds", F.lit(f + ":")).cast("int") for f in H.FIELDS]
+    found = [f"CAST(array_position(_kinds, '{f}:') AS INT)" for f in H.FIELDS]
     if header_only:
-        end = F.array_position("lines", F.lit(""))
-        found = [F.when((end == 0) | (at < end), at).otherwise(0) for at in found]
-    used = F.array(*found)
-
-    def in_body(_: Column, i: Column) -> Column:
-        kind = F.get("_kinds", i)
-        return (kind == "") | ~(F.array_contains("_used", i + 1) | H.is_noise(kind))
-
-    def value(field: str) -> Column:
-        # Line number 0 looks up index -1, which get() answers with null.
-        at = F.get("_used", F.lit(H.FIELDS.index(field)))
-        return H.field_value(F.get("lines", at - 1)).alias(field)
-
+        end = "array_position(lines, '')"
+        found = [f"if({end} = 0 OR {at} < {end}, {at}, 0)" for at in found]
+    # Line number 0 looks up index -1, which get() answers with null.
+    values = [f"{H.field_value(f'get(lines, _used[{i}] - 1)')} AS `{f}`" for i, f in enumerate(H.FIELDS)]
+    in_body = f"get(_kinds, i) = '' OR NOT (array_contains(_used, i + 1) OR {H.is_noise('get(_kinds, i)')})"
+    separator = r"'\n'" if body == "lines" else "''"
     return (
         _lines(df, raw, keep)
-        .select(*keep, "lines", kinds.alias("_kinds"))
-        .select(*keep, "lines", "_kinds", used.alias("_used"))
-        .select(
-            *keep,
-            *[value(f) for f in H.FIELDS],
-            F.array_join(F.filter("lines", in_body), "\n" if body == "lines" else "").alias("Body"),
+        .selectExpr(*_q(keep), "lines", f"transform(lines, line -> {H.line_kind('line')}) AS _kinds")
+        .selectExpr(*_q(keep), "lines", "_kinds", f"array({', '.join(found)}) AS _used")
+        .selectExpr(
+            *_q(keep), *values, f"array_join(filter(lines, (line, i) -> {in_body}), {separator}) AS Body"
         )
     )
 
 
+def _q(names: Sequence[str]) -> list[str]:
+    return [f"`{name}`" for name in names]
+
+
 ADDRESS_HEADERS = {"To": "X-To", "Cc": "X-cc", "Bcc": "X-bcc"}
 
 
 def with_recipients(fields: DataFrame) -> DataFrame:
     """Adds ``Recipients``: all of To, then Cc, then Bcc, repeats kept."""
     headers = [*ADDRESS_HEADERS, *ADDRESS_HEADERS.values()]
-    split = fields.withColumns({f"_{h}": split_list(F.col(h)) for h in headers})
-    matched = [
-        match_names(F.col(a), F.col(n), F.col(f"_{a}"), F.col(f"_{n}")) for a, n in ADDRESS_HEADERS.items()
-    ]
-    return split.withColumn("Recipients", F.concat(*matched)).drop(*[f"_{h}" for h in headers])
+    parts = [f"{split_list(f'`{h}`')} AS `_{h}`" for h in headers]
+    matched = [match_names(f"`{a}`", f"`{n}`", f"`_{a}`", f"`_{n}`") for a, n in ADDRESS_HEADERS.items()]
+    return fields.selectExpr("*", *parts).selectExpr(
+        *_q(fields.columns), f"concat({', '.join(matched)}) AS Recipients"
+    )
 
 
 def unfold_header(df: DataFrame, raw: str = "value", keep: Sequence[str] = ()) -> DataFrame:
@@ -168,24 +161,23 @@ def parse_mail(
     columns to carry along.
     """
     fields = _fields(df, raw, keep, body, header_only)
-    dated = fields.withColumn("Date", date_parts(F.col("Date"), zone_required))
-    mail = with_recipients(dated).select(
-        *keep,
-        F.col("Message-ID").alias("ID"),
-        date_from_parts(F.col("Date")).alias("Date"),
-        F.col("From"),
-        F.col("Recipients"),
-        F.col("Subject"),
-        F.col("Body"),
+    dated = fields.withColumn("Date", F.expr(date_parts("Date", zone_required)))
+    mail = with_recipients(dated).selectExpr(
+        *_q(keep),
+        "`Message-ID` AS ID",
+        f"{date_from_parts('Date')} AS Date",
+        "From",
+        "Recipients",
+        "Subject",
+        "Body",
     )
-    checks = [
-        F.when(F.col("ID").isNull() | (F.col("ID") == ""), "no_id"),
-        F.when(F.col("Date").isNull(), "bad_date"),
-        F.when(F.col("From").isNull() | (F.col("From") == ""), "no_from"),
-        F.when(F.size("Recipients") == 0, "no_recipients"),
-    ]
-    mail = mail.select(*MAIL_COLUMNS, *keep, F.array_compact(F.array(*checks)).alias(ERROR_COLUMN))
-    return _computed_once(mail, [*MAIL_COLUMNS, ERROR_COLUMN])
+    errors = """array_compact(array(
+        CASE WHEN ID IS NULL OR ID = '' THEN 'no_id' END,
+        CASE WHEN Date IS NULL THEN 'bad_date' END,
+        CASE WHEN `From` IS NULL OR `From` = '' THEN 'no_from' END,
+        CASE WHEN size(Recipients) = 0 THEN 'no_recipients' END))"""
+    checked = mail.selectExpr(*_q(MAIL_COLUMNS), *_q(keep), f"{errors} AS {ERROR_COLUMN}")
+    return _computed_once(checked, [*MAIL_COLUMNS, ERROR_COLUMN])
 
 
 def split_valid(parsed: DataFrame, fatal: Sequence[str] = FATAL) -> tuple[DataFrame, DataFrame]:

@@ -29,6 +29,24 @@ def load_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.schema(READ_SCHEMA).parquet(*paths)
 
 
+def scan_leaves_cores_idle(df: DataFrame) -> bool:
+    """Whether reading the frame takes fewer tasks than the cluster has cores.
+
+    So it is for small tables, above all those with one large row group,
+    which is never split.
+    """
+    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows hashed over all cores; for work on texts of a scan that leaves cores idle.
+
+    It shuffles the input, which a scan with enough tasks has no need of: ask
+    ``scan_leaves_cores_idle`` first.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def store_parquet(
     df: DataFrame, path: str, clustered: bool = False, now: datetime | None = None
 ) -> str:

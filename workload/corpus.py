@@ -17,10 +17,11 @@ sender and ``% 19 = 7`` no id.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailgauge.schema import MAIL_COLUMNS
+from mailgauge.sources.tables import scan_leaves_cores_idle, spread
 
 EPOCH_2000 = 946684800  # 2000-01-01 00:00:00 UTC
 EPOCH_2001 = 978307200  # 2001-01-01 00:00:00 UTC
@@ -31,134 +32,110 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def mail_columns() -> list[Column]:
-    """The mail columns of a row of ``documents``: ten mails a minute, over 833 days."""
-    d = F.col("doc_id")
-    hours = F.floor(d / 10).cast("bigint") * 977 % 20000
-    return [
-        F.format_string("<%d@example.com>", d).alias("ID"),
-        F.timestamp_seconds(hours * 3600 + d % 10 * 5 + EPOCH_2000).alias("Date"),
-        F.concat("source", F.lit("@example.com")).alias("From"),
-        F.transform(
-            F.sequence(F.lit(0), (d % 5).cast("int")),
-            lambda i: F.concat(F.lit("r"), i, F.lit("."), d, F.lit("@example.com")),
-        ).alias("Recipients"),
-        F.concat_ws(" ", "lang", d).alias("Subject"),
-        F.col("text").alias("Body"),
-    ]
+# Tables whose scan leaves cores idle, by application and path.
+_idle: dict[tuple[str, str], bool] = {}
+
+
+def documents(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+    """``documents``, spread over the cores if its files give too few tasks.
+
+    A stream's path is a pattern because the table may be one file or a
+    directory, and a stream takes a single file only by pattern.
+    """
+    rows = table(spark, sf_dir, "documents")
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _idle:
+        _idle[key] = scan_leaves_cores_idle(rows)
+    if stream:
+        rows = spark.readStream.schema(rows.schema).parquet(f"{sf_dir}/documents.[p]arquet")
+    return spread(rows, "doc_id") if _idle[key] else rows
+
+
+# The mail columns of a row of documents: ten mails a minute, over 833 days.
+MAIL_OF_DOCUMENT = [
+    "concat('<', doc_id, '@example.com>') AS ID",
+    f"timestamp_seconds(doc_id div 10 * 977 % 20000 * 3600 + doc_id % 10 * 5 + {EPOCH_2000}) AS Date",
+    "concat(source, '@example.com') AS `From`",
+    "transform(sequence(0, CAST(doc_id % 5 AS INT)), i -> concat('r', i, '.', doc_id, '@example.com'))"
+    " AS Recipients",
+    "concat_ws(' ', lang, doc_id) AS Subject",
+    "text AS Body",
+]
 
 
 def document_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(*mail_columns())
+    return documents(spark, sf_dir).selectExpr(*MAIL_OF_DOCUMENT)
 
 
 def conversation_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A turn as a mail from its role; columns in another order, and no subject."""
-    return table(spark, sf_dir, "conversations").select(
-        F.col("text").alias("body"),
-        F.concat("role", F.lit("@example.com")).alias("from"),
-        F.timestamp_seconds(F.col("conv_id") * 3600 + F.col("turn") * 60 + EPOCH_2001).alias("date"),
-        F.format_string("<%d.%d@example.com>", "conv_id", "turn").alias("id"),
-        F.array(F.format_string("c%d@example.com", "conv_id")).alias("recipients"),
-        F.col("turn").alias("unused"),
+    return table(spark, sf_dir, "conversations").selectExpr(
+        "text AS body",
+        "concat(role, '@example.com') AS `from`",
+        f"timestamp_seconds(conv_id * 3600 + turn * 60 + {EPOCH_2001}) AS date",
+        "concat('<', conv_id, '.', turn, '@example.com>') AS id",
+        "array(concat('c', conv_id, '@example.com')) AS recipients",
+        "turn AS unused",
     )
 
 
-def _name(style: int, i: Column, last: Column) -> Column:
-    if style == 2:
-        return F.concat(
-            F.lit("Last"), i, F.lit(", First"), i, F.lit(" </O=X/CN="), i, F.lit(">")
-        )
-    if style == 3:
-        return F.when(last, '"Doe, Jane" <jane>').otherwise(
-            F.concat(F.lit('"Name '), i, F.lit('" <n'), i, F.lit(">"))
-        )
-    return F.concat(F.lit("Name "), i)
-
-
-def _names() -> Column:
-    """The X-To list of a raw mail."""
-    d = F.col("doc_id")
-    n = (d % 5).cast("int")
-
-    def listed(style: int, upto: Column, separator: str | Column = ", ") -> Column:
-        parts = F.transform(F.sequence(F.lit(0), upto), lambda i: _name(style, i, i == n))
-        return F.array_join(parts, separator)
-
-    style = d % 6
-    return (
-        F.when(style == 1, listed(1, n))
-        .when((style == 2) & (d % 4 == 2), listed(2, n, ", \n\t"))
-        .when(style == 2, listed(2, n))
-        .when(style == 3, listed(3, n))
-        .when(style == 4, listed(4, n + 1))
-        .when(style == 5, F.lit("Nobody"))
-        .otherwise(F.lit(""))
-    )
+def _numbered(name: str, upto: str, separator: str = ", ") -> str:
+    return f"array_join(transform(sequence(0, CAST({upto} AS INT)), i -> {name}), '{separator}')"
 
 
-def raw_mails(documents: DataFrame, damaged: bool = False) -> DataFrame:
-    """doc_id and ``value``, the mail as it would stand in a file.  Batch or stream."""
-    d = F.col("doc_id")
-    mails = documents.select(d, *mail_columns())
-    winter = d % 3 == 0
-    date = F.concat(
-        F.date_format(F.col("Date") - F.make_dt_interval(hours=F.when(winter, 8).otherwise(7)), "E, d MMM yyyy HH:mm:ss"),
-        F.when(winter, " -0800 (PST)").otherwise(" -0700 (PDT)"),
-    )
-    to = F.when(d % 4 == 2, F.array_join("Recipients", ", \n\t")).otherwise(F.array_join("Recipients", ", "))
-    copied = F.format_string("c0.%d@example.com, c1.%d@example.com", d, d)
-    has_id, has_from, has_cc = F.lit(True), F.lit(True), d % 7 == 1
-    if damaged:
-        date = F.when(d % 13 == 5, "yesterday").otherwise(date)
-        has_id, has_from = d % 19 != 7, d % 17 != 3
-
-    def line(name: str, value: Column, present: Column | None = None) -> Column:
-        text = F.concat(F.lit(name + ": "), value)
-        # concat_ws leaves out what is null.
-        return text if present is None else F.when(present, text)
-
-    quoted = F.concat(
-        F.lit(
-            "-----Original Message-----\nFrom: other@example.com\nX-Origin: quoted\n"
-            "To: someone@example.com\nSubject:  re \tplan\nCc: quoted."
-        ),
-        d,
-        F.lit("@example.com\nend"),
-    )
-    value = F.concat_ws(
-        "\n",
-        line("Message-ID", F.col("ID"), has_id),
-        line("Date", date),
-        line("From", F.col("From"), has_from),
-        line("To", to, d % 6 != 5),
-        line("Subject", F.col("Subject")),
-        F.when(d % 9 == 4, " continued"),
-        line("Cc", copied, has_cc),
-        F.lit("Mime-Version: 1.0\nContent-Type: text/plain; charset=us-ascii\nContent-Transfer-Encoding: 7bit"),
-        line("Bcc", copied, has_cc),
-        line("X-From", F.col("From")),
-        line("X-To", _names()),
-        line("X-cc", F.when(has_cc, "C Zero, C One").otherwise("")),
-        F.lit("X-bcc: \nX-Folder: \\Notes\\All\nX-Origin: X\nX-FileName: x.nsf\n"),
-        F.col("Body"),
-        F.when(d % 8 == 3, quoted),
-    )
-    return mails.select("doc_id", value.alias("value"))
+# A folded header goes on after a line break and a tab.
+FOLDED = r", \n\t"
+LAST_FIRST = "concat('Last', i, ', First', i, ' </O=X/CN=', i, '>')"
+QUOTED = """if(i = doc_id % 5, '"Doe, Jane" <jane>', concat('"Name ', i, '" <n', i, '>'))"""
+
+X_TO = f"""
+  CASE doc_id % 6
+    WHEN 1 THEN {_numbered("concat('Name ', i)", "doc_id % 5")}
+    WHEN 2 THEN if(doc_id % 4 = 2, {_numbered(LAST_FIRST, "doc_id % 5", FOLDED)},
+                   {_numbered(LAST_FIRST, "doc_id % 5")})
+    WHEN 3 THEN {_numbered(QUOTED, "doc_id % 5")}
+    WHEN 4 THEN {_numbered("concat('Name ', i)", "doc_id % 5 + 1")}
+    WHEN 5 THEN 'Nobody'
+    ELSE '' END
+"""
 
+COPIED = "concat('c0.', doc_id, '@example.com, c1.', doc_id, '@example.com')"
 
-def raw_document_mails(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
-    return raw_mails(table(spark, sf_dir, "documents"), damaged)
 
+def raw_mails(rows: DataFrame, damaged: bool = False) -> DataFrame:
+    """doc_id and ``value``, the mail as it would stand in a file.  Batch or stream."""
+    date = """concat(
+      date_format(Date - make_dt_interval(0, if(doc_id % 3 = 0, 8, 7)), 'E, d MMM yyyy HH:mm:ss'),
+      if(doc_id % 3 = 0, ' -0800 (PST)', ' -0700 (PDT)'))"""
+    no_id = no_from = "false"
+    if damaged:
+        date = f"if(doc_id % 13 = 5, 'yesterday', {date})"
+        no_id, no_from = "doc_id % 19 = 7", "doc_id % 17 = 3"
+    # concat_ws leaves out what is null.
+    value = rf"""concat_ws('\n',
+      if({no_id}, NULL, concat('Message-ID: ', ID)),
+      concat('Date: ', {date}),
+      if({no_from}, NULL, concat('From: ', `From`)),
+      if(doc_id % 6 = 5, NULL, concat('To: ',
+         if(doc_id % 4 = 2, array_join(Recipients, '{FOLDED}'), array_join(Recipients, ', ')))),
+      concat('Subject: ', Subject),
+      if(doc_id % 9 = 4, ' continued', NULL),
+      if(doc_id % 7 = 1, concat('Cc: ', {COPIED}), NULL),
+      'Mime-Version: 1.0\nContent-Type: text/plain; charset=us-ascii\nContent-Transfer-Encoding: 7bit',
+      if(doc_id % 7 = 1, concat('Bcc: ', {COPIED}), NULL),
+      concat('X-From: ', `From`),
+      concat('X-To: ', {X_TO}),
+      concat('X-cc: ', if(doc_id % 7 = 1, 'C Zero, C One', '')),
+      'X-bcc: \nX-Folder: \\Notes\\All\nX-Origin: X\nX-FileName: x.nsf\n',
+      Body,
+      if(doc_id % 8 = 3, concat(
+        '-----Original Message-----\nFrom: other@example.com\nX-Origin: quoted\nTo: someone@example.com\n',
+        'Subject:  re \tplan\nCc: quoted.', doc_id, '@example.com\nend'), NULL))"""
+    return rows.selectExpr("doc_id", *MAIL_OF_DOCUMENT).selectExpr("doc_id", f"{value} AS value")
 
-def stream_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` as a stream of files.
 
-    The path is a pattern because the table may be one file or a directory,
-    and a stream takes a single file only by pattern.
-    """
-    schema = table(spark, sf_dir, "documents").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.[p]arquet")
+def raw_document_mails(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
+    return raw_mails(documents(spark, sf_dir), damaged)
 
 
 def readable(mails: DataFrame, *extra: str) -> DataFrame:

@@ -31,13 +31,13 @@ from mailgauge.sources.tables import load_parquet, store_parquet
 from mailgauge.streaming import rankings, sinks
 from mailgauge.streaming import sources as streams
 from workload.corpus import (
+    MAIL_OF_DOCUMENT,
     conversation_mails,
     document_mails,
-    mail_columns,
+    documents,
     raw_document_mails,
     raw_mails,
     readable,
-    stream_documents,
     table,
 )
 
@@ -69,7 +69,7 @@ def mail_directory(spark: SparkSession, sf_dir: str) -> str:
     tune_for_mail_files(spark)
 
     def write(path: str) -> str:
-        write_mail_files(raw_document_mails(spark, sf_dir).repartition("doc_id"), path)
+        write_mail_files(raw_document_mails(spark, sf_dir), path)
         return path
 
     return staged(spark, sf_dir, "files", write)
@@ -77,12 +77,11 @@ def mail_directory(spark: SparkSession, sf_dir: str) -> str:
 
 def mail_tables(spark: SparkSession, sf_dir: str) -> list[str]:
     """Two stored tables: the mails with even ids (clustered by date) and the others."""
-    even = F.col("doc_id") % 2 == 0
-    documents = table(spark, sf_dir, "documents").withColumn("even", even)
 
     def write(path: str) -> list[str]:
-        first = documents.filter("even").select(*mail_columns())
-        second = documents.filter("NOT even").select(*mail_columns())
+        rows = documents(spark, sf_dir)
+        first = rows.filter("doc_id % 2 = 0").selectExpr(*MAIL_OF_DOCUMENT)
+        second = rows.filter("doc_id % 2 = 1").selectExpr(*MAIL_OF_DOCUMENT)
         return [
             store_parquet(first, f"{path}/even", clustered=True),
             store_parquet(second, f"{path}/odd"),
@@ -199,8 +198,8 @@ def conform_schema(spark, sf_dir):
 
 @query
 def append_mails(spark, sf_dir):
-    documents, conversations = document_mails(spark, sf_dir), conversation_mails(spark, sf_dir)
-    return readable(append_mail(documents, conversations, documents))
+    first, second = document_mails(spark, sf_dir), conversation_mails(spark, sf_dir)
+    return readable(append_mail(first, second, first))
 
 
 @query
@@ -302,7 +301,7 @@ def mail_body(spark, sf_dir):
 @query
 def mail_dates(spark, sf_dir):
     fields = mail_fields(raw_document_mails(spark, sf_dir))
-    return fields.select(F.col("Message-ID").alias("ID"), mail_date(F.col("Date")).alias("Date")).select(
+    return fields.select(F.col("Message-ID").alias("ID"), mail_date("Date").alias("Date")).select(
         "ID", as_text()
     )
 
@@ -325,7 +324,7 @@ def header_normalise(spark, sf_dir):
     lines = mail_lines(raw_document_mails(spark, sf_dir), keep=["doc_id"])
     known = [f"{name}:" for name in ("To", "Subject", "X-To", "X-cc", "X-Origin")]
     return lines.select("doc_id", F.explode("lines").alias("line")).filter(
-        H.line_kind(F.col("line")).isin(known)
+        F.expr(H.line_kind("line")).isin(known)
     )
 
 
@@ -334,8 +333,8 @@ def recipient_map(spark, sf_dir):
     fields = mail_fields(raw_document_mails(spark, sf_dir), keep=["doc_id"])
     return fields.select(
         "doc_id",
-        F.array_join(map_recipients(F.col("To"), F.col("X-To")), "|").alias("to_recipients"),
-        F.array_join(map_recipients(F.col("Cc"), F.col("X-cc")), "|").alias("cc_recipients"),
+        F.array_join(map_recipients("To", "`X-To`"), "|").alias("to_recipients"),
+        F.array_join(map_recipients("Cc", "`X-cc`"), "|").alias("cc_recipients"),
     )
 
 
@@ -440,7 +439,7 @@ def stream_mail(spark, sf_dir):
 
 
 def _streamed(spark, sf_dir):
-    return parse_mail(raw_mails(stream_documents(spark, sf_dir)))
+    return parse_mail(raw_mails(documents(spark, sf_dir, stream=True)))
 
 
 @query
