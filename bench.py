@@ -2,7 +2,7 @@
 
     BENCH_SF_DIR   tables to read (default /root/testdata/sf0.1)
     BENCH_CPUS     local threads (default 8)
-    BENCH_RUNS     timed runs per query, the best counts (default 3)
+    BENCH_RUNS     timed runs per query, the best counts (default 2)
 
 Prints one JSON line.  Each query is run once before it is timed; batch
 queries write all their rows to the noop sink.
@@ -28,8 +28,8 @@ HEADLINE = [
     "avg_raw_mail_by_sender",
     "mail_features",
     "interval_filter_stored",
-    "append_mails",
-    "order_mails_by_date",
+    "append_mail",
+    "order_by_date",
     "sender_totals",
     "top_senders_both",
     "word_frequency",
@@ -48,7 +48,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")

@@ -68,13 +68,12 @@ def windowed_words(
 ) -> DataFrame:
     """Occurrences per time window and word.  Works on streams too.
 
-    Rows without an event time are in no window.
+    A mail gets its windows before it is cut into words.  Mails without an
+    event time are in no window.
     """
-    return (
-        body_words(df, event_time, lines_kept=lines_kept)
-        .groupBy(F.window(event_time, window, slide).alias("window"), "word")
-        .agg(F.count("*").alias("count"))
-    )
+    placed = df.select(F.window(event_time, window, slide).alias("window"), "Body")
+    words_in_windows = body_words(placed, "window", lines_kept=lines_kept)
+    return words_in_windows.groupBy("window", "word").agg(F.count("*").alias("count"))
 
 
 def top_words_by_window(counts: DataFrame, n: int = 5) -> DataFrame:

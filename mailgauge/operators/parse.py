@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailgauge.functions import headers as H
@@ -180,10 +180,16 @@ def parse_mail(
     return _computed_once(checked, [*MAIL_COLUMNS, ERROR_COLUMN])
 
 
+def has_error(errors: Sequence[str] = FATAL) -> Column:
+    """Whether a parsed mail has one of the given errors."""
+    return F.arrays_overlap(F.col(ERROR_COLUMN), F.array(*[F.lit(e) for e in errors]))
+
+
 def split_valid(parsed: DataFrame, fatal: Sequence[str] = FATAL) -> tuple[DataFrame, DataFrame]:
     """(mails, quarantine): rows without and with a fatal error.
 
-    The quarantine keeps ``_error``, the mails drop it.
+    The quarantine keeps ``_error``, the mails drop it.  To use both, give it
+    a stored frame (``land(parsed)``), or each of them runs the parser.
     """
-    broken = F.arrays_overlap(F.col(ERROR_COLUMN), F.array(*[F.lit(e) for e in fatal]))
+    broken = has_error(fatal)
     return parsed.filter(~broken).drop(ERROR_COLUMN), parsed.filter(broken)

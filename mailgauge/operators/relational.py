@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,15 +48,28 @@ def append_mail(first: DataFrame, *others: DataFrame) -> DataFrame:
     return result
 
 
+def file_position(df: DataFrame) -> list[str]:
+    """Columns that say where in its files a row was read, as far as there are such.
+
+    They tell copies of a mail apart, and are the same when a task runs again.
+    """
+    for position in (["_metadata.file_path", "_metadata.row_index"], ["_metadata.file_path"]):
+        try:
+            df.select(*position)
+        except AnalysisException:
+            continue
+        return position
+    return []
+
+
 def order_by_date(df: DataFrame, then_by: Sequence[str | Column] = ("ID",)) -> DataFrame:
     """Total sort, oldest first, undated mails before all others.
 
-    ``then_by`` orders mails of the same instant.  It also lets the range
-    partitioner cut between them, so an instant that many mails share is
-    spread over tasks.  For a table with many copies of one mail, add
-    something that tells copies apart, such as ``_metadata.row_index``.
+    ``then_by`` orders mails of the same instant, and the position in the
+    files copies of the same mail.  Both let the range partitioner cut
+    between such mails, so that a crowded instant is spread over tasks.
     """
-    return df.orderBy("Date", *then_by)
+    return df.orderBy("Date", *then_by, *file_position(df))
 
 
 def top_n(df: DataFrame, measure: str, key: str, n: int = 5) -> DataFrame:

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from mailgauge.operators.relational import file_position
 from mailgauge.schema import READ_SCHEMA
 
 # Fixed value: output directories are named after the local time they were made.
@@ -54,10 +55,12 @@ def store_parquet(
 
     An existing directory is an error.  ``clustered=True`` pays one shuffle to
     write files that each cover a short span of dates, so that later interval
-    filters skip most row groups; ID as second key splits a crowded instant.
+    filters skip most row groups.  ID and the position in the input files
+    split a crowded instant.
     """
     target = output_dir(path, "parquet", now)
     if clustered:
-        df = df.repartitionByRange("Date", "ID").sortWithinPartitions("Date", "ID")
+        keys = ["Date", "ID", *file_position(df)]
+        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     df.write.mode("errorifexists").parquet(target)
     return target

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from mailgauge.functions.tokens import word_count, words
 from mailgauge.operators import averages as A
-from mailgauge.operators.relational import append_mail, in_interval, order_by_date, top_n
+from mailgauge.operators.relational import append_mail, file_position, in_interval, order_by_date, top_n
 from mailgauge.plans.reports import report_averages, report_averages_by_sender
 from mailgauge.schema import MAIL_SCHEMA, READ_SCHEMA, to_mail_schema
 from mailgauge.sources.documents import read_json_document, store_json_document, store_json_lines
@@ -139,13 +139,25 @@ def test_order_by_date_spreads_copies_of_one_mail(spark, tmp_path):
     table = spark.read.parquet(str(tmp_path / "t"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        ordered = order_by_date(table, ["ID", "_metadata.row_index"])
+        ordered = order_by_date(table)
         sizes = ordered.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(sizes) > 1 and sum(r["count"] for r in sizes) == 20_000
 
 
+def test_file_position(spark, mails, tmp_path):
+    mails.write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    both = ["_metadata.file_path", "_metadata.row_index"]
+    assert file_position(table) == both
+    assert file_position(table.select("ID", "Date").filter("ID > ''").repartition(2)) == both
+    assert file_position(table.groupBy("ID").count()) == []
+    assert file_position(table.unionAll(table)) == []
+    assert file_position(mails) == []
+    assert order_by_date(table).columns == table.columns
+
+
 def test_parquet_round_trip(spark, mails, tmp_path):
     first = store_parquet(mails, str(tmp_path), now=NOW)
     assert first == f"{tmp_path}/2021-02-25_02-36-30_output_parquet"

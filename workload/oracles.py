@@ -164,6 +164,24 @@ _RAW_LINES = f"""
       'Subject:  re ' || chr(9) || 'plan', 'Cc: quoted.' || doc_id || '@example.com', 'end'], chr(10)) END
   ], lambda l: l IS NOT NULL)
 """
+# Damaged mails; one without a sender takes it from the mail it quotes.
+_CHECKED = f"""{_PARSED},
+  marked AS (
+    SELECT *,
+           CASE WHEN doc_id % 19 = 7 THEN 'no_id' END AS e1,
+           CASE WHEN doc_id % 13 = 5 THEN 'bad_date' END AS e2,
+           CASE WHEN doc_id % 17 = 3 AND NOT has_quote THEN 'no_from' END AS e3,
+           CASE WHEN len(all_recipients) = 0 THEN 'no_recipients' END AS e4
+    FROM matched),
+  checked AS (
+    SELECT doc_id,
+           CASE WHEN doc_id % 17 <> 3 THEN "From" WHEN has_quote THEN 'other@example.com'
+                ELSE 'nobody' END AS sender,
+           CASE WHEN e1 IS NULL AND e2 IS NULL AND e3 IS NULL THEN ''
+                ELSE concat_ws(',', e1, e2, e3, e4) END AS errors
+    FROM marked)
+"""
+
 ORACLES: dict[str, str] = {
     "avg_mail_stats_by_sender": _BY_SENDER,
     "avg_mail_stats": f"{_with(MAIL)} SELECT {AVERAGES} FROM mail WHERE {INTERVAL}",
@@ -182,8 +200,8 @@ ORACLES: dict[str, str] = {
         SELECT "ID", array_to_string(list_filter(
             string_split_regex("Body", '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> ''), '|') AS words
         FROM mail""",
-    "word_counts": f'{_with(MAIL)} SELECT "ID", len({TOKENS}) AS word_count FROM mail',
-    "recipient_counts": f'{_with(MAIL)} SELECT "ID", len("Recipients") AS recipient_count FROM mail',
+    "word_count": f'{_with(MAIL)} SELECT "ID", len({TOKENS}) AS word_count FROM mail',
+    "recipient_count": f'{_with(MAIL)} SELECT "ID", len("Recipients") AS recipient_count FROM mail',
     "mail_features": f"""{_with(MAIL)}
         SELECT "ID", "From", array_to_string({TOKENS}, '|') AS "Words", len({TOKENS}) AS "WordCount",
                len("Recipients") AS "RecipientsCount"
@@ -197,10 +215,10 @@ ORACLES: dict[str, str] = {
     "interval_filter_closed": f"""{_MAILS}
         WHERE "Date" BETWEEN TIMESTAMP '2000-01-01 00:00:05' AND TIMESTAMP '2001-06-01'""",
     "conform_schema": f"{_with(CONVERSATION)} SELECT {READABLE} FROM conversation",
-    "append_mails": f"""{_with(MAIL, CONVERSATION)}
+    "append_mail": f"""{_with(MAIL, CONVERSATION)}
         SELECT {READABLE} FROM mail UNION ALL SELECT {READABLE} FROM conversation
         UNION ALL SELECT {READABLE} FROM mail""",
-    "order_mails_by_date": f"""{_with(MAIL)}
+    "order_by_date": f"""{_with(MAIL)}
         SELECT strftime("Date", '%Y-%m-%d %H:%M:%S') AS "Date", "ID", "From", "Subject"
         FROM mail ORDER BY mail."Date", "ID" """,
     "sql_over_view": f"""{_with(MAIL)}
@@ -237,7 +255,7 @@ ORACLES: dict[str, str] = {
                  bcc_list), '|') AS "Recipients"
         FROM matched""",
     "mail_body": f'{_PARSED} SELECT "ID", joined_body AS "Body" FROM matched',
-    "mail_dates": f"""{_with(MAIL)}
+    "mail_date": f"""{_with(MAIL)}
         SELECT "ID", strftime("Date", '%Y-%m-%d %H:%M:%S') AS "Date" FROM mail""",
     "header_unfold": f"""{_PARSED}
         SELECT doc_id,
@@ -264,18 +282,11 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, array_to_string(all_recipients, '|') AS recipients,
                len(all_recipients) AS recipient_count
         FROM matched""",
-    "mail_quarantine": f"""{_PARSED},
-        checked AS (
-          SELECT doc_id, has_quote,
-                 CASE WHEN doc_id % 19 = 7 THEN 'no_id' END AS e1,
-                 CASE WHEN doc_id % 13 = 5 THEN 'bad_date' END AS e2,
-                 CASE WHEN doc_id % 17 = 3 AND NOT has_quote THEN 'no_from' END AS e3,
-                 CASE WHEN len(all_recipients) = 0 THEN 'no_recipients' END AS e4
-          FROM matched)
-        SELECT doc_id,
-               CASE WHEN e1 IS NULL AND e2 IS NULL AND e3 IS NULL THEN ''
-                    ELSE concat_ws(',', e1, e2, e3, e4) END AS errors
-        FROM checked""",
+    "mail_quarantine": f"{_CHECKED} SELECT doc_id, errors FROM checked",
+    "mail_split": f"""{_CHECKED}
+        SELECT sender, CAST(sum(CASE WHEN errors = '' THEN 1 ELSE 0 END) AS BIGINT) AS good,
+               CAST(sum(CASE WHEN errors = '' THEN 0 ELSE 1 END) AS BIGINT) AS bad
+        FROM checked GROUP BY sender""",
     "scan_mail_files": _PARSED_MAILS,
     "scan_whole_files": f"""{_PARSED}
         SELECT array_to_string({_RAW_LINES}, chr(10)) AS value FROM matched""",

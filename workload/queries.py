@@ -14,6 +14,7 @@ from mailgauge.functions.tokens import recipient_count, word_count, words
 from mailgauge.operators import averages as A
 from mailgauge.operators.parse import (
     ERROR_COLUMN,
+    has_error,
     mail_fields,
     mail_lines,
     parse_mail,
@@ -24,9 +25,9 @@ from mailgauge.operators.parse import (
 from mailgauge.operators.relational import append_mail, in_interval, order_by_date, top_n, with_features
 from mailgauge.plans import reports
 from mailgauge.schema import to_mail_schema
-from mailgauge.sources.documents import read_json_document, store_json_document, store_json_lines
+from mailgauge.sources.documents import ROWS_PER_FILE, read_json_document, store_json_document, store_json_lines
 from mailgauge.sources.mailfiles import read_mail, read_mail_files, tune_for_mail_files, write_mail_files
-from mailgauge.sources.scratch import scratch_dir
+from mailgauge.sources.scratch import land, scratch_dir
 from mailgauge.sources.tables import load_parquet, store_parquet
 from mailgauge.streaming import rankings, sinks
 from mailgauge.streaming import sources as streams
@@ -53,7 +54,8 @@ _staged: dict[tuple, object] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register a query; a trailing underscore only keeps it apart from an operator's name."""
+    QUERIES[function.__name__.rstrip("_")] = function
     return function
 
 
@@ -143,14 +145,14 @@ def tokenize_lines(spark, sf_dir):
 
 
 @query
-def word_counts(spark, sf_dir):
+def word_count_(spark, sf_dir):
     return document_mails(spark, sf_dir).select(
         "ID", word_count(F.col("Body")).cast("bigint").alias("word_count")
     )
 
 
 @query
-def recipient_counts(spark, sf_dir):
+def recipient_count_(spark, sf_dir):
     return document_mails(spark, sf_dir).select(
         "ID", recipient_count(F.col("Recipients")).cast("bigint").alias("recipient_count")
     )
@@ -197,13 +199,13 @@ def conform_schema(spark, sf_dir):
 
 
 @query
-def append_mails(spark, sf_dir):
+def append_mail_(spark, sf_dir):
     first, second = document_mails(spark, sf_dir), conversation_mails(spark, sf_dir)
     return readable(append_mail(first, second, first))
 
 
 @query
-def order_mails_by_date(spark, sf_dir):
+def order_by_date_(spark, sf_dir):
     return order_by_date(document_mails(spark, sf_dir)).select(as_text(), "ID", "From", "Subject")
 
 
@@ -299,7 +301,7 @@ def mail_body(spark, sf_dir):
 
 
 @query
-def mail_dates(spark, sf_dir):
+def mail_date_(spark, sf_dir):
     fields = mail_fields(raw_document_mails(spark, sf_dir))
     return fields.select(F.col("Message-ID").alias("ID"), mail_date("Date").alias("Date")).select(
         "ID", as_text()
@@ -350,12 +352,22 @@ def recipient_concat(spark, sf_dir):
 
 @query
 def mail_quarantine(spark, sf_dir):
-    """Damaged mails: what is good and what is put aside, with the reasons."""
+    """Damaged mails: why a mail is put aside, '' for those that are not.  One pass."""
     parsed = parse_mail(raw_document_mails(spark, sf_dir, damaged=True), keep=["doc_id"])
-    good, bad = split_valid(parsed)
-    return (
-        good.select("doc_id", F.lit("").alias("errors"))
-        .unionAll(bad.select("doc_id", F.array_join(ERROR_COLUMN, ",").alias("errors")))
+    reasons = F.when(has_error(), F.array_join(ERROR_COLUMN, ",")).otherwise("")
+    return parsed.select("doc_id", reasons.alias("errors"))
+
+
+@query
+def mail_split(spark, sf_dir):
+    """The quarantine table next to the good mails, from one pass of the parser."""
+    parsed = parse_mail(raw_document_mails(spark, sf_dir, damaged=True), keep=["doc_id"])
+    good, bad = split_valid(land(parsed))
+    counted = good.groupBy("From").agg(F.count("*").alias("good"), F.lit(0).cast("bigint").alias("bad"))
+    return counted.unionAll(
+        bad.groupBy("From").agg(F.lit(0).cast("bigint"), F.count("*"))
+    ).groupBy(F.coalesce("From", F.lit("nobody")).alias("sender")).agg(
+        F.sum("good").alias("good"), F.sum("bad").alias("bad")
     )
 
 
@@ -395,9 +407,10 @@ def json_document(spark, sf_dir):
 
 @query
 def json_document_many_files(spark, sf_dir):
-    """A document of one object per mail, cut into files."""
+    """A document of one object per mail, cut into four files, or more of a million rows each."""
     lengths = A.mail_lengths(document_mails(spark, sf_dir))
-    path = store_json_document(lengths, scratch_dir(spark), order_by=["ID"], rows_per_file=250)
+    rows = min(ROWS_PER_FILE, table(spark, sf_dir, "documents").count() // 4 + 1)
+    path = store_json_document(lengths, scratch_dir(spark), order_by=["ID"], rows_per_file=rows)
     return read_json_document(spark, path, "ID string, From string, WordCount bigint, RecipientsCount bigint")
 
 
