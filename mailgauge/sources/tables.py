@@ -30,17 +30,21 @@ def load_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.schema(READ_SCHEMA).parquet(*paths)
 
 
+# Only tables read in fewer tasks than this are ever spread: a few GB at most.
+SMALL_SCAN_TASKS = 64
+
+
 def scan_leaves_cores_idle(df: DataFrame) -> bool:
-    """Whether reading the frame takes fewer tasks than the cluster has cores.
+    """Whether a small table is read in fewer tasks than the cluster has cores.
 
-    So it is for small tables, above all those with one large row group,
-    which is never split.
+    So it is above all for one large row group, which is never split.
     """
-    return df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.rdd.getNumPartitions() < min(cores, SMALL_SCAN_TASKS)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows hashed over all cores; for work on texts of a scan that leaves cores idle.
+    """Rows hashed over all cores, for work on texts of a small table.
 
     It shuffles the input, which a scan with enough tasks has no need of: ask
     ``scan_leaves_cores_idle`` first.

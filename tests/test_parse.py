@@ -264,6 +264,18 @@ def test_filter_on_parsed_columns_runs_the_parser_once(spark):
     assert (row.avgLength, row.avgNoOfRecipients) == (2.0, 1.0)
 
 
+def test_parser_is_one_stage_without_python(spark, tmp_path):
+    spark.createDataFrame([(HEAD,)], "value string").write.parquet(str(tmp_path / "t"))
+    plan = parse_mail(spark.read.parquet(str(tmp_path / "t")))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_null_mail_is_flagged(spark):
+    row = parsed(spark, None)
+    assert (row.ID, row.Body, row.Recipients) == (None, None, [])
+    assert row._error == ["no_id", "bad_date", "no_from", "no_recipients"]
+
+
 def test_building_blocks_keep_columns(spark):
     frame = spark.createDataFrame([(7, HEAD + "\nbody")], "n int, value string")
     header = unfold_header(frame, keep=["n"]).head()

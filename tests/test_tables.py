@@ -19,7 +19,13 @@ from mailgauge.schema import MAIL_SCHEMA, READ_SCHEMA, to_mail_schema
 from mailgauge.sources.documents import read_json_document, store_json_document, store_json_lines
 from mailgauge.sources.mailfiles import read_mail, read_mail_files, write_mail_files
 from mailgauge.sources.scratch import land, scratch_dir
-from mailgauge.sources.tables import load_parquet, output_dir, store_parquet
+from mailgauge.sources.tables import (
+    load_parquet,
+    output_dir,
+    scan_leaves_cores_idle,
+    spread,
+    store_parquet,
+)
 
 NOW = dt.datetime(2021, 2, 25, 2, 36, 30)
 
@@ -158,6 +164,15 @@ def test_file_position(spark, mails, tmp_path):
     assert order_by_date(table).columns == table.columns
 
 
+def test_spread_only_what_leaves_cores_idle(spark, tmp_path):
+    spark.range(1000).repartition(1).write.parquet(str(tmp_path / "one"))
+    spark.range(1000).repartition(8).write.option("maxRecordsPerFile", 10).parquet(str(tmp_path / "many"))
+    one, many = (spark.read.parquet(str(tmp_path / name)) for name in ("one", "many"))
+    assert scan_leaves_cores_idle(one) and not scan_leaves_cores_idle(many)
+    parts = spread(one, "id").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 1 and sum(r["count"] for r in parts) == 1000
+
+
 def test_parquet_round_trip(spark, mails, tmp_path):
     first = store_parquet(mails, str(tmp_path), now=NOW)
     assert first == f"{tmp_path}/2021-02-25_02-36-30_output_parquet"
