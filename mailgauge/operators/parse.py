@@ -188,8 +188,8 @@ def has_error(errors: Sequence[str] = FATAL) -> Column:
 def split_valid(parsed: DataFrame, fatal: Sequence[str] = FATAL) -> tuple[DataFrame, DataFrame]:
     """(mails, quarantine): rows without and with a fatal error.
 
-    The quarantine keeps ``_error``, the mails drop it.  To use both, give it
-    a stored frame (``land(parsed)``), or each of them runs the parser.
+    The quarantine keeps ``_error``, the mails drop it.  Each of the two frames
+    runs the parser; ``store_parsed`` writes both in one run.
     """
     broken = has_error(fatal)
     return parsed.filter(~broken).drop(ERROR_COLUMN), parsed.filter(broken)

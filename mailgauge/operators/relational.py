@@ -49,16 +49,16 @@ def append_mail(first: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 def file_position(df: DataFrame) -> list[str]:
-    """Columns that say where in its files a row was read, as far as there are such.
+    """The column that says where a row was read, if there is one: row of a file, else the file.
 
-    They tell copies of a mail apart, and are the same when a task runs again.
+    It tells copies of a mail apart, and is the same when a task runs again.
     """
-    for position in (["_metadata.file_path", "_metadata.row_index"], ["_metadata.file_path"]):
+    for position in ("_metadata.row_index", "_metadata.file_path"):
         try:
-            df.select(*position)
+            df.select(position)
         except AnalysisException:
             continue
-        return position
+        return [position]
     return []
 
 

@@ -1 +1 @@
-"""The two reports: from stored tables to a JSON document."""
+"""Whole jobs: ingest, the two reports, the running analyses."""

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
+from mailgauge.operators.parse import ERROR_COLUMN, has_error
 from mailgauge.operators.relational import file_position
 from mailgauge.schema import READ_SCHEMA
 
@@ -68,3 +71,25 @@ def store_parquet(
         df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     df.write.mode("errorifexists").parquet(target)
     return target
+
+
+def store_parsed(parsed: DataFrame, path: str, now: datetime | None = None) -> str:
+    """Write parsed mails and their quarantine, one run of the parser for both.
+
+    Rows go to ``valid=true`` or ``valid=false`` below a new directory, which
+    is returned; read it with ``load_parsed``.
+    """
+    target = output_dir(path, "parquet", now)
+    marked = parsed.withColumn("valid", ~has_error())
+    marked.write.mode("errorifexists").partitionBy("valid").parquet(target)
+    return target
+
+
+def load_parsed(spark: SparkSession, *paths: str) -> tuple[DataFrame, DataFrame]:
+    """(mails, quarantine) of ``store_parsed``; each reads its own files only."""
+    extra = [StructField(ERROR_COLUMN, ArrayType(StringType())), StructField("valid", BooleanType())]
+    schema = StructType([*READ_SCHEMA, *extra])
+    stored = [spark.read.schema(schema).parquet(path) for path in paths]
+    rows = reduce(DataFrame.unionAll, stored)
+    mails = rows.filter("valid").drop("valid", ERROR_COLUMN)
+    return mails, rows.filter("NOT valid").drop("valid")

@@ -50,6 +50,6 @@ def start_appending(
 
 def latest_batch(spark: SparkSession, path: str) -> DataFrame:
     """The rows of the last micro-batch written by ``start_appending``."""
-    rows = spark.read.option("basePath", path).parquet(path)
+    rows = spark.read.parquet(path)
     last = rows.agg(F.max("batch_id")).head()[0]
     return rows.filter(F.col("batch_id") == F.lit(last))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from mailgauge.operators import averages as A
 from mailgauge.operators.parse import parse_mail
+from mailgauge.plans.ingest import ingest_stream
+from mailgauge.plans.live import start_live_analyses
 from mailgauge.sources.mailfiles import read_mail
 from mailgauge.sources.tables import load_parquet
 from mailgauge.streaming import rankings, sinks
@@ -56,8 +58,11 @@ def test_mails_equal_batch_and_restart_appends_once(spark, tmp_path):
     write_mails(f"{tmp_path}/in", range(10))
 
     def ingest():
-        mails = stream_mail(spark, f"{tmp_path}/in", maxFilesPerTrigger=4)
-        run(sinks.start_parquet(mails, f"{tmp_path}/out", f"{tmp_path}/check", ONCE))
+        run(
+            ingest_stream(
+                spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/check", ONCE, maxFilesPerTrigger=4
+            )
+        )
         return rows(load_parquet(spark, f"{tmp_path}/out"))
 
     columns = ["ID", "Date", "From", "Recipients", "Subject", "Body"]
@@ -114,6 +119,19 @@ def test_top_words_of_closed_windows(spark, tmp_path, slide):
     assert written.count() > 10
 
 
+def test_live_analyses_write_two_outputs(spark, tmp_path):
+    write_mails(f"{tmp_path}/in", range(60))
+    mails = stream_mail(spark, f"{tmp_path}/in")
+    for query in start_live_analyses(
+        mails, f"{tmp_path}/out", f"{tmp_path}/check", trigger=ONCE, event_time="Date"
+    ):
+        run(query)
+    senders, top = spark.read.parquet(f"{tmp_path}/out/senders"), spark.read.parquet(f"{tmp_path}/out/words")
+    assert senders.columns == ["instant", "measure", "rank", "sender", "total", "batch_id"]
+    assert top.columns == ["window", "rank", "word", "count", "batch_id"]
+    assert senders.count() == 8 and top.count() > 0
+
+
 def test_top_words_by_arrival(spark, tmp_path):
     write_mails(f"{tmp_path}/in", range(6))
     for i in range(6):  # two minutes apart

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from mailgauge.functions.tokens import word_count, words
 from mailgauge.operators import averages as A
 from mailgauge.operators.relational import append_mail, file_position, in_interval, order_by_date, top_n
+from mailgauge.plans.ingest import ingest_directories
 from mailgauge.plans.reports import report_averages, report_averages_by_sender
 from mailgauge.schema import MAIL_SCHEMA, READ_SCHEMA, to_mail_schema
 from mailgauge.sources.documents import read_json_document, store_json_document, store_json_lines
@@ -21,6 +22,7 @@ from mailgauge.sources.mailfiles import read_mail, read_mail_files, write_mail_f
 from mailgauge.sources.scratch import land, scratch_dir
 from mailgauge.sources.tables import (
     load_parquet,
+    load_parsed,
     output_dir,
     scan_leaves_cores_idle,
     spread,
@@ -155,9 +157,9 @@ def test_order_by_date_spreads_copies_of_one_mail(spark, tmp_path):
 def test_file_position(spark, mails, tmp_path):
     mails.write.parquet(str(tmp_path / "t"))
     table = spark.read.parquet(str(tmp_path / "t"))
-    both = ["_metadata.file_path", "_metadata.row_index"]
-    assert file_position(table) == both
-    assert file_position(table.select("ID", "Date").filter("ID > ''").repartition(2)) == both
+    assert file_position(table) == ["_metadata.row_index"]
+    assert file_position(table.select("ID").filter("ID > ''").repartition(2)) == ["_metadata.row_index"]
+    assert file_position(spark.read.text(str(tmp_path))) == ["_metadata.file_path"]
     assert file_position(table.groupBy("ID").count()) == []
     assert file_position(table.unionAll(table)) == []
     assert file_position(mails) == []
@@ -210,6 +212,24 @@ def test_mail_directory(spark, tmp_path):
     assert sorted(os.path.basename(p) for p in paths) == ["0_", "1_", "2_"]
 
 
+def test_ingest_stores_mails_and_quarantine(spark, tmp_path):
+    folder = tmp_path / "mails"
+    folder.mkdir()
+    mail = "Message-ID: <%d>\nDate: Mon, 9 Oct 2000 07:16:00 -0700 (PDT)\nFrom: a@x\nTo: b@x\nX-bcc: \n\nbody"
+    for i in range(3):
+        (folder / f"{i}_").write_text(mail % i)
+    first = ingest_directories(spark, [str(folder)], f"{tmp_path}/first")
+    (folder / "9_").write_text("no mail")
+    second = ingest_directories(spark, [str(folder)], f"{tmp_path}/second")
+    good, bad = load_parsed(spark, first)
+    assert (ids(good), bad.count()) == (["<0>", "<1>", "<2>"], 0)
+    assert good.schema == READ_SCHEMA
+    good, bad = load_parsed(spark, first, second)
+    assert len(ids(good)) == 6
+    assert [r._error for r in bad.collect()] == [["no_id", "bad_date", "no_from", "no_recipients"]]
+    assert "PartitionFilters: [isnotnull(valid" in plan_of(good)
+
+
 def test_write_mail_files(spark, tmp_path):
     frame = spark.createDataFrame([("a\n\nb",), ("c",)], "value string")
     write_mail_files(frame, str(tmp_path / "out"))

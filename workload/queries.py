@@ -18,17 +18,16 @@ from mailgauge.operators.parse import (
     mail_fields,
     mail_lines,
     parse_mail,
-    split_valid,
     unfold_header,
     with_recipients,
 )
 from mailgauge.operators.relational import append_mail, in_interval, order_by_date, top_n, with_features
-from mailgauge.plans import reports
+from mailgauge.plans import ingest, live, reports
 from mailgauge.schema import to_mail_schema
 from mailgauge.sources.documents import ROWS_PER_FILE, read_json_document, store_json_document, store_json_lines
 from mailgauge.sources.mailfiles import read_mail, read_mail_files, tune_for_mail_files, write_mail_files
-from mailgauge.sources.scratch import land, scratch_dir
-from mailgauge.sources.tables import load_parquet, store_parquet
+from mailgauge.sources.scratch import scratch_dir
+from mailgauge.sources.tables import load_parquet, load_parsed, store_parquet, store_parsed
 from mailgauge.streaming import rankings, sinks
 from mailgauge.streaming import sources as streams
 from workload.corpus import (
@@ -243,9 +242,13 @@ def top_senders_words(spark, sf_dir):
     return top_n(A.sender_totals(document_mails(spark, sf_dir)), "words", "sender").select("sender", "words")
 
 
+def _ranking(ranked):
+    return ranked.select("measure", F.col("rank").cast("bigint").alias("rank"), "sender", "total")
+
+
 @query
 def top_senders_both(spark, sf_dir):
-    return A.top_senders(A.sender_totals(document_mails(spark, sf_dir)))
+    return _ranking(A.top_senders(A.sender_totals(document_mails(spark, sf_dir))))
 
 
 @query
@@ -257,7 +260,7 @@ def _window_text(ranked):
     return ranked.select(
         F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
         F.date_format("window.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
-        "rank",
+        F.col("rank").cast("bigint").alias("rank"),
         "word",
         "count",
     )
@@ -360,9 +363,9 @@ def mail_quarantine(spark, sf_dir):
 
 @query
 def mail_split(spark, sf_dir):
-    """The quarantine table next to the good mails, from one pass of the parser."""
+    """Good mails and quarantine stored next to each other by one run of the parser."""
     parsed = parse_mail(raw_document_mails(spark, sf_dir, damaged=True), keep=["doc_id"])
-    good, bad = split_valid(land(parsed))
+    good, bad = load_parsed(spark, store_parsed(parsed, scratch_dir(spark)))
     counted = good.groupBy("From").agg(F.count("*").alias("good"), F.lit(0).cast("bigint").alias("bad"))
     return counted.unionAll(
         bad.groupBy("From").agg(F.lit(0).cast("bigint"), F.count("*"))
@@ -445,9 +448,8 @@ def stream_lines(spark, sf_dir):
 @query
 def stream_mail(spark, sf_dir):
     """One mail per file, streamed, parsed and appended to a Parquet table."""
-    mails = streams.stream_mail(spark, mail_directory(spark, sf_dir))
     out = scratch_dir(spark)
-    _finish(sinks.start_parquet(mails, out, scratch_dir(spark), ONCE))
+    _finish(ingest.ingest_stream(spark, mail_directory(spark, sf_dir), out, scratch_dir(spark), ONCE))
     return readable(load_parquet(spark, out))
 
 
@@ -459,7 +461,7 @@ def _streamed(spark, sf_dir):
 def stream_top_senders(spark, sf_dir):
     out = scratch_dir(spark)
     _finish(rankings.start_top_senders(_streamed(spark, sf_dir), out, scratch_dir(spark), trigger=ONCE))
-    return sinks.latest_batch(spark, out).select("measure", "rank", "sender", "total")
+    return _ranking(sinks.latest_batch(spark, out))
 
 
 @query
@@ -480,30 +482,26 @@ def stream_top_words_window(spark, sf_dir):
         _streamed(spark, sf_dir), out, scratch_dir(spark), event_time="Date", trigger=ONCE
     )
     _finish(stream)
-    return _window_text(spark.read.option("basePath", out).parquet(out))
+    return _window_text(spark.read.parquet(out))
 
 
 @query
 def stream_parquet_append(spark, sf_dir):
     """One Parquet output per analysis, each entry with its instant or window."""
-    senders, top = scratch_dir(spark), scratch_dir(spark)
+    out = scratch_dir(spark)
     mails = _streamed(spark, sf_dir)
-    running = [
-        rankings.start_top_senders(mails, senders, scratch_dir(spark), trigger=ONCE),
-        rankings.start_top_words(mails, top, scratch_dir(spark), event_time="Date", trigger=ONCE),
-    ]
-    for stream in running:
+    for stream in live.start_live_analyses(mails, out, scratch_dir(spark), trigger=ONCE, event_time="Date"):
         _finish(stream)
-    sender_rows = sinks.latest_batch(spark, senders).select(
+    sender_rows = sinks.latest_batch(spark, f"{out}/senders").select(
         F.concat("measure", F.when(F.col("instant").isNull(), " without instant").otherwise("")).alias("output"),
         F.col("sender").alias("entry"),
-        "rank",
+        F.col("rank").cast("bigint").alias("rank"),
         F.col("total").alias("value"),
     )
-    word_rows = spark.read.option("basePath", top).parquet(top).select(
+    word_rows = spark.read.parquet(f"{out}/words").select(
         F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("output"),
         F.col("word").alias("entry"),
-        "rank",
+        F.col("rank").cast("bigint").alias("rank"),
         F.col("count").alias("value"),
     )
     return sender_rows.unionAll(word_rows)
