@@ -63,7 +63,8 @@ def store_parquet(
     An existing directory is an error.  ``clustered=True`` pays one shuffle to
     write files that each cover a short span of dates, so that later interval
     filters skip most row groups.  ID and the position in the input files
-    split a crowded instant.
+    split a crowded instant.  The range partitioner reads its input twice, so
+    give it a stored table rather than one still to be parsed.
     """
     target = output_dir(path, "parquet", now)
     if clustered:

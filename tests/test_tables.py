@@ -42,7 +42,8 @@ def mails(spark):
         ("<5>", None, "b@x", ["p"], "s", "no date"),
         ("<6>", "2001-01-01 00:00:00", "a@x", None, "s", None),
     ]
-    frame = spark.createDataFrame(rows, "ID string, Date string, From string, Recipients array<string>, Subject string, Body string")
+    schema = "ID string, Date string, From string, Recipients array<string>, Subject string, Body string"
+    frame = spark.createDataFrame(rows, schema)
     return frame.withColumn("Date", F.col("Date").cast("timestamp"))
 
 
@@ -120,7 +121,8 @@ def test_word_frequency(mails):
 
 
 def test_conform(spark, mails):
-    frame = spark.createDataFrame([("x", ["p"], "a@x", "<1>", 5)], "body string, recipients array<string>, FROM string, id string, extra int")
+    schema = "body string, recipients array<string>, FROM string, id string, extra int"
+    frame = spark.createDataFrame([("x", ["p"], "a@x", "<1>", 5)], schema)
     with pytest.raises(ValueError, match="Date"):
         to_mail_schema(frame)
     table = to_mail_schema(frame.withColumn("date", F.lit("2000-01-01").cast("timestamp")))
@@ -241,7 +243,8 @@ def document(path):
 
 
 def test_json_document(spark, tmp_path):
-    rows = [(f"s{i:03}", float(i)) for i in range(100)] + [('{x "quoted" [,{', 1.5), ("null", None), ("line\nbreak", 2.0)]
+    rows = [(f"s{i:03}", float(i)) for i in range(100)]
+    rows += [('{x "quoted" [,{', 1.5), ("null", None), ("line\nbreak", 2.0)]
     frame = spark.createDataFrame(rows, "sender string, avgLength double").repartition(5)
     expected = [{k: v for k, v in (("sender", s), ("avgLength", n)) if v is not None} for s, n in sorted(rows)]
     one = store_json_document(frame, f"{tmp_path}/one", order_by=["sender"])

@@ -129,7 +129,8 @@ CLOSED = """start + INTERVAL 1 MINUTE <= (SELECT max("Date") FROM mail) - INTERV
 _BY_SENDER = f'{_with(MAIL)} SELECT "From" AS sender, {AVERAGES} FROM mail WHERE {INTERVAL} GROUP BY "From"'
 _MAILS = f"{_with(MAIL)} SELECT {READABLE} FROM mail"
 _PARSED = _with(MAIL, PARSED)
-_PARSED_MAILS = f"{_PARSED} SELECT {FIELDS.format(body='joined_body', recipients='all_recipients')} FROM matched"
+_PARSED_FIELDS = FIELDS.format(body="joined_body", recipients="all_recipients")
+_PARSED_MAILS = f"{_PARSED} SELECT {_PARSED_FIELDS} FROM matched"
 _STREAM_TOP = _PARSED + TOP_BOTH.format(mails="matched", tokens=PARSED_TOKENS)
 _STREAM_WORDS = _PARSED + _windows("matched", "joined_body", TUMBLING, CLOSED)
 
