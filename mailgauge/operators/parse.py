@@ -44,33 +44,33 @@ def _unfolded(df: DataFrame, raw: str, keep: Sequence[str]) -> DataFrame:
         .selectExpr(
             *_q(keep),
             f"{H.drop_noise('if(_end IS NULL, _text, left(_text, _end - 1))')} AS _head",
-            "substr(_text, _end + 1) AS rest",
+            "substr(_text, _end + 1) AS _rest",
         )
-        .selectExpr(*_q(keep), "_head", "rest", f"{H.last_header_at('_head')} AS _at")
+        .selectExpr(*_q(keep), "_head", "_rest", f"{H.last_header_at('_head')} AS _at")
         .selectExpr(
             *_q(keep),
             "if(_at = 0, _head, left(_head, _at - 1)) AS _head",
             "if(_at = 0, '', substr(_head, _at)) AS _tail",
-            "rest",
+            "_rest",
         )
-        .selectExpr(*_q(keep), "_head", "_tail", f"{H.last_header('_tail')} AS _last", "rest")
+        .selectExpr(*_q(keep), "_head", "_tail", f"{H.last_header('_tail')} AS _last", "_rest")
         .selectExpr(
             *_q(keep),
             rf"concat({H.unfold_headers('_head')}, replace(_last, '\n', ' '), "
-            "substr(_tail, length(_last) + 1)) AS header",
-            "rest",
+            "substr(_tail, length(_last) + 1)) AS _header",
+            "_rest",
         )
     )
 
 
 def _lines(df: DataFrame, raw: str, keep: Sequence[str]) -> DataFrame:
-    header, rest = r"split(header, '\n')", r"split(rest, '\n')"
+    header, rest = r"split(_header, '\n')", r"split(_rest, '\n')"
     lines = f"""concat(
         {H.clean_address_lines(header)},
-        CASE WHEN rest IS NULL THEN CAST(array() AS ARRAY<STRING>)
-             WHEN {H.may_need_cleaning("rest")} THEN {H.clean_address_lines(rest)}
+        CASE WHEN _rest IS NULL THEN CAST(array() AS ARRAY<STRING>)
+             WHEN {H.may_need_cleaning("_rest")} THEN {H.clean_address_lines(rest)}
              ELSE {rest} END)"""
-    return _unfolded(df, raw, keep).selectExpr(*_q(keep), f"{lines} AS lines")
+    return _unfolded(df, raw, keep).selectExpr(*_q(keep), f"{lines} AS _lines")
 
 
 def _fields(
@@ -82,18 +82,18 @@ def _fields(
     # Line numbers of the fields in FIELDS order, 0 for a field without a line.
     found = [f"CAST(array_position(_kinds, '{f}:') AS INT)" for f in H.FIELDS]
     if header_only:
-        end = "array_position(lines, '')"
+        end = "array_position(_lines, '')"
         found = [f"if({end} = 0 OR {at} < {end}, {at}, 0)" for at in found]
     # Line number 0 looks up index -1, which get() answers with null.
-    values = [f"{H.field_value(f'get(lines, _used[{i}] - 1)')} AS `{f}`" for i, f in enumerate(H.FIELDS)]
+    values = [f"{H.field_value(f'get(_lines, _used[{i}] - 1)')} AS `{f}`" for i, f in enumerate(H.FIELDS)]
     in_body = f"get(_kinds, i) = '' OR NOT (array_contains(_used, i + 1) OR {H.is_noise('get(_kinds, i)')})"
     separator = r"'\n'" if body == "lines" else "''"
     return (
         _lines(df, raw, keep)
-        .selectExpr(*_q(keep), "lines", f"transform(lines, line -> {H.line_kind('line')}) AS _kinds")
-        .selectExpr(*_q(keep), "lines", "_kinds", f"array({', '.join(found)}) AS _used")
+        .selectExpr(*_q(keep), "_lines", f"transform(_lines, line -> {H.line_kind('line')}) AS _kinds")
+        .selectExpr(*_q(keep), "_lines", "_kinds", f"array({', '.join(found)}) AS _used")
         .selectExpr(
-            *_q(keep), *values, f"array_join(filter(lines, (line, i) -> {in_body}), {separator}) AS Body"
+            *_q(keep), *values, f"array_join(filter(_lines, (line, i) -> {in_body}), {separator}) AS Body"
         )
     )
 
@@ -121,12 +121,13 @@ def unfold_header(df: DataFrame, raw: str = "value", keep: Sequence[str] = ()) -
     ``header`` ends before the empty line behind the address headers, ``rest``
     starts with that empty line and is null in a mail that has none.
     """
-    return _computed_once(_unfolded(df, raw, keep), ["header", "rest"])
+    unfolded = _unfolded(df, raw, keep).withColumnsRenamed({"_header": "header", "_rest": "rest"})
+    return _computed_once(unfolded, ["header", "rest"])
 
 
 def mail_lines(df: DataFrame, raw: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """``lines``: header and rest, with the blanks of address lines cleaned."""
-    return _computed_once(_lines(df, raw, keep), ["lines"])
+    return _computed_once(_lines(df, raw, keep).withColumnRenamed("_lines", "lines"), ["lines"])
 
 
 def mail_fields(

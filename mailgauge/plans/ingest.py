@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mailgauge.operators.parse import parse_mail
 from mailgauge.sources.mailfiles import read_mail_files
-from mailgauge.sources.tables import store_parsed
+from mailgauge.sources.tables import mark_valid, store_parsed
 from mailgauge.streaming.sinks import start_parquet
 from mailgauge.streaming.sources import stream_mail
 
@@ -28,10 +28,11 @@ def ingest_stream(
     parse_options: dict | None = None,
     **options,
 ) -> StreamingQuery:
-    """Keep appending the mails of a growing directory to a Parquet table, each once.
+    """Keep appending the mails of a growing directory to a stored table, each once.
 
-    With ``trigger={"availableNow": True}`` and ``maxFilesPerTrigger`` it is also the
+    Mails and quarantine are kept apart as in ``store_parsed``; read them with
+    ``load_parsed``.  With ``trigger={"availableNow": True}`` and ``maxFilesPerTrigger`` it is also the
     way to load a directory too large to be listed and parsed in one job.
     """
-    mails = stream_mail(spark, directory, parse_options, **options)
-    return start_parquet(mails, path, checkpoint, trigger)
+    parsed = stream_mail(spark, directory, True, parse_options, **options)
+    return start_parquet(mark_valid(parsed), path, checkpoint, trigger, ["valid"])

@@ -74,6 +74,11 @@ def store_parquet(
     return target
 
 
+def mark_valid(parsed: DataFrame) -> DataFrame:
+    """Adds ``valid``, which the stored form is partitioned by."""
+    return parsed.withColumn("valid", ~has_error())
+
+
 def store_parsed(parsed: DataFrame, path: str, now: datetime | None = None) -> str:
     """Write parsed mails and their quarantine, one run of the parser for both.
 
@@ -81,8 +86,7 @@ def store_parsed(parsed: DataFrame, path: str, now: datetime | None = None) -> s
     is returned; read it with ``load_parsed``.
     """
     target = output_dir(path, "parquet", now)
-    marked = parsed.withColumn("valid", ~has_error())
-    marked.write.mode("errorifexists").partitionBy("valid").parquet(target)
+    mark_valid(parsed).write.mode("errorifexists").partitionBy("valid").parquet(target)
     return target
 
 

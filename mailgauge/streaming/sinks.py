@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +16,18 @@ def start_console(stream: DataFrame, truncate: bool = True, trigger: dict | None
 
 
 def start_parquet(
-    stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Append rows to a Parquet directory, each of them exactly once."""
     writer = (
         stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
     )
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     return (writer.trigger(**trigger) if trigger else writer).start(path)
 
 

@@ -22,7 +22,10 @@ def stream_mail_files(spark: SparkSession, path: str, **options) -> DataFrame:
     return files.select("value", F.col("_metadata.file_modification_time").alias("arrived"))
 
 
-def stream_mail(spark: SparkSession, path: str, parse_options: dict | None = None, **options) -> DataFrame:
-    """The mails of a growing directory: the mail table and ``arrived``."""
+def stream_mail(
+    spark: SparkSession, path: str, errors: bool = False, parse_options: dict | None = None, **options
+) -> DataFrame:
+    """The mails of a growing directory: the mail table and ``arrived``; on request ``_error``."""
     files = stream_mail_files(spark, path, **options)
-    return parse_mail(files, keep=["arrived"], **(parse_options or {})).drop(ERROR_COLUMN)
+    mails = parse_mail(files, keep=["arrived"], **(parse_options or {}))
+    return mails if errors else mails.drop(ERROR_COLUMN)

@@ -13,7 +13,7 @@ from mailgauge.operators.parse import parse_mail
 from mailgauge.plans.ingest import ingest_stream
 from mailgauge.plans.live import start_live_analyses
 from mailgauge.sources.mailfiles import read_mail
-from mailgauge.sources.tables import load_parquet
+from mailgauge.sources.tables import load_parsed
 from mailgauge.streaming import rankings, sinks
 from mailgauge.streaming.sources import stream_lines, stream_mail, stream_mail_files
 
@@ -63,13 +63,20 @@ def test_mails_equal_batch_and_restart_appends_once(spark, tmp_path):
                 spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/check", ONCE, maxFilesPerTrigger=4
             )
         )
-        return rows(load_parquet(spark, f"{tmp_path}/out"))
+        good, bad = load_parsed(spark, f"{tmp_path}/out")
+        return rows(good), bad.count()
 
-    columns = ["ID", "Date", "From", "Recipients", "Subject", "Body"]
-    assert ingest() == rows(read_mail(spark, f"{tmp_path}/in").select(columns))
+    def expected():
+        columns = ["ID", "Date", "From", "Recipients", "Subject", "Body"]
+        return rows(read_mail(spark, f"{tmp_path}/in").filter("size(_error) = 0").select(columns))
+
+    assert ingest() == (expected(), 0)
     write_mails(f"{tmp_path}/in", range(10, 15))
-    assert ingest() == rows(read_mail(spark, f"{tmp_path}/in").select(columns))
-    assert len(ingest()) == 15
+    with open(f"{tmp_path}/in/bad", "w") as f:
+        f.write("no mail")
+    assert ingest() == (expected(), 1)
+    mails, bad = ingest()
+    assert (len(mails), bad) == (15, 1)
 
 
 def test_arrival_time(spark, tmp_path):

@@ -115,6 +115,12 @@ def test_rankings(spark, mails):
     ]
 
 
+def test_mail_without_sender_counts_for_nobody(mails):
+    some = mails.withColumn("From", F.when(F.col("ID") != "<4>", F.col("From")))
+    totals = A.sender_totals(some).collect()
+    assert {r.sender: r.mails for r in totals} == {"a@x": 3, "A@x": 1, "b@x": 1}
+
+
 def test_word_frequency(mails):
     counts = {r.word: r["count"] for r in A.word_frequency(mails).collect()}
     assert counts["on"] == 2 and counts["two"] == 1 and "" not in counts

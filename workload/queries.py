@@ -447,10 +447,11 @@ def stream_lines(spark, sf_dir):
 
 @query
 def stream_mail(spark, sf_dir):
-    """One mail per file, streamed, parsed and appended to a Parquet table."""
+    """One mail per file, streamed, parsed and appended to a stored table."""
     out = scratch_dir(spark)
     _finish(ingest.ingest_stream(spark, mail_directory(spark, sf_dir), out, scratch_dir(spark), ONCE))
-    return readable(load_parquet(spark, out))
+    mails, _ = load_parsed(spark, out)
+    return readable(mails)
 
 
 def _streamed(spark, sf_dir):
