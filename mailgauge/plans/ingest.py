@@ -16,7 +16,8 @@ from mailgauge.streaming.sources import stream_mail
 
 def ingest_directories(spark: SparkSession, directories: Sequence[str], path: str, **parse_options) -> str:
     """Parse all mails of some directories and store them with their quarantine (see ``load_parsed``)."""
-    return store_parsed(parse_mail(read_mail_files(spark, *directories), **parse_options), path)
+    files = read_mail_files(spark, *directories)
+    return store_parsed(parse_mail(files, keep=["path"], **parse_options), path)
 
 
 def ingest_stream(

@@ -91,10 +91,19 @@ def store_parsed(parsed: DataFrame, path: str, now: datetime | None = None) -> s
 
 
 def load_parsed(spark: SparkSession, *paths: str) -> tuple[DataFrame, DataFrame]:
-    """(mails, quarantine) of ``store_parsed``; each reads its own files only."""
-    extra = [StructField(ERROR_COLUMN, ArrayType(StringType())), StructField("valid", BooleanType())]
-    schema = StructType([*READ_SCHEMA, *extra])
+    """(mails, quarantine) of ``store_parsed``; each reads its own files only.
+
+    The quarantine has ``_error`` and, if it was stored, the mail's ``path``.
+    """
+    schema = StructType(
+        [
+            *READ_SCHEMA,
+            StructField(ERROR_COLUMN, ArrayType(StringType())),
+            StructField("path", StringType()),
+            StructField("valid", BooleanType()),
+        ]
+    )
     stored = [spark.read.schema(schema).parquet(path) for path in paths]
     rows = reduce(DataFrame.unionAll, stored)
-    mails = rows.filter("valid").drop("valid", ERROR_COLUMN)
+    mails = rows.filter("valid").select(READ_SCHEMA.fieldNames())
     return mails, rows.filter("NOT valid").drop("valid")

@@ -14,18 +14,25 @@ def stream_lines(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def stream_mail_files(spark: SparkSession, path: str, **options) -> DataFrame:
-    """One row per file: ``value``, its whole text, and ``arrived``, when it was written.
+    """One row per file: ``value``, its whole text, ``path``, and ``arrived``, when it was written.
 
     ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound a micro-batch.
     """
     files = spark.readStream.format("text").option("wholetext", "true").options(**options).load(path)
-    return files.select("value", F.col("_metadata.file_modification_time").alias("arrived"))
+    return files.select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_modification_time").alias("arrived"),
+    )
 
 
 def stream_mail(
     spark: SparkSession, path: str, errors: bool = False, parse_options: dict | None = None, **options
 ) -> DataFrame:
-    """The mails of a growing directory: the mail table and ``arrived``; on request ``_error``."""
+    """The mails of a growing directory: the mail table and ``arrived``.
+
+    ``errors=True`` adds ``_error`` and ``path``.
+    """
     files = stream_mail_files(spark, path, **options)
-    mails = parse_mail(files, keep=["arrived"], **(parse_options or {}))
-    return mails if errors else mails.drop(ERROR_COLUMN)
+    mails = parse_mail(files, keep=["arrived", "path"], **(parse_options or {}))
+    return mails if errors else mails.drop(ERROR_COLUMN, "path")

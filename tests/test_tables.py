@@ -234,7 +234,8 @@ def test_ingest_stores_mails_and_quarantine(spark, tmp_path):
     assert good.schema == READ_SCHEMA
     good, bad = load_parsed(spark, first, second)
     assert len(ids(good)) == 6
-    assert [r._error for r in bad.collect()] == [["no_id", "bad_date", "no_from", "no_recipients"]]
+    row = bad.head()
+    assert row._error == ["no_id", "bad_date", "no_from", "no_recipients"] and row.path.endswith("/9_")
     assert "PartitionFilters: [isnotnull(valid" in plan_of(good)
 
 
