@@ -16,6 +16,7 @@ LINES = (
     + [f"{name}: noise" for name in H.NOISE]
     + ["", "", "", " continued", "\tcontinued, ", "words in the body", "say To: you", "a:b", ":", " To: indented"]
     + ["X-bcc: ", "X-bcc: last", "Subject:\tno blank", "the Subject  is", "X-bccc: no", "Cc", "to: lower"]
+    + ["To: é@x, \U0001f600 b@x", "X-To: \U0001f600", "ünïcode \U0001f600  To:\tline", "\u2028To: no line", "日本: 語"]
 )
 
 

@@ -239,6 +239,13 @@ def test_ingest_stores_mails_and_quarantine(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(valid" in plan_of(good)
 
 
+def test_mail_that_is_not_utf8(spark, tmp_path):
+    head = b"Message-ID: <1>\nDate: Mon, 9 Oct 2000 07:16:00 -0700 (PDT)\nFrom: a\xe9@x\nTo: b@x\nX-To: \xff\xfe\xc3"
+    (tmp_path / "1_").write_bytes(head + b"\nX-cc: \nX-bcc: \n\ncaf\xe9 au\xc3 lait \xf0\x9f\nend\xe2\x82")
+    row = read_mail(spark, str(tmp_path)).select("*", word_count(F.col("Body")).alias("n")).head()
+    assert (row.ID, row.n, len(row.Recipients), row._error) == ("<1>", 4, 1, [])
+
+
 def test_write_mail_files(spark, tmp_path):
     frame = spark.createDataFrame([("a\n\nb",), ("c",)], "value string")
     write_mail_files(frame, str(tmp_path / "out"))
