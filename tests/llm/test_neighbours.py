@@ -1,0 +1,85 @@
+"""Permutation index: recall and exact scores against brute force."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from mailgauge.llm import neighbours
+from mailgauge.llm.queries import QUERIES
+
+
+def nearest(ids, vectors, query, k=10):
+    distance = np.sqrt(((vectors - vectors[ids == query][0]) ** 2).sum(axis=1))
+    pairs = sorted((d, i) for d, i in zip(distance.tolist(), ids.tolist()) if i != query)
+    return pairs[:k]
+
+
+@pytest.mark.parametrize("block", [neighbours.BLOCK, 100])
+def test_recall(spark, block):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = table.orderBy("vec_id").collect()
+    ids = np.array([r.vec_id for r in rows])
+    vectors = np.array([r.embedding for r in rows], dtype=np.float64)
+    if block == neighbours.BLOCK:
+        found = QUERIES["op8_permutation_index"](spark, "/root/testdata/sf0.1").collect()
+    else:
+        found = neighbours.nearest_neighbours(
+            table, F.col("vec_id") % 100 == 0, block=block, query_block=7, least=20
+        ).collect()
+    by_query = {}
+    for r in found:
+        by_query.setdefault(r.query_id, []).append(r)
+    assert set(by_query) == {i for i in ids.tolist() if i % 100 == 0}
+    hits = []
+    for query, own in by_query.items():
+        own.sort(key=lambda r: r.rank)
+        assert [r.rank for r in own] == list(range(1, 11))
+        assert [(r.score, r.vec_id) for r in own] == sorted((r.score, r.vec_id) for r in own)
+        for r in own:
+            assert r.score == pytest.approx(math.dist(vectors[ids == query][0], vectors[ids == r.vec_id][0]), abs=1e-12)
+        hits.append(len({i for _, i in nearest(ids, vectors, query)} & {r.vec_id for r in own}) / 10)
+    assert np.mean(hits) >= 0.9
+
+
+def test_footrule_against_its_definition():
+    rng = np.random.default_rng(0)
+    vectors, pivots = rng.normal(size=(50, 8)), rng.normal(size=(12, 8))
+    index = neighbours.PermutationIndex(np.arange(50), vectors, pivots, 5)
+    near = neighbours.nearest_pivots(vectors, pivots, 5)
+    rank = lambda row: {p: r for r, p in enumerate(row)}
+    for q in range(5):
+        expected = []
+        for v in range(50):
+            a, b = rank(near[q]), rank(near[v])
+            expected.append(sum(abs(a.get(p, 5) - b.get(p, 5)) for p in range(12)))
+        saved = index.footrule(near[q])
+        assert (np.array(expected) - 2 * sum(range(1, 6)) == saved).all()
+
+
+def test_awkward_rows(spark):
+    rows = [
+        (0, [1.0, 0.0]), (0, [1.0, 0.0]), (100, [0.0, 1.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (3, None),
+        (4, [0.0, 0.0]), (5, [1.0, None]), (6, [float("nan"), 1.0]), (7, [float("inf"), 1.0]), (None, [1.0, 1.0]),
+        (8, [1.0]), (9, []), (10, [-0.0, 3.0]),
+    ]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("x"))
+    found = neighbours.nearest_neighbours(table, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.rank, r.vec_id) for r in found] == [
+        (0, 1, 1), (0, 2, 2), (0, 3, 100), (0, 4, 10),
+        (100, 1, 0), (100, 2, 1), (100, 3, 2), (100, 4, 10),
+    ]
+    assert neighbours.nearest_neighbours(table.filter("false"), F.col("vec_id") % 100 == 0).count() == 0
+    alone = neighbours.nearest_neighbours(table.filter("vec_id = 0"), F.col("vec_id") % 100 == 0)
+    assert alone.count() == 0
+
+
+def test_a_vector_shared_by_very_many(spark):
+    table = spark.range(3000).select(
+        F.col("id").alias("vec_id"), F.array(F.lit(1.0), F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.col("id") / 10)).alias("embedding")
+    )
+    found = neighbours.nearest_neighbours(table, F.col("vec_id") == 300, block=256).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in found] == [(3 * i, 0.0) for i in range(10)]

@@ -1,0 +1,65 @@
+"""Sharding by sampled splitters."""
+
+from __future__ import annotations
+
+import zlib
+from collections import Counter, defaultdict
+
+from pyspark.sql import functions as F
+
+from mailgauge.llm import sharding
+from mailgauge.llm.queries import QUERIES
+
+
+def check(rows, expected, n_shards=16, tolerance=0.03):
+    """Every row once, slots without gaps, nearly equal bytes; the shards of each text."""
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == Counter(expected)
+    slots, size = defaultdict(list), Counter()
+    for r in rows:
+        assert r.law == "bytes" and r.grown_shard is None and 0 <= r.shard < n_shards
+        slots[r.shard].append(r.slot)
+        size[r.shard] += r.size
+    for taken in slots.values():
+        assert sorted(taken) == list(range(len(taken)))
+    even = sum(size.values()) / n_shards
+    largest = max((r.size for r in rows), default=0)
+    assert all(abs(size[s] - even) <= tolerance * even + largest for s in range(n_shards))
+
+
+def described(docs):
+    of = lambda t: (1, None) if t is None else (len(t.encode()) + 1, zlib.crc32(t.encode()))
+    return [(r.doc_id, *of(r.text)) for r in docs.select("doc_id", "text").collect()]
+
+
+def test_query(spark, sf_dir):
+    rows = QUERIES["op3_sampled_splitters"](spark, sf_dir).collect()
+    check(rows, described(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+
+
+def test_equal_texts_stay_together_unless_they_fill_a_range(spark):
+    few = spark.range(20_000).select("id", F.concat(F.lit("text "), F.floor(F.col("id") / 4)).alias("text"))
+    rows = sharding.shard_assignments(few, doc_id="id").collect()
+    shards = defaultdict(set)
+    for r in rows:
+        shards[r.text_crc32].add(r.shard)
+    assert all(len(s) == 1 for s in shards.values())
+    check(rows, described(few.withColumnRenamed("id", "doc_id")))
+
+
+def test_a_text_of_a_third_of_all_rows_is_divided(spark):
+    hot = spark.range(30_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "the same").otherwise(F.sha2(F.col("id").cast("string"), 256)).alias("text")
+    )
+    check(sharding.shard_assignments(hot).collect(), described(hot))
+
+
+def test_awkward_rows(awkward, no_documents):
+    rows = sharding.shard_assignments(awkward, 4).collect()
+    check(rows, described(awkward), 4)
+    assert sharding.shard_assignments(no_documents).count() == 0
+
+
+def test_written_shards(spark, awkward, tmp_path):
+    sharding.write_shards(awkward, str(tmp_path / "out"), 4)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == awkward.count() and {"slot", "shard", "text", "score"} <= set(back.columns)
