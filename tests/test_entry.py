@@ -8,6 +8,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.check_oracles import compare, connect
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -20,12 +22,17 @@ def db():
 
 
 def test_every_query_has_an_oracle():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+def test_all_queries_are_registered():
+    assert QUERIES.keys() <= entry.queries().keys()
+    assert ORACLES.keys() <= entry.oracle_sql().keys() <= entry.queries().keys()
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_oracle(spark, db, name):
-    assert compare(spark, db, SF_DIR, entry.queries()[name], entry.oracle_sql()[name]) is None
+    assert compare(spark, db, SF_DIR, QUERIES[name], ORACLES[name]) is None
 
 
 def test_flagship(spark):
