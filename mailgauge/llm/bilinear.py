@@ -305,7 +305,7 @@ def score_known(docs: DataFrame, lexicon: Lexicon, model: BilinearModel, text: s
             place = place.to_numpy(zero_copy_only=False).astype(np.int64)[code] if len(code) else code
             known = place >= 0
             own = log_counts[place[known]]
-            base = np.bincount(owner[known], weights=own - log_total, minlength=n)
+            base = np.bincount(owner[known], weights=own - log_total, minlength=n).astype(np.float64)
             outside = place[known] >= lexicon.size
             score += np.bincount(owner[known][outside], weights=own[outside], minlength=n)
             score -= log_rest * np.bincount(row, weights=tokens == lexicon.size, minlength=n)
