@@ -121,14 +121,16 @@ def strings(texts: pa.Array) -> list[str]:
 
 
 class Words:
-    """The words of a piece of texts, A-Z lowered, split at blanks.
+    """The words of a piece of texts, split at blanks, A-Z lowered unless told otherwise.
 
     ``flat``: all words, ``first``: where each row's words begin in it (one entry more than rows).
     A null text has no words.
     """
 
-    def __init__(self, texts: pa.Array):
-        trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    def __init__(self, texts: pa.Array, lower: bool = True):
+        trimmed = pc.ascii_trim_whitespace(pc.fill_null(texts, ""))
+        if lower:
+            trimmed = pc.ascii_lower(trimmed)
         lists = pc.ascii_split_whitespace(trimmed)
         counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         flat = lists.flatten()

@@ -9,12 +9,11 @@ must stand for one value of the document throughout.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +27,8 @@ PLAIN_WORDS = 3
 COVERAGE = 0.5
 # Size of the bit map of benchmark windows sent to all tasks: 2**27 bits are 16 MiB, whatever the benchmark's size.
 FILTER_BITS = 27
-# Distinct tokens a task remembers.
-REMEMBERED = 1 << 19
+# Characters worked on at a time.
+RUN_CHARS = 1 << 19
 
 # Units that a placeholder stands for.
 UNITS = """
@@ -41,101 +40,144 @@ UNITS = """
 """.split()
 
 NUMBER, UNIT, NAME, PLAIN, STOP = range(5)
-_TOKEN = re.compile(r"\d+(?:[.,/:]\d+)*|[^\W\d_]+|[.!?\n]+|[%$€£°]")
-_SIGNS = frozenset("%$€£°")
 
-
-class _Tokens(dict):
-    """(kind, hash of the token in lower case, hash of its placeholder) by token as written."""
-
-    def __missing__(self, token: str) -> tuple[int, int, int]:
-        lowered = token.lower()
-        if token[0] in ".!?\n":
-            kind = STOP
-        elif token[0].isdigit():
-            kind = NUMBER
-        elif token in _SIGNS or lowered in _UNIT_SET:
-            kind = UNIT
-        elif len(token) > 1 and token[0].isupper() and token[1:].islower():
-            kind = NAME
-        else:
-            kind = PLAIN
-        own = xxhash.xxh64_intdigest(lowered.encode("utf-8", "replace"))
-        self[token] = entry = (kind, own, own if kind == PLAIN else kind + 1)
-        return entry
-
-
-_UNIT_SET = frozenset(UNITS)
-
-
-def template(text: str, tokens: _Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(template hash, hash of the value, kind) of each token but ends of sentences.
+# Kinds of characters: letters, digits, ends of sentences, and signs that are units of their own.
+_OTHER, _LETTER, _DIGIT, _END, _SIGN = range(5)
+_SIGNS = "%$€£°"
+_BETWEEN_DIGITS = ".,/:"
+_CHARS = 1 << 16
+
+
+def _kind_of_char(char: str) -> int:
+    if char.isalpha():
+        return _LETTER
+    if char.isdecimal():
+        return _DIGIT
+    return _END if char in ".!?" else _SIGN if char in _SIGNS else _OTHER
+
+
+@cache
+def _char_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(kind, lower case, whether upper case) by code point; what lies beyond the tables is no letter."""
+    chars = [chr(c) for c in range(_CHARS)]
+    kind = np.array([_kind_of_char(c) for c in chars], dtype=np.int8)
+    kind[-1] = _OTHER
+    lower = np.array([ord(c.lower()) if len(c.lower()) == 1 else i for i, c in enumerate(chars)], dtype=np.uint64)
+    return kind, lower, np.array([c.isupper() for c in chars])
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    # A mixing step of 64 bits with odd multipliers.
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _tokens(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first character, kind, hash of the lower case) of the tokens of a text."""
+    kinds, lower, upper = _char_tables()
+    code = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32), _CHARS - 1)
+    kind = kinds[code]
+    digit = kind == _DIGIT
+    # A point or the like between digits belongs to the number.
+    between = np.flatnonzero(np.isin(code[1:-1], [ord(c) for c in _BETWEEN_DIGITS]) & digit[:-2] & digit[2:]) + 1
+    kind[between] = _DIGIT
+    edge = np.concatenate([[True], kind[1:] != kind[:-1]])
+    begin = np.flatnonzero(edge & (kind != _OTHER))
+    if not len(begin):
+        return begin, np.empty(0, dtype=np.int8), np.empty(0, dtype=np.uint64)
+    inside = np.flatnonzero(kind != _OTHER)
+    first = np.searchsorted(inside, begin)
+    length = np.diff(np.append(first, len(inside)))
+    place = np.arange(len(inside)) - np.repeat(first, length)
+    chars = code[inside]
+    hashes = np.add.reduceat(_mixed(lower[chars] + (place.astype(np.uint64) << np.uint64(20))), first)
+    capitals = np.add.reduceat(upper[chars].astype(np.int32), first)
+    by_char = kind[begin]
+    out = np.full(len(begin), PLAIN, dtype=np.int8)
+    out[(by_char == _LETTER) & (length > 1) & (capitals == 1) & upper[code[begin]]] = NAME
+    out[np.isin(hashes, _unit_hashes()) & (by_char == _LETTER) | (by_char == _SIGN)] = UNIT
+    out[by_char == _DIGIT] = NUMBER
+    out[by_char == _END] = STOP
+    return begin, out, hashes
+
+
+@cache
+def _unit_hashes() -> np.ndarray:
+    _, lower, _ = _char_tables()
+    of = lambda unit: _mixed(lower[[ord(c) for c in unit]] + (np.arange(len(unit), dtype=np.uint64) << np.uint64(20)))
+    return np.array([of(unit).sum(dtype=np.uint64) for unit in UNITS], dtype=np.uint64)
+
+
+def _runs(text: str) -> Iterator[tuple[int, str]]:
+    """(position, run) of a text cut at blanks; only a run without any is cut elsewhere."""
+    at = 0
+    while at < len(text):
+        end = at + RUN_CHARS
+        if end < len(text):
+            blank = max(text.rfind(" ", at + 1, end), text.rfind("\n", at + 1, end), text.rfind("\0", at + 1, end))
+            end = blank if blank > 0 else end
+        yield at, text[at:end]
+        at = end
+
+
+def templates(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, template hash, hash of the value, kind) of each token but ends of sentences.
 
     A capitalised word is a name unless a sentence begins with it.
     """
-    if len(tokens) > REMEMBERED:
-        tokens.clear()
-    found = [tokens[t] for t in _TOKEN.findall(text)]
+    starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    found = [(at + begin, kind, value) for at, run in _runs("\0".join(texts)) for begin, kind, value in [_tokens(run)]]
     if not found:
         none = np.empty(0, dtype=np.uint64)
-        return none, none, np.empty(0, dtype=np.int64)
-    kinds, values, slots = zip(*found)
-    kind = np.array(kinds, dtype=np.int64)
-    value = np.array(values, dtype=np.uint64)
-    slot = np.array(slots, dtype=np.uint64)
-    begins = np.concatenate([[True], kind[:-1] == STOP])
-    plain = begins & (kind == NAME)
-    slot[plain], kind[plain] = value[plain], PLAIN
+        return np.empty(0, dtype=np.int64), none, none, np.empty(0, dtype=np.int8)
+    begin, kind, value = (np.concatenate(x) for x in zip(*found))
+    row = np.searchsorted(starts, begin, side="right") - 1
+    begins = np.concatenate([[True], (kind[:-1] == STOP) | (row[1:] != row[:-1])])[: len(kind)]
+    kind[begins & (kind == NAME)] = PLAIN
     kept = kind != STOP
-    return slot[kept], value[kept], kind[kept]
+    row, kind, value = row[kept], kind[kept], value[kept]
+    return row, np.where(kind == PLAIN, value, (kind + 1).astype(np.uint64)), value, kind
 
 
-def windows(slot: np.ndarray, kind: np.ndarray, size: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """(position, hash) of the windows that hold enough plain words."""
-    n = len(slot) - size + 1
+def windows(row: np.ndarray, slot: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, hash) of the windows within one text that hold enough plain words."""
+    n = len(slot) - WINDOW + 1
     if n <= 0:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
     h = np.zeros(n, dtype=np.uint64)
-    plain = np.zeros(n, dtype=np.int64)
-    for k in range(size):
-        # Odd multipliers that spread the bits.
+    plain = np.zeros(n, dtype=np.int8)
+    for k in range(WINDOW):
+        # Fixed value: an odd multiplier that spreads the bits (golden ratio).
         h = (h ^ slot[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
         plain += kind[k : k + n] == PLAIN
-    at = np.flatnonzero(plain >= min(PLAIN_WORDS, size))
+    at = np.flatnonzero((plain >= PLAIN_WORDS) & (row[:n] == row[WINDOW - 1 :]))
     return at, h[at]
 
 
 _WINDOW_ROWS = "id long, row long, pos int, n int, hash long, slots array<struct<at: int, value: long>>"
 
 
-def _window_rows(ids, row, at, hashes, kind, value, total) -> dict:
-    """Rows for the windows of one text; slots are the values of a window's placeholders by offset."""
-    slots = []
-    for p in at.tolist():
-        places = np.flatnonzero(kind[p : p + WINDOW] != PLAIN)
-        slots.append([{"at": int(k), "value": int(value[p + k].view(np.int64))} for k in places])
-    n = len(at)
-    return {
-        "id": [ids] * n,
-        "row": [row] * n,
-        "pos": at.tolist(),
-        "n": [total] * n,
-        "hash": hashes.view(np.int64).tolist(),
-        "slots": slots,
-    }
-
-
-def _batch(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
-    columns = {name: [x for r in rows for x in r[name]] for name in schema.names}
-    return pa.RecordBatch.from_pydict(columns, schema=schema)
-
-
-def _arrow_schema() -> pa.Schema:
-    slot = pa.list_(pa.struct([("at", pa.int32()), ("value", pa.int64())]))
-    return pa.schema(
-        [("id", pa.int64()), ("row", pa.int64()), ("pos", pa.int32()), ("n", pa.int32()), ("hash", pa.int64())]
-        + [("slots", slot)]
+def _window_rows(piece: pa.RecordBatch, row, at, hashes, kind, value, totals) -> pa.RecordBatch:
+    """Rows for windows of a piece's texts; slots are the values of a window's placeholders by offset."""
+    offset = np.arange(WINDOW)
+    is_slot = kind[at[:, None] + offset] != PLAIN
+    window, place = np.nonzero(is_slot)
+    ends = np.concatenate([[0], np.cumsum(is_slot.sum(axis=1))]).astype(np.int32)
+    values = value[at[window] + place].view(np.int64)
+    slots = pa.StructArray.from_arrays([pa.array(place.astype(np.int32)), pa.array(values)], ["at", "value"])
+    text = row[at]
+    begins = np.searchsorted(row, np.arange(piece.num_rows))
+    return pa.RecordBatch.from_pydict(
+        {
+            "id": piece.column(0).take(pa.array(text)),
+            "row": piece.column(1).take(pa.array(text)),
+            "pos": pa.array((at - begins[text]).astype(np.int32)),
+            "n": pa.array(totals[text].astype(np.int32)),
+            "hash": pa.array(hashes.view(np.int64)),
+            "slots": pa.ListArray.from_arrays(pa.array(ends), slots),
+        }
     )
 
 
@@ -147,33 +189,22 @@ def _read_windows(allowed=None):
     """
 
     def prepare():
-        tokens, schema = _Tokens(), _arrow_schema()
         bitmap = None if allowed is None else np.frombuffer(allowed.value, dtype=np.uint8)
 
         def work(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            ids, rows = piece.column(0).to_pylist(), piece.column(1).to_pylist()
-            found = []
-            for i, text in enumerate(strings(piece.column(2))):
-                slot, value, kind = template(text, tokens)
-                at, hashes = windows(slot, kind)
-                total = len(at)
-                if bitmap is not None:
-                    cell = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-                    hit = (bitmap[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
-                    at, hashes = at[hit], hashes[hit]
-                if len(at):
-                    found.append(_window_rows(ids[i], rows[i], at, hashes, kind, value, total))
-                if bitmap is None and (kind == NAME).any():
-                    named = kind == NAME
-                    at, hashes = windows(np.where(named, value, slot), np.where(named, PLAIN, kind))
-                    found.append(
-                        _window_rows(ids[i], rows[i], at, hashes, np.where(named, PLAIN, kind), value, total)
-                    )
-                if sum(len(f["pos"]) for f in found) > 50_000:
-                    yield _batch(found, schema)
-                    found = []
-            if found:
-                yield _batch(found, schema)
+            row, slot, value, kind = templates(strings(piece.column(2)))
+            at, hashes = windows(row, slot, kind)
+            totals = np.bincount(row[at], minlength=piece.num_rows)
+            if bitmap is not None:
+                cell = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+                hit = (bitmap[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
+                at, hashes = at[hit], hashes[hit]
+            yield _window_rows(piece, row, at, hashes, kind, value, totals)
+            if bitmap is None and (kind == NAME).any():
+                named = kind == NAME
+                kind = np.where(named, PLAIN, kind)
+                at, hashes = windows(row, np.where(named, value, slot), kind)
+                yield _window_rows(piece, row, at, hashes, kind, value, totals)
 
         return work
 

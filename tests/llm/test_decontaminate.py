@@ -40,6 +40,22 @@ def test_clean_texts_and_little_overlap(spark, benchmark):
     assert found(spark, benchmark, part, numbers, "", None, "12") == set()
 
 
+def test_tokens_do_not_depend_on_runs(monkeypatch):
+    texts = ["Anna has 1,000.5 kg of 12 apples. Then Bob left 5% there", "", "élan Élan x", "a" * 30]
+
+    def read():
+        row, slot, value, kind = decontaminate.templates(texts)
+        return list(zip(row.tolist(), slot.tolist(), value.tolist(), kind.tolist()))
+
+    whole = read()
+    kinds = [k for r, _, _, k in whole if r == 0]
+    plain, number, unit, name = decontaminate.PLAIN, decontaminate.NUMBER, decontaminate.UNIT, decontaminate.NAME
+    assert kinds == [plain, plain, number, unit, plain, number, plain, plain, name, plain, number, unit, plain]
+    assert whole[-4][2] == whole[-3][2] and [r for r, *_ in whole[-4:]] == [2, 2, 2, 3]
+    monkeypatch.setattr(decontaminate, "RUN_CHARS", 31)
+    assert read() == whole
+
+
 def test_query_against_brute_force(spark, sf_dir):
     """The tables hold passages word for word, in other cases or between other words."""
     items = {r.item_id: r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
