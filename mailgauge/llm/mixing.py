@@ -15,18 +15,18 @@ DIMENSIONS = ("source", "lang", "topic")
 TOKEN = r"[^\x20\x09-\x0D]+"
 
 
-def topic_of(text: Column) -> Column:
-    """A coarse topic from the form of a text, by the first rule that holds.
+def topic_of(text: Column, words: Column) -> Column:
+    """A coarse topic from the form of a text of so many words, by the first rule that holds.
 
     ``empty`` without any letter or digit, ``table`` with a bar for every
     eighth word or more, ``numeric`` with a digit for every word or more,
     ``brief`` below 100 words, else ``prose``.
     """
-    words, bars, digits = (F.regexp_count(text, F.lit(p)) for p in (TOKEN, r"\|", r"[0-9]"))
+    bars = F.char_length(text) - F.char_length(F.replace(text, F.lit("|"), F.lit("")))
     return (
         F.when(~F.coalesce(text, F.lit("")).rlike(r"[\p{L}\p{N}]"), "empty")
         .when(bars * 8 >= words, "table")
-        .when(digits >= words, "numeric")
+        .when(F.regexp_count(text, F.lit("[0-9]")) >= words, "numeric")
         .when(words < 100, "brief")
         .otherwise("prose")
     )
@@ -46,7 +46,7 @@ class Targets:
     keep: float = 0.5
     shares: Mapping[str, Mapping[str, float]] = field(default_factory=dict)
     tolerance: float = 1e-3
-    rounds: int = 10
+    rounds: int = 6
 
 
 def count_cells(docs: DataFrame) -> DataFrame:
@@ -54,55 +54,55 @@ def count_cells(docs: DataFrame) -> DataFrame:
     return docs.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs"))
 
 
-def marginal_targets(cells: DataFrame, targets: Targets, dimension: str) -> DataFrame:
-    """value, target: shares of one dimension, adding up to 1."""
-    own = cells.groupBy(F.col(dimension).alias("value")).agg(F.sum("tokens").alias("tokens"))
-    total = cells.agg(F.sum("tokens").alias("all"))
-    raw = own.join(F.broadcast(total)).select("value", (F.col("tokens") / F.col("all")).alias("share"))
-    weight = F.pow("share", F.lit(float(targets.flatten)))
-    for value, wanted in targets.shares.get(dimension, {}).items():
-        weight = F.when(F.col("value") == value, F.lit(float(wanted))).otherwise(weight)
-    weighted = raw.select("value", weight.alias("weight"))
-    whole = weighted.agg(F.sum("weight").alias("whole"))
-    return weighted.join(F.broadcast(whole)).select("value", (F.col("weight") / F.col("whole")).alias("target"))
+def with_target(cells: DataFrame, targets: Targets, dimension: str, total: float) -> DataFrame:
+    """``cells`` with the target share of their value in one dimension; the shares of all values add up to 1."""
+    value = F.col(dimension)
+    weight = F.pow(F.sum("tokens") / total, F.lit(float(targets.flatten)))
+    for named, wanted in targets.shares.get(dimension, {}).items():
+        weight = F.when(value == named, F.lit(float(wanted))).otherwise(weight)
+    weights = cells.groupBy(value.alias("value")).agg(weight.alias("share"))
+    whole = weights.agg(F.sum("share")).head()[0]
+    goal = weights.select("value", (F.col("share") / whole).alias(f"goal_{dimension}"))
+    return cells.join(goal, value.eqNullSafe(F.col("value"))).drop("value")
 
 
 def rake(cells: DataFrame, targets: Targets) -> DataFrame:
     """``cells`` that have tokens, with ``weight``: a share of the sample, by target marginals.
 
     A round scales the weights to one dimension after the other, then cuts a
-    weight to what its cell can give, all its tokens; the following round makes
+    weight to ``most``, what its cell can give; the following round makes
     up for that in other cells.  A round ends in a stored table of one row
     per cell.  Rounds end when every marginal is within the tolerance, or
     after ``targets.rounds`` where targets contradict each other or ask for
     more than there is.  Null is a value like any other.
     """
     whole = cells.filter("tokens > 0")
-    goals = {d: land(marginal_targets(whole, targets, d)) for d in DIMENSIONS}
-    total = whole.agg(F.sum("tokens").alias("all"))
-    share = F.col("tokens") / F.col("all")
-    current = whole.join(F.broadcast(total)).select(
-        *DIMENSIONS, "tokens", share.alias("weight"), (share / targets.keep).alias("most")
-    )
+    total = whole.agg(F.coalesce(F.sum("tokens"), F.lit(0))).head()[0]
+    if not total:
+        return whole.withColumns({"weight": F.lit(0.0), "most": F.lit(1.0)})
+    current = whole
+    for d in DIMENSIONS:
+        current = with_target(current, targets, d, float(total))
+    share = F.col("tokens") / float(total)
+    current = land(current.withColumns({"weight": share, "most": share / targets.keep}))
     for _ in range(targets.rounds):
         current = current.withColumn("off", F.lit(0.0))
         for d in DIMENSIONS:
-            sums = current.groupBy(F.col(d).alias("value")).agg(F.sum("weight").alias("now"))
-            factors = sums.join(goals[d], sums["value"].eqNullSafe(goals[d]["value"])).select(
-                sums["value"], (F.col("target") / F.col("now")).alias("factor")
-            )
-            current = current.join(factors, current[d].eqNullSafe(factors["value"])).select(
-                *DIMENSIONS,
-                "tokens",
-                (F.col("weight") * F.col("factor")).alias("weight"),
-                "most",
-                F.greatest("off", F.abs(F.col("factor") - 1)).alias("off"),
+            sums = current.groupBy(F.col(d).alias("value")).agg(
+                (F.max(f"goal_{d}") / F.sum("weight")).alias("factor")
             )
+            scaled = current.join(sums, F.col(d).eqNullSafe(F.col("value")))
+            current = scaled.withColumns(
+                {
+                    "weight": F.col("weight") * F.col("factor"),
+                    "off": F.greatest("off", F.abs(F.col("factor") - 1)),
+                }
+            ).drop("value", "factor")
         current = land(current.withColumn("weight", F.least("weight", "most")))
-        worst = current.agg(F.max("off")).head()[0]
-        if worst is None or worst <= targets.tolerance:
+        if current.agg(F.max("off")).head()[0] <= targets.tolerance:
             break
-    return current.drop("off")
+        current = current.drop("off")
+    return current
 
 
 def keep_probabilities(docs: DataFrame, targets: Targets) -> DataFrame:
@@ -117,13 +117,13 @@ def keep_probabilities(docs: DataFrame, targets: Targets) -> DataFrame:
 
 def _described(docs: DataFrame, doc_id: str, text: str, source: str, lang: str, topic: Column | None) -> DataFrame:
     body = F.col(position(docs, text))
-    return numbered(docs).withColumns(
+    counted = numbered(docs).withColumn("tokens", F.coalesce(F.regexp_count(body, F.lit(TOKEN)), F.lit(0)).cast("long"))
+    return counted.withColumns(
         {
             "id": F.col(position(docs, doc_id)),
             "source": F.col(position(docs, source)),
             "lang": F.col(position(docs, lang)),
-            "topic": topic_of(body) if topic is None else topic,
-            "tokens": F.coalesce(F.regexp_count(body, F.lit(TOKEN)), F.lit(0)).cast("long"),
+            "topic": topic_of(body, F.col("tokens")) if topic is None else topic,
             "draw": F.shiftrightunsigned(F.xxhash64(F.col(position(docs, doc_id)), F.lit("mix")), 11) / float(1 << 53),
         }
     )
