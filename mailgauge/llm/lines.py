@@ -55,8 +55,9 @@ def drop_common_lines(
             *[value.alias(name) for name, value in identity.items()], line_hashes(body, min_chars).alias("hashes")
         )
     )
-    common = common_lines(hashed, min_docs)
-    places = (
+    # What is joined is stored, so that adaptive execution can split the rows of a very common line or text.
+    common = land(common_lines(hashed, min_docs))
+    places = land(
         hashed.dropDuplicates(["h1", "h2"])
         .select("h1", "h2", F.posexplode("hashes").alias("place", "hash"))
         .join(common, "hash", "left_semi")
