@@ -269,18 +269,23 @@ def link_fingerprints(fingerprints: DataFrame, max_distance: int = 4, block: int
     return links.union(between).distinct()
 
 
-def near_duplicates(fingerprinted: DataFrame, max_distance: int = 4, block: int = BLOCK) -> DataFrame:
-    """``root`` for every row of a table with ``fingerprint``: equal for rows that links connect.
+def first_of_components(rows: DataFrame, first: Column, max_distance: int = 4, block: int = BLOCK) -> DataFrame:
+    """fingerprint, first: for every fingerprint the least ``first`` of its component's rows.
 
-    Equal fingerprints are one node; null never occurs (see
-    ``with_fingerprint``).  All columns are kept.  Give it a stored table: it
-    is read twice.
+    ``first`` is an expression over ``rows``, a stored table with
+    ``fingerprint``.  Minima are taken by fingerprint before anything is joined, and what is
+    joined is stored, so that adaptive execution can split the rows of a very
+    common fingerprint or a very large component.
     """
-    distinct = fingerprinted.select("fingerprint").distinct()
-    roots = connected_components(link_fingerprints(distinct, max_distance, block))
-    named = roots.select(F.col("node").alias("fingerprint"), F.col("root").alias("_root"))
-    joined = fingerprinted.join(named, "fingerprint", "left")
-    return joined.withColumn("root", F.coalesce("_root", "fingerprint")).drop("_root")
+    least = rows.groupBy("fingerprint").agg(F.min(first).alias("first"))
+    by_print = land(least)
+    roots = connected_components(link_fingerprints(by_print.select("fingerprint"), max_distance, block))
+    linked = land(by_print.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint"))
+    heads = land(linked.groupBy("root").agg(F.min("first").alias("head")))
+    moved = linked.join(heads, "root").select("fingerprint", "head")
+    return land(
+        by_print.join(moved, "fingerprint", "left").select("fingerprint", F.coalesce("head", "first").alias("first"))
+    )
 
 
 def simhash_components(
@@ -294,10 +299,11 @@ def simhash_components(
     """
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     prints = land(with_fingerprint(base, "text", shingle).select("doc_id", "fingerprint"))
-    rooted = near_duplicates(prints, max_distance)
-    smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rooted.join(smallest, "root").select(
-        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+    components = first_of_components(prints, F.col("doc_id"), max_distance)
+    return prints.join(components, "fingerprint").select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
+        F.col("first").alias("component_id"),
     )
 
 
@@ -315,7 +321,6 @@ def drop_near_duplicates(
         with_fingerprint(rows, position(docs, text), shingle).withColumn("row", F.monotonically_increasing_id())
     )
     narrow = kept.select("row", F.col(position(docs, doc_id)).alias("id"), "fingerprint")
-    first = F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first")
-    rooted = near_duplicates(narrow, max_distance)
-    survivors = rooted.groupBy("root").agg(first).select(F.col("first.row").alias("row"))
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "row")
+    survivors = first_of_components(narrow, first, max_distance).select(F.col("first.row").alias("row")).distinct()
     return kept.join(survivors, "row", "left_semi").select(rows.columns).toDF(*docs.columns)
