@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailgauge.llm.common import add_columns, map_texts, strings
+from mailgauge.sources.scratch import land
 
 UNDETERMINED = "und"
 # N-grams of one to so many characters, and the buckets they are hashed to.
@@ -116,7 +117,7 @@ def train_language_model(
     An empty table gives a model of no language.  At most BUCKETS + 1 numbers
     a language reach the driver.
     """
-    counts = count_grams(docs, text, lang)
+    counts = land(count_grams(docs, text, lang))
     languages = [r.lang for r in counts.filter("bucket = -1").select("lang").limit(MAX_LANGUAGES + 1).collect()]
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages in column {lang}")
