@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from mailgauge.sources.mailfiles import MAIL_OPEN_COST, OPEN_COST  # noqa: E402
 from workload.queries import QUERIES  # noqa: E402
 
 HEADLINE = [
@@ -57,6 +58,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config(OPEN_COST, MAIL_OPEN_COST)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The accepted form is "Fri, 26 Oct 2001 07:45:49 -0700 (PDT)",
+# The accepted form is "Tue, 4 Mar 2003 18:05:30 +0100 (CET)",
 # names in full or cut to three letters, any case, numbers with or without
 # leading zeros.
 _DAY = "(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun|Monday|Tuesday|Wednesday|Thursday|Friday|Saturday|Sunday)"
@@ -15,8 +15,8 @@ _MONTH = (
 )
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 _MAIL_DATE = (
-    rf"(?i)\A[ \t]*{_DAY}, +(\d{{1,4}}) +{_MONTH} +(\d{{1,4}})"
-    r" +(\d{1,4}):(\d{1,4}):(\d{1,4}) +([+-])(\d{2})(\d{2})"
+    rf"(?i)\A[ \t]*{_DAY}, +(-?\d+) +{_MONTH} +(-?\d+)"
+    r" +(-?\d+):(-?\d+):(-?\d+) +([+-])(\d{2})(\d{2})"
 )
 _ZONE = r" +\([^()\n]+\)"
 
@@ -36,18 +36,21 @@ def date_from_parts(parts: str) -> str:
     """Instant for ``date_parts``, which should be a column as it is used nine times.
 
     Out-of-range numbers roll over: 31 Feb is 3 Mar, 25:00:00 is one o'clock
-    on the next day.  The numeric offset is what counts, not the zone's name.
+    on the next day.  What is beyond any timestamp is null.  The numeric
+    offset is what counts, not the zone's name.
     """
 
     def number(i: int) -> str:
-        return f"CAST({parts}[{i}] AS INT)"
+        return f"try_cast({parts}[{i}] AS INT)"
 
     month = f"CAST((instr('{_MONTHS}', lower(left({parts}[1], 3))) + 2) / 3 AS INT)"
     offset = f"({number(7)} * 60 + {number(8)}) * if({parts}[6] = '-', -1, 1)"
-    return (
-        f"try_make_timestamp({number(2)}, {month}, 1, 0, 0, 0, 'UTC') "
-        f"+ make_dt_interval({number(0)} - 1, {number(3)}, {number(4)} - {offset}, {number(5)})"
+    seconds = (
+        f"(({number(0)} - 1L) * 86400 + {number(3)} * 3600L + ({number(4)} - 0L - {offset}) * 60 + {number(5)})"
     )
+    first = f"unix_seconds(try_make_timestamp({number(2)}, {month}, 1, 0, 0, 0, 'UTC'))"
+    # Timestamps are microseconds in 64 bits.
+    return f"CASE WHEN abs({first} + {seconds}) < 9000000000000 THEN timestamp_seconds({first} + {seconds}) END"
 
 
 def mail_date(value: str, zone_required: bool = True) -> Column:

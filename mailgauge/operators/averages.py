@@ -42,9 +42,9 @@ def averages_by_sender(lengths: DataFrame) -> DataFrame:
 
 
 def sender_totals(df: DataFrame, lines_kept: bool = False) -> DataFrame:
-    """Mails and words per sender, in one pass.  A mail without a sender counts for nobody."""
+    """Mails and words per sender, in one pass.  A mail without a sender, null or empty, counts for nobody."""
     return (
-        df.filter(F.col("From").isNotNull())
+        df.filter(F.col("From") != "")
         .select(F.col("From").alias("sender"), word_count(F.col("Body"), lines_kept).alias("n"))
         .groupBy("sender")
         .agg(F.count("*").alias("mails"), F.sum("n").alias("words"))

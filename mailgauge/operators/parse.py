@@ -64,7 +64,9 @@ def _unfolded(df: DataFrame, raw: str, keep: Sequence[str]) -> DataFrame:
 
 
 def _lines(df: DataFrame, raw: str, keep: Sequence[str]) -> DataFrame:
-    header, rest = r"split(_header, '\n')", r"split(_rest, '\n')"
+    header = r"split(_header, '\n')"
+    # Noise is told by how a line was written, before blanks are cleaned.
+    rest = rf"filter(split(_rest, '\n'), line -> NOT {H.is_noise(H.line_kind('line'))})"
     lines = f"""concat(
         {H.clean_address_lines(header)},
         CASE WHEN _rest IS NULL THEN CAST(array() AS ARRAY<STRING>)
@@ -86,7 +88,7 @@ def _fields(
         found = [f"if({end} = 0 OR {at} < {end}, {at}, 0)" for at in found]
     # Line number 0 looks up index -1, which get() answers with null.
     values = [f"{H.field_value(f'get(_lines, _used[{i}] - 1)')} AS `{f}`" for i, f in enumerate(H.FIELDS)]
-    in_body = f"get(_kinds, i) = '' OR NOT (array_contains(_used, i + 1) OR {H.is_noise('get(_kinds, i)')})"
+    in_body = "get(_kinds, i) = '' OR NOT array_contains(_used, i + 1)"
     separator = r"'\n'" if body == "lines" else "''"
     return (
         _lines(df, raw, keep)

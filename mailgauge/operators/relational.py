@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,36 +40,27 @@ def with_features(df: DataFrame, lines_kept: bool = False) -> DataFrame:
     )
 
 
-def append_mail(first: DataFrame, *others: DataFrame) -> DataFrame:
-    """All rows of all tables, repeats kept.  No shuffle."""
-    result = to_mail_schema(first)
-    for other in others:
-        result = result.unionAll(to_mail_schema(other))
-    return result
-
+# Where a row was read: ``load_parquet(..., positions=True)`` adds these columns, with these types.
+POSITION = {"_file": "string", "_row": "bigint"}
 
-def file_position(df: DataFrame) -> list[str]:
-    """The column that says where a row was read, if there is one: row of a file, else the file.
 
-    It tells copies of a mail apart, and is the same when a task runs again.
-    """
-    for position in ("_metadata.row_index", "_metadata.file_path"):
-        try:
-            df.select(position)
-        except AnalysisException:
-            continue
-        return [position]
-    return []
+def append_mail(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """All rows of all tables, repeats kept.  No shuffle.  POSITION columns stay if every table has them."""
+    tables = [first, *others]
+    kept = [c for c in POSITION if all(c in t.columns for t in tables)]
+    return reduce(DataFrame.unionAll, [to_mail_schema(t, kept) for t in tables])
 
 
 def order_by_date(df: DataFrame, then_by: Sequence[str | Column] = ("ID",)) -> DataFrame:
     """Total sort, oldest first, undated mails before all others.
 
-    ``then_by`` orders mails of the same instant, and the position in the
-    files copies of the same mail.  Both let the range partitioner cut
-    between such mails, so that a crowded instant is spread over tasks.
+    ``then_by`` orders mails of the same instant, and the POSITION columns, if
+    there, copies of the same mail; they are not returned.  Both let the
+    range partitioner cut between such mails, so that a crowded instant is
+    spread over tasks.
     """
-    return df.orderBy("Date", *then_by, *file_position(df))
+    position = [c for c in POSITION if c in df.columns]
+    return df.orderBy("Date", *then_by, *position).drop(*position)
 
 
 def top_n(df: DataFrame, measure: str, key: str, n: int = 5) -> DataFrame:

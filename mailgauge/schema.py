@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -26,15 +28,15 @@ MANDATORY_COLUMNS = [f.name for f in MAIL_SCHEMA if not f.nullable]
 READ_SCHEMA = T.StructType([T.StructField(f.name, f.dataType, True) for f in MAIL_SCHEMA])
 
 
-def to_mail_schema(df: DataFrame) -> DataFrame:
+def to_mail_schema(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Turn any frame that has the mandatory columns into a mail table.
 
     Columns are matched by name (ignoring case), reordered and cast; extra
-    columns are dropped.  ``Subject`` and ``Body`` may be absent and are then
+    columns but those in ``keep`` are dropped.  ``Subject`` and ``Body`` may be absent and are then
     null, a missing mandatory column is an error.
     """
     present = {name.lower() for name in df.columns}
     missing = [name for name in MANDATORY_COLUMNS if name.lower() not in present]
     if missing:
         raise ValueError(f"not a mail table, mandatory columns missing: {', '.join(missing)}")
-    return df.to(READ_SCHEMA)
+    return df.to(T.StructType([*READ_SCHEMA, *[df.schema[c] for c in keep]]))

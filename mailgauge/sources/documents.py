@@ -8,11 +8,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailgauge.sources.scratch import land
+from mailgauge.sources.scratch import land, remove
 from mailgauge.sources.tables import output_dir
 
-ROWS_PER_FILE = 1_000_000
-
 
 def store_json_lines(df: DataFrame, path: str, now: datetime | None = None) -> str:
     """One JSON object per line; a small result is one file, a large one several.
@@ -30,24 +28,24 @@ def store_json_document(
     path: str,
     order_by: Sequence[str] = (),
     now: datetime | None = None,
-    rows_per_file: int = ROWS_PER_FILE,
+    files: int | None = None,
 ) -> str:
     """One JSON array with an object per row, as lines of text.
 
     ``[{...}``, then ``,{...}`` per further row, then ``]``.  Null fields are
-    left out.  Up to ``rows_per_file`` rows the document is one file; beyond
-    that it is cut into files which, concatenated in name order, are the
-    document, and no task sees more than its share.  Returns the directory.
+    left out.  The directory is the document: its files, in name order, make
+    up the array.  There are up to ``files`` of them, by default as many as
+    adaptive execution finds useful.  Returns the directory.
     """
     target = output_dir(path, "json", now)
     columns = df.columns
-    # Landed once: counted, searched for its first row, then written.
-    rows = land(df).select(
+    # Landed once: searched for its first row, sampled for the ranges, then written.
+    landed = land(df)
+    rows = landed.select(
         "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")
     )
     keys = [*order_by, "_file", "_row"]
     first = rows.orderBy(*keys).select("_file", "_row").head()
-    files = -(-rows.count() // rows_per_file)
 
     end = rows.sparkSession.range(1).select(F.lit(1).alias("_part"))
     if first is None:
@@ -61,11 +59,12 @@ def store_json_document(
         )
         lines = (
             records.unionByName(end.withColumn("_line", F.lit("]")), allowMissingColumns=True)
-            .repartitionByRange(files, "_part", *keys)
+            .repartitionByRange(*([files] if files else []), "_part", *keys)
             .sortWithinPartitions("_part", *keys)
             .select("_line")
         )
     lines.write.mode("errorifexists").text(target)
+    remove(landed)
     return target
 
 

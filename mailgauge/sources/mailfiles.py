@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailgauge.operators.parse import parse_mail
@@ -20,8 +21,27 @@ def tune_for_mail_files(spark: SparkSession) -> None:
     spark.conf.set(OPEN_COST, MAIL_OPEN_COST)
 
 
-def _no_files(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "value string, path string")
+def directories(spark: SparkSession, *paths: str) -> list[str]:
+    """The existing directories (or files) that some paths or patterns name, as full URIs."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for path in map(hadoop, paths):
+        found += [s.getPath().toString() for s in path.getFileSystem(conf).globStatus(path) or []]
+    return found
+
+
+def _plain(uri: Column) -> Column:
+    """One form for the two in which a URI's scheme may be written."""
+    return F.regexp_replace(uri, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
+def directly_in(folders: Sequence[str]) -> Column:
+    """Whether a row was read from a file that lies in one of the folders, not below it."""
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    file, parent = _plain(path), _plain(F.regexp_replace(path, "/[^/]*$", ""))
+    names = [_plain(F.lit(folder)) for folder in folders]
+    return parent.isin(names) | file.isin(names) if names else F.lit(False)
 
 
 def read_mail_files(spark: SparkSession, *paths: str) -> DataFrame:
@@ -30,29 +50,15 @@ def read_mail_files(spark: SparkSession, *paths: str) -> DataFrame:
     Only files directly in the given directories; those in sub-directories,
     hidden ones (``_x``, ``.x``) and empty ones are left out.  A path that
     does not exist has no mails.  One distributed scan for all paths.
+
+    The tree below each directory is listed, and only there: sub-directories
+    named ``k=v`` would otherwise be taken for partitions.
     """
-    try:
-        files = spark.read.text(list(paths), wholetext=True) if paths else None
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        if len(paths) == 1:
-            files = None
-        else:
-            return read_mail_files(spark, *[p for p in paths if _exists(spark, p)])
-    if files is None:
-        return _no_files(spark)
-    return files.select("value", F.col("_metadata.file_path").alias("path"))
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path, wholetext=True)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+    folders = directories(spark, *paths)
+    if not folders:
+        return spark.createDataFrame([], "value string, path string")
+    files = spark.read.text(folders, wholetext=True, recursiveFileLookup=True)
+    return files.filter(directly_in(folders)).select("value", F.col("_metadata.file_path").alias("path"))
 
 
 def read_mail(spark: SparkSession, *paths: str, **options) -> DataFrame:

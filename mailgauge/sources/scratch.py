@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Temporary folders of local sessions, by application.
 _local: dict[str, str] = {}
+# Tables that ``land`` has written and that are still there.
+_landed: set[str] = set()
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -30,8 +33,43 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def land(df: DataFrame) -> DataFrame:
-    """The frame written as a Parquet table and read back: computed once, lineage cut."""
+    """The frame written as a Parquet table and read back: computed once, lineage cut.
+
+    The table stays as long as something may read it: until ``remove``, or
+    until the Python process ends.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark)
     df.write.parquet(path)
+    if not _landed:
+        atexit.register(_remove_all, spark)
+    _landed.add(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(landed: DataFrame) -> None:
+    """Delete the table behind a landed frame; nothing may read it any more."""
+    for path in {file.rpartition("/")[0] for file in landed.inputFiles()}:
+        name = path.rpartition("/")[2]
+        for known in [p for p in _landed if p.endswith(name)]:
+            _delete(landed.sparkSession, known)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or directory of that name in any file system that Spark reads."""
+    context = spark.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(context._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    hadoop = context._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(context._jsc.hadoopConfiguration()).delete(hadoop, True)
+    _landed.discard(path)
+
+
+def _remove_all(spark: SparkSession) -> None:
+    if spark.sparkContext._jsc is not None:  # a stopped session leaves its tables to whoever owns the folder
+        for path in list(_landed):
+            _delete(spark, path)

@@ -6,10 +6,11 @@ from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, StructType
 
 from mailgauge.operators.parse import ERROR_COLUMN, has_error
-from mailgauge.operators.relational import file_position
+from mailgauge.operators.relational import POSITION
 from mailgauge.schema import READ_SCHEMA
 
 # Fixed value: output directories are named after the local time they were made.
@@ -22,55 +23,44 @@ def output_dir(path: str, kind: str, now: datetime | None = None) -> str:
     return f"{path.rstrip('/')}/{stamp}_output_{kind}"
 
 
-def load_parquet(spark: SparkSession, *paths: str) -> DataFrame:
+def load_parquet(spark: SparkSession, *paths: str, positions: bool = False) -> DataFrame:
     """One mail table from any number of Parquet files or directories.
 
     The schema is given, not inferred: no file footer is read for planning,
-    and a column a file lacks is null.
+    and a column a file lacks is null.  ``positions=True`` adds the POSITION
+    columns, file and row, which tell copies of a mail apart.
     """
     if not paths:
-        return spark.createDataFrame([], READ_SCHEMA)
-    return spark.read.schema(READ_SCHEMA).parquet(*paths)
+        empty = spark.createDataFrame([], READ_SCHEMA)
+        return empty.selectExpr("*", *[f"CAST(NULL AS {t}) AS {c}" for c, t in POSITION.items()]) if positions else empty
+    return _with_position(spark.read.schema(READ_SCHEMA).parquet(*paths), positions)
 
 
-# Only tables read in fewer tasks than this are ever spread: a few GB at most.
-SMALL_SCAN_TASKS = 64
-
-
-def scan_leaves_cores_idle(df: DataFrame) -> bool:
-    """Whether a small table is read in fewer tasks than the cluster has cores.
-
-    So it is above all for one large row group, which is never split.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.rdd.getNumPartitions() < min(cores, SMALL_SCAN_TASKS)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows hashed over all cores, for work on texts of a small table.
-
-    It shuffles the input, which a scan with enough tasks has no need of: ask
-    ``scan_leaves_cores_idle`` first.
-    """
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
+def _with_position(rows: DataFrame, positions: bool) -> DataFrame:
+    if not positions:
+        return rows
+    file, row = POSITION
+    return rows.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
 
 
 def store_parquet(
-    df: DataFrame, path: str, clustered: bool = False, now: datetime | None = None
+    df: DataFrame, path: str, clustered: bool = False, now: datetime | None = None, files: int | None = None
 ) -> str:
     """Write a mail table to a new directory below ``path`` and return that directory.
 
     An existing directory is an error.  ``clustered=True`` pays one shuffle to
     write files that each cover a short span of dates, so that later interval
-    filters skip most row groups.  ID and the position in the input files
-    split a crowded instant.  The range partitioner reads its input twice, so
-    give it a stored table rather than one still to be parsed.
+    filters skip most row groups: ``files`` of them, or as many as the session
+    has shuffle partitions.  ID and, if the table has them, the POSITION
+    columns split a crowded instant; those are not stored.  The range
+    partitioner reads its input twice, so give it a stored table rather than
+    one still to be parsed.
     """
     target = output_dir(path, "parquet", now)
     if clustered:
-        keys = ["Date", "ID", *file_position(df)]
-        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    df.write.mode("errorifexists").parquet(target)
+        keys = ["Date", "ID", *[c for c in POSITION if c in df.columns]]
+        df = df.repartitionByRange(*([files] if files else []), *keys).sortWithinPartitions(*keys)
+    df.drop(*POSITION).write.mode("errorifexists").parquet(target)
     return target
 
 
@@ -90,10 +80,10 @@ def store_parsed(parsed: DataFrame, path: str, now: datetime | None = None) -> s
     return target
 
 
-def load_parsed(spark: SparkSession, *paths: str) -> tuple[DataFrame, DataFrame]:
+def load_parsed(spark: SparkSession, *paths: str, positions: bool = False) -> tuple[DataFrame, DataFrame]:
     """(mails, quarantine) of ``store_parsed``; each reads its own files only.
 
-    The quarantine has ``_error`` and, if it was stored, the mail's ``path``.
+    ``positions=True`` adds the POSITION columns to the mails.  The quarantine has ``_error`` and, if it was stored, the mail's ``path``.
     """
     schema = StructType(
         [
@@ -103,7 +93,7 @@ def load_parsed(spark: SparkSession, *paths: str) -> tuple[DataFrame, DataFrame]
             StructField("valid", BooleanType()),
         ]
     )
-    stored = [spark.read.schema(schema).parquet(path) for path in paths]
+    stored = [_with_position(spark.read.schema(schema).parquet(path), positions) for path in paths]
     rows = reduce(DataFrame.unionAll, stored)
-    mails = rows.filter("valid").select(READ_SCHEMA.fieldNames())
-    return mails, rows.filter("NOT valid").drop("valid")
+    mails = rows.filter("valid").select(*READ_SCHEMA.fieldNames(), *(POSITION if positions else ()))
+    return mails, rows.filter("NOT valid").drop("valid", *POSITION)

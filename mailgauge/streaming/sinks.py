@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from mailgauge.sources.scratch import exists
+
 
 def start_console(stream: DataFrame, truncate: bool = True, trigger: dict | None = None) -> StreamingQuery:
     """Print each micro-batch (update mode)."""
@@ -42,8 +44,11 @@ def start_appending(
     """Append ``result(batch)`` of every micro-batch to a Parquet directory.
 
     A batch owns the sub-directory ``batch_id=<n>`` and overwrites it when it
-    is run again after a failure, so a replay leaves no row twice.
+    is run again after a failure, so a replay leaves no row twice.  Batches
+    of one checkpoint only lie in a directory: a new checkpoint needs a new one.
     """
+    if exists(stream.sparkSession, path) and not exists(stream.sparkSession, f"{checkpoint.rstrip('/')}/metadata"):
+        raise ValueError(f"{path} holds the batches of another checkpoint than {checkpoint}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         result(batch).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")

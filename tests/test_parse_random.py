@@ -14,6 +14,7 @@ LINES = (
     [f"{name}: {value}" for name in H.FIELDS for value in ("a@x", "a@x, b@x, ", 'A, "B, C"', "", "  two  \t blanks")]
     + [f"{name}:" for name in H.FIELDS]
     + [f"{name}: noise" for name in H.NOISE]
+    + ["\tX-From: Bo To: Al", "\tContent-Type: see Subject", "X-From:\t\tTo:", " X-Origin: a  Cc: b"]
     + ["", "", "", " continued", "\tcontinued, ", "words in the body", "say To: you", "a:b", ":", " To: indented"]
     + ["X-bcc: ", "X-bcc: last", "Subject:\tno blank", "the Subject  is", "X-bccc: no", "Cc", "to: lower"]
     + ["To: é@x, \U0001f600 b@x", "X-To: \U0001f600", "ünïcode \U0001f600  To:\tline", "\u2028To: no line", "日本: 語"]

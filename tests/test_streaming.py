@@ -49,6 +49,42 @@ def test_lines(spark, tmp_path):
     assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(spark.read.text(f"{tmp_path}/in"))
 
 
+def test_a_new_checkpoint_needs_a_new_directory(spark, tmp_path):
+    write_mails(f"{tmp_path}/in", range(4))
+
+    def start(checkpoint):
+        mails = stream_mail(spark, f"{tmp_path}/in")
+        return run(rankings.start_top_senders(mails, f"{tmp_path}/out", f"{tmp_path}/{checkpoint}", trigger=ONCE))
+
+    start("check")
+    start("check")
+    with pytest.raises(ValueError, match="another checkpoint"):
+        start("other")
+
+
+def test_old_files_are_read_too(spark, tmp_path):
+    """Files copied with their times kept: years older than what the stream has seen."""
+    write_mails(f"{tmp_path}/in", range(2))
+
+    def ingest():
+        run(ingest_stream(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/check", ONCE))
+        return sorted(r.ID for r in load_parsed(spark, f"{tmp_path}/out")[0].collect())
+
+    assert ingest() == ["<0>", "<1>"]
+    write_mails(f"{tmp_path}/in", range(2, 4))
+    long_ago = dt.datetime(2001, 5, 1).timestamp()
+    os.utime(f"{tmp_path}/in/2_", (long_ago, long_ago))
+    assert ingest() == ["<0>", "<1>", "<2>", "<3>"]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the driver's tables are not here")
+def test_windows_are_the_same_in_any_number_of_batches(spark):
+    from workload.queries import _top_words_in_slices
+
+    results = [rows(_top_words_in_slices(spark, "/root/testdata/sf0.001", n)) for n in (1, 4, 16)]
+    assert results[0] and results[0] == results[1] == results[2]
+
+
 def test_console(spark, tmp_path):
     write_mails(f"{tmp_path}/in", range(2))
     run(sinks.start_console(stream_lines(spark, f"{tmp_path}/in"), trigger=ONCE))

@@ -13,23 +13,22 @@ from pyspark.sql import functions as F
 
 from mailgauge.functions.tokens import word_count, words
 from mailgauge.operators import averages as A
-from mailgauge.operators.relational import append_mail, file_position, in_interval, order_by_date, top_n
+from mailgauge.operators.relational import append_mail, in_interval, order_by_date, top_n
 from mailgauge.plans.ingest import ingest_directories
 from mailgauge.plans.reports import report_averages, report_averages_by_sender
 from mailgauge.schema import MAIL_SCHEMA, READ_SCHEMA, to_mail_schema
 from mailgauge.sources.documents import read_json_document, store_json_document, store_json_lines
 from mailgauge.sources.mailfiles import read_mail, read_mail_files, write_mail_files
-from mailgauge.sources.scratch import land, scratch_dir
+from mailgauge.sources.scratch import land, remove, scratch_dir
 from mailgauge.sources.tables import (
     load_parquet,
     load_parsed,
     output_dir,
-    scan_leaves_cores_idle,
-    spread,
     store_parquet,
 )
+from mailgauge.streaming.sources import stream_mail_files
 
-NOW = dt.datetime(2021, 2, 25, 2, 36, 30)
+NOW = dt.datetime(2030, 7, 4, 21, 5, 9)
 
 
 @pytest.fixture
@@ -147,45 +146,36 @@ def test_order_by_date(mails):
     assert [r.ID for r in order_by_date(mails).collect()] == ["<5>", "<1>", "<2>", "<6>", "<3>", "<4>"]
 
 
-def test_order_by_date_spreads_copies_of_one_mail(spark, tmp_path):
-    copies = spark.range(20_000).select(
-        F.lit("<1>").alias("ID"), F.lit("2001-01-01").cast("timestamp").alias("Date"), F.col("id").alias("n")
-    )
-    copies.write.parquet(str(tmp_path / "t"))
-    table = spark.read.parquet(str(tmp_path / "t"))
+def test_copies_of_one_mail_are_split_after_an_append(spark, mails, tmp_path):
+    copy = mails.filter("ID = '<1>'").crossJoin(spark.range(20_000)).drop("id")
+    paths = [store_parquet(copy, f"{tmp_path}/{name}") for name in "ab"]
+    both = append_mail(*[load_parquet(spark, p, positions=True) for p in paths])
+    assert "Exchange" not in plan_of(both)
+    ordered = order_by_date(both)
+    assert ordered.columns == load_parquet(spark, *paths).columns
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        ordered = order_by_date(table)
         sizes = ordered.groupBy(F.spark_partition_id()).count().collect()
+        stored = store_parquet(both, f"{tmp_path}/c", clustered=True, files=3)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(sizes) > 1 and sum(r["count"] for r in sizes) == 20_000
+    assert len(sizes) > 1 and sum(r["count"] for r in sizes) == 40_000
+    assert len(glob.glob(f"{stored}/part-*")) == 3
+    table = load_parquet(spark, stored)
+    assert table.count() == 40_000 and table.columns == mails.columns
 
 
-def test_file_position(spark, mails, tmp_path):
-    mails.write.parquet(str(tmp_path / "t"))
-    table = spark.read.parquet(str(tmp_path / "t"))
-    assert file_position(table) == ["_metadata.row_index"]
-    assert file_position(table.select("ID").filter("ID > ''").repartition(2)) == ["_metadata.row_index"]
-    assert file_position(spark.read.text(str(tmp_path))) == ["_metadata.file_path"]
-    assert file_position(table.groupBy("ID").count()) == []
-    assert file_position(table.unionAll(table)) == []
-    assert file_position(mails) == []
-    assert order_by_date(table).columns == table.columns
-
-
-def test_spread_only_what_leaves_cores_idle(spark, tmp_path):
-    spark.range(1000).repartition(1).write.parquet(str(tmp_path / "one"))
-    spark.range(1000).repartition(8).write.option("maxRecordsPerFile", 10).parquet(str(tmp_path / "many"))
-    one, many = (spark.read.parquet(str(tmp_path / name)) for name in ("one", "many"))
-    assert scan_leaves_cores_idle(one) and not scan_leaves_cores_idle(many)
-    parts = spread(one, "id").groupBy(F.spark_partition_id()).count().collect()
-    assert len(parts) > 1 and sum(r["count"] for r in parts) == 1000
+def test_positions_stay_only_if_all_tables_have_them(spark, mails, tmp_path):
+    path = store_parquet(mails, str(tmp_path))
+    with_position = load_parquet(spark, path, positions=True)
+    assert with_position.columns == [*mails.columns, "_file", "_row"]
+    assert append_mail(with_position, mails).columns == mails.columns
+    assert load_parquet(spark, positions=True).columns == with_position.columns
 
 
 def test_parquet_round_trip(spark, mails, tmp_path):
     first = store_parquet(mails, str(tmp_path), now=NOW)
-    assert first == f"{tmp_path}/2021-02-25_02-36-30_output_parquet"
+    assert first == f"{tmp_path}/2030-07-04_21-05-09_output_parquet"
     with pytest.raises(AnalysisException, match="PATH_ALREADY_EXISTS"):
         store_parquet(mails, str(tmp_path), now=NOW)
     second = store_parquet(mails, f"{tmp_path}/more/", clustered=True, now=NOW)
@@ -252,6 +242,36 @@ def test_write_mail_files(spark, tmp_path):
     assert sorted(r.value for r in read_mail_files(spark, str(tmp_path / "out")).collect()) == ["a\n\nb\n", "c\n"]
 
 
+def test_removed_tables_are_gone(spark, mails):
+    landed = land(mails)
+    folder = landed.inputFiles()[0].rpartition("/")[0].removeprefix("file://").removeprefix("file:")
+    assert os.path.isdir(folder) and ids(landed) == ids(mails)
+    remove(landed)
+    assert not os.path.exists(folder)
+
+
+def test_only_files_directly_in_the_directory(spark, tmp_path):
+    for name in ("a", "k=v/b", "sub/c", "odd + %41 dir/d", "_hidden"):
+        path = tmp_path / "in" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(HEAD_OF_MAIL)
+    folder = str(tmp_path / "in")
+
+    def names(rows):
+        return sorted(r.path.rpartition("/")[2] for r in rows.select("path").collect())
+
+    assert names(read_mail_files(spark, folder)) == ["a"]
+    assert names(read_mail_files(spark, f"{folder}/k=v", f"{folder}/nothing", f"{folder}/odd + %41 dir")) == ["b", "d"]
+    assert names(read_mail_files(spark, f"{folder}/*")) == ["a", "b", "c", "d"]
+    query = stream_mail_files(spark, folder).writeStream.format("memory").queryName("direct").start()
+    query.processAllAvailable()
+    query.stop()
+    assert names(spark.table("direct")) == ["a"]
+
+
+HEAD_OF_MAIL = "Message-ID: <1>\nDate: Mon, 9 Oct 2000 07:16:00 -0700 (PDT)\nFrom: a@x\nTo: b@x\n\nbody"
+
+
 def document(path):
     return "".join(open(f).read() for f in sorted(glob.glob(f"{path}/part-*")))
 
@@ -262,7 +282,7 @@ def test_json_document(spark, tmp_path):
     frame = spark.createDataFrame(rows, "sender string, avgLength double").repartition(5)
     expected = [{k: v for k, v in (("sender", s), ("avgLength", n)) if v is not None} for s, n in sorted(rows)]
     one = store_json_document(frame, f"{tmp_path}/one", order_by=["sender"])
-    many = store_json_document(frame, f"{tmp_path}/many", order_by=["sender"], rows_per_file=10)
+    many = store_json_document(frame, f"{tmp_path}/many", order_by=["sender"], files=10)
     assert len(glob.glob(f"{one}/part-*")) == 1
     assert len(glob.glob(f"{many}/part-*")) > 5
     for path in (one, many):
@@ -274,7 +294,7 @@ def test_json_document(spark, tmp_path):
 
 def test_json_document_with_repeats_and_without_rows(spark, tmp_path):
     same = spark.createDataFrame([("a",)] * 7, "sender string")
-    path = store_json_document(same, f"{tmp_path}/same", order_by=["sender"], rows_per_file=2)
+    path = store_json_document(same, f"{tmp_path}/same", order_by=["sender"], files=4)
     assert json.loads(document(path)) == [{"sender": "a"}] * 7
     path = store_json_document(same.filter("false"), f"{tmp_path}/none")
     assert json.loads(document(path)) == []

@@ -9,7 +9,7 @@ forms a raw mail takes follows from its number:
 * ``% 4 = 2``: address headers run over several lines;
 * ``% 7 = 1``: Cc, and a Bcc that repeats it;
 * ``% 9 = 4``: the subject runs over two lines;
-* ``% 8 = 3``: the body quotes another mail with headers and noise lines.
+* ``% 8 = 3``: the body quotes another mail with headers, a noise line, and an indented one that is none.
 
 With ``damaged=True`` also ``% 13 = 5`` an unreadable date, ``% 17 = 3`` no
 sender and ``% 19 = 7`` no id.
@@ -21,40 +21,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailgauge.schema import MAIL_COLUMNS
-from mailgauge.sources.tables import scan_leaves_cores_idle, spread
 
 EPOCH_2000 = 946684800  # 2000-01-01 00:00:00 UTC
 EPOCH_2001 = 978307200  # 2001-01-01 00:00:00 UTC
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Tables whose scan leaves cores idle, by application and path.
-_idle: dict[tuple[str, str], bool] = {}
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents")
 
 
-def documents(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
-    """``documents``, spread over the cores if its files give too few tasks.
-
-    A stream's path is a pattern because the table may be one file or a
-    directory, and a stream takes a single file only by pattern.
-    """
-    rows = table(spark, sf_dir, "documents")
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _idle:
-        _idle[key] = scan_leaves_cores_idle(rows)
-    if stream:
-        rows = spark.readStream.schema(rows.schema).parquet(f"{sf_dir}/documents.[p]arquet")
-    return spread(rows, "doc_id") if _idle[key] else rows
-
+# Dates lie within so many hours.
+HOURS = 20_000
 
 # The mail columns of a row of documents: ten mails a minute, over 833 days.
 MAIL_OF_DOCUMENT = [
     "concat('<', doc_id, '@example.com>') AS ID",
-    f"timestamp_seconds(doc_id div 10 * 977 % 20000 * 3600 + doc_id % 10 * 5 + {EPOCH_2000}) AS Date",
+    f"timestamp_seconds(doc_id div 10 * 977 % {HOURS} * 3600 + doc_id % 10 * 5 + {EPOCH_2000}) AS Date",
     "concat(source, '@example.com') AS `From`",
     "transform(sequence(0, CAST(doc_id % 5 AS INT)), i -> concat('r', i, '.', doc_id, '@example.com'))"
     " AS Recipients",
@@ -130,7 +116,7 @@ def raw_mails(rows: DataFrame, damaged: bool = False) -> DataFrame:
       Body,
       if(doc_id % 8 = 3, concat(
         '-----Original Message-----\nFrom: other@example.com\nX-Origin: quoted\nTo: someone@example.com\n',
-        'Subject:  re \tplan\nCc: quoted.', doc_id, '@example.com\nend'), NULL))"""
+        'Subject:  re \tplan\nCc: quoted.', doc_id, '@example.com\n\tX-From: kept To: none\nend'), NULL))"""
     return rows.selectExpr("doc_id", *MAIL_OF_DOCUMENT).selectExpr("doc_id", f"{value} AS value")
 
 

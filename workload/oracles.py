@@ -74,6 +74,7 @@ matched AS (
         CASE WHEN has_quote AND has_to THEN 'To: someone@example.com' END,
         CASE WHEN has_quote THEN 'Subject: re plan' END,
         CASE WHEN has_quote AND has_cc THEN 'Cc: quoted.' || doc_id || '@example.com' END,
+        CASE WHEN has_quote THEN 'X-From: kept To: none' END,
         CASE WHEN has_quote THEN 'end' END
       ], lambda l: l IS NOT NULL) AS body_lines,
     array_to_string(body_lines, chr(10)) AS lines_body,
@@ -88,7 +89,7 @@ FIELDS = (
     """array_to_string({recipients}, '|') AS "Recipients\""""
 )
 READABLE = FIELDS.format(body='"Body"', recipients='"Recipients"')
-INTERVAL = """"Date" > TIMESTAMP '2000-06-23' AND "Date" < TIMESTAMP '2001-10-04'"""
+INTERVAL = """"Date" > TIMESTAMP '2000-03-01' AND "Date" < TIMESTAMP '2001-09-15'"""
 AVERAGES = f"""avg(len({TOKENS})) AS "avgLength", avg(len("Recipients")) AS "avgNoOfRecipients\""""
 TOP_BOTH = """
   SELECT measure, rank, sender, total FROM (
@@ -162,7 +163,8 @@ _RAW_LINES = f"""
     'X-bcc: ', 'X-Folder: \\Notes\\All', 'X-Origin: X', 'X-FileName: x.nsf', '', "Body",
     CASE WHEN has_quote THEN array_to_string([
       '-----Original Message-----', 'From: other@example.com', 'X-Origin: quoted', 'To: someone@example.com',
-      'Subject:  re ' || chr(9) || 'plan', 'Cc: quoted.' || doc_id || '@example.com', 'end'], chr(10)) END
+      'Subject:  re ' || chr(9) || 'plan', 'Cc: quoted.' || doc_id || '@example.com',
+      chr(9) || 'X-From: kept To: none', 'end'], chr(10)) END
   ], lambda l: l IS NOT NULL)
 """
 # Damaged mails; one without a sender takes it from the mail it quotes.
@@ -248,7 +250,7 @@ ORACLES: dict[str, str] = {
                replace(array_to_string(list_filter([
                  CASE WHEN doc_id % 9 = 4 THEN ' continued' END, "Body",
                  CASE WHEN has_quote THEN '-----Original Message-----From: other@example.com'
-                   || 'To: someone@example.comSubject: re planCc: quoted.' || doc_id || '@example.comend' END
+                   || 'To: someone@example.comSubject: re planCc: quoted.' || doc_id || '@example.comX-From: kept To: noneend' END
                ], lambda l: l IS NOT NULL), ''), chr(10), '') AS "Body",
                strftime("Date", '%Y-%m-%d %H:%M:%S') AS "Date",
                array_to_string(list_concat(list_concat(
@@ -270,7 +272,6 @@ ORACLES: dict[str, str] = {
             'Subject: ' || "Subject",
             'X-To: ' || array_to_string(names, ', '),
             'X-cc: ' || CASE WHEN has_cc THEN 'C Zero, C One' ELSE '' END,
-            CASE WHEN has_quote THEN 'X-Origin: quoted' END,
             CASE WHEN has_quote THEN 'To: someone@example.com' END,
             CASE WHEN has_quote THEN 'Subject: re plan' END
           ], lambda l: l IS NOT NULL)) AS line

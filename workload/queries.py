@@ -24,13 +24,15 @@ from mailgauge.operators.parse import (
 from mailgauge.operators.relational import append_mail, in_interval, order_by_date, top_n, with_features
 from mailgauge.plans import ingest, live, reports
 from mailgauge.schema import to_mail_schema
-from mailgauge.sources.documents import ROWS_PER_FILE, read_json_document, store_json_document, store_json_lines
-from mailgauge.sources.mailfiles import read_mail, read_mail_files, tune_for_mail_files, write_mail_files
+from mailgauge.sources.documents import read_json_document, store_json_document, store_json_lines
+from mailgauge.sources.mailfiles import read_mail, read_mail_files, write_mail_files
 from mailgauge.sources.scratch import scratch_dir
 from mailgauge.sources.tables import load_parquet, load_parsed, store_parquet, store_parsed
 from mailgauge.streaming import rankings, sinks
 from mailgauge.streaming import sources as streams
 from workload.corpus import (
+    EPOCH_2000,
+    HOURS,
     MAIL_OF_DOCUMENT,
     conversation_mails,
     document_mails,
@@ -41,7 +43,7 @@ from workload.corpus import (
     table,
 )
 
-LOW, HIGH = "2000-06-23", "2001-10-04"
+LOW, HIGH = "2000-03-01", "2001-09-15"
 SENDER_AVERAGES = "sender string, avgLength double, avgNoOfRecipients double"
 ONCE = {"availableNow": True}
 
@@ -67,8 +69,6 @@ def staged(spark: SparkSession, sf_dir: str, what: str, write: Callable[[str], o
 
 def mail_directory(spark: SparkSession, sf_dir: str) -> str:
     """All raw mails, one per file."""
-    tune_for_mail_files(spark)
-
     def write(path: str) -> str:
         write_mail_files(raw_document_mails(spark, sf_dir), path)
         return path
@@ -325,9 +325,9 @@ def header_unfold(spark, sf_dir):
 
 @query
 def header_normalise(spark, sf_dir):
-    """All lines of the mails whose kind the parser knows, blanks cleaned, noise of the rest still there."""
+    """All lines of the mails whose kind the parser knows, blanks cleaned."""
     lines = mail_lines(raw_document_mails(spark, sf_dir), keep=["doc_id"])
-    known = [f"{name}:" for name in ("To", "Subject", "X-To", "X-cc", "X-Origin")]
+    known = [f"{name}:" for name in ("To", "Subject", "X-To", "X-cc")]
     return lines.select("doc_id", F.explode("lines").alias("line")).filter(
         F.expr(H.line_kind("line")).isin(known)
     )
@@ -410,10 +410,9 @@ def json_document(spark, sf_dir):
 
 @query
 def json_document_many_files(spark, sf_dir):
-    """A document of one object per mail, cut into four files, or more of a million rows each."""
+    """A document of one object per mail, cut into four files."""
     lengths = A.mail_lengths(document_mails(spark, sf_dir))
-    rows = min(ROWS_PER_FILE, table(spark, sf_dir, "documents").count() // 4 + 1)
-    path = store_json_document(lengths, scratch_dir(spark), order_by=["ID"], rows_per_file=rows)
+    path = store_json_document(lengths, scratch_dir(spark), order_by=["ID"], files=4)
     return read_json_document(spark, path, "ID string, From string, WordCount bigint, RecipientsCount bigint")
 
 
@@ -454,14 +453,31 @@ def stream_mail(spark, sf_dir):
     return readable(mails)
 
 
-def _streamed(spark, sf_dir):
-    return parse_mail(raw_mails(documents(spark, sf_dir, stream=True)))
+def _in_slices(spark, sf_dir, start, slices=4):
+    """Run a stream over the documents' mails that come in slices, one after the other, by date.
+
+    ``start`` is given the stream of mails and returns the queries to run.
+    What is in one slice is read in any order; windows lose a mail only if a
+    slice brings one older than those before it.
+    """
+    folder = scratch_dir(spark)
+    hour = f"(unix_seconds(Date) - {EPOCH_2000}) div 3600"
+    for i in range(slices):
+        dated = documents(spark, sf_dir).selectExpr("*", *MAIL_OF_DOCUMENT[1:2])
+        part = dated.filter(f"{hour} * {slices} div {HOURS} = {i}").drop("Date")
+        raw_mails(part).write.mode("append").parquet(folder)
+        # A slice is one batch, however many files it has.
+        stream = spark.readStream.schema("doc_id long, value string").options(
+            **streams.NO_AGE_LIMIT, maxFilesPerTrigger=1 << 30
+        )
+        for running in start(parse_mail(stream.parquet(folder))):
+            _finish(running)
 
 
 @query
 def stream_top_senders(spark, sf_dir):
-    out = scratch_dir(spark)
-    _finish(rankings.start_top_senders(_streamed(spark, sf_dir), out, scratch_dir(spark), trigger=ONCE))
+    out, checkpoint = scratch_dir(spark), scratch_dir(spark)
+    _in_slices(spark, sf_dir, lambda mails: [rankings.start_top_senders(mails, out, checkpoint, trigger=ONCE)], 2)
     return _ranking(sinks.latest_batch(spark, out))
 
 
@@ -478,21 +494,29 @@ def stream_top_senders_words(spark, sf_dir):
 @query
 def stream_top_words_window(spark, sf_dir):
     """Windows still open when the stream ends are not written."""
-    out = scratch_dir(spark)
-    stream = rankings.start_top_words(
-        _streamed(spark, sf_dir), out, scratch_dir(spark), event_time="Date", trigger=ONCE
-    )
-    _finish(stream)
+    return _top_words_in_slices(spark, sf_dir, 4)
+
+
+def _top_words_in_slices(spark, sf_dir, slices):
+    out, checkpoint = scratch_dir(spark), scratch_dir(spark)
+
+    def start(mails):
+        return [rankings.start_top_words(mails, out, checkpoint, event_time="Date", trigger=ONCE)]
+
+    _in_slices(spark, sf_dir, start, slices)
     return _window_text(spark.read.parquet(out))
 
 
 @query
 def stream_parquet_append(spark, sf_dir):
     """One Parquet output per analysis, each entry with its instant or window."""
-    out = scratch_dir(spark)
-    mails = _streamed(spark, sf_dir)
-    for stream in live.start_live_analyses(mails, out, scratch_dir(spark), trigger=ONCE, event_time="Date"):
-        _finish(stream)
+    out, checkpoint = scratch_dir(spark), scratch_dir(spark)
+    _in_slices(
+        spark,
+        sf_dir,
+        lambda mails: live.start_live_analyses(mails, out, checkpoint, trigger=ONCE, event_time="Date"),
+        2,
+    )
     sender_rows = sinks.latest_batch(spark, f"{out}/senders").select(
         F.concat("measure", F.when(F.col("instant").isNull(), " without instant").otherwise("")).alias("output"),
         F.col("sender").alias("entry"),
