@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -193,10 +194,13 @@ def test_replayed_batch_replaces_its_rows(spark, tmp_path):
     def update(check):
         mails = stream_mail(spark, f"{tmp_path}/in")
         run(rankings.start_top_senders(mails, out, check, trigger=ONCE))
-        return spark.read.parquet(out).count()
+        return spark.read.parquet(out).drop("instant").orderBy("batch_id", "measure", "rank").collect()
 
-    # A lost checkpoint makes the stream run batch 0 again.
-    assert update(f"{tmp_path}/check1") == update(f"{tmp_path}/check2")
+    first = update(f"{tmp_path}/check")
+    # A stream that fails before it has noted batch 0 as done runs it again.
+    uncommitted = shutil.ignore_patterns("commits")
+    shutil.copytree(f"{tmp_path}/check", f"{tmp_path}/check-before", ignore=uncommitted)
+    assert update(f"{tmp_path}/check-before") == first
 
 
 def test_late_mails_are_dropped_not_double_counted(spark, tmp_path):
