@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from mailgauge.functions import headers as H
 from mailgauge.functions.dates import date_from_parts, date_parts
 from mailgauge.functions.recipients import match_names, split_list
+from mailgauge.operators.relational import in_interval
 from mailgauge.schema import MAIL_COLUMNS
 
 ERROR_COLUMN = "_error"
@@ -75,8 +76,23 @@ def _lines(df: DataFrame, raw: str, keep: Sequence[str]) -> DataFrame:
     return _unfolded(df, raw, keep).selectExpr(*_q(keep), f"{lines} AS _lines")
 
 
+def _dated(located: DataFrame, keep: Sequence[str], between: tuple[str, str], zone_required: bool) -> DataFrame:
+    """The mails dated in the interval, told from the date line alone."""
+    line = f"get(_lines, _used[{H.FIELDS.index('Date')}] - 1)"
+    parts = located.withColumn("_parts", F.expr(date_parts(H.field_value(line), zone_required)))
+    when = parts.selectExpr(*_q(keep), "_lines", "_kinds", "_used", f"{date_from_parts('_parts')} AS _when")
+    once = _computed_once(when, ["_lines", "_kinds", "_used", "_when"])
+    return in_interval(once, *between, column="_when").drop("_when")
+
+
 def _fields(
-    df: DataFrame, raw: str, keep: Sequence[str], body: str, header_only: bool
+    df: DataFrame,
+    raw: str,
+    keep: Sequence[str],
+    body: str,
+    header_only: bool,
+    between: tuple[str, str] | None = None,
+    zone_required: bool = True,
 ) -> DataFrame:
     if body not in ("joined", "lines"):
         raise ValueError(f"body must be 'joined' or 'lines', not {body!r}")
@@ -90,13 +106,15 @@ def _fields(
     values = [f"{H.field_value(f'get(_lines, _used[{i}] - 1)')} AS `{f}`" for i, f in enumerate(H.FIELDS)]
     in_body = "get(_kinds, i) = '' OR NOT array_contains(_used, i + 1)"
     separator = r"'\n'" if body == "lines" else "''"
-    return (
+    located = (
         _lines(df, raw, keep)
         .selectExpr(*_q(keep), "_lines", f"transform(_lines, line -> {H.line_kind('line')}) AS _kinds")
         .selectExpr(*_q(keep), "_lines", "_kinds", f"array({', '.join(found)}) AS _used")
-        .selectExpr(
-            *_q(keep), *values, f"array_join(filter(_lines, (line, i) -> {in_body}), {separator}) AS Body"
-        )
+    )
+    if between:
+        located = _dated(located, keep, between, zone_required)
+    return located.selectExpr(
+        *_q(keep), *values, f"array_join(filter(_lines, (line, i) -> {in_body}), {separator}) AS Body"
     )
 
 
@@ -156,14 +174,17 @@ def parse_mail(
     body: str = "joined",
     header_only: bool = False,
     zone_required: bool = True,
+    between: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Parse a column of raw mails into the mail table.
 
     Adds ``_error``, the list of what is wrong with the mail (empty when all
     is well); nothing a mail contains can fail the job.  ``keep`` names input
-    columns to carry along.
+    columns to carry along.  ``between`` is an interval of dates, bounds
+    outside as in ``in_interval``: body and recipients of other mails, and of those without a
+    readable date, are never put together, and such mails are not returned.
     """
-    fields = _fields(df, raw, keep, body, header_only)
+    fields = _fields(df, raw, keep, body, header_only, between, zone_required)
     dated = fields.withColumn("Date", F.expr(date_parts("Date", zone_required)))
     mail = with_recipients(dated).selectExpr(
         *_q(keep),

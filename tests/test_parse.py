@@ -180,6 +180,18 @@ def test_quarantine(spark):
     assert sorted(r.n for r in strict.collect()) == [0, 1, 2]
 
 
+def test_interval_before_the_body_is_put_together(spark):
+    dates = ["Mon, 1 Jan 2001", "Tue, 2 Jan 2001", "Wed, 3 Jan 2001", "never"]
+    raws = [HEAD.replace("Mon, 9 Oct 2000", d) + "\nbody" for d in dates]
+    frame = spark.createDataFrame(list(enumerate(raws)), "n int, value string")
+    early = parse_mail(frame, keep=["n"], between=("2001-01-02", "2001-01-04"))
+    late = in_interval(parse_mail(frame, keep=["n"]), "2001-01-02", "2001-01-04")
+    assert sorted(early.collect()) == sorted(late.collect()) and early.count() == 2
+    plan = early._jdf.queryExecution().optimizedPlan().toString()
+    body, interval = plan.index("AS Body"), plan.index("Filter")
+    assert body < interval  # a plan is printed from the top
+
+
 @pytest.mark.parametrize(
     "text, expected",
     [

@@ -117,8 +117,8 @@ def avg_stored_mail_by_sender(spark, sf_dir):
 @query
 def avg_raw_mail_by_sender(spark, sf_dir):
     """From raw mails to averages in one job."""
-    mails = parse_mail(raw_document_mails(spark, sf_dir))
-    return A.averages_by_sender(A.mail_lengths(in_interval(mails, LOW, HIGH)))
+    mails = parse_mail(raw_document_mails(spark, sf_dir), between=(LOW, HIGH))
+    return A.averages_by_sender(A.mail_lengths(mails))
 
 
 @query
