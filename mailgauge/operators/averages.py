@@ -87,15 +87,37 @@ def top_words_by_window(counts: DataFrame, n: int = 5) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= n)
 
 
-def top_senders(totals: DataFrame, n: int = 5) -> DataFrame:
-    """Both rankings of ``sender_totals``: measure (mails, words), rank, sender, total.
+def totals_by_measure(totals: DataFrame) -> DataFrame:
+    """sender, measure (mails, words), total from ``sender_totals``."""
+    return totals.select("sender", F.expr("stack(2, 'mails', mails, 'words', words) AS (measure, total)"))
+
+
+def rank_by_measure(rows: DataFrame, n: int = 5) -> DataFrame:
+    """measure, rank, sender, total: the n largest totals of each measure, ties broken by sender.
 
-    One pass over the totals; again only n rows per measure and task are shipped.
+    Again only n rows per measure and task are shipped.
     """
     best = Window.partitionBy("measure").orderBy(F.desc("total"), F.asc("sender"))
     return (
-        totals.select("sender", F.expr("stack(2, 'mails', mails, 'words', words) AS (measure, total)"))
-        .withColumn("rank", F.row_number().over(best))
+        rows.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= n)
         .select("measure", "rank", "sender", "total")
     )
+
+
+def top_senders(totals: DataFrame, n: int = 5) -> DataFrame:
+    """Both rankings of ``sender_totals`` in one pass over the totals."""
+    return rank_by_measure(totals_by_measure(totals), n)
+
+
+def updated_top_senders(changed: DataFrame, previous: DataFrame | None, n: int = 5) -> DataFrame:
+    """The rankings after some senders' totals have grown, from those senders and the rankings before.
+
+    Totals never fall, so nobody else can enter.  A sender may stand in both,
+    with an old total: among the 2 n largest are the n largest senders.
+    """
+    rows = totals_by_measure(changed)
+    if previous is None:
+        return rank_by_measure(rows, n)
+    both = rank_by_measure(rows.unionByName(previous.select("sender", "measure", "total")), 2 * n)
+    return rank_by_measure(both.groupBy("measure", "sender").agg(F.max("total").alias("total")), n)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from mailgauge.operators.averages import sender_totals, top_senders, top_words_by_window, windowed_words
+from mailgauge.operators.averages import sender_totals, top_words_by_window, updated_top_senders, windowed_words
 from mailgauge.streaming.sinks import start_appending
 
 
@@ -21,13 +21,15 @@ def start_top_senders(
     """After every micro-batch, the top senders over all mails so far.
 
     By mails and by words, from one aggregation whose state is a row per
-    sender.  Writes instant, measure, rank, sender, total (and batch_id).
+    sender; only the senders of the batch and the ranking before it are
+    ranked.  Writes instant, measure, rank, sender, total (and batch_id).
     """
 
-    def ranked(totals: DataFrame) -> DataFrame:
-        return top_senders(totals, n).select(F.current_timestamp().alias("instant"), "*")
+    def ranked(changed: DataFrame, previous: DataFrame | None) -> DataFrame:
+        return updated_top_senders(changed, previous, n).select(F.current_timestamp().alias("instant"), "*")
 
-    return start_appending(sender_totals(mails, lines_kept), path, checkpoint, ranked, "complete", trigger)
+    totals = sender_totals(mails, lines_kept)
+    return start_appending(totals, path, checkpoint, ranked, "update", trigger, with_previous=True)
 
 
 def start_top_words(

@@ -37,21 +37,31 @@ def start_appending(
     stream: DataFrame,
     path: str,
     checkpoint: str,
-    result: Callable[[DataFrame], DataFrame],
+    result: Callable[..., DataFrame],
     mode: str,
     trigger: dict | None = None,
+    with_previous: bool = False,
 ) -> StreamingQuery:
     """Append ``result(batch)`` of every micro-batch to a Parquet directory.
 
     A batch owns the sub-directory ``batch_id=<n>`` and overwrites it when it
     is run again after a failure, so a replay leaves no row twice.  Batches
     of one checkpoint only lie in a directory: a new checkpoint needs a new one.
+    ``with_previous=True`` also hands ``result`` what the batch before wrote,
+    None for the first; a replayed batch is given the same.
     """
     if exists(stream.sparkSession, path) and not exists(stream.sparkSession, f"{checkpoint.rstrip('/')}/metadata"):
         raise ValueError(f"{path} holds the batches of another checkpoint than {checkpoint}")
 
+    def directory(batch_id: int) -> str:
+        return f"{path.rstrip('/')}/batch_id={batch_id}"
+
+    def before(spark: SparkSession, batch_id: int) -> DataFrame | None:
+        return spark.read.parquet(directory(batch_id - 1)) if batch_id else None
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        result(batch).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+        rows = result(batch, before(batch.sparkSession, batch_id)) if with_previous else result(batch)
+        rows.write.mode("overwrite").parquet(directory(batch_id))
 
     writer = (
         stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
@@ -59,6 +69,11 @@ def start_appending(
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
+def start_updates(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """What ``start_console`` prints, stored: the rows of each micro-batch in update mode."""
+    return start_appending(stream, path, checkpoint, lambda batch: batch, "update", trigger)
+
+
 def latest_batch(spark: SparkSession, path: str) -> DataFrame:
     """The rows of the last micro-batch written by ``start_appending``."""
     rows = spark.read.parquet(path)

@@ -63,6 +63,16 @@ def test_a_new_checkpoint_needs_a_new_directory(spark, tmp_path):
         start("other")
 
 
+@pytest.mark.parametrize("per_batch", [1, 3, 100])
+def test_rankings_from_changed_senders_equal_those_of_all(spark, tmp_path, per_batch):
+    write_mails(f"{tmp_path}/in", range(9))
+    mails = stream_mail(spark, f"{tmp_path}/in", maxFilesPerTrigger=per_batch)
+    run(rankings.start_top_senders(mails, f"{tmp_path}/out", f"{tmp_path}/check", n=2, trigger=ONCE))
+    whole = A.top_senders(A.sender_totals(read_mail(spark, f"{tmp_path}/in")), n=2)
+    latest = sinks.latest_batch(spark, f"{tmp_path}/out").select(whole.columns)
+    assert rows(latest) == rows(whole)
+
+
 def test_old_files_are_read_too(spark, tmp_path):
     """Files copied with their times kept: years older than what the stream has seen."""
     write_mails(f"{tmp_path}/in", range(2))

@@ -311,3 +311,4 @@ ORACLES: dict[str, str] = {
         UNION ALL
         SELECT window_start, word, rank, count FROM ({_STREAM_WORDS})""",
 }
+ORACLES["stream_lines_update"] = ORACLES["stream_lines"]

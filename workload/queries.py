@@ -444,6 +444,20 @@ def stream_lines(spark, sf_dir):
     return spark.read.schema("value string").parquet(out)
 
 
+@query
+def stream_lines_update(spark, sf_dir):
+    """The same lines in update mode, batch by batch, as the console would show them."""
+
+    def write(path):
+        table(spark, sf_dir, "documents").select("text").write.text(path)
+        return path
+
+    lines = streams.stream_lines(spark, staged(spark, sf_dir, "lines", write))
+    out = scratch_dir(spark)
+    _finish(sinks.start_updates(lines, out, scratch_dir(spark), ONCE))
+    return spark.read.schema("value string").parquet(out).select("value")
+
+
 @query
 def stream_mail(spark, sf_dir):
     """One mail per file, streamed, parsed and appended to a stored table."""
