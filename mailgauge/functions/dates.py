@@ -16,35 +16,51 @@ _MONTH = (
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 _MAIL_DATE = (
     rf"(?i)\A[ \t]*{_DAY}, +(-?\d+) +{_MONTH} +(-?\d+)"
-    r" +(-?\d+):(-?\d+):(-?\d+) +([+-])(\d{2})(\d{2})"
+    r" +(-?\d+):(-?\d+):(-?\d+) +([+-])([01]\d|2[0-3])([0-5]\d)"
 )
-_ZONE = r" +\([^()\n]+\)"
+_ZONE = r" +\(([^()\n]+)\)"
+
+# Zone names, and minutes ahead of UTC.
+ZONE_OFFSETS = {
+    "UTC": 0, "GMT": 0, "WET": 0, "WEST": 60, "CET": 60, "CEST": 120, "EET": 120, "EEST": 180, "MSK": 180, "JST": 540,
+    "NST": -210, "NDT": -150, "AST": -240, "ADT": -180, "EST": -300, "EDT": -240, "CST": -360, "CDT": -300,
+    "MST": -420, "MDT": -360, "PST": -480, "PDT": -420, "AKST": -540, "AKDT": -480, "HST": -600,
+}
+ZONES = ("offset", "name")
 
 
 def date_parts(value: str, zone_required: bool = True) -> str:
-    """Day, month name, year, hour, minute, second, sign, offset hours and minutes.
+    """Day, month name, year, hour, minute, second, sign, offset hours and minutes, zone name.
 
-    Null when the text has another form.  The zone name in brackets has to be
-    there unless ``zone_required=False``.
+    Null when the text has another form, or an offset beyond 23:59.  The zone
+    name in brackets has to be there unless ``zone_required=False``.
     """
     pattern = _MAIL_DATE + (_ZONE if zone_required else "")
     found = f"CASE WHEN {value} RLIKE r'{pattern}' THEN {value} END"
-    return f"split(regexp_replace({found}, r'{_MAIL_DATE}(?s:.*)', '$1,$2,$3,$4,$5,$6,$7,$8,$9'), ',')"
+    whole = f"{_MAIL_DATE}(?:{_ZONE})?(?s:.*)"
+    return f"split(regexp_replace({found}, r'{whole}', '$1,$2,$3,$4,$5,$6,$7,$8,$9,$10'), ',', 10)"
 
 
-def date_from_parts(parts: str) -> str:
-    """Instant for ``date_parts``, which should be a column as it is used nine times.
+def date_from_parts(parts: str, zone: str = "offset") -> str:
+    """Instant for ``date_parts``, which should be a column as it is used ten times.
 
     Out-of-range numbers roll over: 31 Feb is 3 Mar, 25:00:00 is one o'clock
     on the next day.  What is beyond any timestamp is null.  The numeric
-    offset is what counts, not the zone's name.
+    offset counts (``zone="offset"``), or the name behind it
+    (``zone="name"``): then a date with a name not in ZONE_OFFSETS is null.
     """
+    if zone not in ZONES:
+        raise ValueError(f"zone must be one of {ZONES}, not {zone!r}")
 
     def number(i: int) -> str:
         return f"try_cast({parts}[{i}] AS INT)"
 
     month = f"CAST((instr('{_MONTHS}', lower(left({parts}[1], 3))) + 2) / 3 AS INT)"
-    offset = f"({number(7)} * 60 + {number(8)}) * if({parts}[6] = '-', -1, 1)"
+    if zone == "name":
+        known = ", ".join(f"'{name}', {minutes}" for name, minutes in ZONE_OFFSETS.items())
+        offset = f"try_element_at(map({known}), upper({parts}[9]))"
+    else:
+        offset = f"({number(7)} * 60 + {number(8)}) * if({parts}[6] = '-', -1, 1)"
     seconds = (
         f"(({number(0)} - 1L) * 86400 + {number(3)} * 3600L + ({number(4)} - 0L - {offset}) * 60 + {number(5)})"
     )
@@ -53,6 +69,6 @@ def date_from_parts(parts: str) -> str:
     return f"CASE WHEN abs({first} + {seconds}) < 9000000000000 THEN timestamp_seconds({first} + {seconds}) END"
 
 
-def mail_date(value: str, zone_required: bool = True) -> Column:
+def mail_date(value: str, zone_required: bool = True, zone: str = "offset") -> Column:
     """Instant of a mail date given as column name or SQL text, null when it has another form."""
-    return F.expr(date_from_parts(f"({date_parts(value, zone_required)})"))
+    return F.expr(date_from_parts(f"({date_parts(value, zone_required)})", zone))

@@ -76,11 +76,13 @@ def _lines(df: DataFrame, raw: str, keep: Sequence[str]) -> DataFrame:
     return _unfolded(df, raw, keep).selectExpr(*_q(keep), f"{lines} AS _lines")
 
 
-def _dated(located: DataFrame, keep: Sequence[str], between: tuple[str, str], zone_required: bool) -> DataFrame:
+def _dated(
+    located: DataFrame, keep: Sequence[str], between: tuple[str, str], zone_required: bool, zone: str
+) -> DataFrame:
     """The mails dated in the interval, told from the date line alone."""
     line = f"get(_lines, _used[{H.FIELDS.index('Date')}] - 1)"
     parts = located.withColumn("_parts", F.expr(date_parts(H.field_value(line), zone_required)))
-    when = parts.selectExpr(*_q(keep), "_lines", "_kinds", "_used", f"{date_from_parts('_parts')} AS _when")
+    when = parts.selectExpr(*_q(keep), "_lines", "_kinds", "_used", f"{date_from_parts('_parts', zone)} AS _when")
     once = _computed_once(when, ["_lines", "_kinds", "_used", "_when"])
     return in_interval(once, *between, column="_when").drop("_when")
 
@@ -93,6 +95,7 @@ def _fields(
     header_only: bool,
     between: tuple[str, str] | None = None,
     zone_required: bool = True,
+    zone: str = "offset",
 ) -> DataFrame:
     if body not in ("joined", "lines"):
         raise ValueError(f"body must be 'joined' or 'lines', not {body!r}")
@@ -112,7 +115,7 @@ def _fields(
         .selectExpr(*_q(keep), "_lines", "_kinds", f"array({', '.join(found)}) AS _used")
     )
     if between:
-        located = _dated(located, keep, between, zone_required)
+        located = _dated(located, keep, between, zone_required, zone)
     return located.selectExpr(
         *_q(keep), *values, f"array_join(filter(_lines, (line, i) -> {in_body}), {separator}) AS Body"
     )
@@ -175,6 +178,7 @@ def parse_mail(
     header_only: bool = False,
     zone_required: bool = True,
     between: tuple[str, str] | None = None,
+    zone: str = "offset",
 ) -> DataFrame:
     """Parse a column of raw mails into the mail table.
 
@@ -183,13 +187,14 @@ def parse_mail(
     columns to carry along.  ``between`` is an interval of dates, bounds
     outside as in ``in_interval``: body and recipients of other mails, and of those without a
     readable date, are never put together, and such mails are not returned.
+    ``zone`` tells whether a date's offset or its zone name counts (see ``date_from_parts``).
     """
-    fields = _fields(df, raw, keep, body, header_only, between, zone_required)
+    fields = _fields(df, raw, keep, body, header_only, between, zone_required, zone)
     dated = fields.withColumn("Date", F.expr(date_parts("Date", zone_required)))
     mail = with_recipients(dated).selectExpr(
         *_q(keep),
         "`Message-ID` AS ID",
-        f"{date_from_parts('Date')} AS Date",
+        f"{date_from_parts('Date', zone)} AS Date",
         "From",
         "Recipients",
         "Subject",

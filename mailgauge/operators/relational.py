@@ -63,6 +63,21 @@ def order_by_date(df: DataFrame, then_by: Sequence[str | Column] = ("ID",)) -> D
     return df.orderBy("Date", *then_by, *position).drop(*position)
 
 
+def query_view(df: DataFrame, query: str, view: str) -> DataFrame:
+    """SQL over a frame that goes by the name ``view`` in it; the view is gone afterwards.
+
+    The name must not be that of a view the session has: that one would be replaced.
+    """
+    spark = df.sparkSession
+    if spark.catalog.tableExists(view):
+        raise ValueError(f"there is a table or view {view} already")
+    df.createTempView(view)
+    try:
+        return spark.sql(query)
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def top_n(df: DataFrame, measure: str, key: str, n: int = 5) -> DataFrame:
     """The n rows with the largest measure, ties broken by key.
 

@@ -32,8 +32,8 @@ def ingest_stream(
     """Keep appending the mails of a growing directory to a stored table, each once.
 
     Mails and quarantine are kept apart as in ``store_parsed``; read them with
-    ``load_parsed``.  With ``trigger={"availableNow": True}`` and ``maxFilesPerTrigger`` it is also the
-    way to load a directory too large to be listed and parsed in one job.
+    ``load_parsed``.  Every batch lists the directory anew on the driver: give very many files dated
+    directories of their own, or let read ones be moved away (``cleanSource``).
     """
     parsed = stream_mail(spark, directory, True, parse_options, **options)
     return start_parquet(mark_valid(parsed), path, checkpoint, trigger, ["valid"])

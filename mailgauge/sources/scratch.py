@@ -52,7 +52,7 @@ def remove(landed: DataFrame) -> None:
     for path in {file.rpartition("/")[0] for file in landed.inputFiles()}:
         name = path.rpartition("/")[2]
         for known in [p for p in _landed if p.endswith(name)]:
-            _delete(landed.sparkSession, known)
+            delete(landed.sparkSession, known)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -62,7 +62,8 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(context._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or directory with all in it, in any file system that Spark reads."""
     context = spark.sparkContext
     hadoop = context._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(context._jsc.hadoopConfiguration()).delete(hadoop, True)
@@ -72,4 +73,4 @@ def _delete(spark: SparkSession, path: str) -> None:
 def _remove_all(spark: SparkSession) -> None:
     if spark.sparkContext._jsc is not None:  # a stopped session leaves its tables to whoever owns the folder
         for path in list(_landed):
-            _delete(spark, path)
+            delete(spark, path)

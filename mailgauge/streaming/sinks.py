@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from mailgauge.sources.scratch import exists
+from mailgauge.sources.scratch import delete, exists
 
 
 def start_console(stream: DataFrame, truncate: bool = True, trigger: dict | None = None) -> StreamingQuery:
@@ -48,7 +48,8 @@ def start_appending(
     is run again after a failure, so a replay leaves no row twice.  Batches
     of one checkpoint only lie in a directory: a new checkpoint needs a new one.
     ``with_previous=True`` also hands ``result`` what the batch before wrote,
-    None for the first; a replayed batch is given the same.
+    None if it wrote nothing; a replayed batch is given the same.  Batches
+    without rows leave no directory, but for the first, which has the schema.
     """
     if exists(stream.sparkSession, path) and not exists(stream.sparkSession, f"{checkpoint.rstrip('/')}/metadata"):
         raise ValueError(f"{path} holds the batches of another checkpoint than {checkpoint}")
@@ -57,11 +58,15 @@ def start_appending(
         return f"{path.rstrip('/')}/batch_id={batch_id}"
 
     def before(spark: SparkSession, batch_id: int) -> DataFrame | None:
-        return spark.read.parquet(directory(batch_id - 1)) if batch_id else None
+        last = directory(batch_id - 1)
+        return spark.read.parquet(last) if batch_id and exists(spark, last) else None
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = result(batch, before(batch.sparkSession, batch_id)) if with_previous else result(batch)
         rows.write.mode("overwrite").parquet(directory(batch_id))
+        # What was written is looked at, as the batch itself would be computed again.
+        if batch_id and batch.sparkSession.read.schema(rows.schema).parquet(directory(batch_id)).isEmpty():
+            delete(batch.sparkSession, directory(batch_id))
 
     writer = (
         stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)

@@ -201,6 +201,9 @@ def test_interval_before_the_body_is_put_together(spark):
         ("Tue, 99999999999999999999 Mar 2003 18:05:30 +0100 (CET)", None),
         ("Tue, 2000000000 Mar 2003 18:05:30 +0100 (CET)", None),
         ("Mon, 1 Jan 2001 00:00:00 +0130 (XYZ)", utc(2000, 12, 31, 22, 30)),
+        ("Mon, 1 Jan 2001 00:00:00 +2359 (XYZ)", utc(2000, 12, 31, 0, 1)),
+        ("Mon, 1 Jan 2001 00:00:00 +2400 (XYZ)", None),
+        ("Mon, 1 Jan 2001 00:00:00 -0160 (XYZ)", None),
         ("monday, 01 JANUARY 2001 1:2:3 +0000 (GMT)", utc(2001, 1, 1, 1, 2, 3)),
         ("Wed, 31 Feb 2001 25:00:61 +0000 (GMT)", utc(2001, 3, 4, 1, 1, 1)),
         ("Mon, 31 Dec 1979 16:00:00 -0800 (PST)", utc(1980, 1, 1)),
@@ -216,6 +219,22 @@ def test_dates(spark, text, expected):
     assert row.Date == expected
 
 
+@pytest.mark.parametrize(
+    "zone, expected",
+    [
+        ("-0500 (PDT)", utc(2001, 6, 1, 19, 30)),
+        ("+0200 (gmt)", utc(2001, 6, 1, 12, 30)),
+        ("+0000 (EST)", utc(2001, 6, 1, 17, 30)),
+        ("-0700 (a, b)", None),
+        ("-9900 (PDT)", None),
+        ("-0700", None),
+    ],
+)
+def test_zone_name_counts_when_asked(spark, zone, expected):
+    text = HEAD.replace("Mon, 9 Oct 2000 07:16:00 -0700 (PDT)", f"Fri, 1 Jun 2001 12:30:00 {zone}") + "\n"
+    assert parsed(spark, text, zone="name").Date == expected
+
+
 def test_date_without_zone_name_when_allowed(spark):
     row = parsed(spark, HEAD.replace(" (PDT)", "") + "\n", zone_required=False)
     assert row.Date == utc(2000, 10, 9, 14, 16)

@@ -237,3 +237,14 @@ def test_malformed_mail_does_not_stop_a_stream(spark, tmp_path):
     written = spark.read.parquet(f"{tmp_path}/out")
     assert written.filter("size(_error) = 0").count() == 2
     assert written.filter("size(_error) > 0").count() == 2
+
+
+def test_batches_without_rows_leave_no_directory(spark, tmp_path):
+    out, check = f"{tmp_path}/out", f"{tmp_path}/check"
+    for numbers in (range(2), range(2, 4)):  # all in the window that stays open
+        write_mails(f"{tmp_path}/in", numbers)
+        mails = stream_mail(spark, f"{tmp_path}/in")
+        run(rankings.start_top_words(mails, out, check, event_time="Date", trigger=ONCE))
+    assert [d for d in os.listdir(out) if d.startswith("batch_id=")] == ["batch_id=0"]
+    assert spark.read.parquet(out).columns == ["window", "rank", "word", "count", "batch_id"]
+    assert spark.read.parquet(out).count() == 0

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from mailgauge.functions.tokens import word_count, words
 from mailgauge.operators import averages as A
-from mailgauge.operators.relational import append_mail, in_interval, order_by_date, top_n
+from mailgauge.operators.relational import append_mail, in_interval, order_by_date, query_view, top_n
 from mailgauge.plans.ingest import ingest_directories
 from mailgauge.plans.reports import report_averages, report_averages_by_sender
 from mailgauge.schema import MAIL_SCHEMA, READ_SCHEMA, to_mail_schema
@@ -340,3 +340,13 @@ def test_scratch_on_a_cluster_is_the_shared_folder():
     assert scratch_dir(ClusterSession("hdfs:///shared/")).startswith("hdfs:///shared/")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(ClusterSession(None))
+
+
+def test_a_view_is_gone_after_its_query(spark, mails):
+    found = query_view(mails, "SELECT ID FROM sent WHERE Subject IS NULL", "sent")
+    assert not spark.catalog.tableExists("sent")
+    assert [r.ID for r in found.collect()] == ["<3>"]
+    mails.createTempView("taken")
+    with pytest.raises(ValueError):
+        query_view(mails, "SELECT * FROM taken", "taken")
+    spark.catalog.dropTempView("taken")

@@ -9,9 +9,10 @@ forms a raw mail takes follows from its number:
 * ``% 4 = 2``: address headers run over several lines;
 * ``% 7 = 1``: Cc, and a Bcc that repeats it;
 * ``% 9 = 4``: the subject runs over two lines;
+* ``% 11 = 6``: the zone's name in the date is none;
 * ``% 8 = 3``: the body quotes another mail with headers, a noise line, and an indented one that is none.
 
-With ``damaged=True`` also ``% 13 = 5`` an unreadable date, ``% 17 = 3`` no
+With ``damaged=True`` also ``% 13 = 5`` an unreadable date or an offset out of range, ``% 17 = 3`` no
 sender and ``% 19 = 7`` no id.
 """
 
@@ -92,10 +93,12 @@ def raw_mails(rows: DataFrame, damaged: bool = False) -> DataFrame:
     """doc_id and ``value``, the mail as it would stand in a file.  Batch or stream."""
     date = """concat(
       date_format(Date - make_dt_interval(0, if(doc_id % 3 = 0, 8, 7)), 'E, d MMM yyyy HH:mm:ss'),
-      if(doc_id % 3 = 0, ' -0800 (PST)', ' -0700 (PDT)'))"""
+      CASE WHEN doc_id % 3 = 0 THEN ' -0800 (PST)' WHEN doc_id % 11 = 6 THEN ' -0700 (Local)'
+           ELSE ' -0700 (PDT)' END)"""
     no_id = no_from = "false"
     if damaged:
-        date = f"if(doc_id % 13 = 5, 'yesterday', {date})"
+        bad = "if(doc_id % 2 = 0, 'yesterday', 'Tue, 4 Jul 2000 10:00:00 -9900 (PDT)')"
+        date = f"if(doc_id % 13 = 5, {bad}, {date})"
         no_id, no_from = "doc_id % 19 = 7", "doc_id % 17 = 3"
     # concat_ws leaves out what is null.
     value = rf"""concat_ws('\n',

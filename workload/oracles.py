@@ -260,6 +260,9 @@ ORACLES: dict[str, str] = {
     "mail_body": f'{_PARSED} SELECT "ID", joined_body AS "Body" FROM matched',
     "mail_date": f"""{_with(MAIL)}
         SELECT "ID", strftime("Date", '%Y-%m-%d %H:%M:%S') AS "Date" FROM mail""",
+    "mail_date_by_name": f"""{_with(MAIL)}
+        SELECT "ID", CASE WHEN doc_id % 3 = 0 OR (doc_id % 7 <> 2 AND doc_id % 11 <> 6) THEN strftime("Date", '%Y-%m-%d %H:%M:%S') END AS "Date"
+        FROM mail""",
     "header_unfold": f"""{_PARSED}
         SELECT doc_id,
                CASE WHEN has_to THEN 'To: ' || {_folded('"Recipients"', _CLEAN_FOLD)} ELSE '' END AS to_line,

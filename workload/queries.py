@@ -21,7 +21,7 @@ from mailgauge.operators.parse import (
     unfold_header,
     with_recipients,
 )
-from mailgauge.operators.relational import append_mail, in_interval, order_by_date, top_n, with_features
+from mailgauge.operators.relational import append_mail, in_interval, order_by_date, query_view, top_n, with_features
 from mailgauge.plans import ingest, live, reports
 from mailgauge.schema import to_mail_schema
 from mailgauge.sources.documents import read_json_document, store_json_document, store_json_lines
@@ -210,14 +210,15 @@ def order_by_date_(spark, sf_dir):
 
 @query
 def sql_over_view(spark, sf_dir):
-    A.mail_lengths(document_mails(spark, sf_dir)).createOrReplaceTempView("mail_lengths")
-    return spark.sql(
+    return query_view(
+        A.mail_lengths(document_mails(spark, sf_dir)),
         """
         SELECT `From` AS sender, min(WordCount) AS shortest, max(WordCount) AS longest, count(*) AS mails
         FROM mail_lengths
         WHERE RecipientsCount > 1
         GROUP BY `From`
-        """
+        """,
+        "mail_lengths",
     ).select(
         "sender", F.col("shortest").cast("bigint").alias("shortest"),
         F.col("longest").cast("bigint").alias("longest"), "mails",
@@ -311,6 +312,17 @@ def mail_date_(spark, sf_dir):
     )
 
 
+@query
+def mail_date_by_name(spark, sf_dir):
+    """Names that contradict the offset win; an unknown name is no date."""
+    raw = raw_document_mails(spark, sf_dir).selectExpr(
+        "doc_id",
+        r"""replace(CASE WHEN doc_id % 7 = 2 THEN replace(value, '-0700 (PDT)', '-0700 (XYZ)') ELSE value END,
+                    '-0800 (PST)', '+0200 (pst)') AS value""",
+    )
+    return parse_mail(raw, zone="name").select("ID", as_text())
+
+
 @query
 def header_unfold(spark, sf_dir):
     """To and X-To lines after unfolding, blanks not cleaned yet."""
