@@ -125,11 +125,14 @@ def train_language_model(
     place = {name: i for i, name in enumerate(languages)}
     matrix = np.full((BUCKETS, len(languages)), smoothing)
     prior = np.zeros(len(languages))
-    for r in counts.collect():
-        if r.bucket < 0:
-            prior[place[r.lang]] = r.n
-        else:
-            matrix[r.bucket, place[r.lang]] += r.n
+    # As arrays: rows as Python objects take many times the memory.
+    for batch in counts.toArrow().to_batches():
+        names = batch.column("lang").dictionary_encode()
+        own = np.array([place[name] for name in names.dictionary.to_pylist()], dtype=np.int64)
+        column = own[names.indices.to_numpy()]
+        bucket, n = batch.column("bucket").to_numpy(), batch.column("n").to_numpy()
+        prior[column[bucket < 0]] = n[bucket < 0]
+        matrix[bucket[bucket >= 0], column[bucket >= 0]] += n[bucket >= 0]
     with np.errstate(divide="ignore"):
         log_prior = np.log(prior / prior.sum()) if languages else prior
     return LanguageModel(languages, log_prior, np.log(matrix / matrix.sum(axis=0)))
