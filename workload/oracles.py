@@ -149,7 +149,8 @@ _RAW_LINES = f"""
   list_filter([
     'Message-ID: ' || "ID",
     'Date: ' || strftime("Date" - to_hours(CASE WHEN doc_id % 3 = 0 THEN 8 ELSE 7 END), '%a, %-d %b %Y %H:%M:%S')
-             || CASE WHEN doc_id % 3 = 0 THEN ' -0800 (PST)' ELSE ' -0700 (PDT)' END,
+             || CASE WHEN doc_id % 3 = 0 THEN ' -0800 (PST)' WHEN doc_id % 11 = 6 THEN ' -0700 (Local)'
+                     ELSE ' -0700 (PDT)' END,
     'From: ' || "From",
     CASE WHEN has_to THEN 'To: ' || {_folded('"Recipients"', _FOLD)} END,
     'Subject: ' || "Subject",
