@@ -36,6 +36,14 @@ NOISE = 64
 BATCH = 2048
 RATE = 0.1
 SEED = 20
+# Tokens of a training shard, and of the stretches that a longer text is cut into.
+SHARD_TOKENS = 1 << 20
+STRETCH = 1 << 16
+# Texts outside training that tell when to stop: one of so many, and no more than about so many tokens.
+FOLD = 16
+FOLD_TOKENS = 1 << 17
+# Training ends when a round adds less than this share of what was gained so far.
+SETTLED = 0.01
 # Words a task gathers before it sends their counts on.
 GATHERED = 1 << 20
 
@@ -228,54 +236,198 @@ def symbol_shares(lexicon: Lexicon) -> np.ndarray:
     return shares / shares.sum()
 
 
-def train_bilinear(docs: DataFrame, lexicon: Lexicon, text: str = "text", rounds: int = 1) -> BilinearModel:
-    """The model after each task has gone over its texts, parameters averaged by tokens.
+def _streams(texts: pa.Array, keys: np.ndarray, lexicon: Lexicon) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(key, number, stream) of the stretches of each text.
 
-    Every token of every text is learned from.  All tasks begin a round at the same
-    parameters.  One number per parameter and task is shuffled, one per
-    parameter reaches the driver.
+    A stream holds the two places before a stretch as their complements, then its tokens.
+    """
+    row, tokens, before, earlier, _, _ = sequences(texts, lexicon)
+    ends = np.searchsorted(row, np.arange(len(texts) + 1))
+    for text, key in enumerate(keys.tolist()):
+        for number, at in enumerate(range(ends[text], ends[text + 1], STRETCH)):
+            stop = min(at + STRETCH, ends[text + 1])
+            yield key, number, np.concatenate([[~earlier[at], ~before[at]], tokens[at:stop]])
+
+
+def _read_stream(stream: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(token, word before, word before that) of streams put together."""
+    marked = np.frombuffer(stream, dtype=np.int16).astype(np.int64)
+    plain = np.where(marked < 0, ~marked, marked)
+    at = np.flatnonzero(marked >= 0)
+    return plain[at], plain[at - 1], plain[at - 2]
+
+
+_HELD_OUT = -1
+
+
+def training_shards(docs: DataFrame, lexicon: Lexicon, text: str, shard_tokens: int, fold_tokens: int) -> tuple[DataFrame, int]:
+    """turn, shard, stream: one row per shard of about ``shard_tokens`` tokens, stored by turn; and the number of turns.
+
+    A text's shard depends on its columns alone, and so does its place in it.
+    Turns and shards of a turn grow alike, with the square root of the
+    corpus.  Turn and shard _HELD_OUT are the fold that tells when to stop.
+    """
+    shards = max(1, round(lexicon.tokens / shard_tokens))
+    turns = int(np.ceil(np.sqrt(shards)))
+    fold = max(FOLD, -(-lexicon.tokens // fold_tokens))
+    spread = docs.sparkSession.sparkContext.broadcast(lexicon)
+    rows = docs.select(F.xxhash64(*[F.col(c) for c in docs.columns]).alias("key"), F.col(text).alias("text"))
+
+    def prepare():
+        lexicon = spread.value
+
+        def work(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            found = list(_streams(piece.column(1), piece.column(0).to_numpy(), lexicon))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "key": pa.array([key for key, _, _ in found], pa.int64()),
+                    "number": pa.array([number for _, number, _ in found], pa.int32()),
+                    "stream": pa.array([stream.astype(np.int16).tobytes() for *_, stream in found], pa.binary()),
+                }
+            )
+
+        return work
+
+    encoded = map_texts(rows, "key long, number int, stream binary", prepare, "text")
+    dealt = F.xxhash64("key", "number", F.lit("shard"))
+    shard = F.when(F.pmod(F.xxhash64("key", "number", F.lit("fold")), F.lit(fold)) == 0, _HELD_OUT).otherwise(
+        F.pmod(dealt, F.lit(shards))
+    )
+
+    def join(keys, rows):
+        rows = rows.sort_by([("key", "ascending"), ("number", "ascending")])
+        stream = b"".join(rows.column("stream").to_pylist())
+        number = keys[0].as_py()
+        turn = number if number == _HELD_OUT else number % turns
+        return pa.table(
+            {"shard": pa.array([number], pa.int32()), "stream": pa.array([stream], pa.binary()), "turn": pa.array([turn], pa.int32())}
+        )
+
+    put = encoded.withColumn("shard", shard.cast("int")).groupBy("shard")
+    return land(put.applyInArrow(join, "shard int, stream binary, turn int"), by="turn"), turns
+
+
+class _State:
+    """A model with its learner: all that a round changes, as one array."""
+
+    def __init__(self, shares: np.ndarray, values: np.ndarray | None = None, seed=0):
+        self.model = BilinearModel(shares)
+        self.learner = NoiseContrast(self.model, shares, seed=seed)
+        if values is not None:
+            half = len(values) // 2
+            self.model.set_flat(values[:half])
+            at = half
+            for s in self.learner.squares:
+                s[...] = values[at : at + s.size].reshape(s.shape)
+                at += s.size
+
+    def values(self) -> np.ndarray:
+        return np.concatenate([self.model.flat(), *[s.ravel() for s in self.learner.squares]])
+
+    def learn(self, stream: bytes, seed) -> int:
+        """One pass over the tokens in an order of the seed; their number."""
+        tokens, before, earlier = _read_stream(stream)
+        order = np.random.default_rng(seed).permutation(len(tokens))
+        for at in range(0, len(tokens), BATCH):
+            chosen = order[at : at + BATCH]
+            self.learner.step(tokens[chosen], before[chosen], earlier[chosen])
+        return len(tokens)
+
+
+def _loss(model: BilinearModel, streams: list[bytes]) -> float:
+    """Mean negative log-probability of a token."""
+    near, far, normaliser = model.tables()
+    total, n = 0.0, 0
+    for stream in streams:
+        tokens, before, earlier = _read_stream(stream)
+        logs = near[before, tokens].astype(np.float64) + far[earlier, tokens] - normaliser[before, earlier]
+        total, n = total - logs.sum(), n + len(tokens)
+    return total / n
+
+
+def _train_round(shards: DataFrame, shares: np.ndarray, start: np.ndarray, number: int) -> np.ndarray:
+    """``start`` after each shard has been gone over from there, averaged by tokens."""
+    spread = shards.sparkSession.sparkContext.broadcast((shares, start))
+
+    class Train:
+        def __init__(self):
+            self.shares, self.start = spread.value
+            self.total, self.seen = np.zeros(len(self.start)), 0
+
+        def __call__(self, piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for shard, stream in zip(piece.column(0).to_pylist(), piece.column(1)):
+                seed = [SEED, number, shard]
+                state = _State(self.shares, self.start, seed)
+                n = state.learn(stream.as_buffer(), seed)
+                self.total += n * state.values()
+                self.seen += n
+            return iter(())
+
+        def finish(self) -> Iterator[pa.RecordBatch]:
+            if self.seen:
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "place": pa.array(np.arange(len(self.total), dtype=np.int32)),
+                        "value": pa.array(self.total),
+                        "weight": pa.array(np.full(len(self.total), float(self.seen))),
+                    }
+                )
+
+    parts = map_texts(shards.select("shard", "stream"), "place int, value double, weight double", Train, "stream")
+    averaged = parts.groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("value")).toArrow()
+    spread.unpersist()
+    if not averaged.num_rows:
+        return start
+    values = np.zeros(len(start))
+    values[averaged.column("place").to_numpy()] = averaged.column("value").to_numpy()
+    return values
+
+
+def train_bilinear(
+    docs: DataFrame,
+    lexicon: Lexicon,
+    text: str = "text",
+    shard_tokens: int = SHARD_TOKENS,
+    fold_tokens: int = FOLD_TOKENS,
+    settled: float = SETTLED,
+) -> BilinearModel:
+    """The model after rounds of training, each from the averaged parameters of the one before.
+
+    In a round, each shard of one turn is gone over from the same start, in
+    an order and with noise of its own; parameters and AdaGrad's sums are averaged by
+    tokens.  Shards are of a fixed size and by a hash of the row, whatever the files and partitions.
+    Rounds end when all turns have come and the loss on a hash fold, bounded in size and held by the
+    driver, has settled; then the fold is learned from as well, so every token of every text is.
+    As each round but the last must add a share of the gain, their number is bounded.
+    One number per parameter and task is shuffled, one per parameter reaches the driver.
     """
     shares = symbol_shares(lexicon)
-    model = BilinearModel(shares)
-    rows = docs.select(F.col(text).alias("text"))
-    for _ in range(rounds):
-        spread = docs.sparkSession.sparkContext.broadcast((lexicon, shares, model))
-
-        class Train:
-            def __init__(self):
-                self.lexicon, shares, start = spread.value
-                self.model = BilinearModel(shares)
-                self.model.set_flat(start.flat())
-                self.learner = NoiseContrast(self.model, shares)
-                self.seen = 0
-
-            def __call__(self, piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-                _, tokens, before, earlier, _, _ = sequences(piece.column(0), self.lexicon)
-                order = np.random.default_rng(SEED).permutation(len(tokens))
-                for at in range(0, len(tokens), BATCH):
-                    chosen = order[at : at + BATCH]
-                    self.learner.step(tokens[chosen], before[chosen], earlier[chosen])
-                self.seen += len(tokens)
-                return iter(())
-
-            def finish(self) -> Iterator[pa.RecordBatch]:
-                if self.seen:
-                    flat = self.model.flat()
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "place": pa.array(np.arange(len(flat), dtype=np.int32)),
-                            "value": pa.array(flat * self.seen),
-                            "weight": pa.array(np.full(len(flat), float(self.seen))),
-                        }
-                    )
-
-        parts = map_texts(rows, "place int, value double, weight double", Train, "text")
-        averaged = parts.groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("value")).toArrow()
-        if averaged.num_rows:
-            values = np.zeros(len(model.flat()))
-            values[averaged.column("place").to_numpy()] = averaged.column("value").to_numpy()
-            model.set_flat(values)
-    return model
+    if not lexicon.tokens:
+        return BilinearModel(shares)
+    shards, turns = training_shards(docs, lexicon, text, shard_tokens, fold_tokens)
+    fold = [bytes(r.stream) for r in shards.filter(F.col("turn") == _HELD_OUT).select("stream").collect()]
+    # Of a few texts none may be in the fold.
+    watched = fold or [bytes(r.stream) for r in shards.select("stream").limit(1).collect()]
+    state = _State(shares)
+    values = state.values()
+    losses = [_loss(state.model, watched)]
+    best = reached = values
+    number = 0
+    while True:
+        reached = _train_round(shards.filter(F.col("turn") == number % turns), shares, reached, number)
+        number += 1
+        losses.append(_loss(_State(shares, reached).model, watched))
+        if number <= turns or losses[-1] <= min(losses[turns:]):
+            best = reached
+        # Turns differ a little, so two rounds are judged together.
+        before = min(losses[:-2], default=losses[0])
+        gained = before - min(losses[-2:])
+        if number >= turns and gained <= max(0.0, 2 * settled * (losses[0] - before)):
+            break
+    state = _State(shares, best, [SEED, number])
+    for stream in fold:
+        state.learn(stream, [SEED, number])
+    return state.model
 
 
 _PARTS = (

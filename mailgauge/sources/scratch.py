@@ -32,15 +32,16 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def land(df: DataFrame) -> DataFrame:
+def land(df: DataFrame, by: str | None = None) -> DataFrame:
     """The frame written as a Parquet table and read back: computed once, lineage cut.
 
+    ``by`` names the last column if the table is to have a directory for each of its values.
     The table stays as long as something may read it: until ``remove``, or
     until the Python process ends.
     """
     spark = df.sparkSession
     path = scratch_dir(spark)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     if not _landed:
         atexit.register(_remove_all, spark)
     _landed.add(path)

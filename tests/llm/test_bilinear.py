@@ -53,6 +53,35 @@ def test_held_out_gain(spark):
     assert np.mean([r.score > r.base_score for r in held]) > 0.9
 
 
+def test_files_and_partitions_do_not_matter(spark, tmp_path):
+    """One partition and 256 give the same model, and one that has learned."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    scores = []
+    for parts in (1, 256):
+        docs.repartition(parts).write.parquet(f"{tmp_path}/{parts}")
+        rows = bilinear.score_texts(spark.read.parquet(f"{tmp_path}/{parts}")).collect()
+        scores.append({r.doc_id: r.score for r in rows})
+        gain = sum(r.score - r.base_score for r in rows) / sum(r.n_tokens for r in rows)
+        assert gain > 0.1
+    for doc_id, score in scores[0].items():
+        assert scores[1][doc_id] == pytest.approx(score, rel=1e-3, abs=1e-3)
+
+
+def test_shards_hold_every_token_once(spark, sf_dir):
+    """Texts longer than a stretch too; turns grow with the number of shards."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text")
+    docs = docs.unionAll(spark.createDataFrame([("a b c " * 30_000,)], "text string"))
+    lexicon = bilinear.build_lexicon(bilinear.count_words(docs), 100)
+    shards, turns = bilinear.training_shards(docs, lexicon, "text", 10_000, 8_192)
+    rows = shards.collect()
+    _, *whole = bilinear.sequences(docs.toArrow().column("text").combine_chunks(), lexicon)[:4]
+    found = np.concatenate([bilinear._read_stream(bytes(r.stream)) for r in rows], axis=1)
+    order = lambda triples: sorted(zip(*(x.tolist() for x in triples)))
+    assert order(found) == order(whole)
+    n = len({r.shard for r in rows} - {-1})
+    assert {r.turn for r in rows} - {-1} == set(range(turns)) and turns == math.ceil(math.sqrt(n))
+
+
 def test_few_frequent_words_give_the_same(spark, sf_dir, monkeypatch):
     """The join of rare words gives what the broadcast table gives."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
