@@ -14,7 +14,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailgauge.llm.common import map_texts, numbered, position, strings
@@ -25,6 +25,8 @@ WINDOW = 5
 PLAIN_WORDS = 3
 # Share of an item's windows that a document must have.
 COVERAGE = 0.5
+# Items with fewer windows are looked for word for word as well.
+FEW_WINDOWS = 5
 # Size of the bit map of benchmark windows sent to all tasks: 2**27 bits are 16 MiB, whatever the benchmark's size.
 FILTER_BITS = 27
 # Characters worked on at a time.
@@ -41,6 +43,9 @@ UNITS = """
 
 NUMBER, UNIT, NAME, PLAIN, STOP = range(5)
 
+# Readings of an item: capitalised words that begin a sentence as words, or as names; all names as words; word for word.
+_AS_WORDS, _AS_NAMES, _NAMELESS, _VERBATIM = range(4)
+
 # Kinds of characters: letters, digits, ends of sentences, and signs that are units of their own.
 _OTHER, _LETTER, _DIGIT, _END, _SIGN = range(5)
 _SIGNS = "%$€£°"
@@ -126,18 +131,28 @@ def templates(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 
     A capitalised word is a name unless a sentence begins with it.
     """
+    return _read_tokens(texts)[:4]
+
+
+def _read_tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``templates``, and whether a token is a capitalised word that begins a sentence."""
     starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
     found = [(at + begin, kind, value) for at, run in _runs("\0".join(texts)) for begin, kind, value in [_tokens(run)]]
     if not found:
         none = np.empty(0, dtype=np.uint64)
-        return np.empty(0, dtype=np.int64), none, none, np.empty(0, dtype=np.int8)
+        return np.empty(0, dtype=np.int64), none, none, np.empty(0, dtype=np.int8), np.empty(0, dtype=bool)
     begin, kind, value = (np.concatenate(x) for x in zip(*found))
     row = np.searchsorted(starts, begin, side="right") - 1
     begins = np.concatenate([[True], (kind[:-1] == STOP) | (row[1:] != row[:-1])])[: len(kind)]
-    kind[begins & (kind == NAME)] = PLAIN
+    initial = begins & (kind == NAME)
+    kind[initial] = PLAIN
     kept = kind != STOP
     row, kind, value = row[kept], kind[kept], value[kept]
-    return row, np.where(kind == PLAIN, value, (kind + 1).astype(np.uint64)), value, kind
+    return row, _slots(kind, value), value, kind, initial[kept]
+
+
+def _slots(kind: np.ndarray, value: np.ndarray) -> np.ndarray:
+    return np.where(kind == PLAIN, value, (kind + 1).astype(np.uint64))
 
 
 def windows(row: np.ndarray, slot: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -156,12 +171,26 @@ def windows(row: np.ndarray, slot: np.ndarray, kind: np.ndarray) -> tuple[np.nda
     return at, h[at]
 
 
-_WINDOW_ROWS = "id long, row long, pos int, n int, hash long, slots array<struct<at: int, value: long>>"
+def verbatim_windows(row: np.ndarray, value: np.ndarray, length: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """(place, hash) of all windows of so many tokens within one text, none of them masked."""
+    n = len(value) - length + 1
+    if n <= 0:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint64)
+    h = np.full(n, _mixed(np.array([length], dtype=np.uint64))[0])
+    for k in range(length):
+        h = (h ^ value[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+    at = np.flatnonzero(row[:n] == row[length - 1 :])
+    return at, h[at]
+
+
+_WINDOW_ROWS = "id long, row long, variant int, pos int, n int, hash long, length int, slots array<struct<at: int, value: long>>"
 
 
-def _window_rows(piece: pa.RecordBatch, row, at, hashes, kind, value, totals) -> pa.RecordBatch:
+def _window_rows(piece: pa.RecordBatch, variant, row, at, hashes, kind, value, totals, length=WINDOW) -> pa.RecordBatch:
     """Rows for windows of a piece's texts; slots are the values of a window's placeholders by offset."""
     offset = np.arange(WINDOW)
+    kind = np.append(kind, np.full(WINDOW, PLAIN, dtype=np.int8))  # a short text's windows reach beyond it
     is_slot = kind[at[:, None] + offset] != PLAIN
     window, place = np.nonzero(is_slot)
     ends = np.concatenate([[0], np.cumsum(is_slot.sum(axis=1))]).astype(np.int32)
@@ -173,38 +202,76 @@ def _window_rows(piece: pa.RecordBatch, row, at, hashes, kind, value, totals) ->
         {
             "id": piece.column(0).take(pa.array(text)),
             "row": piece.column(1).take(pa.array(text)),
+            "variant": pa.array(np.full(len(at), variant, dtype=np.int32)),
             "pos": pa.array((at - begins[text]).astype(np.int32)),
             "n": pa.array(totals[text].astype(np.int32)),
             "hash": pa.array(hashes.view(np.int64)),
+            "length": pa.array(np.full(len(at), length, dtype=np.int32)),
             "slots": pa.ListArray.from_arrays(pa.array(ends), slots),
         }
     )
 
 
-def _read_windows(allowed=None):
-    """Turns pieces of (id, row, text) into windows; ``allowed`` tells which hashes are wanted.
+def _read_items():
+    """Turns pieces of benchmark items (id, row, text) into the windows of each reading that an item has."""
+
+    def work(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        row, slot, value, kind, initial = _read_tokens(strings(piece.column(2)))
+        everyone = np.ones(piece.num_rows, dtype=bool)
+        as_names = np.where(initial, NAME, kind).astype(np.int8)
+        nameless = np.where(kind == NAME, PLAIN, kind).astype(np.int8)
+        holding = lambda tokens: np.bincount(row[tokens], minlength=piece.num_rows) > 0
+        for variant, read, takes_part in (
+            (_AS_WORDS, kind, everyone),
+            (_AS_NAMES, as_names, holding(initial)),
+            (_NAMELESS, nameless, holding(kind == NAME)),
+        ):
+            at, hashes = windows(row, _slots(read, value), read)
+            totals = np.bincount(row[at], minlength=piece.num_rows)
+            if variant == _AS_WORDS:
+                few = totals < FEW_WINDOWS
+            own = takes_part[row[at]]
+            yield _window_rows(piece, variant, row, at[own], hashes[own], read, value, totals)
+        lengths = np.bincount(row, minlength=piece.num_rows)
+        for length in range(1, WINDOW + 1):
+            at, hashes = verbatim_windows(row, value, length)
+            own = few[row[at]] & (lengths[row[at]] >= WINDOW if length == WINDOW else lengths[row[at]] == length)
+            totals = np.bincount(row[at[own]], minlength=piece.num_rows)
+            yield _window_rows(piece, _VERBATIM, row, at[own], hashes[own], np.full(len(row), PLAIN, np.int8), value, totals, length)
+
+    return work
 
-    Without it, texts are benchmark items: each comes with its names as
-    placeholders and, if it has names, with its names as words.
-    """
+
+def _read_documents(allowed):
+    """Turns pieces of documents into the windows that are of an item; ``allowed``: a bit map of hashes, lengths read word for word."""
 
     def prepare():
-        bitmap = None if allowed is None else np.frombuffer(allowed.value, dtype=np.uint8)
+        bits, lengths = allowed.value
+        bitmap = np.frombuffer(bits, dtype=np.uint8)
+
+        def known(at, hashes):
+            cell = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+            hit = (bitmap[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
+            return at[hit], hashes[hit]
 
         def work(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            row, slot, value, kind = templates(strings(piece.column(2)))
-            at, hashes = windows(row, slot, kind)
-            totals = np.bincount(row[at], minlength=piece.num_rows)
-            if bitmap is not None:
-                cell = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-                hit = (bitmap[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
-                at, hashes = at[hit], hashes[hit]
-            yield _window_rows(piece, row, at, hashes, kind, value, totals)
-            if bitmap is None and (kind == NAME).any():
-                named = kind == NAME
-                kind = np.where(named, PLAIN, kind)
-                at, hashes = windows(row, np.where(named, value, slot), kind)
-                yield _window_rows(piece, row, at, hashes, kind, value, totals)
+            row, slot, value, kind, initial = _read_tokens(strings(piece.column(2)))
+            totals = np.zeros(piece.num_rows, dtype=np.int64)
+            at, hashes = known(*windows(row, slot, kind))
+            yield _window_rows(piece, _AS_WORDS, row, at, hashes, kind, value, totals)
+            if initial.any():
+                read = np.where(initial, NAME, kind).astype(np.int8)
+                at, hashes = windows(row, _slots(read, value), read)
+                before = np.concatenate([[0], np.cumsum(initial)])
+                other = before[at + WINDOW] > before[at]  # the rest are as above
+                at, hashes = known(at[other], hashes[other])
+                yield _window_rows(piece, _AS_NAMES, row, at, hashes, read, value, totals)
+            for length in lengths:
+                at, hashes = known(*verbatim_windows(row, value, length))
+                if length < WINDOW:  # one place tells as much as all
+                    _, first = np.unique(np.stack([row[at].astype(np.int64), hashes.view(np.int64)]), axis=1, return_index=True)
+                    at, hashes = at[first], hashes[first]
+                yield _window_rows(piece, _VERBATIM, row, at, hashes, np.full(len(row), PLAIN, np.int8), value, totals)
 
         return work
 
@@ -212,9 +279,10 @@ def _read_windows(allowed=None):
 
 
 def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """item_id, item_pos, item_windows, hash, item_slots of all items.  Of equal texts the least item_id stands for all.
+    """item_id, variant, item_pos, item_windows, hash, item_slots of all items.  Of equal texts the least item_id stands for all.
 
-    Items of fewer than WINDOW tokens have no window and match nothing.
+    Each reading of an item counts its own windows.  An item with few windows
+    is read word for word too; one of fewer than WINDOW tokens is a single window then.
     """
     items = (
         benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(text).alias("text"))
@@ -223,12 +291,14 @@ def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str
         .agg(F.min("id").alias("id"))
         .select("id", F.lit(0).cast("long").alias("row"), "text")
     )
-    found = map_texts(items, _WINDOW_ROWS, _read_windows(), "text")
+    found = map_texts(items, _WINDOW_ROWS, _read_items, "text")
     return found.select(
         F.col("id").alias("item_id"),
+        "variant",
         F.col("pos").alias("item_pos"),
         F.col("n").alias("item_windows"),
         "hash",
+        "length",
         F.col("slots").alias("item_slots"),
     ).distinct()
 
@@ -247,6 +317,12 @@ def window_filter(windows: DataFrame) -> bytes:
     return bitmap.tobytes()
 
 
+def verbatim_lengths(windows: DataFrame) -> list[int]:
+    """How many tokens the windows have that items are looked for with word for word."""
+    verbatim = windows.filter(F.col("variant") == _VERBATIM)
+    return [r.length for r in verbatim.select("length").distinct().orderBy("length").collect()]
+
+
 def contaminated_rows(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """id, row, item_id, n_windows, item_windows, n_slots of documents (id, row, text) that hold an item.
 
@@ -256,12 +332,13 @@ def contaminated_rows(docs: DataFrame, benchmark: DataFrame, coverage: float = C
     alignments add up, so a passage with an insertion is found too.
     """
     items = land(benchmark_windows(benchmark))
-    allowed = docs.sparkSession.sparkContext.broadcast(window_filter(items))
-    found = map_texts(docs, _WINDOW_ROWS, _read_windows(allowed), "text")
-    met = found.join(items, "hash").select(
+    allowed = docs.sparkSession.sparkContext.broadcast((window_filter(items), verbatim_lengths(items)))
+    found = map_texts(docs, _WINDOW_ROWS, _read_documents(allowed), "text")
+    met = found.drop("variant").join(items, "hash").select(
         "id",
         "row",
         "item_id",
+        "variant",
         "item_windows",
         "item_pos",
         (F.col("pos") - F.col("item_pos")).alias("shift"),
@@ -270,7 +347,7 @@ def contaminated_rows(docs: DataFrame, benchmark: DataFrame, coverage: float = C
         ).alias("pairs"),
     )
     # On one alignment an item's positions occur once each, so what is gathered is no longer than the item.
-    aligned = met.groupBy("id", "row", "item_id", "shift").agg(
+    aligned = met.groupBy("id", "row", "item_id", "variant", "shift").agg(
         F.max("item_windows").alias("item_windows"),
         F.collect_set("item_pos").alias("places"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
@@ -279,19 +356,28 @@ def contaminated_rows(docs: DataFrame, benchmark: DataFrame, coverage: float = C
     # A passage may occur very often in a document; its places are counted, not gathered.
     places = (
         aligned.filter(agreeing)
-        .select("id", "row", "item_id", "item_windows", F.size("pairs").alias("slots"), F.explode("places").alias("at"))
-        .groupBy("id", "row", "item_id", "at")
+        .select("id", "row", "item_id", "variant", "item_windows", F.size("pairs").alias("slots"), F.explode("places").alias("at"))
+        .groupBy("id", "row", "item_id", "variant", "at")
         .agg(F.max("item_windows").alias("item_windows"), F.max("slots").alias("slots"))
     )
-    return (
-        places.groupBy("id", "row", "item_id")
+    needed = F.when(F.col("variant") == _VERBATIM, 1.0).otherwise(float(coverage))
+    held = (
+        places.groupBy("id", "row", "item_id", "variant")
         .agg(
             F.count("*").alias("n_windows"),
             F.max("item_windows").cast("long").alias("item_windows"),
             F.max("slots").cast("long").alias("n_slots"),
         )
-        .filter(F.col("n_windows") >= coverage * F.col("item_windows"))
+        .filter(F.col("n_windows") >= needed * F.col("item_windows"))
     )
+    return held.groupBy("id", "row", "item_id").agg(_best()).select("id", "row", "item_id", "best.*")
+
+
+def _best() -> Column:
+    """Of several rows for an item, the one that covers most of it, with its own counts."""
+    figures = ("n_windows", "item_windows", "n_slots")
+    best = F.max(F.struct((F.col("n_windows") / F.col("item_windows")).alias("share"), *figures))
+    return F.struct(*[best[f].alias(f) for f in figures]).alias("best")
 
 
 def _identified(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -313,11 +399,8 @@ def find_contamination(
     rows = contaminated_rows(_identified(docs, doc_id, text), benchmark, coverage)
     return (
         rows.groupBy(F.col("id").alias("doc_id"), "item_id")
-        .agg(
-            F.max("n_windows").alias("n_windows"),
-            F.max("item_windows").alias("item_windows"),
-            F.max("n_slots").alias("n_slots"),
-        )
+        .agg(_best())
+        .select("doc_id", "item_id", "best.*")
         .withColumn("coverage", F.col("n_windows") / F.col("item_windows"))
     )
 

@@ -28,6 +28,32 @@ def test_copies_and_new_parameters(spark, benchmark):
     assert found(spark, benchmark, *texts) == {(i, 1) for i in range(len(texts))}
 
 
+def test_names_that_begin_sentences(spark):
+    """The subject of every sentence renamed: half of the windows and more still match, in one reading."""
+    text = "Anna has 12 apples. Anna buys 5 more. Anna eats 3. How many apples are left?"
+    item = spark.createDataFrame([(1, text)], "item_id long, text string")
+    renamed = text.replace("Anna", "Bert").replace("12", "31")
+    assert {(0, 1), (1, 1), (2, 1)} == found(spark, item, text, renamed, f"He said: {renamed} And so on.")
+    docs = spark.createDataFrame([(0, renamed)], "doc_id long, text string")
+    row = decontaminate.find_contamination(docs, item).head()
+    assert row.coverage == 1 and row.n_windows == row.item_windows
+    assert found(spark, item, "Bert likes pears. Carl sells 5 cars. How many people are here?") == set()
+
+
+def test_items_with_few_windows_are_found_word_for_word(spark):
+    texts = ["Compute 12 + 15 * 3 - 4 / 2 and 7 * 9.", "Which River Flows Through The City Of Paris And Into The North Sea?", "two tokens"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = [f"Words before. {t} Words after." for t in texts] + ["Compute 12 + 15 * 3 - 4 / 2 and 8 * 9.", "two other tokens"]
+    assert found(spark, items, *docs) == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_readings_count_their_own_windows(spark):
+    """A title-cased item is not held by a text that shares one window of its reading without names."""
+    title = "Which River Flows Through The City Of Paris And Into The North Sea?"
+    items = spark.createDataFrame([(1, title)], "item_id long, text string")
+    assert found(spark, items, "we walk through the city of paris every day", title.lower()) == {(1, 1)}
+
+
 def test_slots_must_agree(spark, benchmark):
     """12 stands twice in the item: with two values in the document it is another question."""
     broken = ITEM.replace("12 sheep", "40 sheep")
