@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailgauge.llm import bilinear, decontaminate, language, lines, mixing, neighbours, quality, sharding, simhash, urls
+from mailgauge.llm import (
+    bilinear,
+    decontaminate,
+    language,
+    lines,
+    merkle,
+    mixing,
+    neighbours,
+    quality,
+    resampling,
+    sharding,
+    simhash,
+    urls,
+    vector_dedup,
+)
 from mailgauge.llm.common import in_fold, outside_fold, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +76,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "lang_pred", "score")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.vector_components(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit_manifest(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -75,5 +102,8 @@ QUERIES: dict[str, Query] = {
         op8_permutation_index,
         op9_line_dedup,
         op10_language_id,
+        op11_importance_resampling,
+        op12_embedding_near_dedup,
+        op13_merkle_manifest,
     )
 }

@@ -1,0 +1,112 @@
+"""The Merkle manifest against a plain tree."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from mailgauge.llm import merkle
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf(row, text):
+    values = (row.doc_id, row.source, row.lang, row.n_chars, text)
+    return digest("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def tree(nodes):
+    """The last node, and of each leaf what stands left and right of it, level by level."""
+    paths, below = [[] for _ in nodes], [[i] for i in range(len(nodes))]
+    while len(nodes) > 1:
+        parents, held = [], []
+        for k in range(0, len(nodes), 8):
+            run = nodes[k : k + 8]
+            for j in range(len(run)):
+                for i in below[k + j]:
+                    paths[i].append(("".join(run[:j]), "".join(run[j + 1 :])))
+            parents.append(digest("".join(run)))
+            held.append(sum(below[k : k + 8], []))
+        nodes, below = parents, held
+    return nodes[0], paths
+
+
+def model(rows):
+    groups = defaultdict(list)
+    for r in rows:
+        groups[(r.lang is not None, (r.lang or "").encode())].append(r)
+    for g in groups.values():
+        g.sort(key=lambda r: (r.doc_id is not None, r.doc_id or 0, leaf(r, r.text)))
+    trees = {g: tree([leaf(r, r.text) for r in groups[g]]) for g in groups}
+    names = sorted(groups)
+    if not names:
+        return Counter()
+    root, above = tree([trees[g][0] for g in names])
+    out = Counter()
+    for g, path_above in zip(names, above):
+        subroot, paths = trees[g]
+        for r, path in zip(groups[g], paths):
+            path = path + path_above
+            node = leaf(r, r.text)
+            if r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 0 and r.text is not None:
+                node = leaf(r, r.text.translate(LOWER))
+            for left, right in path:
+                node = digest(left + node + right)
+            proof = digest("".join(a + b for a, b in path))
+            out[(r.doc_id, leaf(r, r.text), subroot, root, proof, node, node == root)] += 1
+    return out
+
+
+def check(frame):
+    assert Counter(map(tuple, merkle.audit_manifest(frame).collect())) == model(frame.collect())
+
+
+def test_awkward_rows(awkward, no_documents):
+    check(awkward)
+    check(no_documents)
+
+
+@pytest.mark.parametrize("n", [1, 2, 8, 9, 64, 65, 73, 512, 513])
+def test_sizes_around_powers_of_the_fanout(spark, n):
+    rows = [(i * 7 - 50, f"Text {i}", "en", None, i) for i in range(n)]
+    check(spark.createDataFrame(rows, SCHEMA).repartition(3))
+
+
+def test_a_tall_group_beside_small_ones(spark):
+    # Over 512 blocks of one language, so that blocks are nested in blocks of blocks.
+    tall = spark.range(5000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("Body "), "id").alias("text"), F.lit("de").alias("lang"),
+        F.lit("s").alias("source"), F.col("id").alias("n_chars"),
+    )
+    few = spark.createDataFrame([(i, "X", f"l{i % 20}", None, 0) for i in range(30)] + [(1, "A", None, "s", 1), (2, "b", "", "s", 1)], SCHEMA)
+    check(tall.unionByName(few))
+
+
+def test_many_groups(spark):
+    check(spark.createDataFrame([(i, f"T{i}", f"g{i // 2}", "s", i) for i in range(700)], SCHEMA))
+
+
+def test_paths_lead_to_the_root_only_from_the_row_itself(spark):
+    rows = [(i, f"Text {i}", "en" if i % 3 else "fr", "s", i) for i in range(100)]
+    manifest = merkle.merkle_manifest(spark.createDataFrame(rows, SCHEMA))
+    root = merkle.folded(F.col("leaf"), F.col("path"))
+    other = merkle.folded(F.sha2(F.lit("x"), 256), F.col("path"))
+    assert manifest.filter(root == F.col("root")).count() == 100
+    assert manifest.filter(other == F.col("root")).count() == 0
+
+
+def test_other_columns_and_ids(spark):
+    frame = spark.createDataFrame([(1, "a", "k"), (2, None, "k"), (3, "c", None)], "Key long, value string, part string")
+    rows = merkle.merkle_manifest(frame, ["value"], "part", "Key").collect()
+    assert {r.doc_id: r.leaf for r in rows} == {1: digest("1:a"), 2: digest("-"), 3: digest("1:c")}
+    k = digest(digest("1:a") + digest("-"))
+    assert {r.root for r in rows} == {digest(digest("1:c") + k)}

@@ -18,7 +18,7 @@ def test_query_equals_oracle(spark, sf_dir, name):
 
 
 def test_one_query_per_operator():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_stages_keep_the_columns_and_drop_what_they_must(spark, sf_dir):
