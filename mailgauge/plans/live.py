@@ -9,14 +9,22 @@ from mailgauge.streaming.rankings import start_top_senders, start_top_words
 
 
 def start_live_analyses(
-    mails: DataFrame, path: str, checkpoint: str, n: int = 5, trigger: dict | None = None, **windows
+    mails: DataFrame,
+    path: str,
+    checkpoint: str,
+    n: int = 5,
+    trigger: dict | None = None,
+    fan_in: int | None = None,
+    **windows,
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Top senders overall and top words per window, each to a Parquet output of its own.
 
     ``path/senders`` gets instant, measure, rank, sender, total after every
     micro-batch, ``path/words`` gets window, rank, word, count for every
-    closed window.  ``windows`` are the options of ``start_top_words``.
+    closed window.  ``windows`` are the options of ``start_top_words``; with ``fan_in`` both outputs stay few
+    files (see ``start_appending``).
     """
-    senders = start_top_senders(mails, f"{path}/senders", f"{checkpoint}/senders", n, trigger=trigger)
-    words = start_top_words(mails, f"{path}/words", f"{checkpoint}/words", n, trigger=trigger, **windows)
+    shared = {"n": n, "trigger": trigger, "fan_in": fan_in}
+    senders = start_top_senders(mails, f"{path}/senders", f"{checkpoint}/senders", **shared)
+    words = start_top_words(mails, f"{path}/words", f"{checkpoint}/words", **shared, **windows)
     return senders, words

@@ -56,21 +56,38 @@ def remove(landed: DataFrame) -> None:
             delete(landed.sparkSession, known)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether there is a file or directory of that name in any file system that Spark reads."""
+def _located(spark: SparkSession, path: str):
+    """The file system of a path and the path, as Hadoop objects."""
     context = spark.sparkContext
     hadoop = context._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(context._jsc.hadoopConfiguration()).exists(hadoop)
+    return hadoop.getFileSystem(context._jsc.hadoopConfiguration()), hadoop
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or directory of that name in any file system that Spark reads."""
+    system, hadoop = _located(spark, path)
+    return system.exists(hadoop)
 
 
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a file or directory with all in it, in any file system that Spark reads."""
-    context = spark.sparkContext
-    hadoop = context._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(context._jsc.hadoopConfiguration()).delete(hadoop, True)
+    system, hadoop = _located(spark, path)
+    system.delete(hadoop, True)
     _landed.discard(path)
 
 
+def create_empty(spark: SparkSession, path: str) -> None:
+    """An empty file of that name, which either is there or is not: nobody sees it half written."""
+    system, hadoop = _located(spark, path)
+    system.create(hadoop, True).close()
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and directories in a directory, none where there is no such directory."""
+    system, hadoop = _located(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(hadoop)) if system.exists(hadoop) else []
+
+
 def _remove_all(spark: SparkSession) -> None:
     if spark.sparkContext._jsc is not None:  # a stopped session leaves its tables to whoever owns the folder
         for path in list(_landed):

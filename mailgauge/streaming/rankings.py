@@ -17,19 +17,21 @@ def start_top_senders(
     n: int = 5,
     lines_kept: bool = False,
     trigger: dict | None = None,
+    fan_in: int | None = None,
 ) -> StreamingQuery:
     """After every micro-batch, the top senders over all mails so far.
 
     By mails and by words, from one aggregation whose state is a row per
     sender; only the senders of the batch and the ranking before it are
-    ranked.  Writes instant, measure, rank, sender, total (and batch_id).
+    ranked.  Writes instant, measure, rank, sender, total (and batch_id);
+    ``fan_in`` as in ``start_appending``.
     """
 
     def ranked(changed: DataFrame, previous: DataFrame | None) -> DataFrame:
         return updated_top_senders(changed, previous, n).select(F.current_timestamp().alias("instant"), "*")
 
     totals = sender_totals(mails, lines_kept)
-    return start_appending(totals, path, checkpoint, ranked, "update", trigger, with_previous=True)
+    return start_appending(totals, path, checkpoint, ranked, "update", trigger, with_previous=True, fan_in=fan_in)
 
 
 def start_top_words(
@@ -43,16 +45,18 @@ def start_top_words(
     delay: str = "1 minute",
     lines_kept: bool = False,
     trigger: dict | None = None,
+    fan_in: int | None = None,
 ) -> StreamingQuery:
     """The most used words of each window, written once the window is closed.
 
     A window closes when the latest event time seen is ``delay`` past its
     end; mails later than that are dropped, and state is kept for open
-    windows only.  Writes window, rank, word, count (and batch_id).
+    windows only.  Writes window, rank, word, count (and batch_id); ``fan_in``
+    as in ``start_appending``.
     """
     counts = windowed_words(mails.withWatermark(event_time, delay), event_time, window, slide, lines_kept)
 
     def ranked(closed: DataFrame) -> DataFrame:
         return top_words_by_window(closed, n).select("window", "rank", "word", "count")
 
-    return start_appending(counts, path, checkpoint, ranked, "append", trigger)
+    return start_appending(counts, path, checkpoint, ranked, "append", trigger, fan_in=fan_in)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from mailgauge.sources.scratch import delete, exists
+from mailgauge.sources import committed
+from mailgauge.sources.scratch import exists
 
 
 def start_console(stream: DataFrame, truncate: bool = True, trigger: dict | None = None) -> StreamingQuery:
@@ -41,46 +41,54 @@ def start_appending(
     mode: str,
     trigger: dict | None = None,
     with_previous: bool = False,
+    fan_in: int | None = None,
 ) -> StreamingQuery:
-    """Append ``result(batch)`` of every micro-batch to a Parquet directory.
-
-    A batch owns the sub-directory ``batch_id=<n>`` and overwrites it when it
-    is run again after a failure, so a replay leaves no row twice.  Batches
-    of one checkpoint only lie in a directory: a new checkpoint needs a new one.
-    ``with_previous=True`` also hands ``result`` what the batch before wrote,
-    None if it wrote nothing; a replayed batch is given the same.  Batches
-    without rows leave no directory, but for the first, which has the schema.
-    """
-    if exists(stream.sparkSession, path) and not exists(stream.sparkSession, f"{checkpoint.rstrip('/')}/metadata"):
-        raise ValueError(f"{path} holds the batches of another checkpoint than {checkpoint}")
+    """Append ``result(batch)`` of every micro-batch to a table of batches (see ``sources.committed``).
 
-    def directory(batch_id: int) -> str:
-        return f"{path.rstrip('/')}/batch_id={batch_id}"
+    A batch is in the table once it is noted in the table's log.  One that is run again after a failure is
+    written again if it was not noted, and left as it is if it was, so a replay leaves no row twice.  Batches of
+    one checkpoint only lie in a directory: a new checkpoint needs a new one.
+    ``with_previous=True`` also hands ``result`` what the batch before wrote, None if it wrote nothing; it is an error
+    if the log does not know that batch.  Batches without rows leave no directory, but for the first, which has the schema.
 
-    def before(spark: SparkSession, batch_id: int) -> DataFrame | None:
-        last = directory(batch_id - 1)
-        return spark.read.parquet(last) if batch_id and exists(spark, last) else None
+    ``fan_in`` keeps the directories few, however long the stream runs, by merging so many at a time; 16 suits a
+    stream that runs for years.  Read the result with ``read_results`` then: only without merging is every batch
+    a directory that Spark reads by itself.
+    """
+    spark = stream.sparkSession
+    if exists(spark, path):
+        if not exists(spark, f"{checkpoint.rstrip('/')}/metadata"):
+            raise ValueError(f"{path} holds the batches of another checkpoint than {checkpoint}")
+        committed.adopt(spark, path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = result(batch, before(batch.sparkSession, batch_id)) if with_previous else result(batch)
-        rows.write.mode("overwrite").parquet(directory(batch_id))
-        # What was written is looked at, as the batch itself would be computed again.
-        if batch_id and batch.sparkSession.read.schema(rows.schema).parquet(directory(batch_id)).isEmpty():
-            delete(batch.sparkSession, directory(batch_id))
-
-    writer = (
-        stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
-    )
+        session = batch.sparkSession
+        if committed.is_committed(session, path, batch_id):
+            # The batch is run all the same, as its state has to be brought to this batch.
+            batch.write.format("noop").mode("overwrite").save()
+            return
+        given = [committed.load_batch(session, path, batch_id - 1) if batch_id else None] if with_previous else []
+        committed.commit(result(batch, *given), path, batch_id, fan_in)
+
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
-def start_updates(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def start_updates(
+    stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, fan_in: int | None = None
+) -> StreamingQuery:
     """What ``start_console`` prints, stored: the rows of each micro-batch in update mode."""
-    return start_appending(stream, path, checkpoint, lambda batch: batch, "update", trigger)
+    return start_appending(stream, path, checkpoint, lambda batch: batch, "update", trigger, fan_in=fan_in)
+
+
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """All rows written by ``start_appending``, with their ``batch_id``, merged or not."""
+    return committed.load(spark, path)
 
 
 def latest_batch(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of the last micro-batch written by ``start_appending``."""
-    rows = spark.read.parquet(path)
-    last = rows.agg(F.max("batch_id")).head()[0]
-    return rows.filter(F.col("batch_id") == F.lit(last))
+    """The rows of the last micro-batch written by ``start_appending`` that has any.
+
+    The log tells where they are; other batches are not looked at.
+    """
+    return committed.load_last(spark, path)

@@ -1,0 +1,149 @@
+"""Tables of batches: whole batches only, few directories, and nothing changed by a writer that dies."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from mailgauge.sources import committed
+
+
+def batch(spark, n):
+    """Batch n: n % 3 rows."""
+    return spark.range(n % 3).select(F.col("id").alias("k"), F.lit(n).alias("v"))
+
+
+def expected(n):
+    return sorted((k, i, i) for i in range(n) for k in range(i % 3))
+
+
+def rows(spark, path):
+    return sorted(tuple(r) for r in committed.load(spark, path).select("k", "v", "batch_id").collect())
+
+
+def directories(path):
+    merged = os.listdir(f"{path}/_merged") if os.path.isdir(f"{path}/_merged") else []
+    return [d for d in os.listdir(path) if d.startswith("batch_id=")], merged, os.listdir(f"{path}/_log")
+
+
+def test_batches_are_read_back(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for n in range(7):
+        assert committed.commit(batch(spark, n), path, n)
+    assert rows(spark, path) == expected(7)
+    assert committed.load(spark, path).columns == ["k", "v", "batch_id"]
+    assert sorted(directories(path)[0]) == [f"batch_id={n}" for n in (0, 1, 2, 4, 5)]
+    # Without merging any reader of directories sees the same.
+    assert sorted(map(tuple, spark.read.parquet(path).select("k", "v", "batch_id").collect())) == expected(7)
+
+
+def test_a_batch_is_taken_once_and_in_order(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    with pytest.raises(ValueError, match="cannot follow"):
+        committed.commit(batch(spark, 1), path, 1)
+    assert committed.commit(batch(spark, 2), path, 0)
+    assert not committed.commit(batch(spark, 1), path, 0)
+    with pytest.raises(ValueError, match="cannot follow"):
+        committed.commit(batch(spark, 2), path, 2)
+    assert committed.load(spark, path).count() == 2
+
+
+@pytest.mark.parametrize("fan_in", [2, 3])
+def test_merging_keeps_all_rows_in_few_directories(spark, tmp_path, fan_in):
+    path = f"{tmp_path}/t"
+    levels = 0
+    for n in range(30):
+        committed.commit(batch(spark, n), path, n, fan_in)
+        levels = max(levels, sum(fan_in**k <= n + 1 for k in range(1, 8)))
+        single, merged, log = directories(path)
+        # Of each size those not merged yet, and those the last merges have replaced.
+        assert len(single) + len(merged) <= 2 * fan_in * (levels + 1)
+        assert len([e for e in log if not e.endswith(".crc")]) <= 2 * fan_in * (levels + 1)
+        if n % 7 == 6:
+            assert rows(spark, path) == expected(n + 1)
+            latest = max(i for i in range(n + 1) if i % 3)
+            assert {r.v for r in committed.load_last(spark, path).collect()} == {latest}
+    assert rows(spark, path) == expected(30)
+    assert [committed.load_batch(spark, path, n) is None for n in range(4)] == [True, False, False, True]
+    assert committed.load_batch(spark, path, 17).count() == 2
+
+
+def test_a_reader_of_before_a_merge_can_end(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for n in range(3):
+        committed.commit(batch(spark, n), path, n, 4)
+    before = committed.load(spark, path)
+    committed.commit(batch(spark, 3), path, 3, 4)
+    assert directories(path)[1] == ["0-3"]
+    assert sorted(tuple(r) for r in before.collect()) == expected(3)
+
+
+class Killed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["create_empty", "delete"])
+@pytest.mark.parametrize("after", [False, True])
+def test_a_writer_that_dies_at_any_step_changes_nothing(spark, tmp_path, monkeypatch, step, after):
+    """The writer is killed before or after each single step of the log, and then does its batch again."""
+    path, real = f"{tmp_path}/t", getattr(committed, step)
+    calls = {"left": None}
+
+    def dying(session, name):
+        calls["left"] -= 1
+        if calls["left"] == 0 and not after:
+            raise Killed
+        real(session, name)
+        if calls["left"] == 0:
+            raise Killed
+
+    for n in range(9):
+        for life in range(1, 12):
+            calls["left"] = life
+            monkeypatch.setattr(committed, step, dying)
+            try:
+                committed.commit(batch(spark, n), path, n, 2)
+                died = False
+            except Killed:
+                died = True
+            monkeypatch.setattr(committed, step, real)
+            found = rows(spark, path) if committed.entries(spark, path) else []
+            assert found in (expected(n), expected(n + 1))
+            if not died:
+                break
+        assert rows(spark, path) == expected(n + 1)
+
+
+def test_combined_batches(spark, tmp_path):
+    """Sums that are merged with what is there: as many rows as keys, however many batches."""
+    path = f"{tmp_path}/t"
+
+    def summed(rows):
+        return rows.groupBy("k").agg(F.sum("v").alias("v"))
+
+    for n in range(9):
+        committed.commit(spark.range(4).select(F.col("id").alias("k"), F.lit(1).cast("long").alias("v")), path, n, 3, summed)
+    assert committed.load(spark, path).count() == 4
+    assert {r.v for r in summed(committed.load(spark, path)).collect()} == {9}
+
+
+def test_a_directory_without_a_log_is_adopted(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for n in (0, 1, 2, 4):
+        batch(spark, n).write.parquet(f"{path}/batch_id={n}")
+    committed.adopt(spark, path)
+    committed.adopt(spark, path)
+    assert [e.name for e in committed.entries(spark, path)] == ["0-0", "1-1", "2-2", "3-3.none", "4-4"]
+    committed.commit(batch(spark, 5), path, 5, 2)
+    assert rows(spark, path) == expected(6)
+
+
+def test_no_batches(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        committed.load(spark, f"{tmp_path}/none")
+    with pytest.raises(FileNotFoundError):
+        committed.load_last(spark, f"{tmp_path}/none")
+    with pytest.raises(LookupError):
+        committed.load_batch(spark, f"{tmp_path}/none", 3)

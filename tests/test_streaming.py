@@ -248,3 +248,32 @@ def test_batches_without_rows_leave_no_directory(spark, tmp_path):
     assert [d for d in os.listdir(out) if d.startswith("batch_id=")] == ["batch_id=0"]
     assert spark.read.parquet(out).columns == ["window", "rank", "word", "count", "batch_id"]
     assert spark.read.parquet(out).count() == 0
+
+
+def test_merged_results_are_those_of_every_batch(spark, tmp_path):
+    """One mail a batch: the history has them all, the directories stay few, the ranking is the same."""
+    write_mails(f"{tmp_path}/in", range(12))
+    mails = stream_mail(spark, f"{tmp_path}/in", maxFilesPerTrigger=1)
+    out = f"{tmp_path}/out"
+    run(rankings.start_top_senders(mails, out, f"{tmp_path}/check", n=2, trigger=ONCE, fan_in=3))
+    history = sinks.read_results(spark, out)
+    assert sorted(r.batch_id for r in history.select("batch_id").distinct().collect()) == list(range(12))
+    assert os.listdir(f"{out}/_merged") and len([d for d in os.listdir(out) if d.startswith("batch_id")]) <= 6
+    whole = A.top_senders(A.sender_totals(read_mail(spark, f"{tmp_path}/in")), n=2)
+    assert rows(sinks.latest_batch(spark, out).select(whole.columns)) == rows(whole)
+
+
+def test_a_ranking_whose_past_is_gone_is_an_error(spark, tmp_path):
+    out, check = f"{tmp_path}/out", f"{tmp_path}/check"
+
+    def update():
+        mails = stream_mail(spark, f"{tmp_path}/in")
+        return rankings.start_top_senders(mails, out, check, trigger=ONCE)
+
+    write_mails(f"{tmp_path}/in", range(3))
+    run(update())
+    shutil.rmtree(out)
+    os.makedirs(out)
+    write_mails(f"{tmp_path}/in", range(3, 5))
+    with pytest.raises(Exception, match="has no batch 0"):
+        update().awaitTermination(120)
