@@ -5,9 +5,11 @@ name says which batches it stands for.  With ``fan_in`` so many directories are
 them and takes their place by an entry of its own; merged ones are merged again, so that the directories left, and the
 entries, grow with the logarithm of the batches.  A row is rewritten once for each such level.
 
-What a merge has replaced is deleted by the next merge, so that who has begun to read it can end.  A writer that dies
-leaves at most a directory without an entry, which counts for nothing and is overwritten when the step is done again.
-There is one writer at a time.
+What a merge has replaced is deleted by the next merge, so that who has begun to read it can end.
+
+Directories are written aside and get their names when they are whole.  So without merging a stream may read the
+table as a directory of files: it meets every row once.  What a writer that dies leaves is overwritten, or given its
+entry, when the step is done again.  There is one writer at a time.
 """
 
 from __future__ import annotations
@@ -20,12 +22,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from mailgauge.sources.scratch import create_empty, delete, names_in
+from mailgauge.sources.scratch import create_empty, delete, exists, names_in, rename
 
 BATCH = "batch_id"
 # Names that start with an underscore are no data to who reads the directory as it is.
 LOG = "_log"
 MERGED = "_merged"
+STAGED = "_staged"
 # An entry of batches without any row, which have no directory.
 NOTHING = ".none"
 
@@ -92,7 +95,7 @@ def adopt(spark: SparkSession, path: str) -> None:
 def commit(
     rows: DataFrame, path: str, batch_id: int, fan_in: int | None = None, combine: Combine | None = None
 ) -> bool:
-    """Make the rows batch ``batch_id`` of the table; False, and nothing done, if the table has it already.
+    """Make the rows batch ``batch_id`` of the table; False, and ``rows`` not computed, if they are there already.
 
     Batches are numbered from 0 without gaps.  One without rows leaves no directory, but for the first, which has the schema.
     ``fan_in`` (at least 2) merges whenever so many directories of one size are there; ``combine`` then turns the
@@ -106,14 +109,19 @@ def commit(
     if batch_id != (held[-1].last + 1 if held else 0):
         raise ValueError(f"{path} ends with batch {held[-1].last if held else None}, {batch_id} cannot follow")
     entry = Entry(batch_id, batch_id)
-    rows.write.mode("overwrite").parquet(f"{path}/{entry.directory}")
-    # What was written is looked at, as computing the rows once more may cost much.
-    if batch_id and spark.read.schema(rows.schema).parquet(f"{path}/{entry.directory}").isEmpty():
-        delete(spark, f"{path}/{entry.directory}")
-        entry = Entry(batch_id, batch_id, True)
+    target, staged = f"{path}/{entry.directory}", f"{path}/{STAGED}/{entry.name}"
+    written = not exists(spark, target)
+    if written:
+        rows.write.mode("overwrite").parquet(staged)
+        # What was written is looked at, as computing the rows once more may cost much.
+        if batch_id and spark.read.schema(rows.schema).parquet(staged).isEmpty():
+            entry = Entry(batch_id, batch_id, True)
+            delete(spark, staged)
+        else:
+            rename(spark, staged, target)
     create_empty(spark, f"{path}/{LOG}/{entry.name}")
     _merge(spark, path, fan_in, combine)
-    return True
+    return written
 
 
 def _merge(spark: SparkSession, path: str, fan_in: int | None, combine: Combine | None) -> None:
@@ -148,7 +156,10 @@ def _merge_into(spark: SparkSession, path: str, entry: Entry, parts: list[Entry]
         if combine:
             rows = combine(rows)
             rows = rows if BATCH in rows.columns else rows.withColumn(BATCH, F.lit(entry.last).cast("long"))
-        rows.hint("rebalance").write.mode("overwrite").parquet(f"{path}/{entry.directory}")
+        staged = f"{path}/{STAGED}/{entry.name}"
+        rows.hint("rebalance").write.mode("overwrite").parquet(staged)
+        delete(spark, f"{path}/{entry.directory}")
+        rename(spark, staged, f"{path}/{entry.directory}")
     create_empty(spark, f"{path}/{LOG}/{entry.name}")
     return entry
 

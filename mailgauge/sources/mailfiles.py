@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,10 +37,65 @@ def _plain(uri: Column) -> Column:
     return F.regexp_replace(uri, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
 
 
+def _file_and_folder() -> tuple[Column, Column]:
+    """Where a row was read: the file and the directory it lies in."""
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return _plain(path), _plain(F.regexp_replace(path, "/[^/]*$", ""))
+
+
+def path_regex(pattern: str) -> str:
+    """The regular expression for a path pattern of Hadoop: ``?``, ``*``, ``[a-c]``, ``[^a]``, ``{x,y}``, ``\\`` before a character."""
+    out, depth, at = [], 0, 0
+    while at < len(pattern):
+        c = pattern[at]
+        if c == "\\" and at + 1 < len(pattern):
+            at += 1
+            out.append(re.escape(pattern[at]))
+        elif c == "*":
+            out.append("[^/]*")
+        elif c == "?":
+            out.append("[^/]")
+        elif c == "[" and (end := pattern.find("]", at + 2)) > 0:
+            inner = pattern[at + 1 : end]
+            denied = inner[0] in "^!"
+            inner = "".join(f"\\{x}" if x in "\\[]^&" else x for x in (inner[1:] if denied else inner))
+            out.append(f"[{'^' if denied else ''}{inner}]")
+            at = end
+        elif c == "{":
+            depth += 1
+            out.append("(?:")
+        elif c == "}" and depth:
+            depth -= 1
+            out.append(")")
+        elif c == "," and depth:
+            out.append("|")
+        else:
+            out.append(re.escape(c))
+        at += 1
+    return "".join(out)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path or pattern with its file system and from the root."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.makeQualified(hadoop).toString()
+
+
+def directly_matching(spark: SparkSession, pattern: str) -> Column:
+    """Whether a row was read from a file that lies in a directory the pattern names, or that it names itself.
+
+    Told from the names alone, so it holds for directories made later too.
+    """
+    file, folder = _file_and_folder()
+    scheme, _, rest = qualified(spark, pattern).partition(":")
+    whole = rf"\A{re.escape(scheme)}:/{path_regex(rest.lstrip('/'))}\z"
+    return folder.rlike(whole) | file.rlike(whole)
+
+
 def directly_in(folders: Sequence[str]) -> Column:
     """Whether a row was read from a file that lies in one of the folders, not below it."""
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    file, parent = _plain(path), _plain(F.regexp_replace(path, "/[^/]*$", ""))
+    file, parent = _file_and_folder()
     names = [_plain(F.lit(folder)) for folder in folders]
     return parent.isin(names) | file.isin(names) if names else F.lit(False)
 

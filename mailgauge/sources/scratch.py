@@ -76,6 +76,15 @@ def delete(spark: SparkSession, path: str) -> None:
     _landed.discard(path)
 
 
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    """Give a directory another name; one step where the file system has such a step."""
+    system, hadoop = _located(spark, path)
+    _, named = _located(spark, target)
+    system.mkdirs(named.getParent())
+    if not system.rename(hadoop, named):
+        raise OSError(f"cannot rename {path} to {target}")
+
+
 def create_empty(spark: SparkSession, path: str) -> None:
     """An empty file of that name, which either is there or is not: nobody sees it half written."""
     system, hadoop = _located(spark, path)

@@ -63,12 +63,12 @@ def start_appending(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        if committed.is_committed(session, path, batch_id):
+        given = [None] if with_previous else []
+        if given and batch_id and not committed.is_committed(session, path, batch_id):
+            given = [committed.load_batch(session, path, batch_id - 1)]
+        if not committed.commit(result(batch, *given), path, batch_id, fan_in):
             # The batch is run all the same, as its state has to be brought to this batch.
             batch.write.format("noop").mode("overwrite").save()
-            return
-        given = [committed.load_batch(session, path, batch_id - 1) if batch_id else None] if with_previous else []
-        committed.commit(result(batch, *given), path, batch_id, fan_in)
 
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(**trigger) if trigger else writer).start()

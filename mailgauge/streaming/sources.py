@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailgauge.operators.parse import ERROR_COLUMN, parse_mail
-from mailgauge.sources.mailfiles import directories, directly_in
+from mailgauge.sources.mailfiles import directly_matching
 
 # By default a stream ignores files a week older than the newest it has seen, such as an archive copied with its
 # file times.  No file is that old.
@@ -14,22 +14,31 @@ NO_AGE_LIMIT = {"maxFileAge": "100000d"}
 
 
 def stream_lines(spark: SparkSession, path: str, **options) -> DataFrame:
-    """One row per line of text, column ``value``, of files of any age unless ``maxFileAge`` is given."""
-    return spark.readStream.format("text").options(**(NO_AGE_LIMIT | options)).load(path)
+    """One row per line of text, column ``value``, of files of any age unless ``maxFileAge`` is given.
+
+    Only files directly in the directory, or in one that the pattern ``path`` names, whenever it is made.
+    """
+    return _files(spark, path, options).select("value")
+
+
+def _files(spark: SparkSession, path: str, options: dict) -> DataFrame:
+    # All below is listed, as directories named k=v would otherwise be taken for partitions.
+    options = NO_AGE_LIMIT | {"recursiveFileLookup": "true"} | options
+    files = spark.readStream.format("text").options(**options).load(path)
+    return files.filter(directly_matching(spark, path))
 
 
 def stream_mail_files(spark: SparkSession, path: str, **options) -> DataFrame:
     """One row per file: ``value``, its whole text, ``path``, and ``arrived``, when it was written.
 
-    Only files directly in the directory.  ``maxFilesPerTrigger`` or
+    Only files directly in the directory, or in one that the pattern ``path``
+    names, whenever it is made.  ``maxFilesPerTrigger`` or
     ``maxBytesPerTrigger`` bound a micro-batch.  Files of any age are read
     unless ``maxFileAge`` is given; the log of seen files grows with the
     directory, so move read files away (``cleanSource="archive"`` and
     ``sourceArchiveDir``) where mails keep coming for long.
     """
-    options = NO_AGE_LIMIT | {"wholetext": "true", "recursiveFileLookup": "true"} | options
-    files = spark.readStream.format("text").options(**options).load(path)
-    return files.filter(directly_in(directories(spark, path))).select(
+    return _files(spark, path, {"wholetext": "true"} | options).select(
         "value",
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_modification_time").alias("arrived"),

@@ -84,18 +84,18 @@ class Killed(Exception):
     pass
 
 
-@pytest.mark.parametrize("step", ["create_empty", "delete"])
+@pytest.mark.parametrize("step", ["create_empty", "delete", "rename"])
 @pytest.mark.parametrize("after", [False, True])
 def test_a_writer_that_dies_at_any_step_changes_nothing(spark, tmp_path, monkeypatch, step, after):
     """The writer is killed before or after each single step of the log, and then does its batch again."""
     path, real = f"{tmp_path}/t", getattr(committed, step)
     calls = {"left": None}
 
-    def dying(session, name):
+    def dying(session, *names):
         calls["left"] -= 1
         if calls["left"] == 0 and not after:
             raise Killed
-        real(session, name)
+        real(session, *names)
         if calls["left"] == 0:
             raise Killed
 

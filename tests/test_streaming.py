@@ -13,7 +13,7 @@ from mailgauge.operators import averages as A
 from mailgauge.operators.parse import parse_mail
 from mailgauge.plans.ingest import ingest_stream
 from mailgauge.plans.live import start_live_analyses
-from mailgauge.sources.mailfiles import read_mail
+from mailgauge.sources.mailfiles import path_regex, read_mail, read_mail_files
 from mailgauge.sources.tables import load_parsed
 from mailgauge.streaming import rankings, sinks
 from mailgauge.streaming.sources import stream_lines, stream_mail, stream_mail_files
@@ -277,3 +277,65 @@ def test_a_ranking_whose_past_is_gone_is_an_error(spark, tmp_path):
     write_mails(f"{tmp_path}/in", range(3, 5))
     with pytest.raises(Exception, match="has no batch 0"):
         update().awaitTermination(120)
+
+
+@pytest.mark.parametrize("pattern", ["days/*", "days/{d,e}[0-9]", "days/?[!x]", "days"])
+def test_patterns_take_files_of_directories_made_later(spark, tmp_path, pattern):
+    """Batch and stream agree: files directly in what the pattern names, whenever it is made, also beside k=v."""
+    if pattern == "days":  # a plain directory, with the others as what lies below it
+        first, later = "days", ["days", "days/k=v"]
+    else:
+        first, later = "days/d1", ["days/d1", "days/d2", "days/d1/k=v", "days/e3", "days/e3/sub", "days"]
+    source = f"{tmp_path}/{pattern}"
+    check = f"{tmp_path}/check"
+
+    def streamed():
+        files = stream_mail_files(spark, source).select("value")
+        run(sinks.start_parquet(files, f"{tmp_path}/out", check, ONCE))
+        lines = stream_lines(spark, source)
+        run(sinks.start_parquet(lines, f"{tmp_path}/lines", f"{check}-lines", ONCE))
+        return rows(spark.read.parquet(f"{tmp_path}/out")), rows(spark.read.parquet(f"{tmp_path}/lines"))
+
+    def expected():
+        whole = read_mail_files(spark, source).select("value")
+        return rows(whole), sorted((line,) for r in whole.collect() for line in r.value.split("\n"))
+
+    write_mails(f"{tmp_path}/{first}", range(2))
+    assert streamed() == expected()
+    for n, folder in enumerate(later):
+        write_mails(f"{tmp_path}/{folder}", range(10 + 2 * n, 12 + 2 * n))
+    found = streamed()
+    assert found == expected()
+    # The first pattern names the files that lie beside the directories, too.
+    assert len(found[0]) == {"days": 4, "days/*": 10}.get(pattern, 8)
+
+
+def test_a_directory_made_while_the_stream_runs(spark, tmp_path):
+    write_mails(f"{tmp_path}/days/d1", range(2))
+    mails = stream_mail(spark, f"{tmp_path}/days/*")
+    query = sinks.start_parquet(mails, f"{tmp_path}/out", f"{tmp_path}/check", {"processingTime": "0 seconds"})
+    try:
+        query.processAllAvailable()
+        write_mails(f"{tmp_path}/days/d2", range(2, 5))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 5
+
+
+@pytest.mark.parametrize(
+    ("pattern", "hits", "misses"),
+    [
+        ("/a/*/c", ["/a/b/c", "/a//c"], ["/a/b/b/c", "/a/b/cc"]),
+        ("/a.b+c/d?", ["/a.b+c/dx"], ["/axb+c/dx", "/a.b+c/d", "/a.b+c/d/"]),
+        ("/{x,y{1,2}}/[a-c]", ["/x/a", "/y1/b", "/y2/c"], ["/y/a", "/x/d"]),
+        ("/[^a-c]/[!x]", ["/d/a"], ["/a/a", "/d/x"]),
+        (r"/k=v\*/\[\]", ["/k=v*/[]"], ["/k=vx/[]"]),
+        ("/a,b/}c", ["/a,b/}c"], ["/a/}c"]),
+        ("/ü b/[&^-]", ["/ü b/&", "/ü b/^", "/ü b/-"], ["/ü b/x"]),
+    ],
+)
+def test_path_patterns(spark, pattern, hits, misses):
+    frame = spark.createDataFrame([(p,) for p in hits + misses], "p string")
+    found = frame.filter(F.col("p").rlike(rf"\A{path_regex(pattern)}\z"))
+    assert sorted(r.p for r in found.collect()) == sorted(hits)
