@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailgauge.operators.parse import ERROR_COLUMN, parse_mail
+from mailgauge.sources.listing import FILES, Opened, open_path, read_listed
 from mailgauge.sources.mailfiles import directly_matching
 
 # By default a stream ignores files a week older than the newest it has seen, such as an archive copied with its
@@ -45,13 +46,32 @@ def stream_mail_files(spark: SparkSession, path: str, **options) -> DataFrame:
     )
 
 
+def stream_listed_files(
+    spark: SparkSession, listing: str, tasks: int = 200, opened: Opened = open_path, **options
+) -> DataFrame:
+    """As ``stream_mail_files``, but of the files that ``note_new_files`` adds to the table ``listing``.
+
+    What the driver lists, and the stream's log of seen files grows with, are the few files of that table, not the
+    mails.  ``tasks`` read the mails of a micro-batch.  Call ``note_new_files`` as often as new mails are
+    to be looked for, once at least before the stream is started.
+    """
+    files = spark.readStream.schema(FILES).options(**(NO_AGE_LIMIT | options)).parquet(listing)
+    return read_listed(files, tasks, opened)
+
+
 def stream_mail(
-    spark: SparkSession, path: str, errors: bool = False, parse_options: dict | None = None, **options
+    spark: SparkSession,
+    path: str,
+    errors: bool = False,
+    parse_options: dict | None = None,
+    listed: bool = False,
+    **options,
 ) -> DataFrame:
     """The mails of a growing directory: the mail table and ``arrived``.
 
-    ``errors=True`` adds ``_error`` and ``path``.
+    ``errors=True`` adds ``_error`` and ``path``.  ``listed=True``: ``path`` is a table of files kept by ``note_new_files``
+    (see ``stream_listed_files``).
     """
-    files = stream_mail_files(spark, path, **options)
+    files = stream_listed_files(spark, path, **options) if listed else stream_mail_files(spark, path, **options)
     mails = parse_mail(files, keep=["arrived", "path"], **(parse_options or {}))
     return mails if errors else mails.drop(ERROR_COLUMN, "path")
