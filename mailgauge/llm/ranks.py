@@ -28,7 +28,8 @@ def ranked(rows: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataF
     summed up is one row for each file and group in it.
     """
     keys = [*group, *order, "_file", "_at"]
-    stored = _placed(land(rows))
+    # The range partitioner sends a sample of the keys to the driver, so the file is a number there.
+    stored = _placed(land(rows)).withColumn("_file", F.xxhash64("_file"))
     runs = _placed(land(stored.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_file", "_at")))
     spans = runs.groupBy(*group, "_file").agg(
         F.min("_at").alias("_from"),
