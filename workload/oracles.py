@@ -90,6 +90,7 @@ FIELDS = (
 )
 READABLE = FIELDS.format(body='"Body"', recipients='"Recipients"')
 INTERVAL = """"Date" > TIMESTAMP '2000-03-01' AND "Date" < TIMESTAMP '2001-09-15'"""
+TIMES = """"Date" > TIMESTAMP '2000-03-01 07:30:00' AND "Date" < TIMESTAMP '2001-09-14 18:45:10'"""
 AVERAGES = f"""avg(len({TOKENS})) AS "avgLength", avg(len("Recipients")) AS "avgNoOfRecipients\""""
 TOP_BOTH = """
   SELECT measure, rank, sender, total FROM (
@@ -190,6 +191,8 @@ ORACLES: dict[str, str] = {
     "avg_mail_stats_by_sender": _BY_SENDER,
     "avg_mail_stats": f"{_with(MAIL)} SELECT {AVERAGES} FROM mail WHERE {INTERVAL}",
     "avg_stored_mail_by_sender": _BY_SENDER,
+    "avg_rollup": f"{_with(MAIL)} SELECT {AVERAGES} FROM mail WHERE {TIMES}",
+    "avg_rollup_by_sender": f'{_with(MAIL)} SELECT "From" AS sender, {AVERAGES} FROM mail WHERE {TIMES} GROUP BY "From"',
     "avg_raw_mail_by_sender": f"""{_PARSED}
         SELECT "From" AS sender, avg(len({PARSED_TOKENS})) AS "avgLength",
                avg(len(all_recipients)) AS "avgNoOfRecipients"
@@ -294,6 +297,7 @@ ORACLES: dict[str, str] = {
                CAST(sum(CASE WHEN errors = '' THEN 0 ELSE 1 END) AS BIGINT) AS bad
         FROM checked GROUP BY sender""",
     "scan_mail_files": _PARSED_MAILS,
+    "scan_listed_files": _PARSED_MAILS,
     "scan_whole_files": f"""{_PARSED}
         SELECT array_to_string({_RAW_LINES}, chr(10)) AS value FROM matched""",
     "load_parquet_multi": _MAILS,
@@ -306,7 +310,13 @@ ORACLES: dict[str, str] = {
     "stream_lines": """
         SELECT unnest(string_split_regex(text, '\\r\\n|\\r|\\n')) AS value FROM documents""",
     "stream_mail": _PARSED_MAILS,
+    "stream_listed_mail": _PARSED_MAILS,
     "stream_top_senders": _STREAM_TOP,
+    "stream_top_senders_merged": _STREAM_TOP,
+    "stream_words_with_late": f"""{_PARSED}
+        SELECT strftime(date_trunc('minute', "Date"), '%Y-%m-%d %H:%M:%S') AS window_start, word, count(*) AS count
+        FROM (SELECT "Date", unnest({PARSED_TOKENS}) AS word FROM matched)
+        GROUP BY window_start, word""",
     "stream_top_senders_count": f"SELECT * FROM ({_STREAM_TOP}) WHERE measure = 'mails'",
     "stream_top_senders_words": f"SELECT * FROM ({_STREAM_TOP}) WHERE measure = 'words'",
     "stream_top_words_window": _STREAM_WORDS,
@@ -316,3 +326,4 @@ ORACLES: dict[str, str] = {
         SELECT window_start, word, rank, count FROM ({_STREAM_WORDS})""",
 }
 ORACLES["stream_lines_update"] = ORACLES["stream_lines"]
+ORACLES["sender_totals_rollup"] = ORACLES["sender_totals"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,13 +23,14 @@ from mailgauge.operators.parse import (
     with_recipients,
 )
 from mailgauge.operators.relational import append_mail, in_interval, order_by_date, query_view, top_n, with_features
-from mailgauge.plans import ingest, live, reports
+from mailgauge.plans import ingest, live, reports, rollups
 from mailgauge.schema import to_mail_schema
 from mailgauge.sources.documents import read_json_document, store_json_document, store_json_lines
+from mailgauge.sources.listing import list_files, note_new_files, read_listed
 from mailgauge.sources.mailfiles import read_mail, read_mail_files, write_mail_files
 from mailgauge.sources.scratch import scratch_dir
 from mailgauge.sources.tables import load_parquet, load_parsed, store_parquet, store_parsed
-from mailgauge.streaming import rankings, sinks
+from mailgauge.streaming import rankings, sinks, windows
 from mailgauge.streaming import sources as streams
 from workload.corpus import (
     EPOCH_2000,
@@ -44,6 +46,8 @@ from workload.corpus import (
 )
 
 LOW, HIGH = "2000-03-01", "2001-09-15"
+# Within days, so that sums of whole days do not do.
+LOW_TIME, HIGH_TIME = "2000-03-01 07:30:00", "2001-09-14 18:45:10"
 SENDER_AVERAGES = "sender string, avgLength double, avgNoOfRecipients double"
 ONCE = {"availableNow": True}
 
@@ -121,6 +125,33 @@ def avg_raw_mail_by_sender(spark, sf_dir):
     return A.averages_by_sender(A.mail_lengths(mails))
 
 
+def rollup(spark, sf_dir):
+    """Sums by sender and day of both stored tables, added one after the other."""
+
+    def write(path):
+        for stored in mail_tables(spark, sf_dir):
+            rollups.add_to_rollup(spark, path, stored, fan_in=2)
+        return path
+
+    return staged(spark, sf_dir, "rollup", write)
+
+
+@query
+def avg_rollup(spark, sf_dir):
+    """Whole days from the sums, the rest of the interval from the mails."""
+    return rollups.rollup_averages(spark, rollup(spark, sf_dir), LOW_TIME, HIGH_TIME)
+
+
+@query
+def avg_rollup_by_sender(spark, sf_dir):
+    return rollups.rollup_averages_by_sender(spark, rollup(spark, sf_dir), LOW_TIME, HIGH_TIME)
+
+
+@query
+def sender_totals_rollup(spark, sf_dir):
+    return rollups.rollup_sender_totals(spark, rollup(spark, sf_dir))
+
+
 @query
 def avg_all_mail_by_sender(spark, sf_dir):
     """Documents and conversations appended; three senders hold all of the latter."""
@@ -401,6 +432,13 @@ def scan_whole_files(spark, sf_dir):
     return files.select(F.expr("left(value, length(value) - 1)").alias("value"))
 
 
+@query
+def scan_listed_files(spark, sf_dir):
+    """The same files, listed and read by tasks."""
+    files = list_files(spark, mail_directory(spark, sf_dir))
+    return readable(parse_mail(read_listed(files)))
+
+
 @query
 def load_parquet_multi(spark, sf_dir):
     return readable(load_parquet(spark, *mail_tables(spark, sf_dir)))
@@ -479,18 +517,29 @@ def stream_mail(spark, sf_dir):
     return readable(mails)
 
 
-def _in_slices(spark, sf_dir, start, slices=4):
+@query
+def stream_listed_mail(spark, sf_dir):
+    """The same, following a table of the files that were listed by tasks."""
+    out, files = scratch_dir(spark), scratch_dir(spark)
+    note_new_files(spark, files, mail_directory(spark, sf_dir))
+    _finish(ingest.ingest_stream(spark, files, out, scratch_dir(spark), ONCE, listed=True, tasks=8))
+    mails, _ = load_parsed(spark, out)
+    return readable(mails)
+
+
+def _in_slices(spark, sf_dir, start, slices=4, mixed=False):
     """Run a stream over the documents' mails that come in slices, one after the other, by date.
 
     ``start`` is given the stream of mails and returns the queries to run.
     What is in one slice is read in any order; windows lose a mail only if a
-    slice brings one older than those before it.
+    slice brings one older than those before it.  With ``mixed`` every slice has mails of all dates.
     """
     folder = scratch_dir(spark)
     hour = f"(unix_seconds(Date) - {EPOCH_2000}) div 3600"
     for i in range(slices):
         dated = documents(spark, sf_dir).selectExpr("*", *MAIL_OF_DOCUMENT[1:2])
-        part = dated.filter(f"{hour} * {slices} div {HOURS} = {i}").drop("Date")
+        slice_ = f"doc_id % {slices}" if mixed else f"{hour} * {slices} div {HOURS}"
+        part = dated.filter(f"{slice_} = {i}").drop("Date")
         raw_mails(part).write.mode("append").parquet(folder)
         # A slice is one batch, however many files it has.
         stream = spark.readStream.schema("doc_id long, value string").options(
@@ -507,6 +556,18 @@ def stream_top_senders(spark, sf_dir):
     return _ranking(sinks.latest_batch(spark, out))
 
 
+@query
+def stream_top_senders_merged(spark, sf_dir):
+    """From results whose batches are merged two at a time."""
+    out, checkpoint = scratch_dir(spark), scratch_dir(spark)
+
+    def start(mails):
+        return [rankings.start_top_senders(mails, out, checkpoint, trigger=ONCE, fan_in=2)]
+
+    _in_slices(spark, sf_dir, start, 3)
+    return _ranking(sinks.latest_batch(spark, out))
+
+
 @query
 def stream_top_senders_count(spark, sf_dir):
     return stream_top_senders(spark, sf_dir).filter("measure = 'mails'")
@@ -533,6 +594,26 @@ def _top_words_in_slices(spark, sf_dir, slices):
     return _window_text(spark.read.parquet(out))
 
 
+@query
+def stream_words_with_late(spark, sf_dir):
+    """Words by window from mails in no order of date: those counted in time, and those of the late mails."""
+    out, checkpoint = scratch_dir(spark), scratch_dir(spark)
+
+    def start(mails):
+        every = 1 << 30  # all words of a window, not the first few
+        return [
+            windows.start_top_words_keeping_late(mails, out, checkpoint, every, event_time="Date", trigger=ONCE)
+        ]
+
+    _in_slices(spark, sf_dir, start, 2, mixed=True)
+    late = A.body_words(windows.late_mails(spark, out), "window").withColumn("count", F.lit(1).cast("long"))
+    found = [windows.closed_windows(spark, out), windows.open_windows(spark, out), late]
+    rows = reduce(DataFrame.unionAll, [f.select("window", "word", "count") for f in found])
+    return rows.groupBy("window", "word").agg(F.sum("count").alias("count")).select(
+        F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "word", "count"
+    )
+
+
 @query
 def stream_parquet_append(spark, sf_dir):
     """One Parquet output per analysis, each entry with its instant or window."""
