@@ -1,0 +1,83 @@
+"""Loads over files that disagree: all good rows, and the rest by name."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
+from mailgauge.schema import MAIL_COLUMNS
+from mailgauge.sources.checked import file_schemas, load_checked
+
+WHEN = dt.datetime(2001, 2, 3, 4, 5, 6, tzinfo=dt.timezone.utc)
+
+
+def table(ids, **changed):
+    n = len(ids)
+    columns = {
+        "ID": pa.array(ids),
+        "Date": pa.array([WHEN] * n, pa.timestamp("us", "UTC")),
+        "From": pa.array(["a@x"] * n),
+        "Recipients": pa.array([["b@x", "c@x"]] * n),
+        "Subject": pa.array(["s"] * n),
+        "Body": pa.array(["some words"] * n),
+    }
+    columns.update(changed)
+    return pa.table({k: v for k, v in columns.items() if v is not None})
+
+
+@pytest.fixture()
+def folder(tmp_path):
+    path = f"{tmp_path}/t"
+    os.makedirs(f"{path}/below")
+    put = lambda name, t: pq.write_table(t, f"{path}/{name}")
+    put("good.parquet", table(["g1", "g2"]))
+    put("good [2] {b}, +%20.parquet", table(["g3"]))
+    put("text-dates.parquet", table(["d1", "d2", "d3"], Date=pa.array(["2001-02-03 04:05:06", "never", None])))
+    put("days.parquet", table(["e1"], Date=pa.array([dt.date(2001, 2, 3)])))
+    put("numbers.parquet", table([7, 8], Subject=pa.array([1.5, None])))
+    put("lower.parquet", table(["l1"]).rename_columns([c.lower() for c in MAIL_COLUMNS]).append_column("extra", pa.array([1])))
+    put("no-subject.parquet", table(["n1"], Subject=None, Body=None))
+    put("no-sender.parquet", table(["x1"], From=None))
+    put("odd-recipients.parquet", table(["x2"], Recipients=pa.array([5])))
+    put("below/other.parquet", table(["below"]))
+    whole = open(f"{path}/good.parquet", "rb").read()
+    for name, data in (("cut.parquet", whole[: len(whole) // 2]), ("text.parquet", b"no table"), ("headless.parquet", whole[200:])):
+        with open(f"{path}/{name}", "wb") as f:
+            f.write(data)
+    return path
+
+
+def test_good_drifted_and_broken_files(spark, folder):
+    mails, quarantine = load_checked(spark, folder)
+    assert mails.columns == MAIL_COLUMNS
+    rows = {r.ID: r for r in mails.collect()}
+    assert sorted(rows) == ["7", "8", "d1", "d3", "e1", "g1", "g2", "g3", "l1", "n1"]
+    seconds = {r.ID: r.s for r in mails.selectExpr("ID", "unix_seconds(Date) AS s").collect()}
+    assert seconds["d1"] == seconds["g1"] == int(WHEN.timestamp()) and seconds["d3"] is None
+    assert rows["7"].Subject == "1.5" and rows["n1"].Body is None and rows["l1"].Recipients == ["b@x", "c@x"]
+
+    found = {(os.path.basename(r.path), r.row): r.reason for r in quarantine.collect()}
+    assert set(found) == {
+        ("text-dates.parquet", 1), ("no-sender.parquet", None), ("odd-recipients.parquet", None),
+        ("cut.parquet", None), ("text.parquet", None), ("headless.parquet", None),
+    }
+    assert found["text-dates.parquet", 1] == "Date cannot be read"
+    assert found["no-sender.parquet", None] == "no column From"
+    assert found["odd-recipients.parquet", None].startswith("Recipients is ")
+    assert found["cut.parquet", None].startswith("unreadable")
+
+
+def test_footers(spark, folder):
+    known = {os.path.basename(r.path): r for r in file_schemas(spark, folder).collect()}
+    assert known["good.parquet"].schema == known["good [2] {b}, +%20.parquet"].schema != known["days.parquet"].schema
+    assert (known["good.parquet"].rows, known["cut.parquet"].rows) == (2, None)
+    assert "other.parquet" not in known
+
+
+def test_nothing_to_load(spark, tmp_path):
+    mails, quarantine = load_checked(spark, f"{tmp_path}/none")
+    assert mails.isEmpty() and quarantine.isEmpty() and mails.columns == MAIL_COLUMNS
