@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from mailgauge.operators.averages import sender_totals, top_words_by_window, updated_top_senders, windowed_words
 from mailgauge.streaming.sinks import start_appending
+from mailgauge.streaming.sources import with_event_time
 
 
 def start_top_senders(
@@ -51,9 +52,11 @@ def start_top_words(
 
     A window closes when the latest event time seen is ``delay`` past its
     end; mails later than that are dropped, and state is kept for open
-    windows only.  Writes window, rank, word, count (and batch_id); ``fan_in``
+    windows only.  ``event_time`` is a column or ``processed``, the time of the
+    micro-batch a mail came in.  Writes window, rank, word, count (and batch_id); ``fan_in``
     as in ``start_appending``.
     """
+    mails = with_event_time(mails, event_time)
     counts = windowed_words(mails.withWatermark(event_time, delay), event_time, window, slide, lines_kept)
 
     def ranked(closed: DataFrame) -> DataFrame:

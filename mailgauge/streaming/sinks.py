@@ -13,8 +13,43 @@ from mailgauge.sources.scratch import exists
 
 def start_console(stream: DataFrame, truncate: bool = True, trigger: dict | None = None) -> StreamingQuery:
     """Print each micro-batch (update mode)."""
-    writer = stream.writeStream.outputMode("update").format("console").option("truncate", truncate)
-    return (writer.trigger(**trigger) if trigger else writer).start()
+    return start_sink(stream, "console", trigger=trigger, truncate=truncate)
+
+
+SINKS = ("console", "memory", "parquet")
+
+
+def start_sink(
+    stream: DataFrame,
+    sink: str,
+    target: str | None = None,
+    checkpoint: str | None = None,
+    trigger: dict | None = None,
+    mode: str | None = None,
+    **options,
+) -> StreamingQuery:
+    """Start a stream into one of SINKS.
+
+    ``console`` prints each micro-batch and ``memory`` keeps it in a table of the session, by the name ``target``, that SQL can
+    query: what the console shows, for tests and small results, as it lies on the driver.  ``parquet`` appends to the directory
+    ``target`` and needs a ``checkpoint``.  ``mode`` is update for the first two and append for Parquet unless given.
+    """
+    if sink not in SINKS:
+        raise ValueError(f"sink must be one of {SINKS}, not {sink!r}")
+    if sink != "console" and not target:
+        raise ValueError(f"the {sink} sink needs a target")
+    if sink == "parquet" and not checkpoint:
+        raise ValueError("the parquet sink needs a checkpoint")
+    writer = stream.writeStream.format(sink).outputMode(mode or ("append" if sink == "parquet" else "update"))
+    if sink == "memory":
+        writer = writer.queryName(target)
+    elif sink == "parquet":
+        writer = writer.option("path", target)
+    if checkpoint:
+        writer = writer.option("checkpointLocation", checkpoint)
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.options(**options).start()
 
 
 def start_parquet(

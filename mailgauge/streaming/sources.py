@@ -14,6 +14,20 @@ from mailgauge.sources.mailfiles import directly_matching
 NO_AGE_LIMIT = {"maxFileAge": "100000d"}
 
 
+# The event time that is the time of the micro-batch a mail came in.
+PROCESSED = "processed"
+
+
+def with_event_time(mails: DataFrame, event_time: str) -> DataFrame:
+    """The mails with the column ``event_time``: one they have, or PROCESSED.
+
+    The time of a micro-batch is noted in the checkpoint before it is run, so one that is run again has the same.
+    """
+    if event_time == PROCESSED and PROCESSED not in mails.columns:
+        return mails.withColumn(PROCESSED, F.current_timestamp())
+    return mails
+
+
 def stream_lines(spark: SparkSession, path: str, **options) -> DataFrame:
     """One row per line of text, column ``value``, of files of any age unless ``maxFileAge`` is given.
 

@@ -17,6 +17,7 @@ from mailgauge.operators.averages import body_words, top_words_by_window
 from mailgauge.schema import MAIL_COLUMNS
 from mailgauge.sources import committed
 from mailgauge.sources.scratch import delete, exists, land, remove
+from mailgauge.streaming.sources import with_event_time
 
 WORDS, LATE = "words", "late"
 # Versions of what batches know of those before them.
@@ -61,6 +62,7 @@ def start_top_words_keeping_late(
     if exists(spark, path) and not exists(spark, f"{checkpoint.rstrip('/')}/metadata"):
         raise ValueError(f"{path} holds the batches of another checkpoint than {checkpoint}")
     lag = _microseconds(spark, delay)
+    mails = with_event_time(mails, event_time)
     kept = [*MAIL_COLUMNS, *([event_time] if event_time not in MAIL_COLUMNS else [])]
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -5,6 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import os
 import shutil
+import subprocess
+import sys
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,8 +18,8 @@ from mailgauge.plans.ingest import ingest_stream
 from mailgauge.plans.live import start_live_analyses
 from mailgauge.sources.mailfiles import path_regex, read_mail, read_mail_files
 from mailgauge.sources.tables import load_parsed
-from mailgauge.streaming import rankings, sinks
-from mailgauge.streaming.sources import stream_lines, stream_mail, stream_mail_files
+from mailgauge.streaming import rankings, sinks, windows
+from mailgauge.streaming.sources import stream_lines, stream_mail, stream_mail_files, with_event_time
 
 ONCE = {"availableNow": True}
 START = dt.datetime(2001, 1, 1)
@@ -339,3 +342,82 @@ def test_path_patterns(spark, pattern, hits, misses):
     frame = spark.createDataFrame([(p,) for p in hits + misses], "p string")
     found = frame.filter(F.col("p").rlike(rf"\A{path_regex(pattern)}\z"))
     assert sorted(r.p for r in found.collect()) == sorted(hits)
+
+
+def test_sinks_by_name(spark, tmp_path):
+    """What the console prints is what the memory sink keeps in the same mode; Parquet has the same rows."""
+    write_mails(f"{tmp_path}/in", range(5))
+    for i in range(5):  # taken in this order
+        os.utime(f"{tmp_path}/in/{i}_", (1_000_000_000 + i,) * 2)
+
+    def totals():
+        return A.sender_totals(stream_mail(spark, f"{tmp_path}/in", maxFilesPerTrigger=2))
+
+    lines = stream_lines(spark, f"{tmp_path}/in")
+    run(sinks.start_sink(lines, "parquet", f"{tmp_path}/out", f"{tmp_path}/check", ONCE))
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(spark.read.text(f"{tmp_path}/in"))
+    run(sinks.start_sink(totals(), "console", trigger=ONCE))
+    run(sinks.start_sink(totals(), "memory", "kept_totals", trigger=ONCE))
+    kept = spark.sql("SELECT sender, max(mails) AS mails, max(words) AS words, count(*) AS updates FROM kept_totals GROUP BY sender")
+    whole = A.sender_totals(read_mail(spark, f"{tmp_path}/in"))
+    assert rows(kept.drop("updates")) == rows(whole)
+    # Two mails a batch, four senders: only the sender of the fifth mail is updated once more.
+    assert rows(kept.select("sender", "updates")) == [("s0@x", 2), ("s1@x", 1), ("s2@x", 1), ("s3@x", 1)]
+    spark.catalog.dropTempView("kept_totals")
+
+
+def test_sinks_that_cannot_start(spark, tmp_path):
+    write_mails(f"{tmp_path}/in", range(1))
+    lines = stream_lines(spark, f"{tmp_path}/in")
+    for sink, options in (("printer", {}), ("memory", {}), ("parquet", {}), ("parquet", {"target": "x"})):
+        with pytest.raises(ValueError):
+            sinks.start_sink(lines, sink, **options)
+
+
+def test_console_prints_the_rows(spark, tmp_path):
+    """In a session of its own, as what the JVM prints cannot be caught in this one."""
+    write_mails(f"{tmp_path}/in", range(2))
+    code = f"""
+from pyspark.sql import SparkSession
+from mailgauge.streaming import sinks, sources
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+lines = sources.stream_lines(spark, "{tmp_path}/in")
+sinks.start_console(lines, truncate=False, trigger={{"availableNow": True}}).awaitTermination(120)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=240, cwd=root)
+    assert done.returncode == 0, done.stderr
+    printed = sorted(line[1:-1].rstrip() for line in done.stdout.splitlines() if line.startswith("|"))
+    expected = [r.value.rstrip() for r in spark.read.text(f"{tmp_path}/in").collect()]
+    assert printed == sorted([*expected, "value"])
+
+
+def test_processing_time_is_the_same_when_a_batch_is_run_again(spark, tmp_path):
+    write_mails(f"{tmp_path}/in", range(4))
+
+    def times(checkpoint, path):
+        mails = with_event_time(stream_mail(spark, f"{tmp_path}/in"), "processed")
+        run(sinks.start_updates(mails.select("ID", "processed"), path, checkpoint, ONCE))
+        return rows(sinks.read_results(spark, path))
+
+    first = times(f"{tmp_path}/check", f"{tmp_path}/out")
+    assert len({when for _, when, _ in first}) == 1
+    # A stream that fails before it has noted batch 0 as done runs it again, here into another directory.
+    shutil.copytree(f"{tmp_path}/check", f"{tmp_path}/check-before", ignore=shutil.ignore_patterns("commits"))
+    time.sleep(1.5)
+    assert times(f"{tmp_path}/check-before", f"{tmp_path}/again") == first
+
+
+@pytest.mark.parametrize("keeping_late", [False, True])
+def test_windows_by_processing_time(spark, tmp_path, keeping_late):
+    """Mails that come seconds apart are in windows of a second of their own, whatever their dates."""
+    out = f"{tmp_path}/out"
+    for k in range(3):
+        write_mails(f"{tmp_path}/in", range(3 * k, 3 * k + 3))
+        start = windows.start_top_words_keeping_late if keeping_late else rankings.start_top_words
+        mails = stream_mail(spark, f"{tmp_path}/in")
+        run(start(mails, out, f"{tmp_path}/check", event_time="processed", window="1 second", delay="1 second", trigger=ONCE))
+        time.sleep(2.5)
+    closed = windows.closed_windows(spark, out) if keeping_late else sinks.read_results(spark, out)
+    found = rows(closed.select("window.start", "rank", "word", "count"))
+    assert [r[1:] for r in found] == [(1, "w0", 3), (2, "w1", 2), (3, "w2", 1)] * (len(found) // 3) and len(found) >= 6
