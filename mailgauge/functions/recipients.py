@@ -14,10 +14,18 @@ from pyspark.sql import functions as F
 _NONE = "CAST(array() AS ARRAY<STRING>)"
 
 
+def _trimmed(marked: str) -> str:
+    return rf"trim(TRAILING '\n' FROM {marked})"
+
+
+def split_marked(trimmed: str) -> str:
+    """Parts between the line breaks of a text that does not end with one."""
+    return rf"if({trimmed} = '', {_NONE}, split({trimmed}, '\n'))"
+
+
 def _cut(marked: str) -> str:
     """Parts between the line breaks, empty parts at the end dropped."""
-    trimmed = rf"trim(TRAILING '\n' FROM {marked})"
-    return rf"if({trimmed} = '', {_NONE}, split({trimmed}, '\n'))"
+    return split_marked(_trimmed(marked))
 
 
 def split_list(value: str) -> str:
@@ -25,8 +33,8 @@ def split_list(value: str) -> str:
     return _cut(rf"replace({value}, ', ', '\n')")
 
 
-def split_unquoted(value: str) -> str:
-    """Parts of a header list cut at every comma that is outside double quotes.
+def mark_unquoted(value: str) -> str:
+    """A header list with a line break for every comma outside double quotes, none at the end (see ``split_marked``).
 
     A comma is outside when an even number of quotes follows it.
     """
@@ -36,7 +44,12 @@ def split_unquoted(value: str) -> str:
         f"""zip_with(split({value}, '"'), sequence({quotes}, 0), (piece, following) -> """
         rf"""if(following % 2 = 0, replace(piece, ',', '\n'), piece))"""
     )
-    return _cut(f"""array_join({marked}, '"')""")
+    return _trimmed(f"""array_join({marked}, '"')""")
+
+
+def split_unquoted(value: str) -> str:
+    """Parts of a header list cut at every comma that is outside double quotes."""
+    return split_marked(mark_unquoted(value))
 
 
 def _labelled(addresses: str, names: str) -> str:
@@ -50,12 +63,20 @@ def _paired(names: str) -> str:
     return f"zip_with({even}, {odd}, (last, first) -> concat(last, ' ', first))"
 
 
-def match_names(addresses: str, names: str, a: str, n: str) -> str:
+def needs_unquoted(addresses: str, names: str, a: str, n: str) -> str:
+    """Whether ``match_names`` gets as far as names that are cut outside quotes."""
+    return (
+        f"{addresses} <> '' AND {names} <> '' AND size({a}) <> 1 AND size({a}) <> size({n}) "
+        f"AND size({a}) * 2 <> size({n})"
+    )
+
+
+def match_names(addresses: str, names: str, a: str, n: str, unquoted: str) -> str:
     """``map_recipients`` where ``a`` and ``n`` are the two headers after ``split_list``.
 
-    Both are used several times, so in a plan they should be columns.
+    ``unquoted`` is the second one after ``split_unquoted``, which may be null unless ``needs_unquoted``.  All are
+    used several times, so in a plan they should be columns.
     """
-    unquoted = split_unquoted(names)
     return f"""
       CASE
         WHEN {addresses} IS NULL OR {addresses} = '' THEN {_NONE}
@@ -79,4 +100,4 @@ def map_recipients(addresses: str, names: str) -> Column:
     * as many names when commas inside quotes do not count: one each;
     * anything else: the addresses alone.
     """
-    return F.expr(match_names(addresses, names, split_list(addresses), split_list(names)))
+    return F.expr(match_names(addresses, names, split_list(addresses), split_list(names), split_unquoted(names)))

@@ -17,8 +17,16 @@ def words(body: Column, lines_kept: bool = False) -> Column:
 
 
 def word_count(body: Column, lines_kept: bool = False) -> Column:
-    """Number of ``words(body)``; a null body has none."""
-    return F.coalesce(F.size(words(body, lines_kept)), F.lit(0))
+    """Number of ``words(body)``; a null body has none.
+
+    Where no two spaces stand together, there is one word more than spaces, and nothing has to be cut.
+    """
+    cut = F.size(words(body, lines_kept))
+    if not lines_kept:
+        inner = F.trim(body)
+        spaces = F.octet_length(inner) - F.octet_length(F.replace(inner, F.lit(" "), F.lit("")))
+        cut = F.when(inner == "", 0).when(F.contains(inner, F.lit("  ")), cut).otherwise(spaces + 1)
+    return F.coalesce(cut, F.lit(0))
 
 
 def recipient_count(recipients: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from mailgauge.functions import headers as H
 from mailgauge.functions.dates import date_from_parts, date_parts
-from mailgauge.functions.recipients import match_names, split_list
+from mailgauge.functions.recipients import mark_unquoted, match_names, needs_unquoted, split_list, split_marked
 from mailgauge.operators.relational import in_interval
 from mailgauge.schema import MAIL_COLUMNS
 
@@ -79,12 +79,12 @@ def _lines(df: DataFrame, raw: str, keep: Sequence[str]) -> DataFrame:
 def _dated(
     located: DataFrame, keep: Sequence[str], between: tuple[str, str], zone_required: bool, zone: str
 ) -> DataFrame:
-    """The mails dated in the interval, told from the date line alone."""
+    """The mails dated in the interval, told from the date line alone, and their date as ``_when``."""
     line = f"get(_lines, _used[{H.FIELDS.index('Date')}] - 1)"
     parts = located.withColumn("_parts", F.expr(date_parts(H.field_value(line), zone_required)))
     when = parts.selectExpr(*_q(keep), "_lines", "_kinds", "_used", f"{date_from_parts('_parts', zone)} AS _when")
     once = _computed_once(when, ["_lines", "_kinds", "_used", "_when"])
-    return in_interval(once, *between, column="_when").drop("_when")
+    return in_interval(once, *between, column="_when")
 
 
 def _fields(
@@ -116,6 +116,7 @@ def _fields(
     )
     if between:
         located = _dated(located, keep, between, zone_required, zone)
+        values = ["_when AS `Date`" if f == "Date" else value for f, value in zip(H.FIELDS, values)]
     return located.selectExpr(
         *_q(keep), *values, f"array_join(filter(_lines, (line, i) -> {in_body}), {separator}) AS Body"
     )
@@ -132,9 +133,20 @@ def with_recipients(fields: DataFrame) -> DataFrame:
     """Adds ``Recipients``: all of To, then Cc, then Bcc, repeats kept."""
     headers = [*ADDRESS_HEADERS, *ADDRESS_HEADERS.values()]
     parts = [f"{split_list(f'`{h}`')} AS `_{h}`" for h in headers]
-    matched = [match_names(f"`{a}`", f"`{n}`", f"`_{a}`", f"`_{n}`") for a, n in ADDRESS_HEADERS.items()]
-    return fields.selectExpr("*", *parts).selectExpr(
-        *_q(fields.columns), f"concat({', '.join(matched)}) AS Recipients"
+    # Names are cut outside quotes only where nothing else has matched, and once.
+    marked = [
+        f"CASE WHEN {needs_unquoted(f'`{a}`', f'`{n}`', f'`_{a}`', f'`_{n}`')} THEN {mark_unquoted(f'`{n}`')} END AS `_marked {n}`"
+        for a, n in ADDRESS_HEADERS.items()
+    ]
+    cut = [f"{split_marked(f'`_marked {n}`')} AS `_unquoted {n}`" for n in ADDRESS_HEADERS.values()]
+    matched = [
+        match_names(f"`{a}`", f"`{n}`", f"`_{a}`", f"`_{n}`", f"`_unquoted {n}`") for a, n in ADDRESS_HEADERS.items()
+    ]
+    return (
+        fields.selectExpr("*", *parts)
+        .selectExpr("*", *marked)
+        .selectExpr("*", *cut)
+        .selectExpr(*_q(fields.columns), f"concat({', '.join(matched)}) AS Recipients")
     )
 
 
@@ -190,11 +202,14 @@ def parse_mail(
     ``zone`` tells whether a date's offset or its zone name counts (see ``date_from_parts``).
     """
     fields = _fields(df, raw, keep, body, header_only, between, zone_required, zone)
-    dated = fields.withColumn("Date", F.expr(date_parts("Date", zone_required)))
-    mail = with_recipients(dated).selectExpr(
+    date = "Date"
+    if not between:
+        fields = fields.withColumn("Date", F.expr(date_parts("Date", zone_required)))
+        date = date_from_parts("Date", zone)
+    mail = with_recipients(fields).selectExpr(
         *_q(keep),
         "`Message-ID` AS ID",
-        f"{date_from_parts('Date', zone)} AS Date",
+        f"{date} AS Date",
         "From",
         "Recipients",
         "Subject",
