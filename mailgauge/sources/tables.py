@@ -13,6 +13,9 @@ from mailgauge.operators.parse import ERROR_COLUMN, has_error
 from mailgauge.operators.relational import POSITION
 from mailgauge.schema import READ_SCHEMA
 
+# Tells copies of a mail apart while a table is written.
+PLACE = "_place"
+
 # Fixed value: output directories are named after the local time they were made.
 OUTPUT_STAMP = "%Y-%m-%d_%H-%M-%S"
 
@@ -51,16 +54,20 @@ def store_parquet(
     An existing directory is an error.  ``clustered=True`` pays one shuffle to
     write files that each cover a short span of dates, so that later interval
     filters skip most row groups: ``files`` of them, or as many as the session
-    has shuffle partitions.  ID and, if the table has them, the POSITION
-    columns split a crowded instant; those are not stored.  The range
-    partitioner reads its input twice, so give it a stored table rather than
-    one still to be parsed.
+    has shuffle partitions.  A crowded instant is split by ID, and copies of
+    one mail by the POSITION columns or, where the table has none, by their
+    place in it; none of these is stored.  The range partitioner reads its
+    input twice, so give it a stored table rather than one still to be parsed.
     """
     target = output_dir(path, "parquet", now)
     if clustered:
-        keys = ["Date", "ID", *[c for c in POSITION if c in df.columns]]
+        places = [c for c in POSITION if c in df.columns]
+        if len(places) < len(POSITION):
+            # It need not be the same in both readings: any place of a copy is right.
+            df, places = df.withColumn(PLACE, F.monotonically_increasing_id()), [PLACE]
+        keys = ["Date", "ID", *places]
         df = df.repartitionByRange(*([files] if files else []), *keys).sortWithinPartitions(*keys)
-    df.drop(*POSITION).write.mode("errorifexists").parquet(target)
+    df.drop(*POSITION, PLACE).write.mode("errorifexists").parquet(target)
     return target
 
 

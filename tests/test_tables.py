@@ -34,10 +34,10 @@ NOW = dt.datetime(2030, 7, 4, 21, 5, 9)
 @pytest.fixture
 def mails(spark):
     rows = [
-        ("<1>", "2000-06-23 00:00:00", "a@x", ["p"], "s", "on the low bound"),
-        ("<2>", "2000-06-23 00:00:01", "a@x", ["p", "q"], "s", "two  words "),
-        ("<3>", "2001-10-03 23:59:59", "A@x", [], None, ""),
-        ("<4>", "2001-10-04 00:00:00", "b@x", ["p"], "s", "on the high bound"),
+        ("<1>", "2000-04-12 00:00:00", "a@x", ["p"], "s", "on the low bound"),
+        ("<2>", "2000-04-12 00:00:01", "a@x", ["p", "q"], "s", "two  words "),
+        ("<3>", "2001-08-18 23:59:59", "A@x", [], None, ""),
+        ("<4>", "2001-08-19 00:00:00", "b@x", ["p"], "s", "on the high bound"),
         ("<5>", None, "b@x", ["p"], "s", "no date"),
         ("<6>", "2001-01-01 00:00:00", "a@x", None, "s", None),
     ]
@@ -55,14 +55,14 @@ def plan_of(df):
 
 
 def test_interval_bounds(mails):
-    assert ids(in_interval(mails, "2000-06-23", "2001-10-04")) == ["<2>", "<3>", "<6>"]
-    assert ids(in_interval(mails, "2000-06-23", "2001-10-04", inclusive="low")) == ["<1>", "<2>", "<3>", "<6>"]
-    assert ids(in_interval(mails, "2000-06-23", "2001-10-04", inclusive="high")) == ["<2>", "<3>", "<4>", "<6>"]
-    assert len(ids(in_interval(mails, "2000-06-23", "2001-10-04", inclusive="both"))) == 5
+    assert ids(in_interval(mails, "2000-04-12", "2001-08-19")) == ["<2>", "<3>", "<6>"]
+    assert ids(in_interval(mails, "2000-04-12", "2001-08-19", inclusive="low")) == ["<1>", "<2>", "<3>", "<6>"]
+    assert ids(in_interval(mails, "2000-04-12", "2001-08-19", inclusive="high")) == ["<2>", "<3>", "<4>", "<6>"]
+    assert len(ids(in_interval(mails, "2000-04-12", "2001-08-19", inclusive="both"))) == 5
     with pytest.raises(ValueError):
-        in_interval(mails, "2000-06-23", "2001-10-04", inclusive="none")
+        in_interval(mails, "2000-04-12", "2001-08-19", inclusive="none")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        in_interval(mails, "soon", "2001-10-04").collect()
+        in_interval(mails, "soon", "2001-08-19").collect()
 
 
 def test_words_and_counts(spark):
@@ -75,7 +75,7 @@ def test_words_and_counts(spark):
 
 
 def test_averages(mails):
-    lengths = A.mail_lengths(in_interval(mails, "2000-06-23", "2001-10-04"))
+    lengths = A.mail_lengths(in_interval(mails, "2000-04-12", "2001-08-19"))
     row = A.averages(lengths).head()
     assert (row.avgLength, row.avgNoOfRecipients) == (2 / 3, 2 / 3)
     by_sender = {r.sender: (r.avgLength, r.avgNoOfRecipients) for r in A.averages_by_sender(lengths).collect()}
@@ -182,7 +182,7 @@ def test_parquet_round_trip(spark, mails, tmp_path):
     table = load_parquet(spark, first, second)
     assert table.schema == READ_SCHEMA
     assert ids(table) == sorted(ids(mails) * 2)
-    plan = plan_of(A.averages(A.mail_lengths(in_interval(table, "2000-06-23", "2001-10-04"))))
+    plan = plan_of(A.averages(A.mail_lengths(in_interval(table, "2000-04-12", "2001-08-19"))))
     assert "PushedFilters: [IsNotNull(Date), GreaterThan(Date," in plan
     assert "ReadSchema: struct<Date:timestamp,Recipients:array<string>,Body:string>" in plan
 
@@ -196,7 +196,7 @@ def test_load_without_paths_or_columns(spark, mails, tmp_path):
 def test_mail_directory(spark, tmp_path):
     folder = tmp_path / "mails"
     (folder / "sub").mkdir(parents=True)
-    mail = "Message-ID: <%d>\nDate: Mon, 9 Oct 2000 07:16:00 -0700 (PDT)\nFrom: a@x\nTo: b@x\nX-bcc: \n\nbody %d"
+    mail = "Message-ID: <%d>\nDate: Wed, 8 Nov 2000 06:35:20 -0700 (PDT)\nFrom: a@x\nTo: b@x\nX-bcc: \n\nbody %d"
     for i in range(3):
         (folder / f"{i}_").write_text(mail % (i, i))
     (folder / "empty").write_text("")
@@ -213,7 +213,7 @@ def test_mail_directory(spark, tmp_path):
 def test_ingest_stores_mails_and_quarantine(spark, tmp_path):
     folder = tmp_path / "mails"
     folder.mkdir()
-    mail = "Message-ID: <%d>\nDate: Mon, 9 Oct 2000 07:16:00 -0700 (PDT)\nFrom: a@x\nTo: b@x\nX-bcc: \n\nbody"
+    mail = "Message-ID: <%d>\nDate: Wed, 8 Nov 2000 06:35:20 -0700 (PDT)\nFrom: a@x\nTo: b@x\nX-bcc: \n\nbody"
     for i in range(3):
         (folder / f"{i}_").write_text(mail % i)
     first = ingest_directories(spark, [str(folder)], f"{tmp_path}/first")
@@ -230,7 +230,7 @@ def test_ingest_stores_mails_and_quarantine(spark, tmp_path):
 
 
 def test_mail_that_is_not_utf8(spark, tmp_path):
-    head = b"Message-ID: <1>\nDate: Mon, 9 Oct 2000 07:16:00 -0700 (PDT)\nFrom: a\xe9@x\nTo: b@x\nX-To: \xff\xfe\xc3"
+    head = b"Message-ID: <1>\nDate: Wed, 8 Nov 2000 06:35:20 -0700 (PDT)\nFrom: a\xe9@x\nTo: b@x\nX-To: \xff\xfe\xc3"
     (tmp_path / "1_").write_bytes(head + b"\nX-cc: \nX-bcc: \n\ncaf\xe9 au\xc3 lait \xf0\x9f\nend\xe2\x82")
     row = read_mail(spark, str(tmp_path)).select("*", word_count(F.col("Body")).alias("n")).head()
     assert (row.ID, row.n, len(row.Recipients), row._error) == ("<1>", 4, 1, [])
@@ -269,7 +269,7 @@ def test_only_files_directly_in_the_directory(spark, tmp_path):
     assert names(spark.table("direct")) == ["a"]
 
 
-HEAD_OF_MAIL = "Message-ID: <1>\nDate: Mon, 9 Oct 2000 07:16:00 -0700 (PDT)\nFrom: a@x\nTo: b@x\n\nbody"
+HEAD_OF_MAIL = "Message-ID: <1>\nDate: Wed, 8 Nov 2000 06:35:20 -0700 (PDT)\nFrom: a@x\nTo: b@x\n\nbody"
 
 
 def document(path):
@@ -311,9 +311,9 @@ def test_json_lines(spark, tmp_path):
 
 def test_reports(spark, mails, tmp_path):
     tables = [store_parquet(mails, f"{tmp_path}/a"), store_parquet(mails, f"{tmp_path}/b")]
-    path = report_averages(spark, tables, "2000-06-23", "2001-10-04", f"{tmp_path}/out")
+    path = report_averages(spark, tables, "2000-04-12", "2001-08-19", f"{tmp_path}/out")
     assert json.loads(document(path)) == [{"avgLength": 2 / 3, "avgNoOfRecipients": 2 / 3}]
-    path = report_averages_by_sender(spark, tables, "2000-06-23", "2001-10-04", f"{tmp_path}/out2")
+    path = report_averages_by_sender(spark, tables, "2000-04-12", "2001-08-19", f"{tmp_path}/out2")
     assert json.loads(document(path)) == [
         {"sender": "A@x", "avgLength": 0.0, "avgNoOfRecipients": 0.0},
         {"sender": "a@x", "avgLength": 1.0, "avgNoOfRecipients": 1.0},
@@ -350,3 +350,14 @@ def test_a_view_is_gone_after_its_query(spark, mails):
     with pytest.raises(ValueError):
         query_view(mails, "SELECT * FROM taken", "taken")
     spark.catalog.dropTempView("taken")
+
+
+def test_copies_of_one_mail_are_split_over_files_by_default(spark, tmp_path):
+    copies = spark.range(8000).selectExpr(
+        "'<1>' AS ID", "TIMESTAMP '2001-01-01' AS Date", "'a@x' AS `From`", "array('b') AS Recipients", "'s' AS Subject", "'b' AS Body"
+    )
+    table = store_parquet(copies, f"{tmp_path}/t", clustered=True, files=4)
+    stored = load_parquet(spark, table, positions=True)
+    sizes = sorted(r["count"] for r in stored.groupBy("_file").count().collect())
+    assert len(sizes) == 4 and sum(sizes) == 8000 and sizes[-1] < 3000
+    assert "_place" not in spark.read.parquet(table).columns
