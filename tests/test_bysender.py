@@ -1,0 +1,89 @@
+"""Tables by sender and month: the same reports, without a shuffle but of the sums of hot senders."""
+
+from __future__ import annotations
+
+import re
+import uuid
+
+import pytest
+
+from mailgauge.operators import averages as A
+from mailgauge.operators.relational import in_interval
+from mailgauge.plans.reports import averages_by_sender_where_stored, sender_totals_where_stored
+from mailgauge.sources.bysender import load_by_sender, store_by_sender
+
+
+@pytest.fixture(scope="module")
+def mails(spark):
+    """A third of the mails from one sender, a tenth without one, the others from many; some without a date."""
+    return spark.range(3000).selectExpr(
+        "concat('<', id, '>') AS ID",
+        "if(id % 50 = 7, NULL, timestamp_seconds(946684800 + id * 20000)) AS Date",
+        "CASE WHEN id % 3 = 0 THEN 'hot@x' WHEN id % 10 = 1 THEN NULL ELSE concat('s', id % 97, '@x') END AS `From`",
+        "array('r') AS Recipients",
+        "'s' AS Subject",
+        "repeat('w ', CAST(id % 7 AS INT)) AS Body",
+    )
+
+
+@pytest.fixture(scope="module")
+def table(spark, mails, tmp_path_factory):
+    name = f"mails_{uuid.uuid4().hex}"
+    store_by_sender(mails, name, str(tmp_path_factory.mktemp("stored")), buckets=8)
+    yield name
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP TABLE {name}_hot")
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("low, high", [("2000-02-28 12:00:00", "2001-03-01"), ("2000-05-05", "2000-05-06"), (None, None)])
+def test_averages_by_sender(spark, mails, table, low, high):
+    direct = in_interval(mails, low, high) if low else mails
+    found = averages_by_sender_where_stored(spark, table, low, high)
+    assert rows(found) == rows(A.averages_by_sender(A.mail_lengths(direct)))
+
+
+def test_totals(spark, mails, table):
+    assert rows(sender_totals_where_stored(spark, table)) == rows(A.sender_totals(mails))
+
+
+def test_hot_senders_have_a_table_of_their_own(spark, mails, table):
+    bucketed, hot = load_by_sender(spark, table)
+    assert {r[0] for r in hot.select("From").distinct().collect()} == {"hot@x"}
+    assert bucketed.count() + hot.count() == 3000
+    assert bucketed.filter("`From` = 'hot@x'").isEmpty()
+
+
+def test_no_shuffle_where_senders_lie_together(spark, table):
+    bucketed, hot = load_by_sender(spark, table, "2000-06-01", "2000-07-15")
+    plan = plan_of(A.averages_by_sender(A.mail_lengths(bucketed)))
+    assert "Exchange" not in plan
+    # Two of about 23 months are read.
+    assert {re.search(r"month=(\d+)", f).group(1) for f in bucketed.inputFiles()} == {"200006", "200007"}
+    assert "PartitionFilters: [isnotnull(month" in plan
+    assert plan_of(A.averages_by_sender(A.mail_lengths(hot))).count("Exchange") == 1
+
+
+def test_bounds_in_another_time_zone(spark, mails, table):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        found = averages_by_sender_where_stored(spark, table, "2000-06-01", "2000-07-01")
+        direct = A.averages_by_sender(A.mail_lengths(in_interval(mails, "2000-06-01", "2000-07-01")))
+        assert rows(found) == rows(direct)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_no_mails(spark, mails, tmp_path):
+    name = f"none_{uuid.uuid4().hex}"
+    store_by_sender(mails.filter("false"), name, str(tmp_path), buckets=4)
+    assert averages_by_sender_where_stored(spark, name).isEmpty()
+    spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"DROP TABLE {name}_hot")

@@ -191,6 +191,7 @@ ORACLES: dict[str, str] = {
     "avg_mail_stats_by_sender": _BY_SENDER,
     "avg_mail_stats": f"{_with(MAIL)} SELECT {AVERAGES} FROM mail WHERE {INTERVAL}",
     "avg_stored_mail_by_sender": _BY_SENDER,
+    "avg_by_sender_where_stored": _BY_SENDER,
     "avg_rollup": f"{_with(MAIL)} SELECT {AVERAGES} FROM mail WHERE {TIMES}",
     "avg_rollup_by_sender": f'{_with(MAIL)} SELECT "From" AS sender, {AVERAGES} FROM mail WHERE {TIMES} GROUP BY "From"',
     "avg_raw_mail_by_sender": f"""{_PARSED}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -25,6 +26,7 @@ from mailgauge.operators.parse import (
 from mailgauge.operators.relational import append_mail, in_interval, order_by_date, query_view, top_n, with_features
 from mailgauge.plans import ingest, live, reports, rollups
 from mailgauge.schema import to_mail_schema
+from mailgauge.sources.bysender import store_by_sender
 from mailgauge.sources.documents import read_json_document, store_json_document, store_json_lines
 from mailgauge.sources.listing import list_files, note_new_files, read_listed
 from mailgauge.sources.mailfiles import read_mail, read_mail_files, write_mail_files
@@ -152,6 +154,18 @@ def sender_totals_rollup(spark, sf_dir):
     return rollups.rollup_sender_totals(spark, rollup(spark, sf_dir))
 
 
+@query
+def avg_by_sender_where_stored(spark, sf_dir):
+    """From a table laid out by sender and month: no mail or sum is shuffled but those of hot senders."""
+
+    def write(path):
+        name = f"mails_{uuid.uuid4().hex}"
+        store_by_sender(document_mails(spark, sf_dir), name, path, buckets=8)
+        return name
+
+    return reports.averages_by_sender_where_stored(spark, staged(spark, sf_dir, "by sender", write), LOW, HIGH)
+
+
 @query
 def avg_all_mail_by_sender(spark, sf_dir):
     """Documents and conversations appended; three senders hold all of the latter."""
