@@ -19,12 +19,17 @@ def line_keys(text: Column) -> Column:
 
 
 def line_hashes(text: Column, min_chars: int = MIN_CHARS) -> Column:
-    """A hash for each line; null for one whose key is too short to be dropped."""
+    """Two hashes for each line, of which neither tells the other; null for one whose key is too short to be dropped."""
     return F.transform(
-        line_keys(text), lambda key: F.when(F.char_length(key) >= min_chars, F.xxhash64(key))
+        line_keys(text), lambda key: F.when(F.char_length(key) >= min_chars, F.struct(*_two_hashes(key)))
     )
 
 
+def _two_hashes(value: Column) -> list[Column]:
+    # A hash that went on from the first would be no second one, so the second begins with a constant.
+    return [F.xxhash64(value).alias("h1"), F.xxhash64(F.lit(1), value).alias("h2")]
+
+
 def common_lines(hashed: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """hash: lines found in at least ``min_docs`` rows.
 
@@ -46,10 +51,11 @@ def drop_common_lines(
 
     Which lines of a text go depends on the text alone, so places are
     gathered by a pair of hashes of the text, once for equal texts, and
-    joined to the rows.  Only lines' hashes and places are exploded.
+    joined to the rows.  Only lines' hashes and places are exploded.  An
+    empty table gives no rows.
     """
     body = F.col(position(docs, text))
-    identity = {"h1": F.xxhash64(body), "h2": F.xxhash64(body, F.lit(1))}
+    identity = dict(zip(("h1", "h2"), _two_hashes(body)))
     hashed = land(
         numbered(docs).select(
             *[value.alias(name) for name, value in identity.items()], line_hashes(body, min_chars).alias("hashes")

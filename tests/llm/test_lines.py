@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from mailgauge.llm import lines
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -53,3 +55,11 @@ def test_a_long_text_of_common_lines(spark):
     frame = spark.createDataFrame([(1, text), (2, text), (3, "line 5\nother")], "doc_id long, text string")
     rows = {r.c0: r for r in lines.drop_common_lines(frame, min_docs=2).collect()}
     assert (rows[1].n_dropped, rows[1].kept) == (20_000, "") and rows[3].kept == "other"
+
+
+def test_the_second_hash_does_not_follow_from_the_first(spark):
+    """xxhash64 of several columns goes on from the hash of those before: such a pair would be worth one hash."""
+    frame = spark.createDataFrame([("one line",)], "text string").select(lines.line_hashes(F.col("text"))[0].alias("h"))
+    row = frame.select("h.h1", "h.h2", F.xxhash64("h.h1").alias("a")).head()
+    after = spark.createDataFrame([("one line",)], "t string").select(F.xxhash64("t", F.lit(1)).alias("x")).head().x
+    assert row.h2 not in (after, row.a) and row.h1 != row.h2
