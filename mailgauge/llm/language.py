@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -25,7 +24,6 @@ MAX_LANGUAGES = 1000
 RUN_CHARS = 1 << 19
 
 _GAP = "\0"
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass
@@ -150,7 +148,7 @@ def score_texts(model: LanguageModel, texts: Sequence[str]) -> np.ndarray:
 def detect_language(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, the posterior probability of that language (0 to 1).
 
-    A text that is null or has no letter, and any text under a model of no
+    A text that is null or has no letter (other numerals, as ½ or Ⅷ, are none), and any text under a model of no
     language, is ``und`` with score 0.  Of equally likely languages the first
     in name order is taken.  Whole texts count, and rows are independent, so
     repeated rows get equal results.  Columns of ``docs`` named ``lang_pred``
@@ -163,7 +161,7 @@ def detect_language(docs: DataFrame, model: LanguageModel, text: str = "text") -
 
         def compute(column: pa.Array):
             texts = strings(column)
-            known = np.array([bool(model.languages) and _LETTER.search(t) is not None for t in texts], dtype=bool)
+            known = np.array([bool(model.languages) and any(map(str.isalpha, t)) for t in texts], dtype=bool)
             chosen = [texts[i] for i in np.flatnonzero(known)]
             language = np.full(len(texts), UNDETERMINED, dtype=object)
             score = np.zeros(len(texts))

@@ -45,3 +45,11 @@ def test_awkward_rows(awkward, no_documents):
     assert nothing.languages == []
     assert {r.lang_pred for r in language.detect_language(awkward, nothing).collect()} == {"und"}
     assert language.detect_language(no_documents, model).count() == 0
+
+
+def test_numerals_are_no_letters(spark):
+    model = language.train_language_model(spark.createDataFrame([("ein Wort", "de"), ("a word", "en")], "text string, lang string"))
+    texts = ["½ ² ①", "Ⅷ", "٣ 12 _", "½ a", "ª", "漢", "𞤀"]
+    rows = language.detect_language(spark.createDataFrame([(t,) for t in texts], "text string"), model).collect()
+    found = {r.text: r.lang_pred == language.UNDETERMINED for r in rows}
+    assert [found[t] for t in texts] == [True, True, True, False, False, False, False]
