@@ -130,34 +130,19 @@ def plan_shards(records: DataFrame, n_shards: int) -> tuple[DataFrame, DataFrame
     return lookup, land(dealt)
 
 
-def shard_records(
-    docs: DataFrame, n_shards: int = 16, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """``docs`` with columns named by position, and size, text_crc32, shard and slot.
+def _keyed(body: Column) -> dict[str, Column]:
+    return {"key": F.xxhash64(body), "size": text_size(body), "text_crc32": F.crc32(body.cast("binary"))}
 
-    Shards have nearly equal bytes.  Rows of equal text lie side by side and
-    stay in one shard unless they fill more than a range, two 128ths of a shard;
-    then they are divided by id.  Rows equal in id and text stay together.
-    Null is a text of its own, of size 1 and without checksum.  Slots number
-    the rows of a shard from 0 without gap, in the order of hashes.  An empty
-    table gives no rows.
 
-    Only keys and sizes are gathered to plan the ranges: a splitter table and
-    a part table whose lengths depend on ``n_shards``.  The records then move
-    once, to the task that numbers their part.
-    """
-    body = F.col(position(docs, text))
-    keyed = numbered(docs).withColumns(
-        {
-            "key": F.xxhash64(body),
-            "tie": F.xxhash64(F.col(position(docs, doc_id))),
-            "size": text_size(body),
-            "text_crc32": F.crc32(body.cast("binary")),
-        }
-    )
-    lookup, parts = plan_shards(land(keyed.select("key", "tie", "size")), n_shards)
+def _placed(keyed: DataFrame, n_shards: int) -> DataFrame:
+    """Rows of key and size with shard and slot.  They are stored, so that a row's place tells copies apart."""
+    # The number of the file, not its name, so that the same rows read in the same way are placed alike.
+    file = F.regexp_extract("_metadata.file_name", "part-([0-9]+)", 1)
+    tie = F.xxhash64(file, F.col("_metadata.row_index"))
+    stored = land(keyed).withColumn("tie", tie)
+    lookup, parts = plan_shards(stored.select("key", "tie", "size"), n_shards)
     ranges = parts.select("range", "n_subs", "single").distinct()
-    placed = with_range(keyed, lookup).join(F.broadcast(ranges), "range").withColumn("sub", _sub(F.col("n_subs")))
+    placed = with_range(stored, lookup).join(F.broadcast(ranges), "range").withColumn("sub", _sub(F.col("n_subs")))
     heads = parts.select("range", "sub", "shard", "first_slot")
     in_part = Window.partitionBy("range", "sub").orderBy("key", "tie", "size")
     return (
@@ -167,17 +152,35 @@ def shard_records(
     )
 
 
+def shard_records(docs: DataFrame, n_shards: int = 16, text: str = "text") -> DataFrame:
+    """``docs`` with columns named by position, and size, text_crc32, shard and slot.
+
+    Shards have nearly equal bytes.  Rows of equal text lie side by side and
+    stay in one shard unless they fill more than a range, two 128ths of a shard;
+    then they are divided row by row, whatever their ids, also where they are
+    null or repeated.  Null is a text of its own, of size 1 and without
+    checksum; a long text is hashed and moved whole.  Slots number
+    the rows of a shard from 0 without gap, in the order of hashes.  An empty
+    table gives no rows.
+
+    The rows are stored once.  Only keys and sizes are gathered to plan the ranges: a splitter table and
+    a part table whose lengths depend on ``n_shards``.  The records then move
+    once, to the task that numbers their part.
+    """
+    return _placed(numbered(docs).withColumns(_keyed(F.col(position(docs, text)))), n_shards)
+
+
 def shard_assignments(
     docs: DataFrame, n_shards: int = 16, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row (see ``shard_records``).
 
     The law is ``bytes``; it says nothing of another number of shards, so
-    grown_shard is null.
+    grown_shard is null.  No text is stored or moved.
     """
-    sharded = shard_records(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), n_shards)
-    return sharded.select(
-        F.col("c0").alias("doc_id"),
+    keyed = docs.select(F.col(doc_id).alias("doc_id"), *[c.alias(n) for n, c in _keyed(F.col(text)).items()])
+    return _placed(keyed, n_shards).select(
+        "doc_id",
         "size",
         "text_crc32",
         F.lit("bytes").alias("law"),
@@ -187,9 +190,9 @@ def shard_assignments(
     )
 
 
-def write_shards(docs: DataFrame, path: str, n_shards: int = 16, doc_id: str = "doc_id", text: str = "text") -> None:
+def write_shards(docs: DataFrame, path: str, n_shards: int = 16, text: str = "text") -> None:
     """The records as Parquet below ``path/shard=<n>``, with their slots."""
-    sharded = shard_records(docs, n_shards, doc_id, text)
+    sharded = shard_records(docs, n_shards, text)
     names = dict(zip(numbered(docs).columns, docs.columns))
     kept = [F.col(c).alias(names[c]) for c in names if names[c].lower() not in ("shard", "slot")]
     sharded.select(*kept, "slot", "shard").write.partitionBy("shard").parquet(path)

@@ -63,3 +63,20 @@ def test_written_shards(spark, awkward, tmp_path):
     sharding.write_shards(awkward, str(tmp_path / "out"), 4)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == awkward.count() and {"slot", "shard", "text", "score"} <= set(back.columns)
+
+
+def test_copies_with_null_or_repeated_ids_are_divided(spark):
+    """Half of all rows are one text; no id tells them apart."""
+    hot = spark.range(24_000).select(
+        F.when(F.col("id") % 4 == 0, 7).cast("long").alias("doc_id"),
+        F.when(F.col("id") % 2 == 0, "the same").otherwise(F.sha2(F.col("id").cast("string"), 256)).alias("text"),
+    )
+    check(sharding.shard_assignments(hot, 9).collect(), described(hot), 9)
+    records = sharding.shard_records(hot, 9)
+    assert records.columns == ["c0", "c1", "size", "text_crc32", "shard", "slot"]
+    assert records.select("shard", "slot").distinct().count() == 24_000
+
+
+def test_a_very_long_text(spark):
+    frame = spark.createDataFrame([(1, "long " * 400_000), (2, "short"), (3, None)], "doc_id long, text string")
+    check(sharding.shard_assignments(frame, 3).collect(), described(frame), 3, 1)
