@@ -21,6 +21,8 @@ SOFT_TERMS = """
     pills poker promo replica sex slots spam torrent win
 """.split()
 SOFT_HITS = 3
+# Terms that a vocabulary read from a table may have.
+MAX_TERMS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -67,12 +69,29 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
 
 
 class Vocabulary:
-    """Strict and soft terms; a hit must not have a letter or digit on either side."""
+    """Strict and soft terms, A-Z lowered as URLs are; a hit must not have a letter or digit on either side."""
 
     def __init__(self, strict: Sequence[str] = STRICT_TERMS, soft: Sequence[str] = SOFT_TERMS, soft_hits: int = SOFT_HITS):
-        self.terms = {**dict.fromkeys(soft, False), **dict.fromkeys(strict, True)}
+        terms = [(t.translate(_LOWER), kind) for kind, given in ((False, soft), (True, strict)) for t in given if t]
+        self.terms = dict(terms)  # a term given as both is strict
         self.soft_hits = soft_hits
 
+    @classmethod
+    def from_table(
+        cls, terms: DataFrame, term: str = "term", strict: str = "strict", soft_hits: int = SOFT_HITS
+    ) -> Vocabulary:
+        """The terms of a table, those strict for which its boolean column is true; null and empty terms are none.
+
+        A table of more than MAX_TERMS different terms is an error, as every task gets the vocabulary.
+        """
+        rows = terms.select(
+            lower_ascii(F.col(term)).alias("t"), F.coalesce(F.col(strict), F.lit(False)).alias("s")
+        ).filter("t <> ''")
+        found = rows.groupBy("t").agg(F.max("s").alias("s")).limit(MAX_TERMS + 1).collect()
+        if len(found) > MAX_TERMS:
+            raise ValueError(f"more than {MAX_TERMS} terms")
+        return cls([r.t for r in found if r.s], [r.t for r in found if not r.s], soft_hits)
+
     def automaton(self) -> ahocorasick.Automaton | None:
         found = ahocorasick.Automaton()
         for term, strict in self.terms.items():
@@ -120,8 +139,9 @@ def judge_urls(
 
     A fitting rule decides; else a URL with a strict term or with
     ``soft_hits`` distinct soft terms is blocked, and any other allowed.  A
-    null or empty URL has empty host and path and is allowed.  Rows are
-    judged one by one: repeated ones get equal verdicts.
+    null or empty URL has empty host and path and is allowed, a very long
+    one is searched whole.  Rows are judged one by one: repeated ones get
+    equal verdicts, an empty table gives no rows.
     """
     vocabulary = vocabulary or Vocabulary()
     column = position(pages, url)

@@ -80,3 +80,23 @@ def test_awkward_rows(spark):
     assert urls.url_verdicts(pages.filter("false")).count() == 0
     nothing = judge_urls(pages, vocabulary=Vocabulary((), ()))
     assert {r.verdict for r in nothing.collect()} == {"allow"}
+
+
+def test_terms_in_any_case_and_from_a_table(spark):
+    vocabulary = urls.Vocabulary(strict=["XXX"], soft=["Bet", "WIN", "", "xxx"])
+    assert vocabulary.count("http://a/xxx/BET?win", vocabulary.automaton()) == (1, 2)
+    table = spark.createDataFrame(
+        [("Foo", True), ("foo", False), ("Bar", False), (None, True), ("", True), ("baz", None)], "term string, strict boolean"
+    )
+    read = urls.Vocabulary.from_table(table, soft_hits=2)
+    assert read.terms == {"foo": True, "bar": False, "baz": False} and read.soft_hits == 2
+    pages = spark.createDataFrame([(1, "http://a.de/x-FOO"), (2, "http://a.de/bar"), (3, "http://a.de/bar,BAZ")], "page_id long, url string")
+    verdicts = {r.c0: r.verdict for r in urls.judge_urls(pages, vocabulary=read).collect()}
+    assert verdicts == {1: "block", 2: "allow", 3: "block"}
+    assert urls.Vocabulary.from_table(table.filter("false")).terms == {}
+
+
+def test_a_very_long_url(spark):
+    url = "http://a.de/" + "x-" * 500_000 + "casino"
+    row = urls.judge_urls(spark.createDataFrame([(1, url)], "page_id long, url string")).head()
+    assert row.verdict == "block" and len(row.path) == len(url) - len("http://a.de")
