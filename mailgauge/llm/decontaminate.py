@@ -9,12 +9,13 @@ must stand for one value of the document throughout.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import unicodedata
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailgauge.llm.common import map_texts, numbered, position, strings
@@ -46,29 +47,53 @@ NUMBER, UNIT, NAME, PLAIN, STOP = range(5)
 # Readings of an item: capitalised words that begin a sentence as words, or as names; all names as words; word for word.
 _AS_WORDS, _AS_NAMES, _NAMELESS, _VERBATIM = range(4)
 
-# Kinds of characters: letters, digits, ends of sentences, and signs that are units of their own.
-_OTHER, _LETTER, _DIGIT, _END, _SIGN = range(5)
+# Kinds of characters: letters, digits, ends of sentences, signs that are units of their own, and letters of scripts that
+# put no blanks between words, each a token.
+_OTHER, _LETTER, _DIGIT, _END, _SIGN, _UNSPACED = range(6)
 _SIGNS = "%$€£°"
 _BETWEEN_DIGITS = ".,/:"
+# Scripts without blanks between words, by how the names of their characters begin, and their full stop.
+_UNSPACED_SCRIPTS = ("CJK ", "HIRAGANA ", "KATAKANA ", "THAI ", "LAO ", "KHMER ", "MYANMAR ", "TIBETAN ", "YI ")
+_ENDS = ".!?。！？"
+# Characters in the table; those beyond are looked up one by one, as texts have few of them.
 _CHARS = 1 << 16
 
 
 def _kind_of_char(char: str) -> int:
     if char.isalpha():
-        return _LETTER
+        return _UNSPACED if unicodedata.name(char, "").startswith(_UNSPACED_SCRIPTS) else _LETTER
     if char.isdecimal():
         return _DIGIT
-    return _END if char in ".!?" else _SIGN if char in _SIGNS else _OTHER
+    return _END if char in _ENDS else _SIGN if char in _SIGNS else _OTHER
+
+
+def _tables_of(codes: Iterable[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    chars = [chr(c) for c in codes]
+    kind = np.array([_kind_of_char(c) for c in chars], dtype=np.int8)
+    lower = np.array([ord(c.lower()) if len(c.lower()) == 1 else ord(c) for c in chars], dtype=np.uint64)
+    return kind, lower, np.array([c.isupper() for c in chars], dtype=bool)
 
 
 @cache
 def _char_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(kind, lower case, whether upper case) by code point; what lies beyond the tables is no letter."""
-    chars = [chr(c) for c in range(_CHARS)]
-    kind = np.array([_kind_of_char(c) for c in chars], dtype=np.int8)
-    kind[-1] = _OTHER
-    lower = np.array([ord(c.lower()) if len(c.lower()) == 1 else i for i, c in enumerate(chars)], dtype=np.uint64)
-    return kind, lower, np.array([c.isupper() for c in chars])
+    """(kind, lower case, whether upper case) by code point."""
+    return _tables_of(range(_CHARS))
+
+
+def _looked_up(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(kind, lower case, whether upper case) of each character."""
+    tables = _char_tables()
+    beyond = np.flatnonzero(code >= _CHARS)
+    found = tuple(table[np.minimum(code, _CHARS - 1)] for table in tables)
+    if len(beyond):
+        distinct, which = np.unique(code[beyond], return_inverse=True)
+        for values, own in zip(found, _tables_of(distinct.tolist())):
+            values[beyond] = own[which]
+    return found
+
+
+# A character's place in its token stands above the bits of the character.
+_PLACE = np.uint64(21)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -80,14 +105,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 def _tokens(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first character, kind, hash of the lower case) of the tokens of a text."""
-    kinds, lower, upper = _char_tables()
-    code = np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32), _CHARS - 1)
-    kind = kinds[code]
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    kind, lower, upper = _looked_up(code)
     digit = kind == _DIGIT
     # A point or the like between digits belongs to the number.
     between = np.flatnonzero(np.isin(code[1:-1], [ord(c) for c in _BETWEEN_DIGITS]) & digit[:-2] & digit[2:]) + 1
     kind[between] = _DIGIT
-    edge = np.concatenate([[True], kind[1:] != kind[:-1]])
+    edge = np.concatenate([[True], (kind[1:] != kind[:-1]) | (kind[1:] == _UNSPACED)])
     begin = np.flatnonzero(edge & (kind != _OTHER))
     if not len(begin):
         return begin, np.empty(0, dtype=np.int8), np.empty(0, dtype=np.uint64)
@@ -95,12 +119,11 @@ def _tokens(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.searchsorted(inside, begin)
     length = np.diff(np.append(first, len(inside)))
     place = np.arange(len(inside)) - np.repeat(first, length)
-    chars = code[inside]
-    hashes = np.add.reduceat(_mixed(lower[chars] + (place.astype(np.uint64) << np.uint64(20))), first)
-    capitals = np.add.reduceat(upper[chars].astype(np.int32), first)
+    hashes = np.add.reduceat(_mixed(lower[inside] + (place.astype(np.uint64) << _PLACE)), first)
+    capitals = np.add.reduceat(upper[inside].astype(np.int32), first)
     by_char = kind[begin]
     out = np.full(len(begin), PLAIN, dtype=np.int8)
-    out[(by_char == _LETTER) & (length > 1) & (capitals == 1) & upper[code[begin]]] = NAME
+    out[(by_char == _LETTER) & (length > 1) & (capitals == 1) & upper[begin]] = NAME
     out[np.isin(hashes, _unit_hashes()) & (by_char == _LETTER) | (by_char == _SIGN)] = UNIT
     out[by_char == _DIGIT] = NUMBER
     out[by_char == _END] = STOP
@@ -110,7 +133,7 @@ def _tokens(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 @cache
 def _unit_hashes() -> np.ndarray:
     _, lower, _ = _char_tables()
-    of = lambda unit: _mixed(lower[[ord(c) for c in unit]] + (np.arange(len(unit), dtype=np.uint64) << np.uint64(20)))
+    of = lambda unit: _mixed(lower[[ord(c) for c in unit]] + (np.arange(len(unit), dtype=np.uint64) << _PLACE))
     return np.array([of(unit).sum(dtype=np.uint64) for unit in UNITS], dtype=np.uint64)
 
 
@@ -279,18 +302,14 @@ def _read_documents(allowed):
 
 
 def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """item_id, variant, item_pos, item_windows, hash, item_slots of all items.  Of equal texts the least item_id stands for all.
+    """item_id, variant, item_pos, item_windows, hash, item_slots of all items.  Of equal texts the least item_id stands
+    for all (see ``equal_items``).
 
     Each reading of an item counts its own windows.  An item with few windows
     is read word for word too; one of fewer than WINDOW tokens is a single window then.
     """
-    items = (
-        benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(text).alias("text"))
-        .dropna()
-        .groupBy("text")
-        .agg(F.min("id").alias("id"))
-        .select("id", F.lit(0).cast("long").alias("row"), "text")
-    )
+    named = benchmark.select(F.col(item_id).cast("long").alias("id"), F.col(text).alias("text")).dropna()
+    items = named.groupBy("text").agg(F.min("id").alias("id")).select("id", F.lit(0).cast("long").alias("row"), "text")
     found = map_texts(items, _WINDOW_ROWS, _read_items, "text")
     return found.select(
         F.col("id").alias("item_id"),
@@ -303,6 +322,31 @@ def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str
     ).distinct()
 
 
+def equal_items(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
+    """item_id, same_id: of every item with an id and a text, the least id of those with that text."""
+    named = benchmark.select(F.col(item_id).cast("long").alias("same_id"), F.col(text).alias("text")).dropna()
+    least = named.groupBy("text").agg(F.min("same_id").alias("item_id"))
+    return named.join(least, "text").select("item_id", "same_id").distinct()
+
+
+def rarest_windows(items: DataFrame, coverage: float) -> DataFrame:
+    """item_id, variant, hash: windows of which a text that holds the reading has at least one.
+
+    Of n windows, k are needed.  Who has k of them has one of any n - k + 1, and those that the fewest items share are
+    chosen, so a phrase that many items begin with brings no pairs.
+    """
+    shared = items.groupBy("hash").agg(F.count("*").alias("items"))
+    rarest = Window.partitionBy("item_id", "variant").orderBy("items", "hash", "item_pos")
+    left_over = F.col("item_windows") - F.ceil(_needed(coverage) * F.col("item_windows"))
+    places = items.join(shared, "hash").withColumn("place", F.row_number().over(rarest))
+    return places.filter(F.col("place") <= left_over + 1).select("item_id", "variant", "hash").distinct()
+
+
+def _needed(coverage: float) -> Column:
+    """Share of its windows that a reading needs: all of one that is looked for word for word."""
+    return F.when(F.col("variant") == _VERBATIM, 1.0).otherwise(float(coverage))
+
+
 def window_filter(windows: DataFrame) -> bytes:
     """A bit map of the windows' hashes, put together from words of 64 bits: FILTER_BITS bounds its size."""
     cell = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
@@ -312,8 +356,8 @@ def window_filter(windows: DataFrame) -> bytes:
         .agg(F.bit_or(F.expr("shiftleft(1L, CAST(cell & 63 AS INT))")).alias("bits"))
     )
     bitmap = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
-    for r in words.toLocalIterator():
-        bitmap[r.word] = r.bits
+    for batch in words.toArrow().to_batches():
+        bitmap[batch.column("word").to_numpy()] = batch.column("bits").to_numpy()
     return bitmap.tobytes()
 
 
@@ -323,18 +367,29 @@ def verbatim_lengths(windows: DataFrame) -> list[int]:
     return [r.length for r in verbatim.select("length").distinct().orderBy("length").collect()]
 
 
+_ALIGNMENT = ("id", "row", "item_id", "variant", "shift")
+
+
 def contaminated_rows(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """id, row, item_id, n_windows, item_windows, n_slots of documents (id, row, text) that hold an item.
+    """id, row, item_id, n_windows, item_windows, n_slots, n_conflicts of documents (id, row, text) that hold an item.
 
-    Windows of one alignment (document position less item position) count
-    together, and only if the slots agree: each value of the item's
-    placeholders stands for one value of the document.  All agreeing
+    A document is compared with the items of which it has one of the rarest windows (see ``rarest_windows``), and with
+    all of their windows then.  Windows of one alignment (document position less item position) count
+    together as far as their slots agree: each value of the item's placeholders stands for one value of the document, the one
+    that most windows have it for.  Windows that conflict with that are left out, and counted.  All
     alignments add up, so a passage with an insertion is found too.
     """
     items = land(benchmark_windows(benchmark))
     allowed = docs.sparkSession.sparkContext.broadcast((window_filter(items), verbatim_lengths(items)))
     found = map_texts(docs, _WINDOW_ROWS, _read_documents(allowed), "text")
-    met = found.drop("variant").join(items, "hash").select(
+    # Looked at twice, and stored so that adaptive execution can split a window that very many documents have.
+    found = land(found.select("id", "row", "pos", "hash", "slots"))
+    probes = land(rarest_windows(items, coverage))
+    pairs = land(found.select("id", "row", "hash").join(probes, "hash").select("id", "row", "item_id", "variant").distinct())
+    wanted = pairs.join(items, ["item_id", "variant"])
+    there = found.select(F.col("id").alias("_id"), F.col("row").alias("_row"), "pos", "hash", "slots")
+    same = wanted["id"].eqNullSafe(there["_id"]) & (wanted["row"] == there["_row"]) & (wanted["hash"] == there["hash"])
+    met = wanted.join(there, same).select(
         "id",
         "row",
         "item_id",
@@ -346,36 +401,75 @@ def contaminated_rows(docs: DataFrame, benchmark: DataFrame, coverage: float = C
             "item_slots", "slots", lambda i, d: F.struct(i.value.alias("item"), d.value.alias("doc"))
         ).alias("pairs"),
     )
+    met = land(met)
     # On one alignment an item's positions occur once each, so what is gathered is no longer than the item.
-    aligned = met.groupBy("id", "row", "item_id", "variant", "shift").agg(
+    aligned = met.groupBy(*_ALIGNMENT).agg(
         F.max("item_windows").alias("item_windows"),
         F.collect_set("item_pos").alias("places"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
     )
-    agreeing = F.size("pairs") == F.size(F.array_distinct(F.col("pairs.item")))
+    agree = F.size("pairs") == F.size(F.array_distinct(F.col("pairs.item")))
+    aligned = land(aligned.withColumn("agree", agree))
     # A passage may occur very often in a document; its places are counted, not gathered.
     places = (
-        aligned.filter(agreeing)
-        .select("id", "row", "item_id", "variant", "item_windows", F.size("pairs").alias("slots"), F.explode("places").alias("at"))
+        aligned.filter("agree")
+        .select(
+            "id", "row", "item_id", "variant", "item_windows", F.size("pairs").alias("slots"), F.explode("places").alias("at")
+        )
+        .withColumn("dropped", F.lit(False))
+        .unionByName(_without_conflicts(met, aligned.filter("NOT agree")))
         .groupBy("id", "row", "item_id", "variant", "at")
-        .agg(F.max("item_windows").alias("item_windows"), F.max("slots").alias("slots"))
+        .agg(
+            F.max("item_windows").alias("item_windows"),
+            F.max("slots").alias("slots"),
+            F.min("dropped").alias("dropped"),
+        )
     )
-    needed = F.when(F.col("variant") == _VERBATIM, 1.0).otherwise(float(coverage))
+    kept = F.col("n_windows") >= _needed(coverage) * F.col("item_windows")
     held = (
         places.groupBy("id", "row", "item_id", "variant")
         .agg(
-            F.count("*").alias("n_windows"),
+            F.count_if(~F.col("dropped")).alias("n_windows"),
             F.max("item_windows").cast("long").alias("item_windows"),
             F.max("slots").cast("long").alias("n_slots"),
+            F.count_if("dropped").alias("n_conflicts"),
         )
-        .filter(F.col("n_windows") >= needed * F.col("item_windows"))
+        .filter(kept & (F.col("n_windows") > 0))
     )
     return held.groupBy("id", "row", "item_id").agg(_best()).select("id", "row", "item_id", "best.*")
 
 
+def _without_conflicts(met: DataFrame, aligned: DataFrame) -> DataFrame:
+    """Places of alignments whose slots do not agree, and which of them conflict with the commonest reading of a slot."""
+    keys = aligned.select(*[F.col(k).alias(f"_{k}") for k in _ALIGNMENT])
+    same = [met[k].eqNullSafe(keys[f"_{k}"]) for k in _ALIGNMENT]
+    windows = met.join(keys, same, "left_semi")
+    slots = windows.select(*_ALIGNMENT, "item_pos", F.explode(F.array_distinct("pairs")).alias("pair")).select(
+        *_ALIGNMENT, "item_pos", "pair.item", "pair.doc"
+    )
+    by_value = slots.groupBy(*_ALIGNMENT, "item", "doc").agg(F.countDistinct("item_pos").alias("n"))
+    commonest = by_value.groupBy(*_ALIGNMENT, "item").agg(F.max_by("doc", F.struct("n", "doc")).alias("commonest"))
+    by_alignment = commonest.groupBy(*_ALIGNMENT).agg(
+        F.map_from_entries(F.collect_list(F.struct("item", "commonest"))).alias("stands_for")
+    )
+    other = by_alignment.toDF(*[f"_{k}" for k in _ALIGNMENT], "stands_for")
+    matched = windows.join(other, [windows[k].eqNullSafe(other[f"_{k}"]) for k in _ALIGNMENT])
+    conflicts = F.exists("pairs", lambda p: F.element_at("stands_for", p["item"]) != p["doc"])
+    return matched.select(
+        "id",
+        "row",
+        "item_id",
+        "variant",
+        "item_windows",
+        F.size("stands_for").alias("slots"),
+        F.col("item_pos").alias("at"),
+        conflicts.alias("dropped"),
+    )
+
+
 def _best() -> Column:
     """Of several rows for an item, the one that covers most of it, with its own counts."""
-    figures = ("n_windows", "item_windows", "n_slots")
+    figures = ("n_windows", "item_windows", "n_slots", "n_conflicts")
     best = F.max(F.struct((F.col("n_windows") / F.col("item_windows")).alias("share"), *figures))
     return F.struct(*[best[f].alias(f) for f in figures]).alias("best")
 
@@ -390,17 +484,18 @@ def _identified(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", coverage: float = COVERAGE
 ) -> DataFrame:
-    """doc_id, item_id, n_windows, item_windows, coverage, n_slots: what benchmark items documents hold.
+    """doc_id, item_id, n_windows, item_windows, coverage, n_slots, n_conflicts: what benchmark items documents hold.
 
-    Documents without any item have no row.  Null and empty texts hold
+    Documents without any item have no row, those with one of several equal items a row for each.  Null and empty texts hold
     nothing, an empty benchmark is held by none.  Rows repeated with equal id
-    and text give one row; a null id is kept as null.
+    and text give one row; a null id is kept as null.  Long texts are read in
+    runs, whole.
     """
     rows = contaminated_rows(_identified(docs, doc_id, text), benchmark, coverage)
+    by_text = rows.groupBy(F.col("id").alias("doc_id"), "item_id").agg(_best())
     return (
-        rows.groupBy(F.col("id").alias("doc_id"), "item_id")
-        .agg(_best())
-        .select("doc_id", "item_id", "best.*")
+        by_text.join(equal_items(benchmark), "item_id")
+        .select("doc_id", F.col("same_id").alias("item_id"), "best.*")
         .withColumn("coverage", F.col("n_windows") / F.col("item_windows"))
     )
 

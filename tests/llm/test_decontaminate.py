@@ -25,7 +25,8 @@ def test_copies_and_new_parameters(spark, benchmark):
     other = ITEM.replace("12", "40").replace("30", "7.5").replace("Maria", "Tomas")
     long = "some words go before it all. " * 2000 + ITEM + " and some follow after that."
     texts = (ITEM, ITEM.lower(), ITEM.upper(), other, long, ITEM.replace(" ", "  \n"), f"Yes, {ITEM}")
-    assert found(spark, benchmark, *texts) == {(i, 1) for i in range(len(texts))}
+    # Items 1 and 2 have one text; both are reported.
+    assert found(spark, benchmark, *texts) == {(i, item) for i in range(len(texts)) for item in (1, 2)}
 
 
 def test_names_that_begin_sentences(spark):
@@ -54,10 +55,52 @@ def test_readings_count_their_own_windows(spark):
     assert found(spark, items, "we walk through the city of paris every day", title.lower()) == {(1, 1)}
 
 
-def test_slots_must_agree(spark, benchmark):
-    """12 stands twice in the item: with two values in the document it is another question."""
+def test_windows_whose_slots_conflict_are_left_out(spark, benchmark):
+    """12 stands twice in the item: with two values in the document the windows of one of them do not count."""
     broken = ITEM.replace("12 sheep", "40 sheep")
-    assert found(spark, benchmark, broken) == set()
+    docs = spark.createDataFrame([(0, broken), (1, ITEM)], "doc_id long, text string")
+    rows = {(r.doc_id, r.item_id): r for r in decontaminate.find_contamination(docs, benchmark).collect()}
+    assert set(rows) == {(0, 1), (0, 2), (1, 1), (1, 2)}
+    row, whole = rows[0, 1], rows[1, 1]
+    assert (whole.n_conflicts, whole.coverage) == (0, 1)
+    assert row.n_conflicts > 0 and row.n_windows + row.n_conflicts == row.item_windows
+
+
+def test_texts_whose_slots_all_conflict(spark):
+    """One number stands six times in the item, and for six others in the text: no window agrees with many others."""
+    item = " ".join(f"{a} 7 {a}er {a}ing" for a in ("old", "red", "big", "new", "wet", "hot"))
+    other = item
+    for k in range(6):
+        other = other.replace(" 7 ", f" {20 + k} ", 1)
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert found(spark, items, other, item.replace("7", "8")) == {(1, 1)}
+
+
+def test_a_phrase_that_all_items_and_documents_share_brings_few_pairs(spark, monkeypatch):
+    """Rarest windows only: the joined rows do not grow with the product of items and documents."""
+    opening = "please read the following short story and answer the question below it"
+    letters = lambda n: "".join("abcdefghij"[int(c)] for c in f"{n:05d}")
+    rare = lambda kind, i: " ".join(f"{kind}{letters(20 * i + k)}" for k in range(20))
+    items = spark.createDataFrame([(i, f"{opening} {rare('item', i)}") for i in range(150)], "item_id long, text string")
+    texts = [f"{opening} {rare('text', i)}" for i in range(400)] + [f"{opening} {rare('item', i)}" for i in range(5)]
+    stored = []
+    real = decontaminate.land
+
+    def counted(df, *args):
+        stored.append(real(df, *args))
+        return stored[-1]
+
+    monkeypatch.setattr(decontaminate, "land", counted)
+    assert found(spark, items, *texts) == {(400 + i, i) for i in range(5)}
+    assert max(t.count() for t in stored) < 10_000
+
+
+def test_letters_of_all_planes_and_scripts_without_blanks(spark):
+    adlam = " ".join("".join(chr(0x1E900 + (i * 5 + k) % 34) for k in range(3)) for i in range(6))
+    chinese = "小明有十二个苹果他把五个苹果送给了他的姐姐请问他现在还剩下几个苹果"
+    items = spark.createDataFrame([(1, adlam), (2, chinese)], "item_id long, text string")
+    texts = [adlam, f"before {adlam} after", f"题目如下{chinese}谢谢大家", chinese[:8] + "完全不同的一句话没有任何相同之处", "".join(reversed(chinese))]
+    assert found(spark, items, *texts) == {(0, 1), (1, 1), (2, 2)}
 
 
 def test_clean_texts_and_little_overlap(spark, benchmark):
