@@ -2,21 +2,24 @@
 
 The two words before a token predict a vector, r(w1) C1 + r(w2) C2; a token's
 score is the product of that vector with the token's own, plus a bias.  The
-model knows the commonest words of the training texts, the end of a text, and
-one symbol for all other words; within that symbol a word has its share of the
-smoothed counts, and what was never seen is one word more.  So the
-probabilities of all words, and of anything else, add up to 1 after any two
+model's symbols are the commonest words of the training texts, the end of a
+text, and classes of all other words by how they end, so every word there is has
+one, before a token as well as after it.  Within its class a word has its share
+of the smoothed counts, and what was never seen is one word more in each.  So
+the probabilities of all words, and of anything else, add up to 1 after any two
 words.
 
 As the score is a sum over the two places, three tables of bounded size give
 every log-probability: a product for each place, and the normaliser of each
-pair of words, which is one product of exponentials.
+pair of symbols, which is one product of exponentials.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,9 @@ END = ""  # The end of a text; no word is empty.
 # Words the model has vectors for, and words whose counts all tasks have; the counts of others are joined.
 VOCABULARY = 1024
 FREQUENT = 1 << 18
+# Classes of the other words, by a hash of their last bytes.
+CLASSES = 512
+ENDING = 3
 DIMENSION = 16
 NOISE = 64
 BATCH = 2048
@@ -88,7 +94,9 @@ class Lexicon:
     """The end and the frequent words in falling order with their counts, and the totals over all words.
 
     The first ``size`` words are the vocabulary.  ``rest`` is the smoothed
-    count of all words outside it, what was never seen included.
+    count of all words outside it, with one word that was never seen.
+    ``class_tokens`` and ``class_types`` tell how often, and how many, words
+    outside it are in each class.
     """
 
     words: pa.Array
@@ -96,18 +104,54 @@ class Lexicon:
     tokens: int
     types: int
     size: int
+    class_tokens: np.ndarray | None = None
+    class_types: np.ndarray | None = None
+
+    def __post_init__(self):
+        if self.class_tokens is None:  # one class of all
+            known = self.counts[: self.size]
+            self.class_tokens = np.array([self.tokens - int(known.sum())], dtype=np.int64)
+            self.class_types = np.array([self.types - len(known)], dtype=np.int64)
+
+    @property
+    def symbols(self) -> int:
+        """Vocabulary words and classes."""
+        return self.size + len(self.class_tokens)
+
+    @property
+    def class_totals(self) -> np.ndarray:
+        """Smoothed counts of the classes' words, and of one word never seen in each."""
+        return self.class_tokens + self.class_types + 1
 
     @property
     def rest(self) -> int:
         return self.tokens + self.types + 1 - int(self.counts[: self.size].sum()) - self.size
 
-    def vocabulary_ids(self, words: pa.Array) -> np.ndarray:
-        """Place in the vocabulary; ``size`` for other words."""
+    def symbol_ids(self, words: pa.Array) -> np.ndarray:
+        """Place in the vocabulary; for other words ``size`` and their class."""
         found = pc.index_in(words, value_set=self.words.slice(0, self.size))
-        return pc.fill_null(found, self.size).to_numpy(zero_copy_only=False).astype(np.int64)
+        found = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        other = np.flatnonzero(found < 0)
+        found[other] = self.size + classes_of(words.take(pa.array(other)), len(self.class_tokens))
+        return found
 
 
-def build_lexicon(counts: DataFrame, size: int = VOCABULARY, frequent: int = FREQUENT) -> Lexicon:
+def classes_of(words: pa.Array, n: int) -> np.ndarray:
+    """The class of each word: crc32 of its last bytes modulo ``n``."""
+    ends = (crc32(w[-ENDING:]) % n for w in words.cast(pa.binary()).to_pylist())
+    return np.fromiter(ends, dtype=np.int64, count=len(words))
+
+
+def class_column(word: Column, n: int) -> Column:
+    """``classes_of`` for a column."""
+    whole = word.cast("binary")
+    last = F.when(F.octet_length(word) > ENDING, F.substring(whole, -ENDING, ENDING)).otherwise(whole)
+    return (F.crc32(last) % n).cast("int")
+
+
+def build_lexicon(
+    counts: DataFrame, size: int = VOCABULARY, frequent: int = FREQUENT, classes: int = CLASSES
+) -> Lexicon:
     """The end, then the words at least as common as a threshold that no more than ``frequent`` words reach.
 
     The threshold comes from a histogram of the counts' logarithms, so
@@ -128,23 +172,36 @@ def build_lexicon(counts: DataFrame, size: int = VOCABULARY, frequent: int = FRE
     table = common.select("word", "n").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
     names = [pa.array([END] if ends else [], pa.string()), *[c.cast(pa.string()) for c in table.column("word").chunks]]
     n = np.concatenate([[ends.n] if ends else [], table.column("n").to_numpy()]).astype(np.int64)
-    return Lexicon(pa.concat_arrays(names), n, totals.tokens, totals.types, min(size, len(n)))
+    lexicon = Lexicon(pa.concat_arrays(names), n, totals.tokens, totals.types, min(size, len(n)))
+    if totals.tokens:
+        by_class = words.groupBy(class_column(F.col("word"), classes).alias("class")).agg(
+            F.sum("n").alias("tokens"), F.count("*").alias("types")
+        )
+        lexicon.class_tokens, lexicon.class_types = np.zeros(classes, np.int64), np.zeros(classes, np.int64)
+        for row in by_class.collect():
+            lexicon.class_tokens[row["class"]], lexicon.class_types[row["class"]] = row.tokens, row.types
+        # Without the words that are symbols of their own; the first is the end, if there is one.
+        first = 1 if ends else 0
+        own = classes_of(lexicon.words.slice(first, lexicon.size - first), classes)
+        np.subtract.at(lexicon.class_tokens, own, n[first : lexicon.size])
+        np.subtract.at(lexicon.class_types, own, 1)
+    return lexicon
 
 
 def sequences(texts: pa.Array, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Words, pa.Array]:
     """(row, token, word before, word before that) over the words and end of each text; the words, and the distinct ones.
 
-    Tokens are places in the vocabulary, ``size`` for the rest; before a text
-    stands ``size + 1``.
+    Tokens are symbols (see ``Lexicon.symbol_ids``); before a text stands one
+    that is none of them.
     """
     words = Words(texts)
     encoded = words.flat.dictionary_encode()
-    ids = lexicon.vocabulary_ids(encoded.dictionary)
+    ids = lexicon.symbol_ids(encoded.dictionary)
     tokens = ids[encoded.indices.to_numpy(zero_copy_only=False)] if len(words.flat) else np.empty(0, dtype=np.int64)
     tokens = np.insert(tokens, words.first[1:], 0)  # the end comes first in the vocabulary
     begins = words.first[:-1] + np.arange(len(texts))
     row = np.repeat(np.arange(len(texts)), np.diff(words.first) + 1)
-    start = lexicon.size + 1
+    start = lexicon.symbols
     before = np.concatenate([[start], tokens[:-1]])
     before[begins] = start
     earlier = np.concatenate([[start], before[:-1]])
@@ -229,10 +286,8 @@ def _sum_rows(index: np.ndarray, rows: np.ndarray, shape: tuple[int, int]) -> np
 
 
 def symbol_shares(lexicon: Lexicon) -> np.ndarray:
-    """The share of each vocabulary word and of the rest in the training tokens, all above zero."""
-    known = lexicon.counts[: lexicon.size].astype(np.float64)
-    rest = lexicon.tokens - known.sum()
-    shares = np.append(known, rest) + 1.0
+    """The share of each symbol in the training tokens, all above zero."""
+    shares = np.append(lexicon.counts[: lexicon.size], lexicon.class_tokens) + 1.0
     return shares / shares.sum()
 
 
@@ -251,7 +306,7 @@ def _streams(texts: pa.Array, keys: np.ndarray, lexicon: Lexicon) -> Iterator[tu
 
 def _read_stream(stream: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token, word before, word before that) of streams put together."""
-    marked = np.frombuffer(stream, dtype=np.int16).astype(np.int64)
+    marked = np.frombuffer(stream, dtype=np.int32).astype(np.int64)
     plain = np.where(marked < 0, ~marked, marked)
     at = np.flatnonzero(marked >= 0)
     return plain[at], plain[at - 1], plain[at - 2]
@@ -263,8 +318,8 @@ _HELD_OUT = -1
 def training_shards(docs: DataFrame, lexicon: Lexicon, text: str, shard_tokens: int, fold_tokens: int) -> tuple[DataFrame, int]:
     """turn, shard, stream: one row per shard of about ``shard_tokens`` tokens, stored by turn; and the number of turns.
 
-    A text's shard depends on its columns alone, and so does its place in it.
-    Turns and shards of a turn grow alike, with the square root of the
+    A text's shard depends on its columns alone, and so does its place in it;
+    copies of a row that a task meets are dealt like different rows.  Turns and shards of a turn grow alike, with the square root of the
     corpus.  Turn and shard _HELD_OUT are the fold that tells when to stop.
     """
     shards = max(1, round(lexicon.tokens / shard_tokens))
@@ -275,22 +330,31 @@ def training_shards(docs: DataFrame, lexicon: Lexicon, text: str, shard_tokens:
 
     def prepare():
         lexicon = spread.value
+        met: Counter[int] = Counter()
 
         def work(piece: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            found = list(_streams(piece.column(1), piece.column(0).to_numpy(), lexicon))
+            keys = piece.column(0).to_numpy()
+            copy = np.empty(len(keys), dtype=np.int64)
+            for at, key in enumerate(keys.tolist()):
+                copy[at] = met[key]
+                met[key] += 1
+            found = list(_streams(piece.column(1), np.arange(len(keys)), lexicon))
+            own = np.array([at for at, _, _ in found], dtype=np.int64)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "key": pa.array([key for key, _, _ in found], pa.int64()),
+                    "key": pa.array(keys[own]),
+                    "copy": pa.array(copy[own]),
                     "number": pa.array([number for _, number, _ in found], pa.int32()),
-                    "stream": pa.array([stream.astype(np.int16).tobytes() for *_, stream in found], pa.binary()),
+                    "stream": pa.array([stream.astype(np.int32).tobytes() for *_, stream in found], pa.binary()),
                 }
             )
 
         return work
 
-    encoded = map_texts(rows, "key long, number int, stream binary", prepare, "text")
-    dealt = F.xxhash64("key", "number", F.lit("shard"))
-    shard = F.when(F.pmod(F.xxhash64("key", "number", F.lit("fold")), F.lit(fold)) == 0, _HELD_OUT).otherwise(
+    encoded = map_texts(rows, "key long, copy long, number int, stream binary", prepare, "text")
+    place = ("key", "copy", "number")
+    dealt = F.xxhash64(*place, F.lit("shard"))
+    shard = F.when(F.pmod(F.xxhash64(*place, F.lit("fold")), F.lit(fold)) == 0, _HELD_OUT).otherwise(
         F.pmod(dealt, F.lit(shards))
     )
 
@@ -443,7 +507,8 @@ def score_known(docs: DataFrame, lexicon: Lexicon, model: BilinearModel, text: s
         lexicon, (near, far, normaliser) = spread.value
         log_counts = np.log10(lexicon.counts + 1.0)
         log_total = np.log10(lexicon.tokens + lexicon.types + 1.0)
-        log_rest = np.log10(float(lexicon.rest))
+        # By symbol: what a word has to be divided by within its class, nothing for a word of the vocabulary.
+        log_class = np.concatenate([np.zeros(lexicon.size), np.log10(lexicon.class_totals.astype(np.float64))])
 
         def compute(column: pa.Array):
             n = len(column)
@@ -460,7 +525,7 @@ def score_known(docs: DataFrame, lexicon: Lexicon, model: BilinearModel, text: s
             base = np.bincount(owner[known], weights=own - log_total, minlength=n).astype(np.float64)
             outside = place[known] >= lexicon.size
             score += np.bincount(owner[known][outside], weights=own[outside], minlength=n)
-            score -= log_rest * np.bincount(row, weights=tokens == lexicon.size, minlength=n)
+            score -= np.bincount(row, weights=log_class[tokens], minlength=n)
             n_known = np.bincount(owner[known], minlength=n)
             if lexicon.size:  # the end comes first
                 base += log_counts[0] - log_total
@@ -491,6 +556,7 @@ def score_texts(docs: DataFrame, learn_from: Column | None = None, doc_id: str =
     Learned from the rows for which ``learn_from`` (over doc_id) holds.  A
     null text is as an empty one: its only token is the end.  If there is
     nothing to learn from, the model knows one symbol, and both scores are 0.
+    Long texts are scored whole, repeated rows alike; an empty table gives no rows.
 
     Counts of frequent words are broadcast; the other words of a text, by
     their nature few, are joined to the table of all counts.  Where a word

@@ -152,3 +152,54 @@ def test_awkward_rows(awkward, no_documents):
     assert {(r.base_score, r.n_known) for r in nothing} == {(0, 0)}
     assert all(r.score == pytest.approx(0, abs=1e-6 * r.n_tokens) for r in nothing)
     assert bilinear.score_texts(no_documents).count() == 0
+
+
+def test_scores_against_a_plain_loop(spark, sf_dir):
+    """The score of a text, token by token, from the model's parameters and the counts."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").limit(60)
+    docs = docs.unionAll(spark.createDataFrame([(-1, "never seen wörds and the x"), (-2, None)], docs.schema)).cache()
+    taught = docs.filter("doc_id >= 0")
+    counts = bilinear.count_words(taught)
+    lexicon = bilinear.build_lexicon(counts, 50, 200, 16)
+    model = bilinear.train_bilinear(taught, lexicon)
+    scored = bilinear.score_known(docs, lexicon, model).collect()
+
+    seen = {r.word: r.n for r in counts.collect()}
+    vocabulary = {w: i for i, w in enumerate(lexicon.words.to_pylist()[: lexicon.size])}
+    group = lambda w: zlib.crc32(w.encode()[-3:]) % 16
+    outside = [w for w in seen if w not in vocabulary]
+    totals = [1 + sum(seen[w] + 1 for w in outside if group(w) == g) for g in range(16)]
+    symbol = lambda w: vocabulary[w] if w in vocabulary else lexicon.size + group(w)
+    first, second = (p.astype(float) for p in model.place)
+
+    def log_probability(text):
+        before = earlier = lexicon.symbols
+        total = 0.0
+        for word in tokens(text):
+            own = model.target @ (model.context[before] @ first + model.context[earlier] @ second) + model.bias
+            total += own[symbol(word)] - math.log(sum(math.exp(x) for x in own))
+            if word not in vocabulary:
+                total += math.log((seen.get(word, 0) + 1) / totals[group(word)])
+            before, earlier = symbol(word), before
+        return total / math.log(10)
+
+    for r, text in zip(scored, [d.text for d in docs.collect()]):
+        rare = sum(x["n"] * math.log10(seen.get(x["word"], 0) + 1) for x in r.rare)
+        assert r.score_part + rare == pytest.approx(log_probability(text), rel=1e-4)
+
+
+def test_classes_cover_all_words(spark):
+    words = ["a", "ab", "abc", "xabc", "größe", "é", "\U0001f600x", "running", "jumping"]
+    frame = spark.createDataFrame([(w,) for w in words], "word string")
+    column = [r.c for r in frame.select(bilinear.class_column(frame.word, 97).alias("c")).collect()]
+    assert column == bilinear.classes_of(pa.array(words), 97).tolist()
+    assert column[2] == column[3] and column[-1] == column[-2]
+
+
+def test_copies_are_dealt_over_shards(spark):
+    """Half of all tokens are copies of one row; no shard has many more of them than another."""
+    docs = spark.range(4000).selectExpr("if(id % 2 = 0, 'the same few words', concat('w', id, ' other v', id, ' end')) AS text")
+    lexicon = bilinear.build_lexicon(bilinear.count_words(docs))
+    shards, _ = bilinear.training_shards(docs.repartition(3), lexicon, "text", 1 << 11, 1 << 10)
+    sizes = [len(r.stream) for r in shards.filter("shard >= 0").collect()]
+    assert len(sizes) >= 8 and max(sizes) < 2 * sum(sizes) / len(sizes)
