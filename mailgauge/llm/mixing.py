@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -113,6 +114,37 @@ def keep_probabilities(docs: DataFrame, targets: Targets) -> DataFrame:
     return cells.select(*DIMENSIONS, "weight", (F.col("weight") / F.col("most")).alias("probability"))
 
 
+def share_report(
+    docs: DataFrame,
+    targets: Targets | None = None,
+    text: str = "text",
+    source: str = "source",
+    lang: str = "lang",
+    topic: Column | None = None,
+) -> DataFrame:
+    """dimension, value, wanted, reached, possible, met: what ``mix`` makes of its targets, a row for each value.
+
+    ``wanted`` is the target share of the sample's tokens, ``reached`` the share that its probabilities give in expectation,
+    and ``possible`` what the value would have if all its documents were taken.  A value is ``met`` if it is within the
+    tolerance, as a share of ``wanted``.  Where targets ask for more than there is, or contradict each other, some are not, and
+    ``reached`` adds up to less than 1: the sample is smaller then.
+    """
+    targets = targets or Targets()
+    described = _described(docs, source, text, source, lang, topic)
+    cells = land(rake(land(count_cells(described.select(*DIMENSIONS, "tokens"))), targets))
+    parts = []
+    for d in DIMENSIONS if f"goal_{DIMENSIONS[0]}" in cells.columns else ():
+        sums = cells.groupBy(F.col(d).cast("string").alias("value")).agg(
+            F.first(f"goal_{d}").alias("wanted"), F.sum("weight").alias("reached"), F.sum("most").alias("possible")
+        )
+        met = F.abs(F.col("reached") - F.col("wanted")) <= targets.tolerance * F.col("wanted")
+        parts.append(sums.select(F.lit(d).alias("dimension"), "value", "wanted", "reached", "possible", met.alias("met")))
+    none = docs.sparkSession.createDataFrame(
+        [], "dimension string, value string, wanted double, reached double, possible double, met boolean"
+    )
+    return reduce(DataFrame.unionAll, parts, none)
+
+
 def _described(docs: DataFrame, doc_id: str, text: str, source: str, lang: str, topic: Column | None) -> DataFrame:
     body = F.col(position(docs, text))
     counted = numbered(docs).withColumn("tokens", F.coalesce(F.regexp_count(body, F.lit(TOKEN)), F.lit(0)).cast("long"))

@@ -86,3 +86,24 @@ def test_awkward_rows(awkward, no_documents):
     sampled = mixing.sample_mix(awkward)
     assert sampled.columns == awkward.columns
     assert mixing.mix(no_documents).count() == 0 and mixing.sample_mix(no_documents).count() == 0
+
+
+def test_report_of_shares(spark, awkward, no_documents):
+    """Targets that can be met are; one that asks for more than there is gets all there is, and is told."""
+    rows = [(i, "w " * 10, "ab"[i % 10 == 0], "xy"[i % 2]) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    can = mixing.Targets(shares={"source": {"a": 0.85, "b": 0.15}, "lang": {"x": 0.4, "y": 0.6}}, keep=0.5, rounds=50)
+    report = {(r.dimension, r.value): r for r in mixing.share_report(docs, can).collect()}
+    assert set(report) == {("source", "a"), ("source", "b"), ("lang", "x"), ("lang", "y"), ("topic", "brief")}
+    assert all(r.met and r.reached <= r.possible for r in report.values())
+    assert report["lang", "y"].wanted == pytest.approx(0.6)
+    cannot = mixing.Targets(shares={"source": {"a": 0.5, "b": 0.5}}, keep=0.5)
+    report = {(r.dimension, r.value): r for r in mixing.share_report(docs, cannot).collect()}
+    scarce = report["source", "b"]
+    assert not scarce.met and scarce.reached == pytest.approx(scarce.possible, rel=0.05) and scarce.possible == pytest.approx(0.2)
+    # The same shares as in the sample.
+    mixed = mixing.mix(docs, cannot).filter("source = 'b'").agg({"probability": "sum"}).head()[0]
+    assert mixed / (4000 * 0.5) == pytest.approx(scarce.reached, rel=1e-6)
+    values = {r.value for r in mixing.share_report(awkward).filter("dimension = 'lang'").collect()}
+    assert None in values and "en" in values
+    assert mixing.share_report(no_documents).isEmpty()
