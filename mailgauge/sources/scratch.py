@@ -50,10 +50,9 @@ def land(df: DataFrame, by: str | None = None) -> DataFrame:
 
 def remove(landed: DataFrame) -> None:
     """Delete the table behind a landed frame; nothing may read it any more."""
-    for path in {file.rpartition("/")[0] for file in landed.inputFiles()}:
-        name = path.rpartition("/")[2]
-        for known in [p for p in _landed if p.endswith(name)]:
-            delete(landed.sparkSession, known)
+    named = {part for file in landed.inputFiles() for part in file.split("/")}
+    for path in [p for p in _landed if p.rpartition("/")[2] in named]:
+        delete(landed.sparkSession, path)
 
 
 def _located(spark: SparkSession, path: str):

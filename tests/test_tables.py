@@ -361,3 +361,16 @@ def test_copies_of_one_mail_are_split_over_files_by_default(spark, tmp_path):
     sizes = sorted(r["count"] for r in stored.groupBy("_file").count().collect())
     assert len(sizes) == 4 and sum(sizes) == 8000 and sizes[-1] < 3000
     assert "_place" not in spark.read.parquet(table).columns
+
+
+def test_landed_tables_are_deleted_one_by_one(spark):
+    from mailgauge.sources import scratch
+
+    before = set(scratch._landed)
+    plain, parted = land(spark.range(5)), land(spark.range(6).selectExpr("id", "id % 2 AS k"), by="k")
+    paths = scratch._landed - before
+    assert len(paths) == 2 and all(os.path.isdir(p) for p in paths)
+    remove(parted.filter("id > 1"))
+    assert len(scratch._landed - before) == 1 and plain.count() == 5
+    remove(plain)
+    assert scratch._landed == before and not any(os.path.exists(p) for p in paths)
