@@ -39,8 +39,8 @@ def usable_vectors(
     """vec_id, vector (doubles) of the rows that take part.
 
     Left out are rows whose id or vector is null, zero vectors, vectors with a null or
-    non-finite component, and those not of ``dimension`` components; by
-    default that is the commonest length (of equally common ones the longer).
+    non-finite component, and those not of ``dimension`` components, as vectors of
+    different lengths have no distance; by default that is the commonest length (of equally common ones the longer).
     """
     v = F.col("vector")
     sound = (
@@ -59,9 +59,20 @@ def usable_vectors(
     return rows.filter(F.size("vector") == dimension)
 
 
-def choose_pivots(vectors: DataFrame, n: int = PIVOTS) -> np.ndarray:
-    """``n`` distinct vectors, those whose ids have the least hashes: a documented sample that only places pivots."""
-    distinct = vectors.groupBy("vector").agg(F.min("vec_id").alias("vec_id"))
+def _distinct_vectors(vectors: DataFrame, n: int) -> DataFrame:
+    """vector, vec_id, members: every vector once, with its least id and the ``n`` least ones.
+
+    A task sends no more than ``n`` rows of a vector on, however many have it.
+    """
+    least = Window.partitionBy("vector").orderBy("vec_id")
+    first = vectors.select("vector", "vec_id").withColumn("place", F.row_number().over(least)).filter(F.col("place") <= n)
+    return first.groupBy("vector").agg(
+        F.min("vec_id").alias("vec_id"), F.array_sort(F.collect_list("vec_id")).alias("members")
+    )
+
+
+def choose_pivots(distinct: DataFrame, n: int = PIVOTS) -> np.ndarray:
+    """``n`` of some distinct vectors, those whose ids have the least hashes: a documented sample that only places pivots."""
     rows = distinct.orderBy(F.xxhash64("vec_id"), "vec_id").limit(n).select("vector").collect()
     return np.array([r.vector for r in rows], dtype=np.float64)
 
@@ -73,11 +84,17 @@ def nearest_pivots(vectors: np.ndarray, pivots: np.ndarray, prefix: int) -> np.n
 
 
 class PermutationIndex:
-    """Inverted files by pivot over a block of vectors."""
+    """Inverted files by pivot over a block of vectors.
+
+    ``members`` are the ids of the rows that have each vector, in order, by default the one in ``ids``.
+    """
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, prefix: int):
+    def __init__(
+        self, ids: np.ndarray, vectors: np.ndarray, pivots: np.ndarray, prefix: int, members: list | None = None
+    ):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
+        self.members = [members[i] for i in order] if members else [[i] for i in self.ids.tolist()]
         self.prefix = min(prefix, len(pivots))
         near = nearest_pivots(self.vectors, pivots, self.prefix)
         rank = np.tile(np.arange(self.prefix, dtype=np.int16), len(ids))
@@ -101,7 +118,6 @@ class PermutationIndex:
         """(query, id, distance) of the k best of the block for each query, nearest first, ties to the smaller id."""
         for q in range(len(ids)):
             footrule = self.footrule(near[q])
-            footrule[self.ids == ids[q]] = np.iinfo(np.int32).max
             if reranked < len(footrule):
                 # Of equal footrules the smaller ids come first: they are in id order.
                 limit = np.partition(footrule, reranked - 1)[reranked - 1]
@@ -110,15 +126,22 @@ class PermutationIndex:
                 chosen = np.sort(np.concatenate([below, at]))
             else:
                 chosen = np.arange(len(footrule))
-            chosen = chosen[self.ids[chosen] != ids[q]]
             distance = np.sqrt(((self.vectors[chosen] - queries[q]) ** 2).sum(axis=1))
             best = np.argsort(distance, kind="stable")
-            # A repeated id counts once, where it is nearest.
-            first = np.sort(np.unique(self.ids[chosen[best[: 4 * k]]], return_index=True)[1])
-            if len(first) < k:
-                first = np.sort(np.unique(self.ids[chosen[best]], return_index=True)[1])
-            best = best[first[:k]]
-            yield ids[q], self.ids[chosen[best]], distance[best]
+            for n in (4 * k, len(best)):
+                found = self._rows(ids[q], chosen[best[:n]], distance[best[:n]])
+                if len(found) >= k:
+                    break
+            yield ids[q], np.array([i for _, i in found[:k]], np.int64), np.array([d for d, _ in found[:k]], np.float64)
+
+    def _rows(self, query: int, vectors: np.ndarray, distance: np.ndarray) -> list[tuple[float, int]]:
+        """(distance, id) of the rows with these vectors, nearest first; a repeated id counts once, the query's own not."""
+        rows = sorted((d, i) for v, d in zip(vectors.tolist(), distance.tolist()) for i in self.members[v])
+        nearest: dict[int, float] = {}
+        for d, i in rows:
+            if i != query:
+                nearest.setdefault(i, d)
+        return [(d, i) for i, d in nearest.items()]
 
 
 _HITS = "query_id long, vec_id long, score double"
@@ -133,7 +156,8 @@ def _search_block(pivots, prefix: int, k: int, share: float, least: int):
             def matrix(table):
                 return table.column("vector").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
 
-            index = PermutationIndex(vectors.column("vec_id").to_numpy(), matrix(vectors), p, prefix)
+            members = vectors.column("members").to_pylist()
+            index = PermutationIndex(vectors.column("vec_id").to_numpy(), matrix(vectors), p, prefix, members)
             reranked = max(least, k + 1, int(np.ceil(share * vectors.num_rows)))
             ids, asked = queries.column("vec_id").to_numpy(), matrix(queries)
             near = nearest_pivots(asked, p, prefix)
@@ -171,19 +195,21 @@ def search_nearest(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for each query, by Euclidean distance in doubles.
 
-    Both frames are as ``usable_vectors`` returns them, stored.  A query's
+    Equal vectors are one in the index, with the k + 1 smallest of their ids, which is as many as a query can ask for:
+    however many copies there are, they take one place among those that are ranked.  Both frames are as ``usable_vectors`` returns them, stored.  A query's
     own id is no candidate.  Ties go to the smaller vec_id; a vec_id that
     is repeated is one candidate, with its least distance, and a repeated
     query id is asked once, with its first vector in order.  Fewer than k
     candidates are all returned, an empty table gives no rows.
     """
     spark = vectors.sparkSession
-    pivots = spark.sparkContext.broadcast(choose_pivots(vectors, n_pivots))
-    blocked, n_blocks = _blocks(vectors, block, "block")
+    distinct = land(_distinct_vectors(vectors, k + 1))
+    pivots = spark.sparkContext.broadcast(choose_pivots(distinct, n_pivots))
+    blocked, n_blocks = _blocks(distinct, block, "block")
     once = queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))
     asked, n_asked = _blocks(land(once), query_block, "query")
     # Each block of vectors meets each block of queries in one task of bounded size.
-    left = blocked.select("vec_id", "vector", "block", F.explode(F.sequence(F.lit(0), F.lit(n_asked - 1))).alias("part"))
+    left = blocked.select("vec_id", "vector", "members", "block", F.explode(F.sequence(F.lit(0), F.lit(n_asked - 1))).alias("part"))
     right = asked.select(
         "vec_id", "vector", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"), F.col("block").alias("part")
     )

@@ -83,3 +83,22 @@ def test_a_vector_shared_by_very_many(spark):
     )
     found = neighbours.nearest_neighbours(table, F.col("vec_id") == 300, block=256).orderBy("rank").collect()
     assert [(r.vec_id, r.score) for r in found] == [(3 * i, 0.0) for i in range(10)]
+
+
+def test_copies_take_one_place(spark):
+    """A third of all rows are one vector near the queries; their neighbours are found all the same, as are the copies."""
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(600, 16))
+    hot = vectors[0] + 0.01
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(10_000 + i, hot.tolist()) for i in range(300)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    options = {"k": 20, "least": 150, "reranked": 0.3, "block": 1 << 12}
+    found = neighbours.nearest_neighbours(table, F.col("vec_id").isin(0, 7, 10_005), **options).collect()
+    ids, whole = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    for query in (0, 7, 10_005):
+        own = [(r.score, r.vec_id) for r in sorted(found, key=lambda r: r.rank) if r.query_id == query]
+        expected = nearest(ids, whole, query, 20)
+        assert len(own) == 20 and len(set(own) & set(expected)) >= 16 or query != 7
+        if query != 7:  # the copies are nearest, those of the least ids first
+            copies = [10_000 + i for i in range(22)]
+            assert [i for _, i in own][:19] == [i for i in copies if i != query][:19]
