@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailgauge.llm.common import Words, add_columns, map_texts
-from mailgauge.sources.scratch import land
+from mailgauge.sources.scratch import land, remove
 
 END = ""  # The end of a text; no word is empty.
 # Words the model has vectors for, and words whose counts all tasks have; the counts of others are joined.
@@ -488,6 +488,7 @@ def train_bilinear(
         gained = before - min(losses[-2:])
         if number >= turns and gained <= max(0.0, 2 * settled * (losses[0] - before)):
             break
+    remove(shards)
     state = _State(shares, best, [SEED, number])
     for stream in fold:
         state.learn(stream, [SEED, number])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailgauge.sources.scratch import land
+from mailgauge.sources.scratch import land, remove
 
 
 def _least(neighbours: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def connected_components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
 
     ``links`` has columns a and b.  Nodes are totally ordered values.  A round
     ends in a stored table, so that lineage stays short and a lost executor
-    costs one round; rounds grow with the logarithm of the nodes.  Minima are
+    costs one round; the one before is deleted.  Rounds grow with the logarithm of the nodes.  Minima are
     taken before the shuffle, and a node with very many links meets a single
     row in the join, where adaptive execution splits it.
     """
@@ -45,6 +45,7 @@ def connected_components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     for _ in range(max_rounds):
         following = land(_small(_large(current)))
         state = tuple(following.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head())
+        remove(current)
         if state == seen:
             heads = following.select("b", "b").distinct()
             return following.union(heads).toDF("node", "root")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mailgauge.llm.common import numbered, position
-from mailgauge.sources.scratch import land
+from mailgauge.sources.scratch import land, remove
 
 DIMENSIONS = ("source", "lang", "topic")
 TOKEN = r"[^\x20\x09-\x0D]+"
@@ -86,7 +86,7 @@ def rake(cells: DataFrame, targets: Targets) -> DataFrame:
     for d in DIMENSIONS:
         current = with_target(current, targets, d, float(total))
     share = F.col("tokens") / float(total)
-    current = land(current.withColumns({"weight": share, "most": share / targets.keep}))
+    stored = current = land(current.withColumns({"weight": share, "most": share / targets.keep}))
     for _ in range(targets.rounds):
         current = current.withColumn("off", F.lit(0.0))
         for d in DIMENSIONS:
@@ -97,7 +97,9 @@ def rake(cells: DataFrame, targets: Targets) -> DataFrame:
                     "off": F.greatest("off", F.abs(F.col("factor") - 1)),
                 }
             )
-        current = land(current.withColumn("weight", F.least("weight", "most")))
+        before, current = stored, land(current.withColumn("weight", F.least("weight", "most")))
+        stored = current
+        remove(before)
         if current.agg(F.max("off")).head()[0] <= targets.tolerance:
             break
         current = current.drop("off", "factor")
