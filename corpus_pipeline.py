@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from mailgauge.llm import decontaminate, language, mixing, sharding, simhash
 from mailgauge.llm.common import numbered, position, read_table
-from mailgauge.sources.scratch import land
+from mailgauge.sources.scratch import land, remove
 
 # A text whose likeliest language is less probable than this is rejected.
 LANGUAGE_SCORE = 0.5
@@ -62,7 +62,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each one's result stored and read again."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
         docs = land(stage(spark, docs, sf_dir))
+        # What a stage has read is not read again once its own result is stored.
+        if before is not None:
+            remove(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
