@@ -8,7 +8,6 @@ group is made a mail table column by column.
 from __future__ import annotations
 
 import json
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 
 from mailgauge.schema import MANDATORY_COLUMNS, READ_SCHEMA
 from mailgauge.sources.listing import Opened, list_files, open_path
+from mailgauge.sources.scratch import land, remove
 
 QUARANTINE = "path string, row long, reason string"
 # Fixed value: what a Parquet file begins with.
@@ -90,16 +90,14 @@ def load_checked(spark: SparkSession, *patterns: str, opened: Opened = open_path
     reason: files that cannot be read or made a mail table, with row null, and single rows in which a value cannot be cast,
     such as a ``Date`` that is no date.  The driver gets the names of the files, as for any table, and their schemas.
     """
-    known = file_schemas(spark, *patterns, opened=opened).collect()
-    bad = [(r.path, None, r.error) for r in known if r.error]
-    groups: dict[str, list[str]] = defaultdict(list)
-    for r in known:
-        if not r.error:
-            groups[r.schema].append(r.path)
+    known = land(file_schemas(spark, *patterns, opened=opened))
+    bad = [(r.path, None, r.error) for r in known.filter("error IS NOT NULL").collect()]
+    schemas = [r.schema for r in known.filter("error IS NULL").select("schema").distinct().collect()]
 
     mails = [spark.createDataFrame([], READ_SCHEMA)]
     rejected = []
-    for paths in groups.values():
+    for schema in schemas:
+        paths = [r.path for r in known.filter(F.col("schema") == F.lit(schema)).select("path").collect()]
         # Names are no patterns here.
         stored = spark.read.option("recursiveFileLookup", "true").parquet(*[_literal(p) for p in sorted(paths)])
         made, reason = _conformed(stored)
@@ -120,6 +118,7 @@ def load_checked(spark: SparkSession, *patterns: str, opened: Opened = open_path
         )
         mails.append(rows.filter("reason = ''").select(*READ_SCHEMA.fieldNames()))
         rejected.append(rows.filter("reason <> ''").select("path", "row", "reason"))
+    remove(known)
     named = spark.createDataFrame(bad, QUARANTINE)
     return reduce(DataFrame.unionAll, mails), reduce(DataFrame.unionAll, [named, *rejected])
 

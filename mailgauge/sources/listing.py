@@ -53,7 +53,7 @@ def list_files(spark: SparkSession, *patterns: str, opened: Opened = open_path)
 
     As for ``read_mail_files``: what lies below, hidden files (``_x``, ``.x``) and empty ones are left out, a path that
     does not exist has no files, and a pattern may name files themselves.  A directory is listed by one
-    task, and no directory below it is.
+    task, which holds its names, and no directory below it is; deal very many files over directories.
     """
     folders = directories(spark, *patterns)
     rows = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(min(len(folders), LISTERS) or 1)
