@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mailgauge.llm.common import numbered, position
+from mailgauge.llm.common import UPPER, lower_ascii, numbered, position
 from mailgauge.sources.scratch import land, remove
 
 DIMENSIONS = ("source", "lang", "topic")
@@ -33,6 +34,31 @@ def topic_of(text: Column, words: Column) -> Column:
     )
 
 
+def topic_by_terms(text: Column, topics: Mapping[str, Sequence[str]], otherwise: Column | None = None) -> Column:
+    """The topic whose terms a text has most often, of equally frequent ones the first given.
+
+    Terms are words or phrases, in any case (A-Z), that have no letter or digit on either side; each occurrence counts.
+    A text with none of them, and a null text, gets ``otherwise``: null, or an expression such as ``topic_of``.
+    """
+    lowered = lower_ascii(F.coalesce(text, F.lit("")))
+    counts = []
+    for place, (name, terms) in enumerate(topics.items()):
+        # Longer terms first, as an alternation takes the first that fits.
+        quoted = "|".join(re.escape(t.translate(_LOWER)) for t in sorted(terms, key=len, reverse=True) if t)
+        if quoted:
+            pattern = rf"(?<![\p{{L}}\p{{N}}])(?:{quoted})(?![\p{{L}}\p{{N}}])"
+            n = F.regexp_count(lowered, F.lit(pattern))
+            counts.append(F.struct(n.alias("n"), F.lit(-place).alias("place"), F.lit(name).alias("name")))
+    otherwise = F.lit(None).cast("string") if otherwise is None else otherwise
+    if not counts:
+        return otherwise
+    best = F.array_max(F.array(*counts))
+    return F.when(best["n"] > 0, best["name"]).otherwise(otherwise)
+
+
+_LOWER = {ord(c): c.lower() for c in UPPER}
+
+
 @dataclass
 class Targets:
     """What share of the tokens each value of a dimension is to have.

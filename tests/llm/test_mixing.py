@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from mailgauge.llm import mixing
 from mailgauge.llm.queries import QUERIES
@@ -107,3 +108,20 @@ def test_report_of_shares(spark, awkward, no_documents):
     values = {r.value for r in mixing.share_report(awkward).filter("dimension = 'lang'").collect()}
     assert None in values and "en" in values
     assert mixing.share_report(no_documents).isEmpty()
+
+
+def test_topics_by_terms(spark):
+    topics = {"sport": ["match", "Goal keeper", "goal"], "trade": ["MARKET", "a.b"], "none": []}
+    texts = {
+        "The goal keeper won the match": "sport", "market Market goal": "trade", "goal market": "sport", "goals amarket": "other",
+        "a.b": "trade", "axb": "other", "": "other", None: "other", "\u00e9goal": "other", "(goal)": "sport",
+    }
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    named = frame.select("text", mixing.topic_by_terms(F.col("text"), topics, F.lit("other")).alias("topic"))
+    assert {r.text: r.topic for r in named.collect()} == texts
+    rows = [(i, "goal " * 5 if i % 4 else "market " * 5, "a", "en") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    even = mixing.Targets(shares={"topic": {"sport": 0.5, "trade": 0.5}}, keep=0.4)
+    kept = mixing.mix(docs, even, topic=mixing.topic_by_terms(F.col("c1"), topics)).filter("selected")
+    shares = {r.topic: r["count"] for r in kept.groupBy("topic").count().collect()}
+    assert shares["sport"] / sum(shares.values()) == pytest.approx(0.5, abs=0.06)
