@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mailgauge.operators import averages as A
+from mailgauge.plans.live import start_live_analyses
 from mailgauge.schema import READ_SCHEMA
 from mailgauge.streaming import rankings, sinks, windows
 from mailgauge.streaming.sources import NO_AGE_LIMIT
@@ -152,3 +153,19 @@ def test_no_mail_has_a_time(spark, tmp_path):
         assert found(spark, f"{tmp_path}/out").isEmpty()
     stream_in(spark, tmp_path, [range(30)], start)
     assert not windows.closed_windows(spark, f"{tmp_path}/out").isEmpty()
+
+
+def test_live_analyses_that_keep_late_mails(spark, tmp_path):
+    def start(mails):
+        senders, words = start_live_analyses(
+            mails, f"{tmp_path}/out", f"{tmp_path}/check", trigger=ONCE, event_time="Date", keep_late=True, fan_in=2
+        )
+        senders.awaitTermination(120)
+        return words
+
+    stream_in(spark, tmp_path, [range(30, 42), [0, 41]], start)
+    assert [r.ID for r in windows.late_mails(spark, f"{tmp_path}/out/words").collect()] == ["<0>"]
+    assert not windows.open_windows(spark, f"{tmp_path}/out/words").isEmpty()
+    latest = sinks.latest_batch(spark, f"{tmp_path}/out/senders").filter("measure = 'mails'").collect()
+    # Twelve mails, then two more.
+    assert [(r.sender, r.total) for r in latest] == [("s@x", 14)]
