@@ -201,7 +201,8 @@ def mix(
     Whether a document is selected depends on its id and its cell's
     probability alone, so a lost task repeats its choice, and rows of equal
     id and cell go the same way.  Documents without tokens weigh nothing and
-    are never selected (weight and probability 0).  Null in source or lang is
+    are never selected (weight and probability 0).  Long texts count whole, and a
+    table without rows or without tokens gives no or no selected rows.  Null in source or lang is
     a value of its own.  ``topic`` is an expression over the columns named by
     position (``c0`` ...); without it ``topic_of`` is used.
     """

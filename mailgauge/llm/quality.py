@@ -208,8 +208,9 @@ def classify_quality(
     and null ids teach nothing; a repeated label counts once, one that is
     contradicted counts for both classes, and every row of the id is learned
     from.  A null text is as an empty one.  Without any label all scores are
-    0.5, with one class only all are that class.  Texts are read once: their
-    statistics are stored and used for learning and scoring.
+    0.5, with one class only all are that class.  Texts are read once and whole, however long: their
+    statistics are stored and used for learning and scoring.  Rows that are
+    repeated get equal scores, an empty table gives no rows.
     """
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     stats = land(with_statistics(base, "text").drop("text"))
