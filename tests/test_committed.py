@@ -99,7 +99,7 @@ def test_a_writer_that_dies_at_any_step_changes_nothing(spark, tmp_path, monkeyp
         if calls["left"] == 0:
             raise Killed
 
-    for n in range(9):
+    for n in range(5):
         for life in range(1, 12):
             calls["left"] = life
             monkeypatch.setattr(committed, step, dying)
