@@ -9,7 +9,7 @@ Tasks open files with ``pyarrow.fs``, which finds the file system by the scheme
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from mailgauge.sources import committed
 from mailgauge.sources.mailfiles import directories
+from mailgauge.sources.opened import Opened, open_path
 
 FILES = "path string, length long, modified timestamp"
 _FILES = pa.schema([("path", pa.string()), ("length", pa.int64()), ("modified", pa.timestamp("us", "UTC"))])
@@ -29,20 +30,6 @@ LISTERS = 10_000
 TASK_FILES = 2_000
 TASK_BYTES = 128 << 20
 
-# From the URI of a directory or file to its file system, its path there, and what to put before such paths.
-Opened = Callable[[str], tuple[fs.FileSystem, str, str]]
-
-
-def open_path(uri: str) -> tuple[fs.FileSystem, str, str]:
-    """The file system of a path as Hadoop writes it, without escapes; see ``Opened``."""
-    scheme, colon, rest = uri.partition(":")
-    if not colon or scheme == "file":
-        return fs.LocalFileSystem(), "/" + rest.lstrip("/"), "file:"
-    authority, _, key = rest.removeprefix("//").partition("/")
-    system, base = fs.FileSystem.from_uri(f"{scheme.replace('s3a', 's3')}://{authority}/")
-    base = base.rstrip("/")
-    return system, f"{base}/{key}", f"{scheme}://" + ("" if base else authority)
-
 
 def _hidden(name: str) -> bool:
     return name.startswith(".") or (name.startswith("_") and "=" not in name)

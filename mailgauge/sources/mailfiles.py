@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailgauge.operators.parse import parse_mail
+from mailgauge.sources.opened import Opened, open_path
+from mailgauge.sources.scratch import delete, exists, make_directory, rename
 
 # Files are packed into scan tasks by size plus this cost per file.  Spark's
 # default of 4 MiB fits big files; mails are a few KiB, and with the default a
@@ -16,6 +21,10 @@ from mailgauge.operators.parse import parse_mail
 OPEN_COST = "spark.sql.files.openCostInBytes"
 MAIL_OPEN_COST = str(64 * 1024)
 
+# Files of one directory that ``write_mail_files`` makes, and where they are until all are written.
+FOLDER_FILES = 10_000
+STAGED = "_staged"
+
 
 def tune_for_mail_files(spark: SparkSession) -> None:
     """Session setting for scans of many small files (about 2,000 mails a task)."""
@@ -122,6 +131,55 @@ def read_mail(spark: SparkSession, *paths: str, **options) -> DataFrame:
     return read_mail_files(spark, *paths).transform(parse_mail, **options)
 
 
-def write_mail_files(raw: DataFrame, path: str, column: str = "value") -> None:
-    """One file per row.  The text sink adds a line break at the end of a file."""
-    raw.select(column).write.option("maxRecordsPerFile", 1).text(path)
+def write_mail_files(
+    raw: DataFrame, path: str, column: str = "value", folders: bool = False, opened: Opened = open_path
+) -> None:
+    """One file per row, written by tasks, in a new directory.  A line break is added at the end of a file; null is one.
+
+    With ``folders=True`` the files lie in directories below ``path``, up to FOLDER_FILES in each: read ``path/*``, which
+    many tasks list.  Files get into their places when all are written, so what a task that died has left is in none.
+    What ``opened`` does not know is left to Spark's text sink, for which each file is a task's output to commit.
+    """
+    spark = raw.sparkSession
+    if exists(spark, path):
+        raise FileExistsError(f"{path} is there already")
+    path, rows = path.rstrip("/"), raw.select(F.col(column).alias("value"))
+    root = qualified(spark, path)
+    try:
+        opened(root)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
+        rows.write.option("maxRecordsPerFile", 1).text(f"{path}/0" if folders else path)
+        return
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base, _ = opened(root)
+        attempt, written, made = uuid.uuid4().hex, 0, []
+        for batch in batches:
+            for value in batch.column(0):
+                if written % FOLDER_FILES == 0:
+                    made.append(f"{attempt}-{written // FOLDER_FILES}")
+                    system.create_dir(f"{base}/{STAGED}/{made[-1]}")
+                with system.open_output_stream(f"{base}/{STAGED}/{made[-1]}/{attempt}-{written}.txt") as stream:
+                    stream.write((value.as_py() or b"") + b"\n")
+                written += 1
+        yield pa.RecordBatch.from_arrays([pa.array(made, pa.string())], names=["folder"])
+
+    def move_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base, _ = opened(root)
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                # A task that is run again finds those left.
+                for info in system.get_file_info(fs.FileSelector(f"{base}/{STAGED}/{folder}")):
+                    system.move(info.path, f"{base}/{info.base_name}")
+            yield batch
+
+    made = [r.folder for r in rows.select(F.col("value").cast("binary")).mapInArrow(write, "folder string").collect()]
+    # Also where there are no rows, something is there to be read.
+    make_directory(spark, path if made or not folders else f"{path}/0")
+    if folders:
+        for number, folder in enumerate(sorted(made)):
+            rename(spark, f"{path}/{STAGED}/{folder}", f"{path}/{number}")
+    elif made:
+        dealt = spark.createDataFrame([(f,) for f in made], "folder string").repartition(len(made))
+        dealt.mapInArrow(move_up, "folder string").count()
+    delete(spark, f"{path}/{STAGED}")

@@ -90,6 +90,12 @@ def create_empty(spark: SparkSession, path: str) -> None:
     system.create(hadoop, True).close()
 
 
+def make_directory(spark: SparkSession, path: str) -> None:
+    """A directory of that name, with those above it."""
+    system, hadoop = _located(spark, path)
+    system.mkdirs(hadoop)
+
+
 def names_in(spark: SparkSession, path: str) -> list[str]:
     """Names of the files and directories in a directory, none where there is no such directory."""
     system, hadoop = _located(spark, path)

@@ -7,6 +7,7 @@ import glob
 import json
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from mailgauge.operators.relational import append_mail, in_interval, order_by_da
 from mailgauge.plans.ingest import ingest_directories
 from mailgauge.plans.reports import report_averages, report_averages_by_sender
 from mailgauge.schema import MAIL_SCHEMA, READ_SCHEMA, to_mail_schema
+from mailgauge.sources import mailfiles
 from mailgauge.sources.documents import read_json_document, store_json_document, store_json_lines
 from mailgauge.sources.mailfiles import read_mail, read_mail_files, write_mail_files
 from mailgauge.sources.scratch import land, remove, scratch_dir
@@ -242,6 +244,37 @@ def test_write_mail_files(spark, tmp_path):
     assert sorted(r.value for r in read_mail_files(spark, str(tmp_path / "out")).collect()) == ["a\n\nb\n", "c\n"]
 
 
+def test_write_mail_files_into_directories(spark, tmp_path, monkeypatch):
+    """Tasks write the files and the directories they lie in, each of a bounded number; there is nothing else."""
+    monkeypatch.setattr(mailfiles, "FOLDER_FILES", 3)
+    texts = [None, "", "a\n\nb", "caf\u00e9", "x" * 100_000, *["copy"] * 15]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    write_mail_files(frame, str(tmp_path / "out"), "text", folders=True)
+    folders = sorted(os.listdir(tmp_path / "out"))
+    # Spark's own writer leaves all in one directory.
+    assert len(folders) >= 7 and all(1 <= len(os.listdir(tmp_path / "out" / f)) <= 3 for f in folders)
+    found = read_mail_files(spark, str(tmp_path / "out" / "*"))
+    assert sorted(r.value for r in found.collect()) == sorted(f"{t or ''}\n" for t in texts)
+    with pytest.raises(FileExistsError):
+        write_mail_files(frame, str(tmp_path / "out"), "text")
+    for flag in (False, True):
+        write_mail_files(frame.filter("false"), str(tmp_path / f"none{flag}"), "text", folders=flag)
+        assert read_mail_files(spark, str(tmp_path / f"none{flag}" / "*")).isEmpty()
+
+
+def test_write_mail_files_of_bytes_and_other_systems(spark, tmp_path):
+    """Bytes that are no UTF-8 stay; what tasks cannot open is left to Spark's text sink."""
+    frame = spark.sql("SELECT CAST(X'FF41C3' AS STRING) AS value")
+    write_mail_files(frame, f"file://{tmp_path}/a")
+    assert [(tmp_path / "a" / n).read_bytes() for n in os.listdir(tmp_path / "a")] == [b"\xffA\xc3\n"]
+
+    def unknown(uri):
+        raise pa.ArrowInvalid(f"Unrecognized filesystem type in URI: {uri}")
+
+    write_mail_files(frame, f"{tmp_path}/b", folders=True, opened=unknown)
+    assert read_mail_files(spark, f"{tmp_path}/b/*").count() == 1
+
+
 def test_removed_tables_are_gone(spark, mails):
     landed = land(mails)
     folder = landed.inputFiles()[0].rpartition("/")[0].removeprefix("file://").removeprefix("file:")

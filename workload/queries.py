@@ -74,10 +74,11 @@ def staged(spark: SparkSession, sf_dir: str, what: str, write: Callable[[str], o
 
 
 def mail_directory(spark: SparkSession, sf_dir: str) -> str:
-    """All raw mails, one per file."""
+    """All raw mails, one per file: a pattern that names the directories they lie in."""
+
     def write(path: str) -> str:
-        write_mail_files(raw_document_mails(spark, sf_dir), path)
-        return path
+        write_mail_files(raw_document_mails(spark, sf_dir), path, folders=True)
+        return f"{path}/*"
 
     return staged(spark, sf_dir, "files", write)
 
