@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from mailgauge.functions.tokens import word_count, words
 from mailgauge.operators.relational import with_features
 
+# Bytes of mails that a task counts the words of, and those of a window that more than one task counts.
+TASK_BYTES = 16 << 20
+CROWD_BYTES = 64 << 20
+
 
 def mail_lengths(df: DataFrame, lines_kept: bool = False) -> DataFrame:
     """ID, From, WordCount and RecipientsCount: all the averages need, without bodies."""
@@ -73,8 +77,48 @@ def windowed_words(
     event time are in no window.
     """
     placed = df.select(F.window(event_time, window, slide).alias("window"), "Body")
-    words_in_windows = body_words(placed, "window", lines_kept=lines_kept)
-    return words_in_windows.groupBy("window", "word").agg(F.count("*").alias("count"))
+    if df.isStreaming:
+        return body_words(placed, "window", lines_kept=lines_kept).groupBy("window", "word").agg(F.count("*").alias("count"))
+    return count_placed_words(placed, lines_kept=lines_kept)
+
+
+def count_placed_words(
+    placed: DataFrame,
+    known: DataFrame | None = None,
+    lines_kept: bool = False,
+    task_bytes: int = TASK_BYTES,
+    crowd_bytes: int = CROWD_BYTES,
+) -> DataFrame:
+    """window, word, count of mails that have their ``window``, with counts known of other mails added.
+
+    Words take far more room than the mails they are in, so mails are brought together by window before they are
+    cut, and what is counted then is shuffled no more.  A window with more than ``crowd_bytes`` of mails is left out
+    of that: its words are counted where its mails are and brought together by window and word, so it does not
+    gather in a task.  The sizes of the windows are summed first, which reads the mails once more: give a table.
+    """
+    rows = placed.select("window", "Body", F.lit(None).cast("string").alias("word"), F.lit(1).cast("long").alias("count"))
+    if known is not None:
+        rows = rows.unionByName(known.select("window", "word", "count"), allowMissingColumns=True)
+    size = F.coalesce(F.octet_length("Body"), F.octet_length("word"), F.lit(0))
+    sizes = rows.groupBy("window").agg(F.sum(size).alias("size"))
+    total, crowds = sizes.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count_if(F.col("size") > crowd_bytes)).head()
+    tasks = max(-(-total // task_bytes), placed.sparkSession.sparkContext.defaultParallelism)
+
+    def counted(some: DataFrame) -> DataFrame:
+        cut = F.when(F.col("word").isNull(), words(F.col("Body"), lines_kept)).otherwise(F.array("word"))
+        each = some.select("window", "count", F.explode(cut).alias("word"))
+        return each.groupBy("window", "word").agg(F.sum("count").alias("count"))
+
+    def gathered(some: DataFrame) -> DataFrame:
+        # Keyed by a struct, as counts of crowded windows lie elsewhere: who ranks the words of a window limits them per task first.
+        keyed = some.select(F.struct("window").alias("window"), "Body", "word", "count").repartition(tasks, "window")
+        return counted(keyed).select("window.window", "word", "count")
+
+    if not crowds:
+        return gathered(rows)
+    crowded = F.broadcast(sizes.filter(F.col("size") > crowd_bytes).select("window"))
+    others = gathered(rows.join(crowded, "window", "left_anti"))
+    return others.unionAll(counted(rows.join(crowded, "window", "left_semi")))
 
 
 def top_words_by_window(counts: DataFrame, n: int = 5) -> DataFrame:

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from mailgauge.operators.averages import sender_totals, top_words_by_window, updated_top_senders, windowed_words
+from mailgauge.operators.averages import sender_totals, updated_top_senders
 from mailgauge.streaming.sinks import start_appending
-from mailgauge.streaming.sources import with_event_time
+from mailgauge.streaming.windows import start_counting
 
 
 def start_top_senders(
@@ -50,16 +50,11 @@ def start_top_words(
 ) -> StreamingQuery:
     """The most used words of each window, written once the window is closed.
 
-    A window closes when the latest event time seen is ``delay`` past its
-    end; mails later than that are dropped, and state is kept for open
-    windows only.  ``event_time`` is a column or ``processed``, the time of the
-    micro-batch a mail came in.  Writes window, rank, word, count (and batch_id); ``fan_in``
-    as in ``start_appending``.
+    A window closes when the latest event time seen, which the micro-batch itself may bring, is ``delay`` or more
+    past its end; mails later than that are dropped.  Counts are kept for open windows only, as tables below ``path`` and not
+    in memory.  ``event_time`` is a column or ``processed``, the time of the micro-batch a mail came in.  Writes
+    window, rank, word, count (and batch_id); ``fan_in`` as in ``start_appending``.
     """
-    mails = with_event_time(mails, event_time)
-    counts = windowed_words(mails.withWatermark(event_time, delay), event_time, window, slide, lines_kept)
-
-    def ranked(closed: DataFrame) -> DataFrame:
-        return top_words_by_window(closed, n).select("window", "rank", "word", "count")
-
-    return start_appending(counts, path, checkpoint, ranked, "append", trigger, fan_in=fan_in)
+    options = {"lines_kept": lines_kept, "trigger": trigger, "fan_in": fan_in}
+    path = path.rstrip("/")
+    return start_counting(mails, path, path, None, checkpoint, n, event_time, window, slide, delay, **options)

@@ -8,6 +8,7 @@ import shutil
 from collections import Counter
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from mailgauge.operators import averages as A
@@ -169,3 +170,72 @@ def test_live_analyses_that_keep_late_mails(spark, tmp_path):
     latest = sinks.latest_batch(spark, f"{tmp_path}/out/senders").filter("measure = 'mails'").collect()
     # Twelve mails, then two more.
     assert [(r.sender, r.total) for r in latest] == [("s@x", 14)]
+
+
+def naive(rows):
+    found = Counter()
+    for window, body in rows:
+        found.update((window, word) for word in (body or "").split(" ") if word)
+    return sorted((*key, n) for key, n in found.items())
+
+
+@pytest.mark.parametrize("crowd_bytes", [1 << 20, 40, 0])
+def test_words_of_large_and_small_windows(spark, crowd_bytes):
+    """Counted alike where a window is too large for a task, and with what is known of other mails."""
+    rows = [(i % 4, f"a b{i % 3}  c" * (1 + 5 * (i % 4 == 0))) for i in range(20)] + [(1, None), (None, "a"), (5, ""), (6, " ")]
+    placed = spark.createDataFrame(rows, "window int, Body string")
+    options = {"task_bytes": 8, "crowd_bytes": crowd_bytes}
+    counts = A.count_placed_words(placed, **options)
+    expected = naive((w, b) for w, b in rows if w is not None)
+    assert counts.columns == ["window", "word", "count"] and counts.schema["count"].dataType.simpleString() == "bigint"
+    assert sorted(map(tuple, counts.filter("window IS NOT NULL").collect())) == expected
+    half = placed.filter("window < 2"), A.count_placed_words(placed.filter("window IS NULL OR window >= 1"))
+    twice = sorted(map(tuple, A.count_placed_words(half[0], half[1].filter("window IS NOT NULL"), **options).collect()))
+    assert twice == naive([r for r in rows if r[0] is not None and r[0] < 2] + [r for r in rows if r[0] is not None and r[0] >= 1])
+    assert A.count_placed_words(placed.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("slide", [None, "30 seconds"])
+def test_mails_are_shuffled_and_not_their_words(spark, slide):
+    """Between cutting the bodies and counting the words nothing is exchanged."""
+    mails = spark.createDataFrame([(START + dt.timedelta(seconds=7 * i), "a b a") for i in range(50)], "Date timestamp, Body string")
+    counts = A.windowed_words(mails, "Date", slide=slide)
+    plan = counts._jdf.queryExecution().sparkPlan().toString()
+    planned = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan and planned.count("Exchange") == 1
+    assert planned.index("HashAggregate") < planned.index("Generate explode") < planned.index("Exchange")
+
+
+def test_top_words_need_no_state_in_memory(spark, tmp_path):
+    """Counts of open windows are tables; a window that is open between batches is counted in both."""
+
+    def start(mails):
+        started.append(rankings.start_top_words(
+            mails, f"{tmp_path}/out", f"{tmp_path}/check", n=2, event_time="Date", delay="2 minutes", trigger=ONCE
+        ))
+        return started[-1]
+
+    started = []
+    stream_in(spark, tmp_path, [range(0, 45), range(45, 60), [0, 59]], start)
+    assert all(not p["stateOperators"] for q in started for p in q.recentProgress)
+    written = spark.read.parquet(f"{tmp_path}/out").select("window", "rank", "word", "count")
+    mails = spark.read.schema(READ_SCHEMA).parquet(f"{tmp_path}/in")
+    counts = A.windowed_words(mails.dropDuplicates(["ID"]), "Date")
+    latest = mails.agg(F.max("Date")).head()[0]
+    closed = counts.filter(F.col("window.end") <= F.lit(latest - dt.timedelta(minutes=2)))
+    expected = A.top_words_by_window(closed, 2).select("window", "rank", "word", "count")
+    assert sorted(map(tuple, written.collect())) == sorted(map(tuple, expected.collect())) and written.count() > 4
+    # Only the last two versions are there.
+    assert sorted(os.listdir(f"{tmp_path}/out/_open")) == ["1", "2"]
+
+
+def test_batches_of_another_kind_of_checkpoint(spark, tmp_path):
+    """What was known is gone: an error, and no counts without it."""
+
+    def start(mails):
+        return rankings.start_top_words(mails, f"{tmp_path}/out", f"{tmp_path}/check", event_time="Date", trigger=ONCE)
+
+    stream_in(spark, tmp_path, [range(30)], start)
+    shutil.rmtree(f"{tmp_path}/out/_clock")
+    with pytest.raises(StreamingQueryException, match="open windows of batch 0"):
+        stream_in(spark, tmp_path, [range(30, 40)], start)
