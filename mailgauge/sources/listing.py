@@ -9,7 +9,7 @@ Tasks open files with ``pyarrow.fs``, which finds the file system by the scheme
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyarrow import fs
@@ -17,22 +17,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailgauge.sources import committed
-from mailgauge.sources.mailfiles import directories
 from mailgauge.sources.opened import Opened, open_path
+from mailgauge.sources.scratch import directories
 
 FILES = "path string, length long, modified timestamp"
 _FILES = pa.schema([("path", pa.string()), ("length", pa.int64()), ("modified", pa.timestamp("us", "UTC"))])
 # Rows and bytes that a task holds at a time.
 ROWS = 10_000
 BYTES = 16 << 20
-# Tasks that list directories, and files and bytes that a task reads.
+# Tasks that list directories, and files and bytes that a task reads; files from which on all cores are used.
 LISTERS = 10_000
 TASK_FILES = 2_000
 TASK_BYTES = 128 << 20
+LEAST_FILES = 200
 
 
 def _hidden(name: str) -> bool:
-    return name.startswith(".") or (name.startswith("_") and "=" not in name)
+    """What Spark's scan leaves out too."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
 
 
 def list_files(spark: SparkSession, *patterns: str, opened: Opened = open_path) -> DataFrame:
@@ -42,7 +44,11 @@ def list_files(spark: SparkSession, *patterns: str, opened: Opened = open_path)
     does not exist has no files, and a pattern may name files themselves.  A directory is listed by one
     task, which holds its names, and no directory below it is; deal very many files over directories.
     """
-    folders = directories(spark, *patterns)
+    return list_folders(spark, directories(spark, *patterns), opened)
+
+
+def list_folders(spark: SparkSession, folders: Sequence[str], opened: Opened = open_path) -> DataFrame:
+    """As ``list_files``, for directories or files that are there, as ``directories`` gives them."""
     rows = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(min(len(folders), LISTERS) or 1)
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,15 +67,23 @@ def list_files(spark: SparkSession, *patterns: str, opened: Opened = open_path)
     return rows.mapInArrow(listed, FILES)
 
 
-def read_listed(files: DataFrame, tasks: int | None = None, opened: Opened = open_path) -> DataFrame:
+def tasks_for(files: DataFrame) -> int:
+    """How many tasks the rows of ``list_files`` ask for, by their number and length."""
+    n, size = files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).head()
+    least = min(files.sparkSession.sparkContext.defaultParallelism, -(-n // LEAST_FILES))
+    return max(1, least, -(-n // TASK_FILES), -(-size // TASK_BYTES))
+
+
+def read_listed(
+    files: DataFrame, tasks: int | None = None, opened: Opened = open_path, name: Callable[[str], str] | None = None
+) -> DataFrame:
     """``value``, a file's whole text, ``path`` and ``arrived``, when it was written, for rows of ``list_files``.
 
-    The files are dealt to ``tasks`` tasks, by default to as many as their number and length ask for, which is counted first.
-    Batch or stream; a stream has to be told.  A file that has gone since is an error.
+    The files are dealt to ``tasks`` tasks, by default to as many as ``tasks_for`` finds.
+    Batch or stream; a stream has to be told.  ``name`` says how ``path`` is written.  A file that has gone since is an error.
     """
     if tasks is None:
-        n, size = files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).head()
-        tasks = max(1, -(-n // TASK_FILES), -(-size // TASK_BYTES))
+        tasks = tasks_for(files)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         systems: dict[str, tuple[fs.FileSystem, str, str]] = {}
@@ -86,8 +100,9 @@ def read_listed(files: DataFrame, tasks: int | None = None, opened: Opened = ope
                 size += len(texts[-1])
                 if size >= BYTES or at + 1 == batch.num_rows:
                     rest = batch.slice(start, at + 1 - start)
+                    named = pa.array([name(p) for p in rest.column(0).to_pylist()], pa.string()) if name else rest.column(0)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(texts, pa.binary()), rest.column(0), rest.column(2)], names=["value", "path", "modified"]
+                        [pa.array(texts, pa.binary()), named, rest.column(2)], names=["value", "path", "modified"]
                     )
                     texts, size, start = [], 0, at + 1
 

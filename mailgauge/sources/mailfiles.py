@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -12,8 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailgauge.operators.parse import parse_mail
+from mailgauge.sources.listing import list_folders, read_listed, tasks_for
 from mailgauge.sources.opened import Opened, open_path
-from mailgauge.sources.scratch import delete, exists, make_directory, rename
+from mailgauge.sources.scratch import delete, directories, exists, land, make_directory, rename
 
 # Files are packed into scan tasks by size plus this cost per file.  Spark's
 # default of 4 MiB fits big files; mails are a few KiB, and with the default a
@@ -25,22 +28,17 @@ MAIL_OPEN_COST = str(64 * 1024)
 FOLDER_FILES = 10_000
 STAGED = "_staged"
 
+# What Java escapes in the path of a URI.
+_ESCAPED = re.compile(
+    r"[^\w/!.~'()*:@&=+$,;\u00a1-\U0010ffff-]|[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+)
+
 
 def tune_for_mail_files(spark: SparkSession) -> None:
     """Session setting for scans of many small files (about 2,000 mails a task)."""
     spark.conf.set(OPEN_COST, MAIL_OPEN_COST)
 
 
-def directories(spark: SparkSession, *paths: str) -> list[str]:
-    """The existing directories (or files) that some paths or patterns name, as full URIs."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    found = []
-    for path in map(hadoop, paths):
-        found += [s.getPath().toString() for s in path.getFileSystem(conf).globStatus(path) or []]
-    return found
-
-
 def _plain(uri: Column) -> Column:
     """One form for the two in which a URI's scheme may be written."""
     return F.regexp_replace(uri, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
@@ -109,21 +107,59 @@ def directly_in(folders: Sequence[str]) -> Column:
     return parent.isin(names) | file.isin(names) if names else F.lit(False)
 
 
-def read_mail_files(spark: SparkSession, *paths: str) -> DataFrame:
+def _scan(spark: SparkSession, folders: Sequence[str], endings: Sequence[str] | None = None) -> DataFrame:
+    """Files of some folders by Spark's own scan, with ``endings`` only those whose names end so.
+
+    The tree below each directory is listed, and only there: sub-directories
+    named ``k=v`` would otherwise be taken for partitions.
+    """
+    files = spark.read.text(folders, wholetext=True, recursiveFileLookup=True).filter(directly_in(folders))
+    path = F.col("_metadata.file_path")
+    return (files if endings is None else files.filter(_ends(path, endings))).select("value", path.alias("path"))
+
+
+def _ends(path: Column, endings: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [F.lower(path).endswith(e) for e in endings], F.lit(False))
+
+
+def _compressed_endings(spark: SparkSession) -> list[str]:
+    """What the names of files that Hadoop's readers decompress end with, in capitals or not."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = hadoop.io.compress.CompressionCodecFactory.getCodecClasses(conf)
+    return [hadoop.util.ReflectionUtils.newInstance(c, conf).getDefaultExtension().lower() for c in codecs]
+
+
+def file_path(path: str) -> str:
+    """A path as Spark gives it in ``_metadata.file_path``, where characters that a URI may not have are escaped."""
+    return _ESCAPED.sub(lambda m: quote(m[0], safe=""), path)
+
+
+def read_mail_files(spark: SparkSession, *paths: str, opened: Opened | None = None) -> DataFrame:
     """``value``: a file's whole text, ``path``: where it is.
 
     Only files directly in the given directories; those in sub-directories,
     hidden ones (``_x``, ``.x``) and empty ones are left out.  A path that
-    does not exist has no mails.  One distributed scan for all paths.
+    does not exist has no mails.  The files are those that are there now.
 
-    The tree below each directory is listed, and only there: sub-directories
-    named ``k=v`` would otherwise be taken for partitions.
+    Local files, and with ``opened`` those of all file systems (see ``list_files``), are listed and read by tasks, which
+    get as many as their number and length ask for.  What is compressed, and other file systems, are left to Spark's
+    scan: it lists on the driver and packs tasks by the session's settings (see ``tune_for_mail_files``).
     """
     folders = directories(spark, *paths)
     if not folders:
         return spark.createDataFrame([], "value string, path string")
-    files = spark.read.text(folders, wholetext=True, recursiveFileLookup=True)
-    return files.filter(directly_in(folders)).select("value", F.col("_metadata.file_path").alias("path"))
+    by_tasks = [f for f in folders if opened or f.startswith("file:")]
+    scanned = [f for f in folders if f not in set(by_tasks)]
+    found = [_scan(spark, scanned)] if scanned else []
+    if by_tasks:
+        opened, endings = opened or open_path, _compressed_endings(spark)
+        files = land(list_folders(spark, by_tasks, opened).dropDuplicates(["path"]))
+        compressed = _ends(F.col("path"), endings)
+        if not files.filter(compressed).isEmpty():
+            found.append(_scan(spark, by_tasks, endings))
+            files = files.filter(~compressed)
+        found.append(read_listed(files, tasks_for(files), opened, file_path).select("value", "path"))
+    return reduce(DataFrame.unionAll, found)
 
 
 def read_mail(spark: SparkSession, *paths: str, **options) -> DataFrame:
