@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailgauge.operators.parse import ERROR_COLUMN, parse_mail
-from mailgauge.sources.listing import FILES, Opened, open_path, read_listed
+from mailgauge.sources import committed
+from mailgauge.sources.listing import FILES, Opened, open_path, read_listed, tasks_for
 from mailgauge.sources.mailfiles import directly_matching
 
 # By default a stream ignores files a week older than the newest it has seen, such as an archive copied with its
@@ -61,14 +62,17 @@ def stream_mail_files(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def stream_listed_files(
-    spark: SparkSession, listing: str, tasks: int = 200, opened: Opened = open_path, **options
+    spark: SparkSession, listing: str, tasks: int | None = 200, opened: Opened = open_path, **options
 ) -> DataFrame:
     """As ``stream_mail_files``, but of the files that ``note_new_files`` adds to the table ``listing``.
 
     What the driver lists, and the stream's log of seen files grows with, are the few files of that table, not the
-    mails.  ``tasks`` read the mails of a micro-batch.  Call ``note_new_files`` as often as new mails are
+    mails.  ``tasks`` read the mails of a micro-batch; with None as many as all files ask for that are noted when the
+    stream is made, which suits one that reads them in one batch.  Call ``note_new_files`` as often as new mails are
     to be looked for, once at least before the stream is started.
     """
+    if tasks is None:
+        tasks = tasks_for(committed.load(spark, listing))
     files = spark.readStream.schema(FILES).options(**(NO_AGE_LIMIT | options)).parquet(listing)
     return read_listed(files, tasks, opened)
 

@@ -537,7 +537,7 @@ def stream_listed_mail(spark, sf_dir):
     """The same, following a table of the files that were listed by tasks."""
     out, files = scratch_dir(spark), scratch_dir(spark)
     note_new_files(spark, files, mail_directory(spark, sf_dir))
-    _finish(ingest.ingest_stream(spark, files, out, scratch_dir(spark), ONCE, listed=True, tasks=8))
+    _finish(ingest.ingest_stream(spark, files, out, scratch_dir(spark), ONCE, listed=True, tasks=None))
     mails, _ = load_parsed(spark, out)
     return readable(mails)
 
