@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailgauge.sources.scratch import land, remove
+from mailgauge.sources.scratch import gathered, land, remove
 
 
 def _least(neighbours: DataFrame) -> DataFrame:
@@ -38,16 +38,17 @@ def connected_components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     ends in a stored table, so that lineage stays short and a lost executor
     costs one round; the one before is deleted.  Rounds grow with the logarithm of the nodes.  Minima are
     taken before the shuffle, and a node with very many links meets a single
-    row in the join, where adaptive execution splits it.
+    row in the join, where adaptive execution splits it.  Links never become
+    more, so a round makes no more files than the links before it ask for.
     """
     current = land(links.select("a", "b").filter("a <> b").distinct())
-    seen = None
+    seen, most = None, current.count()
     for _ in range(max_rounds):
-        following = land(_small(_large(current)))
+        following = land(gathered(_small(_large(current)), most))
         state = tuple(following.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head())
         remove(current)
         if state == seen:
             heads = following.select("b", "b").distinct()
             return following.union(heads).toDF("node", "root")
-        seen, current = state, following
+        seen, most, current = state, state[0], following
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

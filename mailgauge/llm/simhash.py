@@ -28,10 +28,12 @@ from pyspark.sql import functions as F
 
 from mailgauge.llm.common import Words, add_columns, numbered, position
 from mailgauge.llm.components import connected_components
-from mailgauge.sources.scratch import land
+from mailgauge.sources.scratch import gathered, land
 
 BITS = 64
 SEGMENTS = 5
+# Keys of a fingerprint on average: its own of each segment, and those that one flip reaches in half of the cases.
+KEYS = SEGMENTS + BITS // 2
 # Shingles hashed at a time.
 RUN_SHINGLES = 1 << 16
 # Fingerprints under one key that a task holds; more are searched in pairs of blocks.
@@ -247,16 +249,16 @@ def link_fingerprints(fingerprints: DataFrame, max_distance: int = 4, block: int
     """
     if max_distance >= SEGMENTS:
         raise ValueError(f"one equal segment in {SEGMENTS} is certain for fewer than {SEGMENTS} bits only")
-    keyed = candidate_keys(fingerprints)
+    keyed = candidate_keys(fingerprints).repartition("key")
     found = land(
-        keyed.repartition("key")
+        gathered(keyed, KEYS * fingerprints.count())
         .sortWithinPartitions("key")
         .mapInArrow(lambda batches: _GroupSearch(max_distance, block)(batches), _FOUND)
     )
     links = found.filter(F.col("kind") == LINK).select("a", "b")
     deferred = found.filter(F.col("kind") == DEFERRED)
     if not deferred.head(1):
-        return links.distinct()
+        return gathered(links.distinct(), links.count())
     last = deferred.groupBy("key").agg(F.max("block").alias("last"))
     pairs = (
         deferred.join(last, "key")
@@ -278,14 +280,14 @@ def first_of_components(rows: DataFrame, first: Column, max_distance: int = 4, b
     common fingerprint or a very large component.
     """
     least = rows.groupBy("fingerprint").agg(F.min(first).alias("first"))
-    by_print = land(least)
+    by_print = land(gathered(least, rows.count()))
+    prints = by_print.count()
     roots = connected_components(link_fingerprints(by_print.select("fingerprint"), max_distance, block))
-    linked = land(by_print.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint"))
-    heads = land(linked.groupBy("root").agg(F.min("first").alias("head")))
+    linked = land(gathered(by_print.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint"), prints))
+    heads = land(gathered(linked.groupBy("root").agg(F.min("first").alias("head")), prints))
     moved = linked.join(heads, "root").select("fingerprint", "head")
-    return land(
-        by_print.join(moved, "fingerprint", "left").select("fingerprint", F.coalesce("head", "first").alias("first"))
-    )
+    firsts = by_print.join(moved, "fingerprint", "left").select("fingerprint", F.coalesce("head", "first").alias("first"))
+    return land(gathered(firsts, prints))
 
 
 def simhash_components(
@@ -300,11 +302,12 @@ def simhash_components(
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     prints = land(with_fingerprint(base, "text", shingle).select("doc_id", "fingerprint"))
     components = first_of_components(prints, F.col("doc_id"), max_distance)
-    return prints.join(components, "fingerprint").select(
+    found = prints.join(components, "fingerprint").select(
         "doc_id",
         F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
         F.col("first").alias("component_id"),
     )
+    return gathered(found, prints.count())
 
 
 def drop_near_duplicates(

@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Narrow rows of a file, where partitions would make more and smaller files.
+FILE_ROWS = 1 << 16
+
 # Temporary folders of local sessions, by application.
 _local: dict[str, str] = {}
 # Tables that ``land`` has written and that are still there.
@@ -48,6 +51,17 @@ def land(df: DataFrame, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def gathered(df: DataFrame, rows: int) -> DataFrame:
+    """A frame of at most about ``rows`` narrow rows, in no more partitions than these ask for.
+
+    A partition becomes a file, and for each file that a task makes Hadoop's
+    local file system starts processes that are, for a moment, as large as the
+    executor.  The number of shuffle partitions is a session's, for its
+    largest shuffles; adaptive execution joins small ones only where that is on.
+    """
+    return df.coalesce(max(1, -(-rows // FILE_ROWS)))
+
+
 def remove(landed: DataFrame) -> None:
     """Delete the table behind a landed frame; nothing may read it any more."""
     named = {part for file in landed.inputFiles() for part in file.split("/")}

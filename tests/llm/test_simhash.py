@@ -12,6 +12,7 @@ import xxhash
 from mailgauge.llm import simhash
 from mailgauge.llm.components import connected_components
 from mailgauge.llm.queries import QUERIES
+from mailgauge.sources import scratch
 
 
 def fingerprint(text: str | None) -> int:
@@ -138,3 +139,34 @@ def test_components_of_a_chain_and_a_star(spark):
     found = connected_components(spark.createDataFrame(chain + star, "a long, b long")).collect()
     assert {(r.node, r.root) for r in found} == {(i, 0) for i in range(201)} | {(i, 1000) for i in range(1000, 1100)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_files_follow_the_rows_not_the_shuffle_partitions(spark, monkeypatch):
+    """op7: each file a task writes starts processes as large as the executor, so no table has one for each partition."""
+    files = []
+
+    def counted(df, by=None):
+        landed = scratch.land(df, by)
+        files.append(len(landed.inputFiles()))
+        return landed
+
+    for module in ("simhash", "components"):
+        monkeypatch.setattr(f"mailgauge.llm.{module}.land", counted)
+    texts = [f"{' '.join(f'w{k}' for k in range(60))} {i % 40}" for i in range(200)] + [f"a{i} b{i} c{i}" for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    settings = {"spark.sql.shuffle.partitions": "30", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        found = simhash.simhash_components(docs).collect()
+        assert max(files) == 1 and len(files) > 6
+        monkeypatch.setattr(scratch, "FILE_ROWS", 100)
+        again = simhash.simhash_components(docs).collect()
+        assert 1 < max(files) <= 30
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    roots = components([fingerprint(t) for t in texts])
+    assert sorted((r.doc_id, r.component_id) for r in found) == list(enumerate(roots))
+    assert sorted(found) == sorted(again)
