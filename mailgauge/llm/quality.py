@@ -173,7 +173,8 @@ def quality_scores(model: QualityModel | None, x: np.ndarray) -> np.ndarray:
         log_share = np.log(model.share)
     logs = []
     for c in (0, 1):
-        white = (x - model.mean[c]) @ model.whitener[c].T
+        # Column by column: a matrix product rounds a row differently with the rows it comes with.
+        white = sum(column[:, None] * w for column, w in zip((x - model.mean[c]).T, model.whitener[c].T))
         logs.append(log_share[c] - 0.5 * ((white**2).sum(axis=1) + model.log_det[c]))
     return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -700, 700)))
 

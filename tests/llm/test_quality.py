@@ -69,3 +69,15 @@ def test_awkward_rows(spark, awkward, no_documents):
     one = quality.classify_quality(awkward, labels.filter("quality = 0")).collect()
     assert {r.predicted for r in one} == {0}
     assert quality.classify_quality(no_documents, labels).count() == 0
+
+
+def test_a_score_does_not_depend_on_the_rows_beside_it():
+    random = np.random.default_rng(3)
+    width = len(quality.STATISTICS)
+    model = quality.QualityModel(
+        np.array([0.4, 0.6]), random.normal(size=(2, width)), random.normal(size=(2, width, width)) / 9, np.array([1.0, 2.0])
+    )
+    x = random.normal(size=(57, width))
+    together = quality.quality_scores(model, x)
+    assert together.tolist() == [quality.quality_scores(model, row[None])[0] for row in x]
+    assert together[5:26].tolist() == quality.quality_scores(model, x[5:26]).tolist()
