@@ -153,11 +153,12 @@ def read_mail_files(spark: SparkSession, *paths: str, opened: Opened | None = No
     found = [_scan(spark, scanned)] if scanned else []
     if by_tasks:
         opened, endings = opened or open_path, _compressed_endings(spark)
-        files = land(list_folders(spark, by_tasks, opened).dropDuplicates(["path"]))
-        compressed = _ends(F.col("path"), endings)
-        if not files.filter(compressed).isEmpty():
+        listed = list_folders(spark, by_tasks, opened).dropDuplicates(["path"])
+        # Told once for each file, and stored: the table is read by each of the steps below.
+        files = land(listed.withColumn("compressed", _ends(F.col("path"), endings)))
+        if not files.filter("compressed").isEmpty():
             found.append(_scan(spark, by_tasks, endings))
-            files = files.filter(~compressed)
+            files = files.filter("NOT compressed")
         found.append(read_listed(files, tasks_for(files), opened, file_path).select("value", "path"))
     return reduce(DataFrame.unionAll, found)
 

@@ -442,9 +442,9 @@ def scan_mail_files(spark, sf_dir):
 
 @query
 def scan_whole_files(spark, sf_dir):
-    """File contents as they are, less the line break the text sink adds."""
-    files = read_mail_files(spark, mail_directory(spark, sf_dir))
-    return files.select(F.expr("left(value, length(value) - 1)").alias("value"))
+    """File contents as they are, less the line break that ends a file: one byte, so characters need not be counted."""
+    files = read_mail_files(spark, mail_directory(spark, sf_dir)).selectExpr("CAST(value AS BINARY) AS value")
+    return files.selectExpr("CAST(left(value, length(value) - 1) AS STRING) AS value")
 
 
 @query
