@@ -13,6 +13,11 @@ from mailgauge.sources.tables import mark_valid, store_parsed
 from mailgauge.streaming.sinks import start_parquet
 from mailgauge.streaming.sources import stream_mail
 
+# Files of a micro-batch, each of which the driver holds several times over while it plans the batch; options, in small
+# letters, that say otherwise (with the last one, a bound would also lift a limit of age).
+BATCH_FILES = 50_000
+BOUNDS = {"maxfilespertrigger", "maxbytespertrigger", "latestfirst"}
+
 
 def ingest_directories(spark: SparkSession, directories: Sequence[str], path: str, **parse_options) -> str:
     """Parse all mails of some directories and store them with their quarantine (see ``load_parsed``)."""
@@ -34,6 +39,10 @@ def ingest_stream(
     Mails and quarantine are kept apart as in ``store_parsed``; read them with
     ``load_parsed``.  Every batch lists the directory anew on the driver: give very many files dated
     directories of their own, or let read ones be moved away (``cleanSource``).
+    A batch has BATCH_FILES files at most, unless ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bounds it: what is
+    appended is the same in any number of batches.
     """
+    if not options.get("listed") and not BOUNDS & {o.lower() for o in options}:
+        options["maxFilesPerTrigger"] = BATCH_FILES
     parsed = stream_mail(spark, directory, True, parse_options, **options)
     return start_parquet(mark_valid(parsed), path, checkpoint, trigger, ["valid"])
