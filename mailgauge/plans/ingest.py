@@ -32,6 +32,7 @@ def ingest_stream(
     checkpoint: str,
     trigger: dict | None = None,
     parse_options: dict | None = None,
+    compression: str | None = "zstd",
     **options,
 ) -> StreamingQuery:
     """Keep appending the mails of a growing directory to a stored table, each once.
@@ -40,9 +41,10 @@ def ingest_stream(
     ``load_parsed``.  Every batch lists the directory anew on the driver: give very many files dated
     directories of their own, or let read ones be moved away (``cleanSource``).
     A batch has BATCH_FILES files at most, unless ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bounds it: what is
-    appended is the same in any number of batches.
+    appended is the same in any number of batches.  ``compression`` suits text that is written once and kept; None is
+    the session's.
     """
     if not options.get("listed") and not BOUNDS & {o.lower() for o in options}:
         options["maxFilesPerTrigger"] = BATCH_FILES
     parsed = stream_mail(spark, directory, True, parse_options, **options)
-    return start_parquet(mark_valid(parsed), path, checkpoint, trigger, ["valid"])
+    return start_parquet(mark_valid(parsed), path, checkpoint, trigger, ["valid"], compression)

@@ -58,13 +58,16 @@ def start_parquet(
     checkpoint: str,
     trigger: dict | None = None,
     partition_by: Sequence[str] = (),
+    compression: str | None = None,
 ) -> StreamingQuery:
-    """Append rows to a Parquet directory, each of them exactly once."""
+    """Append rows to a Parquet directory, each of them exactly once; ``compression`` is the session's unless given."""
     writer = (
         stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint)
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if compression:
+        writer = writer.option("compression", compression)
     return (writer.trigger(**trigger) if trigger else writer).start(path)
 
 
